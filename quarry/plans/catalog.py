@@ -186,3 +186,153 @@ def q14_turn_label_sequences(spark, sf):
     s = turn_label_sequences(table(spark, sf, "conversations"))
     return s.select("conv_id", ids_text(F.col("input_ids")).alias("input_ids"), ids_text(F.col("labels")).alias("labels"),
                     ids_text(F.transform("attention_mask", lambda b: b.cast("int"))).alias("attention_mask"))
+
+
+# ---------------------------------------------------------------- S5, S8, S9
+@register("s5_head_records", """
+SELECT doc_id, (row_number() OVER (ORDER BY doc_id) - 1)::BIGINT AS idx FROM documents
+QUALIFY idx < 10000""")
+def s5_head_records(spark, sf):
+    from quarry.constants import HEAD_RECORDS
+    from quarry.operators.index import head_records
+    return head_records(_docs(spark, sf).select("doc_id"), ["doc_id"], HEAD_RECORDS) \
+        .withColumn("idx", F.col("idx").cast("long"))
+
+
+@register("s8_row_index", """
+SELECT doc_id, chunk_idx, (row_number() OVER (ORDER BY source, doc_id, chunk_idx) - 1)::BIGINT AS idx
+FROM ({chunks})""".format(chunks=CHUNKS_SQL))
+def s8_row_index(spark, sf):
+    from quarry.operators.index import with_row_index
+    return with_row_index(_chunks(spark, sf).select("doc_id", "chunk_idx", "source"),
+                          ["source", "doc_id", "chunk_idx"]).select("doc_id", "chunk_idx", "idx")
+
+
+@register("s9_record_offsets", """
+SELECT doc_id, chunk_idx,
+       coalesce(sum(octet_length(encode(text)) + 1) OVER (ORDER BY doc_id, chunk_idx
+                ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0)::BIGINT AS byte_start,
+       sum(octet_length(encode(text)) + 1) OVER (ORDER BY doc_id, chunk_idx
+                ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW)::BIGINT AS byte_end
+FROM ({chunks})""".format(chunks=CHUNKS_SQL))
+def s9_record_offsets(spark, sf):
+    from quarry.operators.index import record_offsets
+    return record_offsets(_chunks(spark, sf).select("doc_id", "chunk_idx", F.col("text").alias("line")),
+                          ["doc_id", "chunk_idx"]).select("doc_id", "chunk_idx", "byte_start", "byte_end")
+
+
+# ---------------------------------------------------------------- Q8 + Q9 (+ U2 with one shard)
+@register("q8_pack_blocks", f"""
+WITH c AS ({CHUNKS_SQL}),
+i AS (SELECT row_number() OVER (ORDER BY doc_id, chunk_idx) - 1 AS idx, {sql_bytes('text')} AS ids FROM c),
+u AS (SELECT idx // 1000 AS batch, idx, unnest(ids) AS id, unnest(range(len(ids))) AS k FROM i),
+g AS (SELECT batch, id, row_number() OVER (PARTITION BY batch ORDER BY idx, k) - 1 AS pos,
+             count(*) OVER (PARTITION BY batch) AS total FROM u)
+SELECT 0::BIGINT AS shard, batch::BIGINT AS batch, (pos // 2048)::BIGINT AS block,
+       string_agg(id::VARCHAR, ',' ORDER BY pos) AS input_ids, string_agg(id::VARCHAR, ',' ORDER BY pos) AS labels,
+       count(*)::BIGINT AS attention_sum
+FROM g WHERE total < 2048 OR pos < (total // 2048) * 2048
+GROUP BY batch, pos // 2048""")
+def q8_pack_blocks(spark, sf):
+    from quarry.functions.encode import encode
+    from quarry.operators.sequences import pack_blocks
+    c = _chunks(spark, sf).select("doc_id", "chunk_idx", encode(F.col("text")).alias("input_ids"))
+    c = c.withColumn("attention_mask", F.transform("input_ids", lambda x: F.lit(1)))
+    p = pack_blocks(c, ["doc_id", "chunk_idx"])
+    return p.select("shard", "batch", "block", ids_text(F.col("input_ids")).alias("input_ids"),
+                    ids_text(F.col("labels")).alias("labels"),
+                    F.aggregate("attention_mask", F.lit(0).cast("long"), lambda a, x: a + x).alias("attention_sum"))
+
+
+# ---------------------------------------------------------------- B1-B4, B7, B9
+KEYED_SQL = f"""SELECT doc_id, chunk_idx, doc_id || ':' || chunk_idx AS key, text FROM ({CHUNKS_SQL})"""
+SHUFFLED_SQL = f"""
+WITH k AS ({KEYED_SQL}), e AS (SELECT *, unnest(range(2)) AS epoch FROM k),
+s AS (SELECT doc_id, chunk_idx, key, text, epoch,
+             row_number() OVER (PARTITION BY epoch ORDER BY md5(key || ':' || epoch || ':' || '42'), key) - 1 AS pos
+      FROM e)"""
+
+
+def _keyed(spark, sf):
+    return _chunks(spark, sf).select("doc_id", "chunk_idx", "text",
+                                     F.concat_ws(":", "doc_id", "chunk_idx").alias("key"))
+
+
+@register("b1_seeded_shuffle", SHUFFLED_SQL + """
+SELECT doc_id, chunk_idx, epoch::INTEGER AS epoch, pos::BIGINT AS pos FROM s""")
+def b1_seeded_shuffle(spark, sf):
+    from quarry.operators.batching import replicate_epochs, seeded_shuffle
+    s = seeded_shuffle(replicate_epochs(_keyed(spark, sf).drop("text"), 2), "key")
+    return s.select("doc_id", "chunk_idx", "epoch", F.col("pos").cast("long").alias("pos"))
+
+
+@register("b4_device_shards", SHUFFLED_SQL + """,
+n AS (SELECT count(*) AS n, ceil(count(*) / 64.0) AS steps FROM k),
+b AS (SELECT doc_id, chunk_idx, pos // 64 AS step, pos % 64 AS slot FROM s WHERE epoch = 0)
+SELECT doc_id, chunk_idx, step::BIGINT AS step, slot::BIGINT AS slot,
+       floor(slot / ceil((CASE WHEN step = steps - 1 THEN n - (steps - 1) * 64 ELSE 64 END) / 3.0))::BIGINT AS device
+FROM b, n""")
+def b4_device_shards(spark, sf):
+    from quarry.plans.training import plan_rows
+    rows, _ = plan_rows(_keyed(spark, sf).drop("text"), "key", epochs=1, batch_size=64, devices=3)
+    return rows.select("doc_id", "chunk_idx", "step", "slot", "device")
+
+
+@register("b3_collate", SHUFFLED_SQL + """
+SELECT (pos // 64)::BIGINT AS step, count(*)::BIGINT AS n_rows, string_agg(key, ' ' ORDER BY pos % 64) AS keys
+FROM s WHERE epoch = 0 GROUP BY pos // 64""")
+def b3_collate(spark, sf):
+    from quarry.operators.batching import collate
+    from quarry.plans.training import plan_rows
+    rows, _ = plan_rows(_keyed(spark, sf).drop("text"), "key", epochs=1, batch_size=64)
+    c = collate(rows, ["key"])
+    return c.select("step", F.size("key").cast("long").alias("n_rows"), F.array_join("key", " ").alias("keys"))
+
+
+@register("b7_lr_schedule", f"""
+WITH n AS (SELECT ceil(count(*) / 64.0)::BIGINT AS total FROM ({CHUNKS_SQL})),
+g AS (SELECT unnest(range(total + 3)) AS it, total FROM n)
+SELECT it::BIGINT AS it, round(CASE WHEN it < 10 THEN 2e-4 * it / 10
+                          WHEN it > total THEN 2e-5
+                          ELSE 2e-5 + 0.5 * (1.0 + cos(pi() * ((it - 10) / (total - 10)))) * (2e-4 - 2e-5) END, 12) AS lr
+FROM g""")
+def b7_lr_schedule(spark, sf):
+    from quarry.functions.schedule import lr_at
+    from quarry.operators.batching import batch_lengths
+    n = _chunks(spark, sf).count()
+    total, _ = batch_lengths(n, 64)
+    its = _chunks(spark, sf).select(F.lit(total).alias("total")).limit(1) \
+        .select(F.explode(F.sequence(F.lit(0).cast("long"), F.lit(total + 2).cast("long"))).alias("it"))
+    return its.select("it", F.round(lr_at(F.col("it"), F.lit(total), 2e-4, 10), 12).alias("lr"))
+
+
+@register("b9_training_plan", SHUFFLED_SQL + """,
+n AS (SELECT ceil(count(*) / 64.0)::BIGINT AS steps FROM k),
+r AS (SELECT epoch, pos // 64 AS step, least(1 + octet_length(encode(text)), 512) - 1 AS lt FROM s),
+p AS (SELECT epoch, step, count(*) AS n_rows, sum(lt) AS loss_tokens FROM r GROUP BY epoch, step)
+SELECT epoch::INTEGER AS epoch, step::BIGINT AS step, (epoch * steps + step)::BIGINT AS global_step,
+       n_rows::BIGINT AS n_rows, loss_tokens::BIGINT AS loss_tokens,
+       round(CASE WHEN epoch * steps + step > 2 * steps THEN 2e-5
+                  ELSE 2e-5 + 0.5 * (1.0 + cos(pi() * ((epoch * steps + step) / (2.0 * steps)))) * (2e-4 - 2e-5) END, 12) AS lr,
+       (step + 1) % 8 = 0 AS is_update, (step // 8)::BIGINT AS update_group,
+       step % 100 = 0 AS is_log, (step + 1) % 1000 = 0 AS is_save, (step + 1) % 20000 = 0 AS is_snapshot
+FROM p, n""")
+def b9_training_plan(spark, sf):
+    from quarry.plans.training import training_plan
+    seqs = pretrain_sequences(_keyed(spark, sf).select("key", "text"))
+    return training_plan(seqs, "key", epochs=2, batch_size=64)
+
+
+# ---------------------------------------------------------------- B10
+@register("b10_eta", """
+WITH s AS (SELECT user_id, event_id, ts,
+                  row_number() OVER (PARTITION BY user_id ORDER BY ts, event_id) - 1 AS step,
+                  count(*) OVER (PARTITION BY user_id) AS steps, min(ts) OVER (PARTITION BY user_id) AS t0
+           FROM events),
+e AS (SELECT *, (epoch_us(ts) - epoch_us(t0)) / 1e6 AS el FROM s)
+SELECT user_id, event_id, step::BIGINT AS step, steps::BIGINT AS steps, round(el, 6) AS elapsed_s,
+       (floor(el / (step + 1) * steps / 60) - floor(el / 60))::BIGINT AS eta_min
+FROM e""")
+def b10_eta(spark, sf):
+    from quarry.operators.batching import eta_minutes
+    return eta_minutes(table(spark, sf, "events"))
