@@ -336,3 +336,185 @@ FROM e""")
 def b10_eta(spark, sf):
     from quarry.operators.batching import eta_minutes
     return eta_minutes(table(spark, sf, "events"))
+
+
+# ---------------------------------------------------------------- A4 (+A1, A2), A5, G1-G4
+POSITIONS_SQL = PRETRAIN_SQL + """,
+z AS (SELECT lang, unnest(p[1:511]) AS x, unnest(p[2:512]) AS y, unnest(m[2:512]) AS m FROM p),
+bg AS (SELECT x, y, count(*) AS n FROM z WHERE m = 1 GROUP BY x, y),
+cx AS (SELECT x, sum(n) AS cx FROM bg GROUP BY x)"""
+
+
+def _pretrain_lang(spark, sf):
+    return pretrain_sequences(_chunks(spark, sf).select("lang", "text"))
+
+
+@register("a4_ngram_nll", POSITIONS_SQL + """,
+s AS (SELECT z.lang, z.m, CASE WHEN z.y = 0 THEN 0.0
+             ELSE -ln((coalesce(bg.n, 0) + 1) / (coalesce(cx.cx, 0) + 261.0)) END AS nll
+      FROM z LEFT JOIN bg ON z.x = bg.x AND z.y = bg.y LEFT JOIN cx ON z.x = cx.x)
+SELECT lang, sum(m)::BIGINT AS loss_tokens, round(sum(nll * m) / sum(m), 6) AS mean_nll,
+       round(exp(sum(nll * m) / sum(m)), 6) AS perplexity
+FROM s GROUP BY lang""")
+def a4_ngram_nll(spark, sf):
+    from quarry.operators.scoring import ngram_nll
+    return ngram_nll(_pretrain_lang(spark, sf), ["lang"], vocab_size=261)
+
+
+NEXT_SQL = POSITIONS_SQL + """,
+nt AS (SELECT x AS ctx, y AS token, n, ln(n) AS logit FROM bg)"""
+
+
+@register("a5_next_token_table", NEXT_SQL + """
+SELECT ctx, token, n::BIGINT AS n, round(logit, 6) AS logit FROM nt""")
+def a5_next_token_table(spark, sf):
+    from quarry.operators.scoring import next_token_table
+    t = next_token_table(_pretrain_lang(spark, sf))
+    return t.select("ctx", "token", "n", F.round("logit", 6).alias("logit"))
+
+
+@register("g1_greedy", NEXT_SQL + """
+SELECT ctx, token FROM (SELECT ctx, token, row_number() OVER (PARTITION BY ctx ORDER BY logit DESC, token) AS r FROM nt)
+WHERE r = 1""")
+def g1_greedy(spark, sf):
+    from quarry.operators.sampling import greedy
+    from quarry.operators.scoring import next_token_table
+    return greedy(next_token_table(_pretrain_lang(spark, sf)))
+
+
+@register("g2_top_k", NEXT_SQL + """
+SELECT ctx, token, n::BIGINT AS n FROM (SELECT *, rank() OVER (PARTITION BY ctx ORDER BY logit DESC) AS r FROM nt)
+WHERE r <= 3""")
+def g2_top_k(spark, sf):
+    from quarry.operators.sampling import top_k_with_ties
+    from quarry.operators.scoring import next_token_table
+    return top_k_with_ties(next_token_table(_pretrain_lang(spark, sf)), 3).select("ctx", "token", "n")
+
+
+SOFT_SQL = NEXT_SQL + """,
+tk AS (SELECT * FROM (SELECT *, rank() OVER (PARTITION BY ctx ORDER BY logit DESC) AS r FROM nt) WHERE r <= 5),
+sm AS (SELECT ctx, token, exp((logit - max(logit) OVER (PARTITION BY ctx)) / 0.8) AS z FROM tk),
+pr AS (SELECT ctx, token, z / sum(z) OVER (PARTITION BY ctx) AS p FROM sm)"""
+
+
+def _softmax(spark, sf):
+    from quarry.operators.sampling import temperature_softmax, top_k_with_ties
+    from quarry.operators.scoring import next_token_table
+    return temperature_softmax(top_k_with_ties(next_token_table(_pretrain_lang(spark, sf)), 5), 0.8)
+
+
+@register("g3_temperature_softmax", SOFT_SQL + """
+SELECT ctx, token, round(p, 6) AS p FROM pr""")
+def g3_temperature_softmax(spark, sf):
+    return _softmax(spark, sf).select("ctx", "token", F.round("p", 6).alias("p"))
+
+
+@register("g4_seeded_draw", SOFT_SQL + """,
+cu AS (SELECT ctx, token, sum(p) OVER (PARTITION BY ctx ORDER BY token ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS c,
+              ('0x' || substr(md5(ctx::VARCHAR || ':42'), 1, 8))::BIGINT / 4294967296.0 AS u FROM pr)
+SELECT ctx, coalesce(min(token) FILTER (WHERE c >= u), max(token)) AS token FROM cu GROUP BY ctx""")
+def g4_seeded_draw(spark, sf):
+    from quarry.operators.sampling import seeded_draw
+    return seeded_draw(_softmax(spark, sf))
+
+
+# ---------------------------------------------------------------- K4-K7 (byte-level model), K1
+@register("k4_encode", f"""
+WITH c AS ({CHUNKS_SQL}), e AS (SELECT doc_id, chunk_idx, {sql_bytes('text')} AS ids FROM c)
+SELECT doc_id, chunk_idx, {sql_text('ids')} AS input_ids, len(ids)::BIGINT AS attention_sum FROM e""")
+def k4_encode(spark, sf):
+    from quarry.operators.tokenizer import encode_table
+    e = encode_table(_chunks(spark, sf).select("doc_id", "chunk_idx", "text"), with_attention=True)
+    return e.select("doc_id", "chunk_idx", ids_text(F.col("input_ids")).alias("input_ids"),
+                    F.aggregate("attention_mask", F.lit(0).cast("long"), lambda a, x: a + x).alias("attention_sum"))
+
+
+@register("k5_decode", f"SELECT doc_id, chunk_idx, text AS decoded FROM ({CHUNKS_SQL})")
+def k5_decode(spark, sf):
+    from quarry.operators.tokenizer import decode_table, encode_table
+    e = encode_table(_chunks(spark, sf).select("doc_id", "chunk_idx", "text"))
+    return decode_table(e, ids_col="input_ids").select("doc_id", "chunk_idx", "decoded")
+
+
+@register("k6_roundtrip_report", """
+SELECT lang, count(*)::BIGINT AS n_rows, count(*)::BIGINT AS n_equal, 1.0::DOUBLE AS equal_rate
+FROM documents GROUP BY lang""")
+def k6_roundtrip_report(spark, sf):
+    from quarry.operators.tokenizer import roundtrip_report
+    return roundtrip_report(_docs(spark, sf), ["lang"])
+
+
+@register("k7_tokenizer_stats", """
+SELECT lang, count(*)::BIGINT AS n_rows, sum(length(text))::BIGINT AS n_chars,
+       sum(octet_length(encode(text)))::BIGINT AS n_tokens,
+       round(sum(octet_length(encode(text))) / sum(length(text)), 6) AS tokens_per_char, 261 AS vocab_size
+FROM documents GROUP BY lang""")
+def k7_tokenizer_stats(spark, sf):
+    from quarry.operators.tokenizer import tokenizer_stats
+    return tokenizer_stats(_docs(spark, sf), ["lang"])
+
+
+@register("k1_pretoken_counts")
+def k1_pretoken_counts(spark, sf):
+    from quarry.operators.tokenizer import pretoken_counts
+    return pretoken_counts(_docs(spark, sf))
+
+
+@register("k3_train_bpe")
+def k3_train_bpe(spark, sf):
+    from quarry.operators.tokenizer import merges_table, train_bpe
+    return merges_table(spark, train_bpe(_docs(spark, sf).select("text"), vocab_size=300))
+
+
+# ---------------------------------------------------------------- C1-C6, C8 standalone
+@register("c6_render_chat", """
+WITH t AS (SELECT conv_id, turn, text,
+                  CASE WHEN role = 'user' THEN 'user' WHEN role = 'assistant' THEN 'assistant' END AS r
+           FROM conversations)
+SELECT conv_id, '<|im_start|>system' || chr(10) || '你是一个AI助手<|im_end|>' || chr(10)
+       || coalesce(string_agg('<|im_start|>' || r || chr(10) || text || '<|im_end|>' || chr(10), '' ORDER BY turn)
+                   FILTER (WHERE r IS NOT NULL), '') AS text,
+       (count(r) + 1)::BIGINT AS n_messages
+FROM t GROUP BY conv_id""")
+def c6_render_chat(spark, sf):
+    from quarry.functions.chat import prepend_system, render_chat
+    from quarry.plans.sft import assemble_messages
+    from quarry.sources.tables import raw_turns
+    m = assemble_messages(raw_turns(table(spark, sf, "conversations")))
+    msgs = prepend_system(F.col("messages"))
+    return m.select("conv_id", render_chat(msgs).alias("text"), F.size(msgs).cast("long").alias("n_messages"))
+
+
+@register("c4_c5_turn_roles", """
+WITH t AS (SELECT conv_id, turn,
+                  CASE WHEN role = 'user' THEN 'human'
+                       WHEN role = 'assistant' THEN CASE WHEN conv_id % 2 = 1 THEN 'gpt' ELSE 'assistant' END
+                       ELSE role END AS frm FROM conversations),
+f AS (SELECT *, row_number() OVER (PARTITION BY conv_id ORDER BY turn) AS rn,
+             first_value(frm) OVER (PARTITION BY conv_id ORDER BY turn) AS ff FROM t)
+SELECT conv_id, turn, frm AS raw_from, CASE WHEN frm = 'assistant' THEN 'assistant' ELSE 'human' END AS role
+FROM f WHERE NOT (rn = 1 AND ff <> 'human')""")
+def c4_c5_turn_roles(spark, sf):
+    from quarry.functions.chat import drop_leading_non_human, turn_role
+    from quarry.sources.tables import raw_turns
+    t = raw_turns(table(spark, sf, "conversations"))
+    conv = t.groupBy("conv_id").agg(F.sort_array(F.collect_list(F.struct("turn", "from", "value"))).alias("c"))
+    kept = conv.select("conv_id", F.inline(drop_leading_non_human(F.col("c"))))
+    return kept.select("conv_id", "turn", F.col("from").alias("raw_from"), turn_role(F.col("from")).alias("role"))
+
+
+# ---------------------------------------------------------------- Q10, Q11
+@register("q10_q11_crop_and_stop", f"""
+WITH c AS ({CHUNKS_SQL}), e AS (SELECT doc_id, chunk_idx, {sql_bytes('text')} AS ids FROM c),
+s AS (SELECT doc_id, chunk_idx, ids, CASE WHEN len(ids) > 512 THEN ids[len(ids) - 511:] ELSE ids END AS crop,
+             list_position(ids, {46 - 28}) AS sp FROM e)
+SELECT doc_id, chunk_idx, {sql_text('crop')} AS cropped,
+       {sql_text("ids[1:least(coalesce(sp - 1, len(ids)), 256)]")} AS generated FROM s""")
+def q10_q11_crop_and_stop(spark, sf):
+    from quarry.functions.arrays import cut_at_stop, left_crop
+    from quarry.functions.bytes import byte_ids
+    from quarry.functions.literal import encode_literal
+    stop = encode_literal(".")[0]
+    e = _chunks(spark, sf).select("doc_id", "chunk_idx", byte_ids(F.col("text")).alias("ids"))
+    return e.select("doc_id", "chunk_idx", ids_text(left_crop(F.col("ids"), 512)).alias("cropped"),
+                    ids_text(cut_at_stop(F.col("ids"), stop, 256)).alias("generated"))
