@@ -59,24 +59,27 @@ def head_records(df: DataFrame, order_cols: list, n: int, name: str = "idx") ->
     return top.withColumn(name, F.row_number().over(Window.orderBy(*_cols(order_cols))) - 1)
 
 
-def prefix_sum(df: DataFrame, order_cols: list, value_col: str, out_col: str) -> DataFrame:
-    """Exclusive running sum of ``value_col`` in order, distributed.
+def prefix_sum(df: DataFrame, order_cols: list, value_col: str | dict, out_col: str | None = None) -> DataFrame:
+    """Exclusive running sums in order, distributed.
 
-    Pass 1 sums each range partition (one number per partition reaches the
-    driver); pass 2 runs a per-partition cumulative sum in Arrow batches
-    starting at that partition's offset.  No row leaves its partition.
+    ``value_col`` is one column (with ``out_col``) or a dict {out_col: value_col}.
+    Pass 1 sums each range partition (one number per partition and column
+    reaches the driver); pass 2 runs a per-partition cumulative sum over Arrow
+    batches starting at that partition's offset.  No row leaves its partition.
     """
+    pairs = dict(value_col) if isinstance(value_col, dict) else {out_col: value_col}
     order = _cols(order_cols)
     ranged = (df.repartitionByRange(*order).sortWithinPartitions(*order)
               .withColumn("_pid", F.spark_partition_id())
               .persist(StorageLevel.MEMORY_AND_DISK))
-    totals = sorted((r["_pid"], r["_s"] or 0) for r in
-                    ranged.groupBy("_pid").agg(F.sum(value_col).alias("_s")).collect())
-    offsets, run = {}, 0
-    for pid, s in totals:
-        offsets[pid] = run
-        run += s
-    schema = T.StructType(ranged.schema.fields + [T.StructField(out_col, T.LongType(), False)])
+    sums = ranged.groupBy("_pid").agg(*[F.sum(v).alias(o) for o, v in pairs.items()]).collect()
+    offsets: dict[int, dict[str, int]] = {}
+    run = {o: 0 for o in pairs}
+    for r in sorted(sums, key=lambda r: r["_pid"]):
+        offsets[r["_pid"]] = dict(run)
+        for o in pairs:
+            run[o] += r[o] or 0
+    schema = T.StructType(ranged.schema.fields + [T.StructField(o, T.LongType(), False) for o in pairs])
 
     def run_sums(batches):
         acc = None
@@ -84,11 +87,13 @@ def prefix_sum(df: DataFrame, order_cols: list, value_col: str, out_col: str) ->
             if b.num_rows == 0:
                 continue
             if acc is None:
-                acc = offsets.get(b.column("_pid")[0].as_py(), 0)
-            vals = pc.fill_null(b.column(value_col), 0).cast(pa.int64())
-            incl = pc.add(pc.cumulative_sum(vals), acc)
-            acc = incl[-1].as_py()
-            yield b.append_column(out_col, pc.subtract(incl, vals))
+                acc = dict(offsets.get(b.column("_pid")[0].as_py(), {o: 0 for o in pairs}))
+            for o, v in pairs.items():
+                vals = pc.fill_null(b.column(v), 0).cast(pa.int64())
+                incl = pc.add(pc.cumulative_sum(vals), acc[o])
+                acc[o] = incl[-1].as_py()
+                b = b.append_column(o, pc.subtract(incl, vals))
+            yield b
 
     return ranged.mapInArrow(run_sums, schema).drop("_pid")
 

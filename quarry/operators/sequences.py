@@ -6,12 +6,14 @@ concatenated and cut into ``block_size`` blocks; the remainder is dropped,
 unless the whole batch is shorter than one block, which then yields one short
 block.  Every column is cut alike; labels are a copy of input ids.
 
-Spark plan: S8 index -> one window per batch (bounded: ``batch_size`` rows)
-giving each row's offset in the batch and the batch total -> each row is cut
-into the fragments that fall into kept blocks -> group by (batch, block) and
+Spark plan: one distributed prefix-sum pass gives each row its global index
+and global id offset (range partitioning, per-partition Arrow cumulative sums,
+no window) -> a partial aggregate per batch gives the batch start and total
+(one row per batch; broadcast when small) -> each row is cut into the
+fragments that fall into kept blocks -> group by (batch, block) and
 concatenate fragments in row order.  A group holds one block's worth of ids,
-never a whole batch; the window's hash partitioning on the batch key is reused
-by the aggregation, so there is a single shuffle.
+never a whole batch, so even a single huge batch (a stream micro-batch) is
+spread over all tasks.
 """
 
 from __future__ import annotations
@@ -20,7 +22,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from quarry.constants import BLOCK_SIZE, PACK_BATCH_SIZE
-from quarry.operators.index import with_row_index
+from quarry.operators.index import BROADCAST_ROWS, prefix_sum
 
 
 def _field(name: str):
@@ -46,21 +48,23 @@ def pack_blocks(df: DataFrame, order_cols: list, columns: list[str] | tuple = ("
     """Rows (shard, batch, block, <columns>..., labels)."""
     columns = list(columns)
     main = columns[0]
-    indexed = with_row_index(df.select(*[c for c in order_cols if isinstance(c, str)], *columns), order_cols, "_idx")
-    n = indexed.count() if num_proc > 1 else 0
+    base = df.select(*[c for c in order_cols if isinstance(c, str)], *columns) \
+        .withColumn("_one", F.lit(1).cast("long")).withColumn("_sz", F.size(main).cast("long"))
+    # global row index and global id offset in one distributed pass (no window over a batch)
+    placed = prefix_sum(base, order_cols, {"_idx": "_one", "_gpos": "_sz"})
+    n = placed.count() if num_proc > 1 else 0
     shard, local = shard_of(F.col("_idx"), n, num_proc)
-    rows = indexed.select("_idx", *columns, shard.alias("shard"),
-                          F.floor(local / batch_size).cast("long").alias("batch"), F.size(main).alias("_sz"))
-    rows = rows.where(F.col("_sz") > 0)
-    w = Window.partitionBy("shard", "batch")
-    off = F.coalesce(F.sum("_sz").over(w.orderBy("_idx").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
-    total = F.sum("_sz").over(w)
-    placed = rows.select("*", off.alias("_off"), total.alias("_total"))
+    placed = placed.withColumn("shard", shard).withColumn("batch", F.floor(local / batch_size).cast("long"))
+    stats = placed.groupBy("shard", "batch").agg(F.min("_gpos").alias("_bstart"), F.sum("_sz").alias("_total"))
+    nb = stats.count()
+    stats = F.broadcast(stats) if nb <= BROADCAST_ROWS else stats
+    rows = placed.where(F.col("_sz") > 0).join(stats, ["shard", "batch"]) \
+        .withColumn("_off", F.col("_gpos") - F.col("_bstart"))
     nblocks = F.when(F.col("_total") >= block_size, F.floor(F.col("_total") / block_size)).otherwise(1)
     first = F.floor(F.col("_off") / block_size)
     last = F.floor((F.col("_off") + F.col("_sz") - 1) / block_size)
     blocks = F.filter(F.sequence(first, last), lambda b: b < nblocks)
-    exploded = placed.select("shard", "batch", "_idx", "_off", "_sz", *columns, F.explode(blocks).alias("block"))
+    exploded = rows.select("shard", "batch", "_idx", "_off", "_sz", *columns, F.explode(blocks).alias("block"))
     lo = F.greatest(F.col("block") * block_size, F.col("_off"))
     hi = F.least((F.col("block") + 1) * block_size, F.col("_off") + F.col("_sz"))
     frags = [F.slice(F.col(c), (lo - F.col("_off") + 1).cast("int"), (hi - lo).cast("int")).alias(c) for c in columns]

@@ -518,3 +518,79 @@ def q10_q11_crop_and_stop(spark, sf):
     e = _chunks(spark, sf).select("doc_id", "chunk_idx", byte_ids(F.col("text")).alias("ids"))
     return e.select("doc_id", "chunk_idx", ids_text(left_crop(F.col("ids"), 512)).alias("cropped"),
                     ids_text(cut_at_stop(F.col("ids"), stop, 256)).alias("generated"))
+
+
+# ---------------------------------------------------------------- S1, S2, S3, S6 (lines derived from the tables)
+@register("s1_read_jsonl", "SELECT doc_id, text FROM documents")
+def s1_read_jsonl(spark, sf):
+    from quarry.sources.jsonl import parse_jsonl, to_json_lines
+    docs = _docs(spark, sf)
+    lines = docs.select("doc_id", F.to_json(F.struct("text")).alias("value"))  # S6 serialisation
+    return parse_jsonl(lines, keep=["doc_id"])
+
+
+@register("s2_reject_report", """
+SELECT doc_id, row_number() OVER (ORDER BY doc_id)::BIGINT AS line_num,
+       CASE WHEN doc_id % 3 = 1 THEN 'missing_key' WHEN doc_id % 3 = 2 THEN 'malformed' END AS reason,
+       CASE WHEN doc_id % 3 = 0 THEN text END AS text
+FROM documents""")
+def s2_reject_report(spark, sf):
+    """Lines: every document as {"text":...}, every third one without the key, every
+    third one cut short (not valid JSON); line numbers in doc_id order."""
+    from quarry.operators.index import with_row_index
+    from quarry.sources.jsonl import split_report
+    docs = _docs(spark, sf)
+    full = F.to_json(F.struct("text"))
+    value = (F.when(F.col("doc_id") % 3 == 1, F.to_json(F.struct(F.col("lang").alias("x"))))
+             .when(F.col("doc_id") % 3 == 2, F.expr("substring(to_json(struct(text)), 1, 5)"))
+             .otherwise(full))
+    lines = with_row_index(docs.select("doc_id", value.alias("value")), ["doc_id"], "line_num") \
+        .withColumn("line_num", F.col("line_num") + 1)
+    rows, rejects = split_report(lines)
+    return rows.select("doc_id", "line_num", F.lit(None).cast("string").alias("reason"), "text") \
+        .unionByName(rejects.select("doc_id", "line_num", "reason", F.lit(None).cast("string").alias("text")))
+
+
+@register("s3_json_array_lines", """
+SELECT conv_id, count(*)::BIGINT AS n_turns, string_agg(text, '' ORDER BY turn) AS joined FROM conversations
+GROUP BY conv_id""")
+def s3_json_array_lines(spark, sf):
+    """A JSON array file, one conversation object per line with a trailing comma,
+    between '[' and ']' lines, parsed back with S3."""
+    from quarry.sources.jsonl import parse_json_array_lines
+    from quarry.sources.tables import raw_turns
+    t = raw_turns(table(spark, sf, "conversations"))
+    conv = t.groupBy("conv_id").agg(F.sort_array(F.collect_list(F.struct("turn", "from", "value"))).alias("c"))
+    obj = F.to_json(F.struct("conv_id", F.transform("c", lambda x: F.struct(x["from"].alias("from"),
+                                                                            x["value"].alias("value")))
+                             .alias("conversations")))
+    lines = conv.select(F.concat(F.lit("  "), obj, F.lit(",")).alias("value")) \
+        .unionByName(spark.range(1).select(F.lit("[").alias("value"))) \
+        .unionByName(spark.range(1).select(F.lit("]").alias("value")))
+    parsed = parse_json_array_lines(lines, keep_fields={"conv_id": "bigint"})
+    return parsed.select("conv_id", F.size("conversations").cast("long").alias("n_turns"),
+                         F.array_join(F.transform("conversations", lambda x: x["value"]), "").alias("joined"))
+
+
+# ---------------------------------------------------------------- U1 (+U2 with two shards)
+@register("u1_map_batches", f"""
+WITH c AS ({CHUNKS_SQL}), i AS (SELECT doc_id, chunk_idx, length(text) AS n,
+                                       row_number() OVER (ORDER BY doc_id, chunk_idx) - 1 AS idx,
+                                       count(*) OVER () AS total FROM c),
+s AS (SELECT *, total // 2 + total % 2 AS first_size FROM i),
+b AS (SELECT doc_id, chunk_idx, n, CASE WHEN idx < first_size THEN 0 ELSE 1 END AS shard,
+             CASE WHEN idx < first_size THEN idx ELSE idx - first_size END AS local FROM s)
+SELECT doc_id, chunk_idx, n::BIGINT AS n_chars, shard::BIGINT AS shard, (local // 1000)::BIGINT AS batch,
+       sum(n) OVER (PARTITION BY shard, local // 1000)::BIGINT AS batch_chars FROM b""")
+def u1_map_batches(spark, sf):
+    from quarry.operators.batchfn import map_batches
+
+    def fn(batch: dict) -> dict:  # a user batch function: per-row and per-batch values
+        n = [len(t) for t in batch["text"]]
+        return {"doc_id": batch["doc_id"], "chunk_idx": batch["chunk_idx"], "n_chars": n,
+                "batch_chars": [sum(n)] * len(n), "shard": batch["_shard"], "batch": batch["_batch"]}
+
+    c = _chunks(spark, sf).select("doc_id", "chunk_idx", "text")
+    out = map_batches(c, fn, "doc_id long, chunk_idx long, n_chars long, batch_chars long, shard long, batch long",
+                      ["doc_id", "chunk_idx"], batch_size=1000, num_proc=2)
+    return out.select("doc_id", "chunk_idx", "n_chars", "shard", "batch", "batch_chars")
