@@ -57,10 +57,10 @@ def assistant_span_mask(ids: Column, header: list[int], eos: int = EOS_ID) -> Co
         F.transform(starts, lambda i: F.struct((i + a).alias("s"),
                                                F.array_position(F.slice(ids, i + a + 1, n), eos).alias("k"))),
         lambda sp: sp["k"] > 0)
-    return F.when(n == 0, F.array().cast("array<int>")).otherwise(
-        F.transform(F.sequence(F.lit(0), n - 1),
-                    lambda p: F.when(F.exists(spans, lambda sp: (p >= sp["s"]) & (p < sp["s"] + sp["k"])), 1)
-                    .otherwise(0)))
+    # fold the (few) spans over a zero mask: the span list is evaluated once per row
+    zero = F.array_repeat(F.lit(0), n)
+    return F.aggregate(spans, zero, lambda acc, sp: F.transform(
+        acc, lambda x, p: F.when((p >= sp["s"]) & (p < sp["s"] + sp["k"]), 1).otherwise(x)))
 
 
 def attention_mask(ids: Column, pad: int = PAD_ID) -> Column:

@@ -56,13 +56,18 @@ def _lut() -> Column:
 
 
 def utf8_bytes(col: Column) -> Column:
-    """array<int> of the UTF-8 bytes of a string (0..255), one linear pass."""
-    pairs = F.regexp_extract_all(F.hex(F.encode(col, "UTF-8")), F.lit("[0-9A-F]{2}"), 0)
-    return F.transform(pairs, lambda h: F.conv(h, 16, 10).cast("int"))
+    """array<int> of the UTF-8 bytes of a string (0..255), in one linear pass.
+
+    The UTF-8 bytes are re-read as Latin-1 (one character per byte), split into
+    characters, and each character's code point is its byte value.
+    """
+    latin = F.decode(F.encode(col, "UTF-8"), "ISO-8859-1")
+    return F.transform(F.split(latin, ""), lambda c: F.ascii(c))
 
 
 def byte_ids(col: Column) -> Column:
     """T5: array<int> of base-vocabulary ids (5..260) of a string's UTF-8 bytes."""
     lut = _lut()
-    pairs = F.regexp_extract_all(F.hex(F.encode(col, "UTF-8")), F.lit("[0-9A-F]{2}"), 0)
-    return F.transform(pairs, lambda h: F.element_at(lut, F.conv(h, 16, 10).cast("int") + 1))
+    latin = F.decode(F.encode(col, "UTF-8"), "ISO-8859-1")
+    return F.when(F.length(col) == 0, F.array().cast("array<int>")).otherwise(
+        F.transform(F.split(latin, ""), lambda c: F.element_at(lut, F.ascii(c) + 1)))

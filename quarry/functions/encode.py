@@ -20,7 +20,7 @@ from pyspark.sql import types as T
 
 from quarry.constants import SPECIAL_TOKENS
 from quarry.functions.bytes import FIRST_MERGE_ID, byte_ids, byte_to_id, id_to_byte
-from quarry.functions.text import nfkc_pieces, pretokenize, split_specials
+from quarry.functions.text import has_special, nfkc, nfkc_pieces, pretokenize, split_specials
 
 
 @dataclass(frozen=True)
@@ -69,8 +69,10 @@ def encode(col: Column, model: BpeModel | None = None, normalize: bool = True) -
     """K4 for one text column -> array<int> of token ids (no truncation)."""
     pieces = encode_pieces(col, normalize)
     if model is None or not model.merges:
-        return F.flatten(F.transform(pieces, lambda p: F.when(_is_special(p), F.array(_special_id(p)))
-                                     .otherwise(byte_ids(p))))
+        whole = byte_ids(nfkc(col) if normalize else col)  # no special inside: one piece
+        split = F.flatten(F.transform(pieces, lambda p: F.when(_is_special(p), F.array(_special_id(p)))
+                                      .otherwise(byte_ids(p))))
+        return F.when(~has_special(col), whole).otherwise(split)
     words = F.flatten(F.transform(pieces, lambda p: F.when(_is_special(p), F.array(p))
                                   .otherwise(pretokenize(p))))
     return bpe_words_udf(model)(words)

@@ -31,18 +31,28 @@ def add_bos(col: Column, bos: str = BOS_TOKEN) -> Column:
 
 
 def _specials_regex(specials: list[str]) -> str:
-    # longest first so that no special is shadowed by a prefix of another
+    # longest first so that no special is shadowed by a prefix of another; gap
+    # characters other than '<' need no lookahead, so the scan stays linear
     alts = "|".join(re.escape(s) for s in sorted(specials, key=len, reverse=True))
-    return "(?s)%s|(?:(?!%s).)+" % (alts, alts)
+    tails = "|".join(re.escape(s[1:]) for s in sorted(specials, key=len, reverse=True))
+    return "(?s)%s|(?:[^<]|<(?!%s))+" % (alts, tails)
+
+
+def has_special(col: Column, specials: list[str] = SPECIAL_TOKENS) -> Column:
+    """True when a special string occurs; a byte search for '<' rules most texts out first."""
+    if not all(s.startswith("<") for s in specials):
+        return col.rlike("|".join(re.escape(s) for s in specials))
+    tails = "|".join(re.escape(s[1:]) for s in sorted(specials, key=len, reverse=True))
+    return (F.instr(col, "<") > 0) & col.rlike("<(?:%s)" % tails)
 
 
 def split_specials(col: Column, specials: list[str] = SPECIAL_TOKENS) -> Column:
     """Array of pieces; each special string is its own piece, gaps in between.
 
-    Texts without '<' (no special can occur) skip the regex.
+    Texts without any special string skip the splitting regex.
     """
     rx = _specials_regex(specials)
-    return F.when(F.instr(col, "<") == 0,
+    return F.when(~has_special(col, specials),
                   F.when(F.length(col) > 0, F.array(col)).otherwise(F.array().cast("array<string>"))
                   ).otherwise(F.regexp_extract_all(col, F.lit(rx), 0))
 
@@ -72,12 +82,25 @@ def is_ascii(col: Column) -> Column:
     return F.length(col) == F.octet_length(col)
 
 
+# Characters whose NFKC form is themselves and that never compose with a
+# neighbour from the same set: ASCII, the non-compatibility Latin-1 signs and
+# letters, CJK unified ideographs and the ideographic comma / full stop.
+# (Checked against unicodedata in tests/test_text.py.)
+NFKC_STABLE_CLASS = ("\\x00-\\x7F\\u00A1-\\u00A7\\u00A9\\u00AB-\\u00AE\\u00B0\\u00B1\\u00B6\\u00B7"
+                     "\\u00BB\\u00BF-\\u00FF\\u3001\\u3002\\u3400-\\u4DBF\\u4E00-\\u9FFF")
+
+
+def nfkc_stable(col: Column) -> Column:
+    """True when NFKC certainly leaves the text unchanged (checked JVM-side)."""
+    return col.rlike("^[%s]*$" % NFKC_STABLE_CLASS)
+
+
 def nfkc(col: Column) -> Column:
     """Unicode NFKC.  No built-in exists; an Arrow pandas UDF does it, and
-    pure-ASCII values (where NFKC is the identity) are not sent to Python."""
-    return F.coalesce(_nfkc_udf(F.when(~is_ascii(col), col)), col)
+    values made only of NFKC-stable characters are not sent to Python."""
+    return F.coalesce(_nfkc_udf(F.when(~is_ascii(col) & ~nfkc_stable(col), col)), col)
 
 
 def nfkc_pieces(pieces: Column, text: Column) -> Column:
     """NFKC on each piece of a split text (specials are ASCII, so unchanged)."""
-    return F.coalesce(_nfkc_pieces_udf(F.when(~is_ascii(text), pieces)), pieces)
+    return F.coalesce(_nfkc_pieces_udf(F.when(~is_ascii(text) & ~nfkc_stable(text), pieces)), pieces)

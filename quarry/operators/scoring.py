@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from pyspark import StorageLevel
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -65,20 +66,23 @@ def ngram_nll(seqs: DataFrame, group_cols: list[str], vocab_size: int,
               ignore_id: int = LOSS_IGNORE_ID) -> DataFrame:
     """A4 (+A1, A2): add-one bigram NLL of each group's training positions.
 
-    p(y|x) = (c(x,y) + 1) / (c(x) + V).  Positions are pre-aggregated per
-    (group, x, y) before the join, so only distinct pairs are shuffled; the
-    bigram table is bounded by V^2 and is broadcast only when it is small.
+    p(y|x) = (c(x,y) + 1) / (c(x) + V) over loss-bearing pairs.  The token-level
+    positions are read once and pre-aggregated to (group, x, y, loss weight);
+    the bigram model and the scoring are built from that small table, which is
+    bounded by groups x V^2.  The model (at most V^2 rows) is broadcast only
+    when that bound is small; otherwise AQE picks the join at run time.
     """
-    pairs = bigram_counts(seqs)
+    pos = _positions(seqs, group_cols).groupBy(*group_cols, "x", "y").agg(F.sum("m").alias("m")) \
+        .persist(StorageLevel.MEMORY_AND_DISK)
+    pairs = pos.groupBy("x", "y").agg(F.sum("m").alias("n")).where(F.col("n") > 0)
     ctx = pairs.groupBy("x").agg(F.sum("n").alias("cx"))
     model = pairs.join(ctx, "x").select("x", "y", (-F.ln((F.col("n") + 1) / (F.col("cx") + vocab_size)))
                                         .alias("nll"))
-    pos = _positions(seqs, group_cols).groupBy(*group_cols, "x", "y").agg(
-        F.sum("m").alias("m"), F.count("*").alias("c"))
-    ctx_b = ctx.select(F.col("x"), F.col("cx"))
-    scored = (pos.join(_maybe_broadcast(model), ["x", "y"], "left")
-              .join(_maybe_broadcast(ctx_b), "x", "left")
-              .select(*group_cols, "x", "y", "m",
+    small = vocab_size * vocab_size <= BROADCAST_ROWS
+    model = F.broadcast(model) if small else model
+    ctx = F.broadcast(ctx) if small else ctx
+    scored = (pos.where(F.col("m") > 0).join(model, ["x", "y"], "left").join(ctx, "x", "left")
+              .select(*group_cols, "y", "m",
                       F.coalesce(F.col("nll"), -F.ln(1.0 / (F.coalesce(F.col("cx"), F.lit(0)) + vocab_size)))
                       .alias("nll")))
     scored = scored.withColumn("nll", ignore_index(F.col("nll"), F.col("y"), ignore_id))

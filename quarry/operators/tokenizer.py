@@ -90,7 +90,7 @@ def _choose(top, min_frequency: int, full: bool):
 
 def train_bpe(docs: DataFrame, vocab_size: int = VOCAB_SIZE, min_frequency: int = MIN_FREQUENCY,
               text_col: str = "text", candidates: int = 256, checkpoint_every: int = 10,
-              normalize: bool = True, max_rounds: int | None = None) -> BpeModel:
+              normalize: bool = True, max_rounds: int | None = None, log_rounds: bool = False) -> BpeModel:
     """K3: byte-level BPE training.  Returns the ordered merges (bounded by vocab_size)."""
     token = [s.encode("utf-8") for s in SPECIAL_TOKENS] + [None] * 256
     from quarry.functions.bytes import id_to_byte
@@ -103,6 +103,8 @@ def train_bpe(docs: DataFrame, vocab_size: int = VOCAB_SIZE, min_frequency: int
     state = word_symbols(pretoken_counts(docs, text_col, normalize)).where(F.length("sym") > 1)
     state = cut_lineage(state)
     rounds = 0
+    import time as _time
+    t_start = _time.time()
     while len(token) < vocab_size:
         top = pair_counts(state).orderBy(F.desc("cnt"), F.asc("pair")).limit(candidates).collect()
         if not top:
@@ -139,6 +141,8 @@ def train_bpe(docs: DataFrame, vocab_size: int = VOCAB_SIZE, min_frequency: int
         if max_rounds and rounds >= max_rounds:
             break
     state.unpersist()
+    if log_rounds:
+        print(f"train_bpe: {len(merges)} merges in {rounds} rounds, {_time.time() - t_start:.1f}s")
     return BpeModel(tuple(merges))
 
 

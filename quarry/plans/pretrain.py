@@ -5,10 +5,9 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from quarry.constants import MAX_LENGTH, PAD_ID
+from quarry.constants import BOS_ID, MAX_LENGTH, PAD_ID
 from quarry.functions.arrays import length_mask, pad_right, shift_mask, shift_x, shift_y, truncate
 from quarry.functions.encode import BpeModel, encode
-from quarry.functions.text import add_bos
 
 
 def pretrain_sequences(df: DataFrame, model: BpeModel | None = None, max_length: int = MAX_LENGTH,
@@ -19,7 +18,8 @@ def pretrain_sequences(df: DataFrame, model: BpeModel | None = None, max_length:
     One narrow stage: no shuffle.  ``n_tokens`` is the length before truncation.
     """
     keep = keep if keep is not None else [c for c in df.columns if c != text_col]
-    ids = df.select(*keep, encode(add_bos(F.col(text_col)), model, normalize).alias("_ids"))
+    # encode(BOS + text) == [bos] + encode(text): the special is always split off first
+    ids = df.select(*keep, F.concat(F.array(F.lit(BOS_ID)), encode(F.col(text_col), model, normalize)).alias("_ids"))
     cut = ids.select(*keep, F.size("_ids").alias("n_tokens"), truncate(F.col("_ids"), max_length).alias("_t"))
     padded = cut.select(*keep, "n_tokens", pad_right(F.col("_t"), max_length, pad).alias("_p"),
                         length_mask(F.size("_t"), max_length).alias("_m"))

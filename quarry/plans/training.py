@@ -3,6 +3,7 @@ learning rate and event flags, with token counts per step."""
 
 from __future__ import annotations
 
+from pyspark import StorageLevel
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -26,10 +27,12 @@ def training_plan(seqs: DataFrame, key_col: str, epochs: int = 1, batch_size: in
                   devices: int = 1, accum: int = ACCUMULATION_STEPS, base_lr: float = LEARNING_RATE,
                   warmup: int = 0, seed: int = SEED, mask_col: str = "loss_mask") -> DataFrame:
     """Rows per (epoch, step): n_rows, loss_tokens, global_step, lr, update and event flags."""
-    rows, n = plan_rows(seqs.select(key_col, mask_col), key_col, epochs, batch_size, devices, seed)
+    # only the row's loss-token count travels through the shuffles, not its arrays
+    slim = seqs.select(key_col, array_sum(F.col(mask_col)).alias("_lt")).persist(StorageLevel.MEMORY_AND_DISK)
+    rows, n = plan_rows(slim, key_col, epochs, batch_size, devices, seed)
     steps, _ = batch_lengths(n, batch_size)
     per_step = rows.groupBy("epoch", "step").agg(F.count("*").alias("n_rows"),
-                                                 F.sum(array_sum(F.col(mask_col))).cast("long").alias("loss_tokens"))
+                                                 F.sum("_lt").cast("long").alias("loss_tokens"))
     gs = (F.col("epoch") * steps + F.col("step")).cast("long")
     per_step = update_groups(per_step.withColumn("global_step", gs), accum)
     return per_step.select("epoch", "step", "global_step", "n_rows", "loss_tokens",
