@@ -62,7 +62,8 @@ def utf8_bytes(col: Column) -> Column:
     characters, and each character's code point is its byte value.
     """
     latin = F.decode(F.encode(col, "UTF-8"), "ISO-8859-1")
-    return F.transform(F.split(latin, ""), lambda c: F.ascii(c))
+    return F.when(F.length(col) == 0, F.array().cast("array<int>")).otherwise(
+        F.transform(F.split(latin, ""), lambda c: F.ascii(c)))
 
 
 def byte_ids(col: Column) -> Column:
