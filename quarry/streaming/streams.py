@@ -45,9 +45,9 @@ def chat_stream(lines: DataFrame, system_prompt: str = CHAT_SYSTEM_PROMPT, rende
 
 def pretoken_count_stream(lines: DataFrame, normalize: bool = True) -> DataFrame:
     """V3: running corpus frequency of each pre-token (stateful aggregation)."""
-    text = parse_jsonl(lines)["text"]
-    t = nfkc(text) if normalize else text
-    return parse_jsonl(lines).select(F.explode(pretokenize(t)).alias("word")).groupBy("word") \
+    parsed = parse_jsonl(lines)
+    t = nfkc(F.col("text")) if normalize else F.col("text")
+    return parsed.select(F.explode(pretokenize(t)).alias("word")).groupBy("word") \
         .agg(F.count("*").alias("freq"))
 
 
