@@ -105,8 +105,12 @@ def train_bpe(docs: DataFrame, vocab_size: int = VOCAB_SIZE, min_frequency: int
     rounds = 0
     import time as _time
     t_start = _time.time()
+    prev = None
     while len(token) < vocab_size:
         top = pair_counts(state).orderBy(F.desc("cnt"), F.asc("pair")).limit(candidates).collect()
+        if prev is not None:  # the new state is cached now; its parent can go
+            prev.unpersist()
+            prev = None
         if not top:
             break
         chosen = _choose(top, min_frequency, full=len(top) == candidates)
@@ -134,13 +138,16 @@ def train_bpe(docs: DataFrame, vocab_size: int = VOCAB_SIZE, min_frequency: int
         rounds += 1
         if rounds % checkpoint_every == 0:
             nxt = cut_lineage(nxt)
+            state.unpersist()
         else:
             nxt = nxt.persist(StorageLevel.MEMORY_AND_DISK)
-        state.unpersist()
+            prev = state
         state = nxt
         if max_rounds and rounds >= max_rounds:
             break
     state.unpersist()
+    if prev is not None:
+        prev.unpersist()
     if log_rounds:
         print(f"train_bpe: {len(merges)} merges in {rounds} rounds, {_time.time() - t_start:.1f}s")
     return BpeModel(tuple(merges))

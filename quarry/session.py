@@ -57,9 +57,17 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
 
 
 def cut_lineage(df: DataFrame) -> DataFrame:
-    """Materialise ``df`` in the shared checkpoint directory (survives executor loss)."""
+    """Materialise ``df`` in the shared checkpoint directory (survives executor loss).
+
+    The frame is persisted first so that the checkpoint write does not compute it
+    a second time; the cache is dropped once the files exist.
+    """
+    from pyspark import StorageLevel
     ensure_checkpoint_dir(df.sparkSession)
-    return df.checkpoint(eager=True)
+    cached = df.persist(StorageLevel.MEMORY_AND_DISK)
+    out = cached.checkpoint(eager=True)
+    cached.unpersist()
+    return out
 
 
 def scratch_path(spark: SparkSession, name: str) -> str:
