@@ -18,6 +18,7 @@ spread over all tasks.
 
 from __future__ import annotations
 
+from pyspark import StorageLevel
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -54,7 +55,8 @@ def pack_blocks(df: DataFrame, order_cols: list, columns: list[str] | tuple = ("
     placed = prefix_sum(base, order_cols, {"_idx": "_one", "_gpos": "_sz"})
     n = placed.count() if num_proc > 1 else 0
     shard, local = shard_of(F.col("_idx"), n, num_proc)
-    placed = placed.withColumn("shard", shard).withColumn("batch", F.floor(local / batch_size).cast("long"))
+    placed = placed.withColumn("shard", shard).withColumn("batch", F.floor(local / batch_size).cast("long")) \
+        .persist(StorageLevel.MEMORY_AND_DISK)  # read by the batch stats and by the cut
     stats = placed.groupBy("shard", "batch").agg(F.min("_gpos").alias("_bstart"), F.sum("_sz").alias("_total"))
     nb = stats.count()
     stats = F.broadcast(stats) if nb <= BROADCAST_ROWS else stats
