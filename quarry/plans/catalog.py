@@ -594,3 +594,35 @@ def u1_map_batches(spark, sf):
     out = map_batches(c, fn, "doc_id long, chunk_idx long, n_chars long, batch_chars long, shard long, batch long",
                       ["doc_id", "chunk_idx"], batch_size=1000, num_proc=2)
     return out.select("doc_id", "chunk_idx", "n_chars", "shard", "batch", "batch_chars")
+
+
+# ---------------------------------------------------------------- K2 on a plain space split, A1 per document
+@register("k2_pair_counts", f"""
+WITH w AS (SELECT unnest(string_split(text, ' ')) AS word FROM documents),
+f AS (SELECT word, count(*) AS freq FROM w WHERE word <> '' GROUP BY word),
+b AS (SELECT freq, {sql_bytes('word')} AS ids FROM f),
+p AS (SELECT freq, unnest(list_transform(range(len(ids) - 1), lambda i: ids[i + 1] * 100000 + ids[i + 2])) AS pr
+      FROM b WHERE len(ids) > 1)
+SELECT (pr // 100000)::INTEGER AS left_id, (pr % 100000)::INTEGER AS right_id, sum(freq)::BIGINT AS cnt
+FROM p GROUP BY pr""")
+def k2_pair_counts(spark, sf):
+    from quarry.operators.tokenizer import pair_counts, word_symbols
+    words = _docs(spark, sf).select(F.explode(F.split("text", " ")).alias("word")).where(F.col("word") != "") \
+        .groupBy("word").agg(F.count("*").alias("freq"))
+    pc = pair_counts(word_symbols(words))
+    cp = lambda i: F.ascii(F.substring("pair", i, 1)) - 0xE000  # noqa: E731  (symbol chars are U+E000 + id)
+    return pc.select(cp(1).cast("int").alias("left_id"), cp(2).cast("int").alias("right_id"), "cnt")
+
+
+@register("a1_masked_mean_by_doc", POSITIONS_SQL + """,
+s AS (SELECT z.doc_id, z.m, CASE WHEN z.y = 0 THEN 0.0
+             ELSE -ln((coalesce(bg.n, 0) + 1) / (coalesce(cx.cx, 0) + 261.0)) END AS nll
+      FROM (SELECT doc_id, unnest(p[1:511]) AS x, unnest(p[2:512]) AS y, unnest(m[2:512]) AS m FROM p) z
+      LEFT JOIN bg ON z.x = bg.x AND z.y = bg.y LEFT JOIN cx ON z.x = cx.x)
+SELECT doc_id, sum(m)::BIGINT AS loss_tokens, round(sum(nll * m) / sum(m), 6) AS mean_nll,
+       round(exp(sum(nll * m) / sum(m)), 6) AS perplexity
+FROM s GROUP BY doc_id""")
+def a1_masked_mean_by_doc(spark, sf):
+    """A1 per document over the token-level bigram loss (A4 with A2), token-weighted."""
+    from quarry.operators.scoring import ngram_nll
+    return ngram_nll(pretrain_sequences(_chunks(spark, sf).select("doc_id", "text")), ["doc_id"], vocab_size=261)
