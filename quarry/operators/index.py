@@ -59,20 +59,33 @@ def head_records(df: DataFrame, order_cols: list, n: int, name: str = "idx") ->
     return top.withColumn(name, F.row_number().over(Window.orderBy(*_cols(order_cols))) - 1)
 
 
-def prefix_sum(df: DataFrame, order_cols: list, value_col: str | dict, out_col: str | None = None) -> DataFrame:
+def prefix_sum(df: DataFrame, order_cols: list, value_col: str | dict, out_col: str | None = None,
+               persist_input: bool = True) -> DataFrame:
+    """Exclusive running sums in order (see ``prefix_sum_totals``)."""
+    return prefix_sum_totals(df, order_cols, value_col, out_col, persist_input)[0]
+
+
+def prefix_sum_totals(df: DataFrame, order_cols: list, value_col: str | dict, out_col: str | None = None,
+                      persist_input: bool = True) -> tuple[DataFrame, dict[str, int]]:
     """Exclusive running sums in order, distributed.
 
     ``value_col`` is one column (with ``out_col``) or a dict {out_col: value_col}.
     Pass 1 sums each range partition (one number per partition and column
     reaches the driver); pass 2 runs a per-partition cumulative sum over Arrow
     batches starting at that partition's offset.  No row leaves its partition.
+    With ``persist_input`` an expensive input (e.g. freshly encoded ids) is
+    computed once for both the range-bound sampling and the shuffle, and
+    released as soon as the range-partitioned copy is materialised.
     """
     pairs = dict(value_col) if isinstance(value_col, dict) else {out_col: value_col}
     order = _cols(order_cols)
-    ranged = (df.repartitionByRange(*order).sortWithinPartitions(*order)
+    src = df.persist(StorageLevel.MEMORY_AND_DISK) if persist_input else df
+    ranged = (src.repartitionByRange(*order).sortWithinPartitions(*order)
               .withColumn("_pid", F.spark_partition_id())
               .persist(StorageLevel.MEMORY_AND_DISK))
     sums = ranged.groupBy("_pid").agg(*[F.sum(v).alias(o) for o, v in pairs.items()]).collect()
+    if persist_input:
+        src.unpersist()
     offsets: dict[int, dict[str, int]] = {}
     run = {o: 0 for o in pairs}
     for r in sorted(sums, key=lambda r: r["_pid"]):
@@ -95,7 +108,7 @@ def prefix_sum(df: DataFrame, order_cols: list, value_col: str | dict, out_col:
                 b = b.append_column(o, pc.subtract(incl, vals))
             yield b
 
-    return ranged.mapInArrow(run_sums, schema).drop("_pid")
+    return ranged.mapInArrow(run_sums, schema).drop("_pid"), run
 
 
 def record_offsets(lines: DataFrame, order_cols: list, line_col: str = "line") -> DataFrame:

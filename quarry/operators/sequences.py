@@ -23,7 +23,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from quarry.constants import BLOCK_SIZE, PACK_BATCH_SIZE
-from quarry.operators.index import BROADCAST_ROWS, prefix_sum
+from quarry.operators.index import BROADCAST_ROWS, prefix_sum_totals
 
 
 def _field(name: str):
@@ -52,13 +52,13 @@ def pack_blocks(df: DataFrame, order_cols: list, columns: list[str] | tuple = ("
     base = df.select(*[c for c in order_cols if isinstance(c, str)], *columns) \
         .withColumn("_one", F.lit(1).cast("long")).withColumn("_sz", F.size(main).cast("long"))
     # global row index and global id offset in one distributed pass (no window over a batch)
-    placed = prefix_sum(base, order_cols, {"_idx": "_one", "_gpos": "_sz"})
-    n = placed.count() if num_proc > 1 else 0
+    placed, totals = prefix_sum_totals(base, order_cols, {"_idx": "_one", "_gpos": "_sz"})
+    n = totals["_idx"]
     shard, local = shard_of(F.col("_idx"), n, num_proc)
     placed = placed.withColumn("shard", shard).withColumn("batch", F.floor(local / batch_size).cast("long")) \
         .persist(StorageLevel.MEMORY_AND_DISK)  # read by the batch stats and by the cut
     stats = placed.groupBy("shard", "batch").agg(F.min("_gpos").alias("_bstart"), F.sum("_sz").alias("_total"))
-    nb = stats.count()
+    nb = -(-n // batch_size) + num_proc  # batches per shard, rounded up in every shard
     stats = F.broadcast(stats) if nb <= BROADCAST_ROWS else stats
     rows = placed.where(F.col("_sz") > 0).join(stats, ["shard", "batch"]) \
         .withColumn("_off", F.col("_gpos") - F.col("_bstart"))
