@@ -25,7 +25,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from quarry.constants import MIN_FREQUENCY, SPECIAL_TOKENS, VOCAB_SIZE
-from quarry.functions.bytes import FIRST_MERGE_ID, byte_ids
+from quarry.functions.bytes import FIRST_MERGE_ID, byte_to_id
 from quarry.functions.encode import BpeModel, decode, encode
 from quarry.functions.text import nfkc, pretokenize
 from quarry.session import cut_lineage
@@ -43,18 +43,24 @@ def sym_id(c: str) -> int:
     return o - 0xE000 if o < 0xF0000 else o - 0xF0000 + _BMP_SLOTS
 
 
-_ALPHABET = "".join(sym_char(i) for i in range(FIRST_MERGE_ID))
-
-
 def pretoken_counts(docs: DataFrame, text_col: str = "text", normalize: bool = True) -> DataFrame:
     """K1: corpus frequency of each pre-token (word, freq)."""
     text = nfkc(F.col(text_col)) if normalize else F.col(text_col)
     return docs.select(F.explode(pretokenize(text)).alias("word")).groupBy("word").agg(F.count("*").alias("freq"))
 
 
+_BYTE_CHARS = "".join(chr(b) for b in range(256))
+_BYTE_SYMBOLS = "".join(sym_char(i) for i in byte_to_id())
+
+
 def word_symbols(words: DataFrame) -> DataFrame:
-    """(sym, freq): each word as a string of one character per byte symbol."""
-    sym = F.array_join(F.transform(byte_ids(F.col("word")), lambda i: F.substring(F.lit(_ALPHABET), i + 1, 1)), "")
+    """(sym, freq): each word as a string of one character per byte symbol.
+
+    The UTF-8 bytes are read as Latin-1 (one character per byte) and mapped to
+    their symbol characters with one ``translate``.
+    """
+    latin = F.decode(F.encode(F.col("word"), "UTF-8"), "ISO-8859-1")
+    sym = F.translate(latin, _BYTE_CHARS, _BYTE_SYMBOLS)
     return words.select(sym.alias("sym"), F.col("freq").cast("long").alias("freq"))
 
 
