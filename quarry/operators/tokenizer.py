@@ -6,8 +6,9 @@ string, a pair is a 2-character substring, and a merge is the native
 ``replace`` (left-to-right, non-overlapping, as BPE merging requires); binary
 string order is id order, so ties break by (left id, right id).
 
-Each round counts pairs with one partial+final aggregation, brings only the
-top ``candidates`` pairs to the driver, and applies several merges at once
+Pair counts are a table updated incrementally (only words holding a merged
+pair are re-counted); each round brings only the top ``candidates`` pairs to
+the driver, and applies several merges at once
 when one-at-a-time merging provably picks the same ones: candidates are taken
 from the top while they share no symbol with a taken pair (a self-pair stops
 the scan); every taken pair after the first must count strictly more than the
@@ -69,8 +70,12 @@ def pair_counts(state: DataFrame) -> DataFrame:
 
     One linear regex pass per word yields all overlapping 2-symbol windows.
     """
-    pairs = F.regexp_extract_all(F.col("sym"), F.lit("(?s)(?=(..))"), 1)
-    return state.select(F.explode(pairs).alias("pair"), "freq").groupBy("pair").agg(F.sum("freq").alias("cnt"))
+    return state.select(F.explode(_pair_windows(F.col("sym"))).alias("pair"), "freq") \
+        .groupBy("pair").agg(F.sum("freq").alias("cnt"))
+
+
+def _pair_windows(sym):
+    return F.regexp_extract_all(sym, F.lit("(?s)(?=(..))"), 1)
 
 
 def _choose(top, min_frequency: int, full: bool):
@@ -94,10 +99,26 @@ def _choose(top, min_frequency: int, full: bool):
     return [(sym_id(r["pair"][0]), sym_id(r["pair"][1]), r["cnt"]) for r in taken]
 
 
+def _release(frames) -> None:
+    for f in frames:
+        f.unpersist()
+
+
 def train_bpe(docs: DataFrame, vocab_size: int = VOCAB_SIZE, min_frequency: int = MIN_FREQUENCY,
               text_col: str = "text", candidates: int = 256, checkpoint_every: int = 10,
-              normalize: bool = True, max_rounds: int | None = None, log_rounds: bool = False) -> BpeModel:
-    """K3: byte-level BPE training.  Returns the ordered merges (bounded by vocab_size)."""
+              normalize: bool = True, max_rounds: int | None = None, log_rounds: bool = False,
+              incremental_share: float = 0.0) -> BpeModel:
+    """K3: byte-level BPE training.  Returns the ordered merges (bounded by vocab_size).
+
+    Pair counts are kept as a table, recounted each round from the merged
+    words.  With ``incremental_share`` > 0, a round whose merged pairs carry
+    less than that share of the initial pair mass instead re-counts only the
+    words containing a merged pair (old pairs subtracted, new pairs added), so
+    it shuffles the change, not the whole word table.  Either way the counts
+    are exact.  On the test tables the full recount is faster (the pair table
+    is re-shuffled on every incremental round), so the default is 0; the
+    incremental form is meant for very large word tables and late, rare merges.
+    """
     token = [s.encode("utf-8") for s in SPECIAL_TOKENS] + [None] * 256
     from quarry.functions.bytes import id_to_byte
     inv = id_to_byte()
@@ -106,17 +127,21 @@ def train_bpe(docs: DataFrame, vocab_size: int = VOCAB_SIZE, min_frequency: int
     known = {t: i for i, t in enumerate(token)}
     merges: list[tuple[int, int, int]] = []
 
-    state = word_symbols(pretoken_counts(docs, text_col, normalize)).where(F.length("sym") > 1)
-    state = cut_lineage(state)
+    state = cut_lineage(word_symbols(pretoken_counts(docs, text_col, normalize)).where(F.length("sym") > 1))
+    pairs = cut_lineage(pair_counts(state))
+    mass = (pairs.agg(F.sum("cnt")).collect()[0][0] or 0) if incremental_share > 0 else 0
     rounds = 0
     import time as _time
     t_start = _time.time()
-    prev = None
+    # a state stays cached until its successor is materialised (by the next round's job)
+    waiting_pairs, waiting_states = [], []
     while len(token) < vocab_size:
-        top = pair_counts(state).orderBy(F.desc("cnt"), F.asc("pair")).limit(candidates).collect()
-        if prev is not None:  # the new state is cached now; its parent can go
-            prev.unpersist()
-            prev = None
+        top = pairs.orderBy(F.desc("cnt"), F.asc("pair")).limit(candidates).collect()
+        _release(waiting_pairs)
+        waiting_pairs = []
+        if len(waiting_states) > 1:
+            _release(waiting_states[:-1])
+            waiting_states = waiting_states[-1:]
         if not top:
             break
         chosen = _choose(top, min_frequency, full=len(top) == candidates)
@@ -137,23 +162,42 @@ def train_bpe(docs: DataFrame, vocab_size: int = VOCAB_SIZE, min_frequency: int
             applied.append((a, b, new))
             if reused:
                 break
+        moved = sum(c for (_, _, c), _m in zip(chosen, applied))
+        incremental = moved < incremental_share * mass
         expr = F.col("sym")
+        hit = None
         for a, b, n in applied:
-            expr = F.replace(expr, F.lit(sym_char(a) + sym_char(b)), F.lit(sym_char(n)))
-        nxt = state.select(expr.alias("sym"), "freq").where(F.length("sym") > 1)
+            pat = sym_char(a) + sym_char(b)
+            expr = F.replace(expr, F.lit(pat), F.lit(sym_char(n)))
+            hit = (F.instr("sym", pat) > 0) if hit is None else (hit | (F.instr("sym", pat) > 0))
+        nxt_state = state.select(expr.alias("sym"), "freq").where(F.length("sym") > 1)
+        if incremental:
+            # one exploded delta per changed word: old pairs with -freq, new pairs with +freq
+            changed = state.where(hit).select("sym", expr.alias("_new"), "freq")
+            signed = F.concat(
+                F.transform(_pair_windows(F.col("sym")),
+                            lambda p: F.struct(p.alias("pair"), (-F.col("freq")).alias("cnt"))),
+                F.transform(_pair_windows(F.col("_new")),
+                            lambda p: F.struct(p.alias("pair"), F.col("freq").alias("cnt"))))
+            delta = changed.select(F.inline(signed))
+            nxt_pairs = (pairs.unionByName(delta).groupBy("pair")
+                         .agg(F.sum("cnt").alias("cnt")).where(F.col("cnt") > 0))
+        else:
+            nxt_pairs = pair_counts(nxt_state)
         rounds += 1
         if rounds % checkpoint_every == 0:
-            nxt = cut_lineage(nxt)
-            state.unpersist()
+            nxt_pairs, nxt_state = cut_lineage(nxt_pairs), cut_lineage(nxt_state)
+            _release([pairs, state] + waiting_states)
+            waiting_states = []
         else:
-            nxt = nxt.persist(StorageLevel.MEMORY_AND_DISK)
-            prev = state
-        state = nxt
+            nxt_pairs = nxt_pairs.persist(StorageLevel.MEMORY_AND_DISK)
+            nxt_state = nxt_state.persist(StorageLevel.MEMORY_AND_DISK)
+            waiting_pairs.append(pairs)
+            waiting_states.append(state)
+        pairs, state = nxt_pairs, nxt_state
         if max_rounds and rounds >= max_rounds:
             break
-    state.unpersist()
-    if prev is not None:
-        prev.unpersist()
+    _release([pairs, state] + waiting_pairs + waiting_states)
     if log_rounds:
         print(f"train_bpe: {len(merges)} merges in {rounds} rounds, {_time.time() - t_start:.1f}s")
     return BpeModel(tuple(merges))

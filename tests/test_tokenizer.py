@@ -74,3 +74,9 @@ def test_pretoken_counts(spark):
     df = spark.createDataFrame([("the cat the",), ("the",)], "text string")
     got = {r.word: r.freq for r in pretoken_counts(df).collect()}
     assert got == {"the": 2, " cat": 1, " the": 1}
+
+
+def test_incremental_pair_counts_same_merges(spark, trained):
+    docs, _, model, _ = trained
+    inc = train_bpe(docs, vocab_size=330, incremental_share=1.0)
+    assert inc.merges == model.merges
