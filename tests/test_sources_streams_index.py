@@ -125,3 +125,32 @@ def test_entry_contract(spark):
     df = E.entry(spark)
     assert df.count() > 0 and "loss_share" in df.columns
     assert set(E.oracle_sql()) <= set(E.queries())
+
+
+def test_s4_read_json_files(spark, tmp_path):
+    from quarry.sources.jsonl import read_json_files
+    a, b = str(tmp_path / "a.jsonl"), str(tmp_path / "b.jsonl")
+    _write(a, ['{"text":"x","n":1}'])
+    _write(b, ['{"text":"y","n":2}', '{"text":"z","n":3}'])
+    df = read_json_files(spark, [a, b])
+    assert sorted(df.columns) == ["n", "text"] and sorted(r.text for r in df.collect()) == ["x", "y", "z"]
+    typed = read_json_files(spark, [a, b], "text string")
+    assert typed.columns == ["text"] and typed.count() == 3
+
+
+def test_u1_map_batches_paths(spark):
+    from quarry.operators.batchfn import map_batches
+    df = spark.range(10).select(F.col("id").alias("k"), (F.col("id") * 2).alias("v"))
+
+    def grow(batch):  # output rows may differ from input rows
+        return {"k": batch["k"] + batch["k"], "v": [x + 1 for x in batch["v"]] * 2}
+
+    free = map_batches(df, grow, "k long, v long", exact=False)
+    assert free.count() == 20 and sorted(r.v for r in free.collect())[:2] == [1, 1]
+
+    def sizes(batch):
+        n = len(batch["k"])
+        return {"k": batch["k"], "size": [n] * n}
+
+    exact = map_batches(df, sizes, "k long, size long", ["k"], batch_size=4)
+    assert sorted((r.k, r.size) for r in exact.collect()) == [(i, 4 if i < 8 else 2) for i in range(10)]

@@ -80,3 +80,10 @@ def test_incremental_pair_counts_same_merges(spark, trained):
     docs, _, model, _ = trained
     inc = train_bpe(docs, vocab_size=330, incremental_share=1.0)
     assert inc.merges == model.merges
+
+
+def test_roundtrip_report_truncated(spark):
+    df = spark.createDataFrame([("a" * 300, 1), ("é" * 100, 1), ("short", 1)], "text string, g int")
+    rep = roundtrip_report(df, ["g"], max_length=256).collect()[0]
+    # truncated texts no longer decode to the whole text; 'é' * 100 is 200 byte ids and fits
+    assert (rep.n_rows, rep.n_equal) == (3, 2)
