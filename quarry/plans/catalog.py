@@ -495,11 +495,10 @@ f AS (SELECT *, row_number() OVER (PARTITION BY conv_id ORDER BY turn) AS rn,
 SELECT conv_id, turn, frm AS raw_from, CASE WHEN frm = 'assistant' THEN 'assistant' ELSE 'human' END AS role
 FROM f WHERE NOT (rn = 1 AND ff <> 'human')""")
 def c4_c5_turn_roles(spark, sf):
-    from quarry.functions.chat import drop_leading_non_human, turn_role
+    from quarry.functions.chat import turn_role
+    from quarry.operators.conversations import drop_leading_non_human_rows
     from quarry.sources.tables import raw_turns
-    t = raw_turns(table(spark, sf, "conversations"))
-    conv = t.groupBy("conv_id").agg(F.sort_array(F.collect_list(F.struct("turn", "from", "value"))).alias("c"))
-    kept = conv.select("conv_id", F.inline(drop_leading_non_human(F.col("c"))))
+    kept = drop_leading_non_human_rows(raw_turns(table(spark, sf, "conversations")))
     return kept.select("conv_id", "turn", F.col("from").alias("raw_from"), turn_role(F.col("from")).alias("role"))
 
 

@@ -6,13 +6,13 @@ turns that cannot reach the truncated window are pruned exactly: every
 rendered message is at least 4 tokens (im_start, >= 1 for "role\\n...",
 im_end, newline), so kept message r (0-based, after the system message)
 starts at token >= 4 * (r + 1).  The collected list is therefore bounded by
-max_length / 4 whatever the conversation's size; the window that ranks turns
-is an external sort (spills) and shares its shuffle with the aggregation.
+max_length / 4 whatever the conversation's size.  Turn ranks come from the
+distributed per-group index, so a hot conversation is split over many tasks.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from quarry.constants import ASSISTANT_HEADER, CHAT_SYSTEM_PROMPT, EOS_ID, MAX_LENGTH, PAD_ID
@@ -21,6 +21,7 @@ from quarry.functions.arrays import (assistant_span_mask, pad_right, shift_mask,
 from quarry.functions.chat import chat_role, prepend_system, render_chat
 from quarry.functions.encode import BpeModel, encode
 from quarry.functions.literal import encode_literal
+from quarry.operators.conversations import conversation_ids, turn_ranks
 from quarry.sources.tables import raw_turns
 
 MIN_TOKENS_PER_MESSAGE = 4
@@ -31,20 +32,21 @@ def assemble_messages(turns: DataFrame, max_messages: int | None = None) -> Data
 
     A conversation whose turns are all dropped still yields an empty message
     list (the system message is added later), because emptiness is judged on
-    the raw turns.
+    the raw turns.  With ``max_messages`` only the first kept turns are
+    collected; their ranks come from the distributed per-group index.
     """
     role = chat_role(F.col("from"))
-    msg = F.struct("turn", role.alias("role"), F.col("value").alias("content"))
-    keep = role.isNotNull()
+    kept = turns.withColumn("role", role).where(F.col("role").isNotNull())
     if max_messages is not None:
-        w = Window.partitionBy("conv_id").orderBy("turn").rowsBetween(Window.unboundedPreceding, 0)
-        rank = F.sum(F.when(keep, 1).otherwise(0)).over(w) - 1
-        turns = turns.withColumn("_keep", keep & (rank < max_messages))
-        keep = F.col("_keep")
-    agg = turns.groupBy("conv_id").agg(F.sort_array(F.collect_list(F.when(keep, msg))).alias("_m"))
-    return agg.select("conv_id", F.transform("_m", lambda m: F.struct(m["role"].alias("role"),
-                                                                      m["content"].alias("content")))
-                      .alias("messages"))
+        kept = turn_ranks(kept).where(F.col("rank") < max_messages)
+    msg = F.struct("turn", "role", F.col("value").alias("content"))
+    agg = kept.groupBy("conv_id").agg(F.sort_array(F.collect_list(msg)).alias("_m"))
+    every = conversation_ids(turns).select("conv_id")
+    full = every.join(agg, "conv_id", "left")
+    return full.select("conv_id", F.transform(F.coalesce("_m", F.array().cast(agg.schema["_m"].dataType)),
+                                              lambda m: F.struct(m["role"].alias("role"),
+                                                                 m["content"].alias("content")))
+                       .alias("messages"))
 
 
 def sft_sequences(conversations: DataFrame, model: BpeModel | None = None, max_length: int = MAX_LENGTH,

@@ -1,5 +1,8 @@
 """Q14 (C4, C5, C7, Q6, Q7): turn-labelled SFT samples.
 
+Turns are first ranked with the distributed per-group index and those that
+cannot start inside ``max_len`` are pruned, so windows and collects only see
+bounded groups (a hot conversation is split, not sorted in one task).
 Each turn is encoded on its own row (narrow); labels follow the role rule:
 human -> [im_start] + [-100] * (L - 3) + [im_end, nl]; assistant ->
 [im_start] + [-100] * R + value ids + [im_end, nl].  Before collecting a
@@ -20,8 +23,11 @@ from quarry.functions.arrays import attention_mask, pad_right, truncate
 from quarry.functions.chat import turn_role
 from quarry.functions.encode import BpeModel, encode
 from quarry.functions.literal import encode_literal
+from quarry.operators.conversations import conversation_ids, turn_ranks
 from quarry.sources.tables import raw_turns
 
+MIN_TOKENS_PER_TURN = 5
+
 
 def _lit_ids(ids: list[int]):
     return F.array(*[F.lit(i) for i in ids]).cast("array<int>")
@@ -57,7 +63,12 @@ def turn_label_sequences(conversations: DataFrame, model: BpeModel | None = None
                          pad: int = PAD_ID, normalize: bool = True) -> DataFrame:
     """Rows (conv_id, input_ids, labels, attention_mask), all of width max_len."""
     sys_ids, sys_labels = system_piece(model, system_prompt)
-    pieces = turn_pieces(raw_turns(conversations), model, normalize)
+    raw = raw_turns(conversations)
+    # every turn is at least 5 tokens (im_start, role, nl, im_end, nl): turns ranked
+    # beyond this bound (one extra for a dropped first turn) start past max_len
+    bound = max_len // MIN_TOKENS_PER_TURN + 2
+    near = turn_ranks(raw).where(F.col("rank") < bound).drop("rank")
+    pieces = turn_pieces(near, model, normalize)
     w = Window.partitionBy("conv_id").orderBy("turn")
     before = w.rowsBetween(Window.unboundedPreceding, -1)
     n = F.size("ids")
@@ -71,6 +82,8 @@ def turn_label_sequences(conversations: DataFrame, model: BpeModel | None = None
     marked = pieces.withColumn("_keep", keep)
     agg = marked.groupBy("conv_id").agg(
         F.sort_array(F.collect_list(F.when(F.col("_keep"), F.struct("turn", "ids", "labels")))).alias("_t"))
+    agg = conversation_ids(raw).select("conv_id").join(agg, "conv_id", "left") \
+        .withColumn("_t", F.coalesce("_t", F.array().cast(agg.schema["_t"].dataType)))
     ids = F.concat(_lit_ids(sys_ids), F.flatten(F.transform("_t", lambda t: t["ids"])))
     labels = F.concat(_lit_ids(sys_labels), F.flatten(F.transform("_t", lambda t: t["labels"])))
     out = agg.select("conv_id", pad_right(truncate(ids, max_len), max_len, pad).alias("input_ids"),

@@ -53,3 +53,32 @@ def test_q6_q14_turn_labels(spark):
     assert r.attention_mask == [x != 4 for x in r.input_ids]  # pad = eos: real end markers masked too
     # conv 3: a single non-human turn is dropped -> system only
     assert out[3].input_ids[:len(sys_ids)] == sys_ids and out[3].input_ids[len(sys_ids):] == [4] * (64 - len(sys_ids))
+
+
+def test_hot_conversation_pruning_is_exact(spark):
+    """A conversation with thousands of turns: pruned ranking gives the same truncated rows."""
+    from quarry.constants import CHAT_SYSTEM_PROMPT
+    from quarry.plans.sft import sft_sequences
+    rows = [(7, t, "user" if t % 2 == 0 else "assistant", "w%d" % t) for t in range(3000)]
+    rows += [(8, 0, "system", "s"), (8, 1, "assistant", "only")]
+    conv = spark.createDataFrame(rows, "conv_id long, turn long, role string, text string")
+    nl = encode_literal("\n")
+    # Q14 brute force (conv 7 starts with a human turn; conv 8's first turn is dropped)
+    sys_ids = [3] + encode_literal("system") + nl + encode_literal("You are a helpful assistant.") + [4] + nl
+    ids = list(sys_ids)
+    for t in range(3000):
+        role = "assistant" if t % 2 == 1 and 7 % 2 == 0 else "human"  # odd conv: assistant -> gpt -> human
+        ids += [3] + encode_literal(role) + nl + encode_literal("w%d" % t) + [4] + nl
+    got = {r.conv_id: r.input_ids for r in turn_label_sequences(conv, max_len=128).collect()}
+    assert got[7] == ids[:128]
+    # conv 8: only its first turn ("system") is dropped, the assistant turn stays
+    exp8 = sys_ids + [3] + encode_literal("assistant") + nl + encode_literal("only") + [4] + nl
+    assert got[8] == (exp8 + [4] * 128)[:128]
+    # Q13 brute force on the rendered template
+    text = "<|im_start|>system\n%s<|im_end|>\n" % CHAT_SYSTEM_PROMPT
+    for t in range(3000):
+        text += "<|im_start|>%s\nw%d<|im_end|>\n" % ("user" if t % 2 == 0 else "assistant", t)
+    exp = encode_literal(text)[:64]
+    got13 = {r.conv_id: (r.n_tokens, r.x) for r in sft_sequences(conv, max_length=64).collect()}
+    assert got13[7][1] == exp[:63]
+    assert got13[8][1][:1] == [3]
