@@ -3,8 +3,9 @@
 ``with_row_index`` range-partitions on the order key, numbers rows inside each
 partition with ``monotonically_increasing_id`` (JVM-side, no Python), counts
 rows per (group, partition) and turns those counts into offsets.  The offset
-table has one row per (group, partition) pair; it is broadcast only when it
-is small and joined by shuffle otherwise.  A hot group is spread over many
+table has one row per (group, partition) pair; without groups it is broadcast (one row
+per partition), with groups AQE chooses broadcast or shuffle join at run time
+from its materialised size.  A hot group is spread over many
 range partitions, so no task ever holds a whole group.
 """
 
@@ -46,8 +47,10 @@ def with_row_index(df: DataFrame, order_cols: list, name: str = "idx",
         .rowsBetween(Window.unboundedPreceding, -1)
     offsets = counts.select(*group_cols, "_pid", "_first",
                             F.coalesce(F.sum("_n").over(w), F.lit(0)).alias("_off"))
-    if not group_cols or offsets.count() <= BROADCAST_ROWS:
+    if not group_cols:  # one row per partition: a proven bound
         offsets = F.broadcast(offsets)
+    # with groups the table has one row per (group, partition) pair; AQE broadcasts
+    # it at run time when its materialised size is small, else it is shuffle-joined
     out = tagged.join(offsets, on=[*group_cols, "_pid"], how="inner")
     return out.withColumn(name, F.col("_off") + F.col("_loc") - F.col("_first")).drop(
         "_mid", "_pid", "_loc", "_off", "_first")
