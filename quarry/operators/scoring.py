@@ -14,6 +14,11 @@ def array_sum(arr: Column) -> Column:
     return F.aggregate(arr, F.lit(0).cast("long"), lambda acc, x: acc + x)
 
 
+def mask_ones(mask: Column) -> Column:
+    """Number of 1s in a 0/1 mask, without a lambda (``array_remove`` is not a higher-order function)."""
+    return F.size(F.array_remove(mask, 0)).cast("long")
+
+
 def masked_mean(df: DataFrame, group_cols: list[str], loss_col: str = "loss", mask_col: str = "mask",
                 out_col: str = "loss") -> DataFrame:
     """A1: token-weighted mean sum(loss*mask) / sum(mask) per group; NULL when nothing is masked in."""
@@ -29,7 +34,7 @@ def ignore_index(loss: Column, y: Column, ignore_id: int = LOSS_IGNORE_ID) -> Co
 def mask_accounting(seqs: DataFrame, group_cols: list[str], max_length: int = MAX_LENGTH,
                     mask_col: str = "loss_mask") -> DataFrame:
     """A3: loss-bearing and padding share of positions, truncated rows, per group."""
-    loss = array_sum(F.col(mask_col))
+    loss = mask_ones(F.col(mask_col))
     agg = seqs.groupBy(*group_cols).agg(
         F.count("*").alias("n_seq"),
         F.sum(F.size(mask_col)).cast("long").alias("n_positions"),
