@@ -625,3 +625,12 @@ def a1_masked_mean_by_doc(spark, sf):
     """A1 per document over the token-level bigram loss (A4 with A2), token-weighted."""
     from quarry.operators.scoring import ngram_nll
     return ngram_nll(pretrain_sequences(_chunks(spark, sf).select("doc_id", "text")), ["doc_id"], vocab_size=261)
+
+
+# ---------------------------------------------------------------- T3
+@register("t3_nfkc", "SELECT doc_id, text, length(text)::BIGINT AS n_chars FROM documents")
+def t3_nfkc(spark, sf):
+    """NFKC of whole documents (the tables' texts are NFKC-stable, so the oracle is the text)."""
+    from quarry.functions.text import nfkc
+    d = _docs(spark, sf).select("doc_id", nfkc(F.col("text")).alias("text"))
+    return d.select("doc_id", "text", F.length("text").cast("long").alias("n_chars"))
