@@ -62,11 +62,6 @@ def next_token_table(seqs: DataFrame) -> DataFrame:
                                       F.ln(F.col("n")).alias("logit"))
 
 
-def _maybe_broadcast(df: DataFrame, rows: int | None = None) -> DataFrame:
-    rows = df.count() if rows is None else rows
-    return F.broadcast(df) if rows <= BROADCAST_ROWS else df
-
-
 def ngram_nll(seqs: DataFrame, group_cols: list[str], vocab_size: int,
               ignore_id: int = LOSS_IGNORE_ID) -> DataFrame:
     """A4 (+A1, A2): add-one bigram NLL of each group's training positions.

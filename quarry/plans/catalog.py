@@ -522,7 +522,7 @@ def q10_q11_crop_and_stop(spark, sf):
 # ---------------------------------------------------------------- S1, S2, S3, S6 (lines derived from the tables)
 @register("s1_read_jsonl", "SELECT doc_id, text FROM documents")
 def s1_read_jsonl(spark, sf):
-    from quarry.sources.jsonl import parse_jsonl, to_json_lines
+    from quarry.sources.jsonl import parse_jsonl
     docs = _docs(spark, sf)
     lines = docs.select("doc_id", F.to_json(F.struct("text")).alias("value"))  # S6 serialisation
     return parse_jsonl(lines, keep=["doc_id"])
