@@ -8,8 +8,6 @@ tokens, so a byte's id follows from the rule below instead of a typed table.
 
 from __future__ import annotations
 
-from functools import lru_cache
-
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -18,9 +16,7 @@ from quarry.constants import SPECIAL_TOKENS
 PRINTABLE_RANGES = [(33, 126), (161, 172), (174, 255)]  # inclusive byte ranges kept as-is
 
 
-@lru_cache(maxsize=1)
-def byte_to_symbol() -> tuple[int, ...]:
-    """Code point that represents each byte 0..255 (GPT-2 byte-level rule)."""
+def _symbols() -> tuple[int, ...]:
     keep = {b for lo, hi in PRINTABLE_RANGES for b in range(lo, hi + 1)}
     out, shifted = [], 0
     for b in range(256):
@@ -32,10 +28,7 @@ def byte_to_symbol() -> tuple[int, ...]:
     return tuple(out)
 
 
-@lru_cache(maxsize=1)
-def byte_to_id() -> tuple[int, ...]:
-    """Token id of each byte: specials first, then symbols in code-point order."""
-    sym = byte_to_symbol()
+def _ids(sym: tuple[int, ...]) -> tuple[int, ...]:
     order = sorted(range(256), key=lambda b: sym[b])
     ids = [0] * 256
     for rank, b in enumerate(order):
@@ -43,9 +36,23 @@ def byte_to_id() -> tuple[int, ...]:
     return tuple(ids)
 
 
-@lru_cache(maxsize=1)
+# computed once at import; plain constants travel with pickled task code
+_BYTE_TO_SYMBOL = _symbols()
+_BYTE_TO_ID = _ids(_BYTE_TO_SYMBOL)
+
+
+def byte_to_symbol() -> tuple[int, ...]:
+    """Code point that represents each byte 0..255 (GPT-2 byte-level rule)."""
+    return _BYTE_TO_SYMBOL
+
+
+def byte_to_id() -> tuple[int, ...]:
+    """Token id of each byte: specials first, then symbols in code-point order."""
+    return _BYTE_TO_ID
+
+
 def id_to_byte() -> dict[int, int]:
-    return {i: b for b, i in enumerate(byte_to_id())}
+    return {i: b for b, i in enumerate(_BYTE_TO_ID)}
 
 
 FIRST_MERGE_ID = len(SPECIAL_TOKENS) + 256  # 261

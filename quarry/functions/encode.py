@@ -78,7 +78,7 @@ def encode(col: Column, model: BpeModel | None = None, normalize: bool = True) -
     return bpe_words_udf(model)(words)
 
 
-def make_word_encoder(merges):
+def make_word_encoder(merges, b2i=None):
     """Small per-task helper: pre-token -> ids by applying merges in rank order.
 
     Repeatedly merges every left-to-right occurrence of the lowest-ranked pair
@@ -86,7 +86,7 @@ def make_word_encoder(merges):
     per task (bounded), since pre-tokens repeat heavily.
     """
     ranks = {(a, b): (r, n) for r, (a, b, n) in enumerate(merges)}
-    b2i = byte_to_id()
+    b2i = list(b2i if b2i is not None else byte_to_id())
     special = {s: i for i, s in enumerate(SPECIAL_TOKENS)}
     cache: dict[str, list[int]] = {}
 
@@ -125,10 +125,11 @@ def make_word_encoder(merges):
 
 def bpe_words_udf(model: BpeModel):
     merges = list(model.merges)
+    b2i = list(byte_to_id())  # plain list: shipped with the task, no cached function on the worker
 
     @F.pandas_udf(T.ArrayType(T.IntegerType()))
     def _bpe(words: pd.Series) -> pd.Series:
-        enc = make_word_encoder(merges)
+        enc = make_word_encoder(merges, b2i)
         return words.map(lambda ws: None if ws is None else [i for w in ws for i in enc(w)])
 
     return _bpe
