@@ -128,7 +128,9 @@ def train_bpe(docs: DataFrame, vocab_size: int = VOCAB_SIZE, min_frequency: int
     merges: list[tuple[int, int, int]] = []
 
     state = cut_lineage(word_symbols(pretoken_counts(docs, text_col, normalize)).where(F.length("sym") > 1))
-    pairs = cut_lineage(pair_counts(state))
+    incremental_mode = incremental_share > 0
+    # the full recount reads the pair table once per round; only the incremental form keeps it
+    pairs = cut_lineage(pair_counts(state)) if incremental_mode else pair_counts(state)
     mass = (pairs.agg(F.sum("cnt")).collect()[0][0] or 0) if incremental_share > 0 else 0
     rounds = 0
     import time as _time
@@ -163,7 +165,7 @@ def train_bpe(docs: DataFrame, vocab_size: int = VOCAB_SIZE, min_frequency: int
             if reused:
                 break
         moved = sum(c for (_, _, c), _m in zip(chosen, applied))
-        incremental = moved < incremental_share * mass
+        incremental = incremental_mode and moved < incremental_share * mass
         expr = F.col("sym")
         hit = None
         for a, b, n in applied:
@@ -186,12 +188,14 @@ def train_bpe(docs: DataFrame, vocab_size: int = VOCAB_SIZE, min_frequency: int
             nxt_pairs = pair_counts(nxt_state)
         rounds += 1
         if rounds % checkpoint_every == 0:
-            nxt_pairs, nxt_state = cut_lineage(nxt_pairs), cut_lineage(nxt_state)
+            nxt_state = cut_lineage(nxt_state)
+            nxt_pairs = cut_lineage(nxt_pairs) if incremental_mode else pair_counts(nxt_state)
             _release([pairs, state] + waiting_states)
             waiting_states = []
         else:
-            nxt_pairs = nxt_pairs.persist(StorageLevel.MEMORY_AND_DISK)
             nxt_state = nxt_state.persist(StorageLevel.MEMORY_AND_DISK)
+            if incremental_mode:
+                nxt_pairs = nxt_pairs.persist(StorageLevel.MEMORY_AND_DISK)
             waiting_pairs.append(pairs)
             waiting_states.append(state)
         pairs, state = nxt_pairs, nxt_state
