@@ -67,3 +67,13 @@ def test_g_ops(spark):
     assert draws[2] in (4, 5) and draws == {r.ctx: r.token for r in seeded_draw(temperature_softmax(df, 1.0)).collect()}
     u = spark.range(1).select(uniform(F.lit("1:42")).alias("u")).collect()[0].u
     assert 0 <= u < 1
+
+
+def test_a4_group_without_loss_positions_is_null(spark):
+    from quarry.operators.scoring import ngram_nll
+    df = spark.createDataFrame([("a", [5, 6, 7], [6, 7, 5], [1, 1, 1]), ("b", [5, 6], [6, 5], [0, 0])],
+                               "g string, x array<int>, y array<int>, loss_mask array<int>")
+    got = {r.g: r for r in ngram_nll(df, ["g"], vocab_size=10).collect()}
+    assert got["b"].mean_nll is None and got["b"].loss_tokens == 0
+    # a: each pair seen once, context count 1: p = 2 / 11
+    assert abs(got["a"].mean_nll - (-math.log(2 / 11))) < 1e-6
