@@ -81,7 +81,8 @@ def ngram_nll(seqs: DataFrame, group_cols: list[str], vocab_size: int,
     small = vocab_size * vocab_size <= BROADCAST_ROWS
     model = F.broadcast(model) if small else model
     ctx = F.broadcast(ctx) if small else ctx
-    scored = (pos.where(F.col("m") > 0).join(model, ["x", "y"], "left").join(ctx, "x", "left")
+    # every group is kept: a group without loss positions gets a NULL mean (A1)
+    scored = (pos.join(model, ["x", "y"], "left").join(ctx, "x", "left")
               .select(*group_cols, "y", "m",
                       F.coalesce(F.col("nll"), -F.ln(1.0 / (F.coalesce(F.col("cx"), F.lit(0)) + vocab_size)))
                       .alias("nll")))
