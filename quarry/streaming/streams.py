@@ -53,14 +53,16 @@ def pretoken_count_stream(lines: DataFrame, normalize: bool = True) -> DataFrame
 
 def pack_stream(lines: DataFrame, out_path: str, block_size: int = BLOCK_SIZE, checkpoint: str | None = None,
                 trigger_once: bool = True):
-    """V4: each micro-batch of texts is tokenized and packed as one batch (Q8), appended to Parquet."""
+    """V4: each micro-batch of texts is tokenized and packed as one batch (Q8) into Parquet,
+    one idempotent directory per micro-batch (``micro_batch=<id>``)."""
     texts = parse_jsonl(lines).select(encode(F.col("text")).alias("input_ids"))
 
     def pack(batch: DataFrame, epoch_id: int):
         rows = batch.withColumn("_pos", F.monotonically_increasing_id()) \
             .withColumn("attention_mask", F.transform("input_ids", lambda x: F.lit(1)))
         packed = pack_blocks(rows, ["_pos"], block_size=block_size, batch_size=1 << 40)
-        packed.withColumn("micro_batch", F.lit(epoch_id)).write.mode("append").parquet(out_path)
+        # one directory per micro-batch, overwritten on retry: a replayed batch is not duplicated
+        packed.write.mode("overwrite").parquet(os.path.join(out_path, f"micro_batch={epoch_id}"))
 
     w = texts.writeStream.foreachBatch(pack).option("checkpointLocation", checkpoint or _ckpt(lines, "pack"))
     w = w.trigger(availableNow=True) if trigger_once else w
