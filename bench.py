@@ -44,7 +44,7 @@ def build(sf: str):
 
     def packed(spark):
         c = chunks(spark).select("doc_id", "chunk_idx", encode(F.col("text")).alias("input_ids"))
-        c = c.withColumn("attention_mask", F.transform("input_ids", lambda x: F.lit(1)))
+        c = c.withColumn("attention_mask", F.array_repeat(F.lit(1), F.size("input_ids")))
         return pack_blocks(c, ["doc_id", "chunk_idx"])
 
     def plan(spark):

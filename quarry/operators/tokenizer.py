@@ -224,7 +224,7 @@ def encode_table(df: DataFrame, model: BpeModel | None = None, text_col: str = "
     """K4: ids of each text (+ all-ones attention mask, as the tokenizer returns)."""
     out = df.withColumn(out_col, encode(F.col(text_col), model, normalize))
     if with_attention:
-        out = out.withColumn("attention_mask", F.transform(out_col, lambda x: F.lit(1)))
+        out = out.withColumn("attention_mask", F.array_repeat(F.lit(1), F.size(out_col)))
     return out
 
 

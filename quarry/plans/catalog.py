@@ -185,7 +185,7 @@ SELECT conv_id, {sql_text('input_ids')} AS input_ids, {sql_text('labels')} AS la
 def q14_turn_label_sequences(spark, sf):
     s = turn_label_sequences(table(spark, sf, "conversations"))
     return s.select("conv_id", ids_text(F.col("input_ids")).alias("input_ids"), ids_text(F.col("labels")).alias("labels"),
-                    ids_text(F.transform("attention_mask", lambda b: b.cast("int"))).alias("attention_mask"))
+                    ids_text(F.col("attention_mask").cast("array<int>")).alias("attention_mask"))
 
 
 # ---------------------------------------------------------------- S5, S8, S9
@@ -237,7 +237,7 @@ def q8_pack_blocks(spark, sf):
     from quarry.functions.encode import encode
     from quarry.operators.sequences import pack_blocks
     c = _chunks(spark, sf).select("doc_id", "chunk_idx", encode(F.col("text")).alias("input_ids"))
-    c = c.withColumn("attention_mask", F.transform("input_ids", lambda x: F.lit(1)))
+    c = c.withColumn("attention_mask", F.array_repeat(F.lit(1), F.size("input_ids")))
     p = pack_blocks(c, ["doc_id", "chunk_idx"])
     return p.select("shard", "batch", "block", ids_text(F.col("input_ids")).alias("input_ids"),
                     ids_text(F.col("labels")).alias("labels"),

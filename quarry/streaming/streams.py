@@ -59,7 +59,7 @@ def pack_stream(lines: DataFrame, out_path: str, block_size: int = BLOCK_SIZE, c
 
     def pack(batch: DataFrame, epoch_id: int):
         rows = batch.withColumn("_pos", F.monotonically_increasing_id()) \
-            .withColumn("attention_mask", F.transform("input_ids", lambda x: F.lit(1)))
+            .withColumn("attention_mask", F.array_repeat(F.lit(1), F.size("input_ids")))
         packed = pack_blocks(rows, ["_pos"], block_size=block_size, batch_size=1 << 40)
         # one directory per micro-batch, overwritten on retry: a replayed batch is not duplicated
         packed.write.mode("overwrite").parquet(os.path.join(out_path, f"micro_batch={epoch_id}"))
