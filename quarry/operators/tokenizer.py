@@ -127,7 +127,10 @@ def train_bpe(docs: DataFrame, vocab_size: int = VOCAB_SIZE, min_frequency: int
     known = {t: i for i, t in enumerate(token)}
     merges: list[tuple[int, int, int]] = []
 
-    state = cut_lineage(word_symbols(pretoken_counts(docs, text_col, normalize)).where(F.length("sym") > 1))
+    # the first word table has a short lineage (one aggregate over the corpus): cached, not
+    # checkpointed; the growing chain of replace rounds is cut every ``checkpoint_every`` rounds
+    state = word_symbols(pretoken_counts(docs, text_col, normalize)).where(F.length("sym") > 1) \
+        .persist(StorageLevel.MEMORY_AND_DISK)
     incremental_mode = incremental_share > 0
     # the full recount reads the pair table once per round; only the incremental form keeps it
     pairs = cut_lineage(pair_counts(state)) if incremental_mode else pair_counts(state)
