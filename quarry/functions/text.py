@@ -30,12 +30,11 @@ def add_bos(col: Column, bos: str = BOS_TOKEN) -> Column:
     return F.concat(F.lit(bos), col)
 
 
-def _specials_regex(specials: list[str]) -> str:
-    # longest first so that no special is shadowed by a prefix of another; gap
-    # characters other than '<' need no lookahead, so the scan stays linear
+def _boundary_regex(specials: list[str]) -> str:
+    # zero-width split points just before and just after every special string; Java's
+    # split finds them iteratively, so arbitrarily long texts are safe
     alts = "|".join(re.escape(s) for s in sorted(specials, key=len, reverse=True))
-    tails = "|".join(re.escape(s[1:]) for s in sorted(specials, key=len, reverse=True))
-    return "(?s)%s|(?:[^<]|<(?!%s))+" % (alts, tails)
+    return "(?=%s)|(?<=%s)" % (alts, alts)
 
 
 def has_special(col: Column, specials: list[str] = SPECIAL_TOKENS) -> Column:
@@ -51,10 +50,9 @@ def split_specials(col: Column, specials: list[str] = SPECIAL_TOKENS) -> Column:
 
     Texts without any special string skip the splitting regex.
     """
-    rx = _specials_regex(specials)
     return F.when(~has_special(col, specials),
                   F.when(F.length(col) > 0, F.array(col)).otherwise(F.array().cast("array<string>"))
-                  ).otherwise(F.regexp_extract_all(col, F.lit(rx), 0))
+                  ).otherwise(F.array_remove(F.split(col, _boundary_regex(specials)), ""))
 
 
 def pretokenize(col: Column) -> Column:

@@ -90,3 +90,14 @@ def test_nfkc_udf(spark):
     df = spark.createDataFrame([(t,) for t in texts], "t string")
     got = [r.n for r in df.select(nfkc(F.col("t")).alias("n")).collect()]
     assert got == [None if t is None else unicodedata.normalize("NFKC", t) for t in texts]
+
+
+def test_bos_prefix_identity(spark):
+    """Q12 prepends id 3 instead of encoding BOS + text: the two must agree."""
+    from quarry.functions.text import add_bos
+    docs = [r.text for r in spark.read.parquet("/root/testdata/sf0.001/documents.parquet").limit(20).collect()]
+    texts = docs + ["|>tail", "<|im_end|>x", "", "im_start|>", "̸after"]
+    df = spark.createDataFrame([(t,) for t in texts], "t string")
+    out = df.select(encode(add_bos(F.col("t"))).alias("a"),
+                    F.concat(F.array(F.lit(3)), encode(F.col("t"))).alias("b")).collect()
+    assert all(r.a == r.b for r in out)
