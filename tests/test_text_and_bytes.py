@@ -101,3 +101,12 @@ def test_bos_prefix_identity(spark):
     out = df.select(encode(add_bos(F.col("t"))).alias("a"),
                     F.concat(F.array(F.lit(3)), encode(F.col("t"))).alias("b")).collect()
     assert all(r.a == r.b for r in out)
+
+
+def test_long_html_with_specials_roundtrip(spark):
+    """Long texts full of '<' plus special strings: split path without regex recursion."""
+    pages = spark.read.parquet("/root/testdata/sf0.001/pages.parquet").select(
+        F.concat(F.lit("<|im_start|>"), F.col("html"), F.lit("<|im_end|>\n<s>")).alias("t"))
+    out = pages.select((decode(encode(F.col("t"))) == F.col("t")).alias("ok"),
+                       F.length("t").alias("n")).collect()
+    assert out and all(r.ok for r in out)
