@@ -61,14 +61,14 @@ def signatures(docs: DataFrame, id_col: str, text_col: str, shingle: int) -> Dat
     kind = docs.schema[id_col].dataType.simpleString()
 
     def run(batches):
-        perm = vec.bin_orders(BANDS * ROWS)
+        perm, edges = vec.bin_orders(BANDS * ROWS), vec.bin_edges(BANDS * ROWS)
         weights = vec.mix64(np.arange(1, ROWS + 1, dtype=np.uint64))
         salt = vec.mix64(np.arange(100, 100 + BANDS, dtype=np.uint64))
         for batch, i, j, sets in _sets(batches, shingle):
             bands = []
             for u in sets:
                 if len(u):
-                    sig = vec.one_permutation(u, BANDS * ROWS, perm).reshape(BANDS, ROWS)
+                    sig = vec.one_permutation(u, edges, perm).reshape(BANDS, ROWS)
                     bands.append(vec.mix64((vec.mix64(sig) * weights).sum(1, dtype=np.uint64) ^ salt).view(np.int64))
                 else:
                     bands.append(None)

@@ -5,16 +5,73 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from quarry.llm import (line_templates, lz_fingerprint, minhash_dedup, mixing, packing, pitman_yor, suffix_dedup,
+                        toxicity, url_filter, weak_quality)
+from quarry.llm.keys import fold
 from quarry.sources.tables import table
 
 
+def tokenizer_path() -> str:
+    """The public word-level BPE file (a parameter of the packing operator)."""
+    import public_tokenizers
+    return public_tokenizers.path("word_bpe_49k.json")
+
+
+def toxicity_model(docs: DataFrame, labels: DataFrame) -> toxicity.Model:
+    """The network fitted to labelled rows outside the held-out fold."""
+    return toxicity.train(*toxicity.sample(docs, labels.where(fold("doc_id") != 0), "doc_id", "text", "toxic"))
+
+
+def op1_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Sources mixed to weights proportional to the square root of their rows."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", "source")
+    return mixing.mix(docs, mixing.temperature_weights(docs))
+
+
+def op2_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return weak_quality.quality(table(spark, sf_dir, "documents").select("doc_id", "text"))
+
+
 def op3_minhash_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
-    from quarry.llm.minhash_dedup import near_duplicates
-    return near_duplicates(table(spark, sf_dir, "documents"), shingle=2)
+    return minhash_dedup.near_duplicates(table(spark, sf_dir, "documents"), shingle=2)
+
+
+def op4_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    model = toxicity_model(docs, table(spark, sf_dir, "labels"))
+    return toxicity.score(docs, model).select(
+        "doc_id", (fold("doc_id") == 0).alias("held_out"), "score", (F.col("score") >= 0.5).cast("int").alias("predicted"))
+
+
+def op5_fingerprint(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lz_fingerprint.edited_pairs(table(spark, sf_dir, "documents"))
+
+
+def op6_pitman_yor(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pitman_yor.score(table(spark, sf_dir, "documents"))
+
+
+def op7_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    pieces = packing.pack(table(spark, sf_dir, "documents"), tokenizer_path())
+    return pieces.select("doc_id", "start", "length", F.crc32("ids").alias("ids_crc32"), "doc_tokens", "sequence_id",
+                         "offset")
+
+
+def op8_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return suffix_dedup.repeated_passages(table(spark, sf_dir, "documents"))
+
+
+def op9_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return url_filter.judge(table(spark, sf_dir, "pages"))
+
+
+def op10_line_templates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return line_templates.drop_recurring_lines(docs, counts=True)
 
 
-QUERIES = {
-    "op3_minhash_dedup": op3_minhash_dedup,
-}
+QUERIES = {f.__name__: f for f in (
+    op1_mixing, op2_quality, op3_minhash_dedup, op4_toxicity, op5_fingerprint, op6_pitman_yor, op7_packing,
+    op8_suffix_dedup, op9_url_filter, op10_line_templates)}
 
 ORACLE: dict[str, str] = {}

@@ -43,14 +43,13 @@ class Words:
 
 
 class Hasher:
-    """Holds the tables; make one per task."""
+    """Holds the tables; make one per task.  ``fold``: A-Z count as a-z."""
 
-    def __init__(self, seed: int = 7):
+    def __init__(self, seed: int = 7, fold: bool = True):
         rng = np.random.default_rng(seed)
         self.table = rng.integers(0, 2**64, 256, dtype=np.uint64)
-        self.lower = np.arange(256, dtype=np.uint8)
-        self.lower[65:91] += 32
-        self.table = self.table[self.lower]
+        if fold:
+            self.table[65:91] = self.table[97:123]
         self.space = np.zeros(256, bool)
         self.space[[32, 9, 10, 11, 12, 13]] = True
         self.pw = self.ipw = np.ones(1, np.uint64)
@@ -149,19 +148,23 @@ def sequence_hash(hashes: np.ndarray) -> int:
     return int(h)
 
 
-def one_permutation(unique: np.ndarray, bins: int, perm: np.ndarray) -> np.ndarray:
+def bin_edges(bins: int) -> np.ndarray:
+    """Lower bounds of equal bins of the hash range."""
+    return np.array([i * (1 << 64) // bins for i in range(bins)], np.uint64)
+
+
+def one_permutation(unique: np.ndarray, edges: np.ndarray, perm: np.ndarray) -> np.ndarray:
     """One-permutation MinHash of sorted distinct 64-bit hashes, densified.
 
-    The hash range is cut into ``bins`` equal bins; a bin keeps its smallest hash.
+    The hash range is cut at ``edges`` into equal bins; a bin keeps its smallest hash.
     An empty bin takes the value of the first non-empty bin in its own row of
     ``perm`` (a fixed random order of all bins), so that two sets agree in a bin
     with probability equal to their Jaccard similarity (optimal densification).
     """
-    edges = (np.arange(bins, dtype=object) * (1 << 64) // bins).astype(np.uint64)
     at = np.searchsorted(unique, edges)
     stop = np.append(at[1:], len(unique))
     full = at < stop
-    sig = np.zeros(bins, np.uint64)
+    sig = np.zeros(len(edges), np.uint64)
     sig[full] = unique[at[full]]
     if not full.all():
         empty = np.flatnonzero(~full)
