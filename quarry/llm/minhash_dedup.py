@@ -5,10 +5,14 @@ permutation hashing with optimal densification gives ``BANDS * ROWS`` bins;
 ``ROWS`` bins together make a band hash.  Documents with equal sets collapse to one
 node first.  Within a bucket (equal band hash) candidate edges form a star around
 one centre, so a bucket of n nodes gives n - 1 edges, not n squared.  Every edge
-is confirmed by the exact Jaccard similarity of the two full sets.  Stars are
-drawn around the smallest and then the largest node; nodes of a bucket that are
-still in different components after that are compared across components (only
-pairs whose set sizes allow the similarity), so no link inside a bucket is lost.
+is confirmed by the exact Jaccard similarity of the two full sets.  Two stars are
+drawn, around the smallest and the largest node.  Nodes of a bucket that are
+still in different components after that are compared across components, so no link
+inside a bucket is lost.  The join that finds these pairs lets only those through that
+can reach the similarity: every set has a bitmap of ``BITS`` bits in which each shingle
+flips one bit, and the bits in which two bitmaps differ are a lower bound of the sets'
+symmetric difference.  That bound loses no pair, and it keeps near copies of one text that
+are too far apart from becoming pairs.
 
 At similarity 0.8 a pair shares no bucket with probability
 (1 - 0.8**7)**48 = 1.2e-5.
@@ -24,7 +28,7 @@ import hashlib
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from quarry.llm import vec
@@ -32,6 +36,7 @@ from quarry.llm.graph import components
 from quarry.session import cut_lineage
 
 BANDS, ROWS = 48, 7
+BITS = 1024
 
 
 def shingle_set(hashes: np.ndarray, shingle: int) -> np.ndarray:
@@ -82,15 +87,39 @@ def signatures(docs: DataFrame, id_col: str, text_col: str, shingle: int) -> Dat
 
 
 def full_sets(docs: DataFrame, id_type: str, shingle: int) -> DataFrame:
-    """(id, shingles) of (id, text) rows."""
+    """(id, shingles, bits) of (id, text) rows; bits: the parity bitmap as longs."""
 
     def run(batches):
         for batch, i, j, sets in _sets(batches, shingle):
+            longs = pa.list_(pa.int64())
             yield pa.RecordBatch.from_arrays(
-                [batch.column(0).slice(i, j - i), pa.array([u.view(np.int64) for u in sets], pa.list_(pa.int64()))],
-                names=["id", "shingles"])
+                [batch.column(0).slice(i, j - i), pa.array([u.view(np.int64) for u in sets], longs),
+                 pa.array([parity_bits(u) for u in sets], longs)], names=["id", "shingles", "bits"])
 
-    return docs.mapInArrow(run, f"id {id_type}, shingles array<long>")
+    return docs.mapInArrow(run, f"id {id_type}, shingles array<long>, bits array<long>")
+
+
+def parity_bits(u: np.ndarray) -> np.ndarray:
+    """Bitmap of BITS bits; every hash flips the bit that its own low bits name."""
+    flips = np.bincount((vec.mix64(u) % np.uint64(BITS)).astype(np.int64), minlength=BITS)
+    return np.packbits((flips & 1).astype(np.uint8)).view(np.int64)
+
+
+def _can_reach(percent: int, a: str, b: str) -> Column:
+    """Whether sets of sizes a_n, b_n and bitmaps a_bits, b_bits may be similar enough.
+
+    100 * |A & B| >= percent * |A | B| holds just if (100 + percent) * |A ^ B| is at most
+    (100 - percent) * (|A| + |B|), and |A ^ B| is at least the number of differing bits.
+    """
+    differ = F.lit(0)
+    for k in range(BITS // 64):
+        differ = differ + F.bit_count(F.get(f"{a}bits", F.lit(k)).bitwiseXOR(F.get(f"{b}bits", F.lit(k))))
+    return (100 + percent) * differ <= (100 - percent) * (F.col(f"{a}n") + F.col(f"{b}n"))
+
+
+def _pairs(rows: DataFrame, a: str, b: str) -> DataFrame:
+    """Distinct unordered pairs (a, b), the smaller id first."""
+    return rows.select(F.least(a, b).alias("a"), F.greatest(a, b).alias("b")).distinct()
 
 
 def _confirm(edges: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
@@ -119,41 +148,27 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     nodes = known.groupBy("digest").agg(F.min("id").alias("rep"))
     rows = cut_lineage(known.select("id", "digest", "n_shingles").join(nodes, "digest")
                        .select("id", "rep", "n_shingles").distinct())
-    reps = rows.where("id = rep").groupBy("id").agg(F.min("n_shingles").alias("lo"), F.max("n_shingles").alias("hi"))
-    banded = known.join(reps, "id").select("id", "lo", "hi", F.explode("bands").alias("key")).distinct()
+    reps = rows.where("id = rep").select("id").distinct()
+    banded = known.join(reps, "id").select("id", F.explode("bands").alias("key"))
     # buckets with at least two nodes; their smallest and largest node are the star centres
     stars = banded.groupBy("key").agg(F.min("id").alias("first"), F.max("id").alias("last")).where("first <> last")
     members = cut_lineage(banded.join(stars, "key"))
     sets = cut_lineage(full_sets(
         docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text")).join(
             members.select("id").distinct(), "id"), kind, shingle))
-
-    def star(centre: str, rows_: DataFrame) -> DataFrame:
-        return rows_.where(F.col(centre) != F.col("id")).select(
-            F.least(centre, "id").alias("a"), F.greatest(centre, "id").alias("b")).distinct()
-
-    tried = star("first", members)
-    links = cut_lineage(_confirm(tried, sets, percent))
-    labels = components(links)
-
-    def split_buckets(labels: DataFrame) -> DataFrame:
-        """Members of buckets that still hold several components."""
-        named = members.join(labels.select(F.col("node").alias("id"), "component"), "id", "left") \
-            .withColumn("component", F.coalesce("component", "id"))
-        open_keys = named.groupBy("key").agg(F.min("component").alias("lc"), F.max("component").alias("hc")) \
-            .where("lc <> hc").select("key")
-        return named.join(open_keys, "key")
-
-    more = star("last", split_buckets(labels)).join(tried, ["a", "b"], "left_anti")
-    links = cut_lineage(links.unionByName(_confirm(more, sets, percent)))
+    spokes = members.select("id", F.explode(F.array("first", "last")).alias("centre")).where("id <> centre")
+    links = cut_lineage(_confirm(_pairs(spokes, "id", "centre"), sets, percent))
     labels = components(links)
-    rest = cut_lineage(split_buckets(labels).select("key", "id", "component", "lo", "hi"))
-    other = rest.select("key", *[F.col(c).alias(f"o_{c}") for c in ("id", "component", "lo", "hi")])
-    across = rest.join(other, "key").where(
-        (F.col("id") < F.col("o_id")) & (F.col("component") != F.col("o_component"))
-        & (100 * F.least("hi", "o_hi") >= percent * F.greatest("lo", "o_lo"))) \
-        .select(F.col("id").alias("a"), F.col("o_id").alias("b")).distinct()
-    found = cut_lineage(_confirm(across, sets, percent))
+    # members of buckets that still hold several components are compared across components
+    named = members.select("key", "id").join(labels.withColumnRenamed("node", "id"), "id", "left") \
+        .withColumn("component", F.coalesce("component", "id"))
+    split = named.groupBy("key").agg(F.min("component").alias("lc"), F.max("component").alias("hc")) \
+        .where("lc <> hc").select("key")
+    rest = cut_lineage(named.join(split, "key").join(sets.select("id", F.size("shingles").alias("n"), "bits"), "id"))
+    other = rest.select("key", *[F.col(c).alias(f"o_{c}") for c in ("id", "component", "n", "bits")])
+    across = rest.join(other, "key").where((F.col("id") < F.col("o_id")) & (F.col("component") != F.col("o_component"))
+                                           & _can_reach(percent, "", "o_"))
+    found = cut_lineage(_confirm(_pairs(across, "id", "o_id"), sets, percent))
     if not found.isEmpty():
         labels = components(links.unionByName(found))
     # rows that share an id but have different sets tie their nodes together
