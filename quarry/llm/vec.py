@@ -11,6 +11,8 @@ segments of ``SEG`` bytes (cut between words).
 
 from __future__ import annotations
 
+import sys
+import types
 from collections.abc import Iterator
 
 import numpy as np
@@ -78,7 +80,7 @@ class Hasher:
             i = j
         return out
 
-    def words(self, data: np.ndarray, offsets: np.ndarray) -> Words:
+    def words(self, data: np.ndarray, offsets: np.ndarray, hashed: bool = True) -> Words:
         """``data``: UTF-8 bytes of consecutive texts, ``offsets``: their n+1 bounds from 0."""
         inside = ~self.space[data]
         before = np.empty_like(inside)
@@ -95,7 +97,8 @@ class Hasher:
             cut = offsets[(offsets > 0) & (offsets <= len(data))] - 1
             after[cut] = False
         ends = np.flatnonzero(inside & ~after) + 1
-        return Words(data, offsets, self.spans(data, starts, ends), starts, ends, np.searchsorted(starts, offsets))
+        hashes = self.spans(data, starts, ends) if hashed else None
+        return Words(data, offsets, hashes, starts, ends, np.searchsorted(starts, offsets))
 
 
 def column_bytes(col: pa.Array) -> tuple[np.ndarray, np.ndarray]:
@@ -120,12 +123,21 @@ def chunks(data: np.ndarray, offsets: np.ndarray, size: int = CHUNK) -> Iterator
         i = j
 
 
-def word_chunks(col: pa.Array, hasher: Hasher, size: int = CHUNK) -> Iterator[tuple[int, int, Words]]:
+def word_chunks(col: pa.Array, hasher: Hasher, size: int = CHUNK, hashed: bool = True) -> Iterator[tuple[int, int, Words]]:
     """(first row, row after the last, their words) for each chunk of a text column."""
     data, offsets = column_bytes(col)
     for i, j in chunks(data, offsets, size):
         part = offsets[i: j + 1]
-        yield i, j, hasher.words(data[part[0]: part[-1]], part - part[0])
+        yield i, j, hasher.words(data[part[0]: part[-1]], part - part[0], hashed)
+
+
+def worker_store() -> dict:
+    """A dict that lives as long as the Python worker.
+
+    Tasks unpickle this package anew, so its own module globals end with a task.
+    """
+    holder = sys.modules.setdefault("_quarry_worker_store", types.ModuleType("_quarry_worker_store"))
+    return holder.__dict__.setdefault("store", {})
 
 
 def ngrams(hashes: np.ndarray, n: int) -> np.ndarray:
