@@ -85,7 +85,7 @@ def rules() -> dict[str, Column]:
     some = n > 0
 
     def ratio(a, b=n):
-        return F.col(a) / b
+        return F.try_divide(F.col(a), b)
 
     return {
         "length": _vote(n < 20, n >= 50),
