@@ -4,16 +4,17 @@ A suffix of a text starts at a word.  Only suffixes at minimisers are retained:
 every ``MIN_WORDS - GRAM + 1`` consecutive word ``GRAM``-grams the one with the smallest
 hash, so any passage of ``MIN_WORDS`` words has one in each of its copies, at the same
 place.  Suffixes whose first ``GRAM`` words occur in one document only are left out;
-the others are sorted by their words (as far as needed) and each is compared with its
-nearest neighbours from other documents on either side.  A match is extended left and
-right word by word; it counts from ``MIN_WORDS`` words on.  A longer repeat holds further
-retained suffixes, each of which finds its part, so the union of a document's matches
-covers it to its ends.
-
-Cost: each suffix is compared with two others, however often a passage occurs.  The
-sort is a range partitioning on (words, document, place), which splits even a passage
-that a third of all documents share; the neighbours across a partition boundary are
-compared in a second step over the partitions' first and last suffixes only.
+the others are sorted by their words, in range partitions.  Each is extended left and
+right to every window of ``MIN_WORDS`` words around its gram; for each alignment of the
+window the suffixes of a gram are sorted, and neighbours from different documents that
+agree over the whole window match.  So a suffix finds the furthest match on either side,
+even if they are with different documents.  A longer repeat holds further retained
+suffixes, each of which finds its part; the union of a document's matches covers it.
+
+Cost: linear in the suffixes times the alignments, however often a passage occurs; no
+pairs are made.  The range partitioning on (words, document, place) splits even a
+passage that a third of all documents share.  What such a split separates, the windows
+of a partition's first and last gram, is matched by one aggregate over all partitions.
 """
 
 from __future__ import annotations
@@ -105,93 +106,89 @@ def suffixes(docs: DataFrame, id_type: str, gram: int, min_words: int) -> DataFr
         run, f"id {id_type}, _k1 long, _k2 long, gram long, place int, after binary, before binary")
 
 
-def _common(a: np.ndarray, b: np.ndarray) -> np.ndarray:
-    """Length of the common start of each two rows; 0 ends a row."""
-    same = (a == b) & (a != 0)
-    return np.where(same.all(1), a.shape[1], same.argmin(1))
+def window_hashes(gram: np.ndarray, after: np.ndarray, before: np.ndarray):
+    """For each alignment k (words of the window before the gram): (k, rows that have it, hashes)."""
+    reach = after.shape[1]
+    weight = vec.mix64(np.arange(1, 2 * reach + 1, dtype=np.uint64)) | np.uint64(1)
+    right = np.zeros((len(gram), reach + 1), np.uint64)
+    left = np.zeros((len(gram), reach + 1), np.uint64)
+    np.cumsum(vec.mix64(after.astype(np.uint64)) * weight[:reach], 1, out=right[:, 1:])
+    np.cumsum(vec.mix64(before.astype(np.uint64)) * weight[reach:], 1, out=left[:, 1:])
+    n_right, n_left = (after != 0).sum(1), (before != 0).sum(1)
+    for k in range(reach + 1):
+        rows = np.flatnonzero((n_left >= k) & (n_right >= reach - k))
+        yield k, rows, vec.mix64(vec.mix64(gram[rows] + np.uint64(k)) + right[rows, reach - k] + left[rows, k])
 
 
 def compare_neighbours(id_type: str, gram: int, min_words: int):
-    """A mapInArrow function over sorted suffixes: matches, plus the rows at the partition's ends.
+    """A mapInArrow function over sorted suffixes.
 
-    Rows (kind, id, _k1, _k2, start, stop, other, seq, gram, place, after, before); kind 0
-    is a match of words start to stop with document ``other``, kind 1 a row at an end.
+    Rows (kind, id, _k1, _k2, start, stop, other, hash); kind 0 is a match of words start to
+    stop with document ``other``, kind 1 a window of a gram that may go on in another
+    partition: all its unmatched windows, and of matched ones two documents'.
     """
     cols = ["id", "_k1", "_k2", "gram", "place", "after", "before"]
+    names = ["kind", "id", "_k1", "_k2", "start", "stop", "other", "hash"]
     reach = min_words - gram
 
-    def run(batches):
-        part = TaskContext.get().partitionId()
-        held = None  # the open run (rows of one document) and the row before it
-        first = True
-        seq = part << 32
-
-        def matches(t: pa.Table, upto: int, skip: int):
-            """Matches of rows skip..upto; the rows around them serve as neighbours."""
-            k1, k2, key = (t[c].to_numpy() for c in ("_k1", "_k2", "gram"))
-            place = t["place"].to_numpy().astype(np.int64)
-            around = [np.frombuffer(b"".join(t[c].to_pylist()), "<u4").reshape(len(t), reach) for c in ("after", "before")]
-            new = np.r_[True, (k1[1:] != k1[:-1]) | (k2[1:] != k2[:-1])]
-            run_of = np.cumsum(new) - 1
-            begin = np.flatnonzero(new)
-            stop = np.r_[begin[1:], len(t)]
-            rows = np.arange(skip, upto)
-            found = []
-            for other in (begin[run_of[rows]] - 1, stop[run_of[rows]]):
-                ok = (other >= 0) & (other < len(t))
-                r, o = rows[ok], other[ok]
-                ok = key[r] == key[o]
-                r, o = r[ok], o[ok]
-                right = _common(around[0][r], around[0][o])
-                left = _common(around[1][r], around[1][o])
-                ok = left + gram + right >= min_words
-                found.append((r[ok], o[ok], (place[r] - left)[ok], (place[r] + gram + right)[ok]))
-            r, o, a, b = (np.concatenate(x) for x in zip(*found))
-            return t.take(pa.array(r)), t["id"].take(pa.array(o)), a, b
-
-        def output(kind, t, other=None, a=None, b=None):
-            nonlocal seq
-            n = len(t)
-            void = [pa.nulls(n, x) for x in (pa.int64(), pa.int32(), pa.binary(), pa.binary())]
-            if kind == 0:
-                mid = [pa.array(a, pa.int64()), pa.array(b, pa.int64()), other.combine_chunks()]
-                end = void
-            else:
-                mid = [pa.nulls(n, pa.int64()), pa.nulls(n, pa.int64()), pa.nulls(n, t["id"].type)]
-                end = [t[c].combine_chunks() for c in cols[3:]]
-            number = np.arange(seq, seq + n)
-            seq += n
+    def matches(t: pa.Table, open_rows: np.ndarray):
+        doc = t["_k1"].to_numpy()
+        key = t["gram"].to_numpy().view(np.uint64)
+        place = t["place"].to_numpy().astype(np.int64)
+        after, before = (np.frombuffer(b"".join(t[c].to_pylist()), "<u4").reshape(len(t), reach) for c in ("after", "before"))
+        n = len(t)
+        least, most, other = np.full(n, reach + 1), np.full(n, -1), np.zeros(n, np.int64)
+        edges = []
+        for k, rows, h in window_hashes(key, after, before):
+            order = np.lexsort((doc[rows], h))
+            rows, h = rows[order], h[order]
+            if not len(rows):
+                continue
+            begin = np.flatnonzero(np.r_[True, h[1:] != h[:-1]])
+            end = np.r_[begin[1:], len(h)]
+            lo, hi = rows[begin], rows[end - 1]  # the window's smallest and largest document
+            run = np.repeat(np.arange(len(begin)), end - begin)
+            shared = doc[lo] != doc[hi]
+            hit = shared[run]
+            r = rows[hit]
+            least[r] = np.minimum(least[r], k)
+            most[r] = k
+            other[r] = np.where(doc[r] != doc[lo[run[hit]]], lo[run[hit]], hi[run[hit]])
+            keep = open_rows[rows] & (~hit | (rows == lo[run]) | (rows == hi[run]))
+            edges.append((rows[keep], np.full(keep.sum(), k), h[keep]))
+        found = np.flatnonzero(most >= 0)
+        head = [t[c].combine_chunks() for c in cols[:3]]
+
+        def batch(kind, rows, start, stop, others, hashes):
+            at = pa.array(rows)
             return pa.RecordBatch.from_arrays(
-                [pa.array([kind] * n, pa.int32()), *[t[c].combine_chunks() for c in cols[:3]], *mid,
-                 pa.array(number, pa.int64()), *end],
-                names=["kind", "id", "_k1", "_k2", "start", "stop", "other", "seq", *cols[3:]])
+                [pa.array(np.full(len(rows), kind, np.int32)), *[c.take(at) for c in head], pa.array(start), pa.array(stop),
+                 others, hashes], names=names)
 
-        def runs(t):
-            k1, k2 = t["_k1"].to_numpy(), t["_k2"].to_numpy()
-            return np.flatnonzero(np.r_[True, (k1[1:] != k1[:-1]) | (k2[1:] != k2[:-1])])
+        yield batch(0, found, place[found] - most[found], place[found] - least[found] + min_words,
+                    head[0].take(pa.array(other[found])), pa.nulls(len(found), pa.int64()))
+        if edges:
+            r, k, h = (np.concatenate(x) for x in zip(*edges))
+            yield batch(1, r, place[r] - k, place[r] - k + min_words, pa.nulls(len(r), head[0].type), pa.array(h.view(np.int64)))
 
-        skip = 0
+    def run(batches):
+        held, first_gram = None, None
         for batch in batches:
             if not batch.num_rows:
                 continue
             t = pa.Table.from_batches([batch]).select(cols)
-            if held is not None:
-                t = pa.concat_tables([held, t])
-            begin = runs(t)
-            open_at = int(begin[-1])
-            if first and len(begin) > 1:
-                yield output(1, t.slice(0, int(begin[1])))
-                first = False
-            if open_at > skip:
-                yield output(0, *matches(t, open_at, skip))
-            keep = max(open_at - 1, 0)
-            held, skip = t.slice(keep), open_at - keep
+            held = t if held is None else pa.concat_tables([held, t])
+            key = held["gram"].to_numpy()
+            first_gram = key[0] if first_gram is None else first_gram
+            whole = int(np.searchsorted(key, key[-1]))  # rows are sorted by gram
+            if whole > 5000:
+                yield from matches(held.slice(0, whole), key[:whole] == first_gram)
+                held = held.slice(whole)
         if held is not None:
-            yield output(0, *matches(held, len(held), skip))
-            yield output(1, held.slice(skip))
+            key = held["gram"].to_numpy()
+            yield from matches(held, (key == first_gram) | (key == key[-1]))
 
-    return run, f"kind int, id {id_type}, _k1 long, _k2 long, start long, stop long, other {id_type}, seq long, " \
-                "gram long, place int, after binary, before binary"
+    return run, f"kind int, id {id_type}, _k1 long, _k2 long, start long, stop long, other {id_type}, hash long"
 
 
 def repeated_passages(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", min_words: int = MIN_WORDS,
@@ -220,13 +217,16 @@ def repeated_passages(docs: DataFrame, id_col: str = "doc_id", text_col: str = "
     order = ["gram", "after", "_k1", "_k2", "place"]
     compare, schema = compare_neighbours(kind, gram, min_words)
     found = cut_lineage(sparse.repartitionByRange(*order).sortWithinPartitions(*order).mapInArrow(compare, schema))
-    # two runs per partition: the suffixes on either side of the partition boundaries
-    ends = found.where("kind = 1").select("id", "_k1", "_k2", "gram", "place", "after", "before", "seq") \
-        .repartitionByRange(1, "seq").sortWithinPartitions("seq").drop("seq")
-    matches = found.unionByName(ends.mapInArrow(compare, schema)).where("kind = 0")
+    ends = found.where("kind = 1").drop("other")
+    apart = ends.groupBy("hash").agg(F.min("_k1").alias("lo"), F.max("_k1").alias("hi"), F.min_by("id", "_k1").alias("lo_id"),
+                                     F.max_by("id", "_k1").alias("hi_id")).where("lo <> hi")
+    across = ends.join(apart, "hash").withColumn("other", F.when(F.col("_k1") == F.col("lo"), F.col("hi_id"))
+                                                 .otherwise(F.col("lo_id")))
+    span = ["id", "_k1", "_k2", "start", "stop", "other"]
+    matches = found.where("kind = 0").select(*span).unionByName(across.select(*span))
     earlier = Window.partitionBy("_k1", "_k2").orderBy("start", "stop").rowsBetween(Window.unboundedPreceding, -1)
     upto = Window.partitionBy("_k1", "_k2").orderBy("start", "stop").rowsBetween(Window.unboundedPreceding, 0)
-    parted = matches.select("id", "_k1", "_k2", "start", "stop", "other") \
+    parted = matches \
         .withColumn("new", F.coalesce(F.col("start") > F.max("stop").over(earlier), F.lit(True)).cast("int")) \
         .withColumn("span", F.sum("new").over(upto))
     spans = parted.groupBy("_k1", "_k2", "span").agg(
