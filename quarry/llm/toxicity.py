@@ -1,15 +1,17 @@
 """Operator 4: toxicity scores from a bidirectional gated recurrent network.
 
-A word's input is its own embedding (words seen in at least ``MIN_DOCS`` sample
-documents) plus the mean embedding of its byte trigrams, so unknown words are read
-by their characters.  Windows of ``WIDTH`` words, every ``STRIDE`` words, run through
+A word's input is its own embedding, those of its beginnings of ``PREFIXES`` bytes, and the
+mean embedding of its byte trigrams.  Words and beginnings have rows of their own if they
+were seen in at least ``MIN_DOCS`` sample documents; other words are read by their
+characters.  Windows of ``WIDTH`` words, every ``STRIDE`` words, run through
 a forward and a backward GRU; attention pools their states into one logit.  A
 document's score is the largest window logit, calibrated to a probability.
 
 The network is trained with numpy on the driver from a bounded sample of labelled
 rows (``SAMPLE`` per class, smallest hashes first).  From each sample document it
-takes the windows whose words are most indicative of class 1 and evenly spread
-ones.  Word embeddings start from the words' smoothed log odds in the sample.
+takes the windows whose words are most indicative of class 1 and, of class 0, evenly
+spread ones too.  Embeddings of words and beginnings start from their smoothed log odds
+in the sample.
 Scoring is one pass over the documents without a shuffle; only the weights
 (at most ``VOCAB`` word rows) travel to the tasks.
 """
@@ -28,7 +30,9 @@ SAMPLE = 2000
 MIN_DOCS = 4
 VOCAB = 50_000
 CHARS = 4096
+PREFIXES = (4, 5, 6, 8, 10)
 EMB, HID = 8, 8
+ODDS_DOCS = 6
 
 
 # ---- text to inputs ----------------------------------------------------------------------
@@ -50,6 +54,15 @@ def trigram_rows(data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> tupl
     return (code % np.uint64(CHARS)).astype(np.int64), size
 
 
+def prefix_hashes(hasher: vec.Hasher, data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
+    """Hashes of the beginnings of words (ascending), [words, len(PREFIXES)]; 0 where a word is not longer."""
+    out = np.zeros((len(starts), len(PREFIXES)), np.uint64)
+    for k, size in enumerate(PREFIXES):
+        long = ends - starts > size
+        out[long, k] = vec.mix64(hasher.spans(data, starts[long], starts[long] + size) + np.uint64(size)) | np.uint64(1)
+    return out
+
+
 def windows(woff: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """(text of each window, word positions [n, WIDTH], mask) of all overlapping windows.
 
@@ -74,7 +87,7 @@ def _sigmoid(x):
 
 
 def init_params(vocab: int, rng: np.random.Generator) -> dict[str, np.ndarray]:
-    """Row 0 of ``word`` stands for unknown words."""
+    """``vocab``: rows for known words and beginnings; row 0 stands for unknown ones."""
     def draw(*shape, scale):
         return rng.normal(0, scale, shape).astype(np.float32)
     p = {"word": draw(vocab + 1, EMB, scale=0.1), "char": draw(CHARS, EMB, scale=0.1),
@@ -176,34 +189,40 @@ def adam(p, grads, state, step, rate=0.01):
 # ---- the model ---------------------------------------------------------------------------
 
 class Model:
-    """Weights, the sorted hashes of known words (rows 1..), and the calibration."""
+    """Weights, the sorted hashes of known words and beginnings (rows 1..), and the calibration."""
 
     def __init__(self, known, params, scale=1.0, shift=0.0):
         self.known, self.params, self.scale, self.shift = known, params, scale, shift
 
-    def word_rows(self, hashes: np.ndarray) -> np.ndarray:
+    def rows(self, hashes: np.ndarray) -> np.ndarray:
+        """Embedding rows; 0 for unknown hashes and for 0."""
         at = np.searchsorted(self.known, hashes)
         at = np.minimum(at, max(len(self.known) - 1, 0))
-        hit = self.known[at] == hashes if len(self.known) else np.zeros(len(hashes), bool)
-        return np.where(hit, at + 1, 0)
-
-    def inputs(self, words: vec.Words, first: np.ndarray, uniq: np.ndarray) -> np.ndarray:
-        """Input vectors of distinct words, given one place of each."""
-        order = np.argsort(first)
-        rows, size = trigram_rows(words.data, words.starts[first[order]], words.ends[first[order]])
-        x = self.params["word"][self.word_rows(uniq)].copy()
-        if len(order):
-            sums = np.add.reduceat(self.params["char"][rows], np.cumsum(size) - size, axis=0)
-            x[order] += sums / size[:, None]
+        hit = self.known[at] == hashes if len(self.known) else np.zeros(hashes.shape, bool)
+        return np.where(hit & (hashes != 0), at + 1, 0)
+
+    def word_rows(self, words: vec.Words, at: np.ndarray, hasher: vec.Hasher) -> np.ndarray:
+        """Rows of words at ascending places: the word's, then those of its beginnings."""
+        starts = prefix_hashes(hasher, words.data, words.starts[at], words.ends[at])
+        return self.rows(np.concatenate([words.hashes[at][:, None], starts], 1))
+
+    def inputs(self, words: vec.Words, at: np.ndarray, hasher: vec.Hasher) -> np.ndarray:
+        """Input vectors of the words at ascending places."""
+        tri, size = trigram_rows(words.data, words.starts[at], words.ends[at])
+        x = self.params["word"][self.word_rows(words, at, hasher)].sum(1)
+        if len(at):
+            x += np.add.reduceat(self.params["char"][tri], np.cumsum(size) - size, axis=0) / size[:, None]
         return x
 
-    def text_logits(self, words: vec.Words, batch: int = 2048) -> np.ndarray:
+    def text_logits(self, words: vec.Words, hasher: vec.Hasher, batch: int = 2048) -> np.ndarray:
         """Largest window logit of each text."""
         text, pos, mask = windows(words.woff)
-        uniq, first, inverse = np.unique(words.hashes, return_index=True, return_inverse=True)
+        _, first, inverse = np.unique(words.hashes, return_index=True, return_inverse=True)
         p = self.params
-        x = self.inputs(words, first, uniq) if len(uniq) else np.zeros((1, EMB), np.float32)
-        inverse = inverse if len(uniq) else np.zeros(1, np.int64)
+        x = np.zeros((max(len(first), 1), EMB), np.float32)
+        order = np.argsort(first)
+        x[order] = self.inputs(words, first[order], hasher)
+        inverse = inverse if len(first) else np.zeros(1, np.int64)
         proj = [x @ p["wf"] + p["cf"], x @ p["wb"] + p["cb"]]
         best = np.full(len(words), -np.inf)
         for i in range(0, len(text), batch):
@@ -212,27 +231,28 @@ class Model:
             np.maximum.at(best, text[i: i + batch], logit)
         return best
 
-    def score(self, words: vec.Words) -> np.ndarray:
-        return _sigmoid(self.scale * self.text_logits(words) + self.shift).astype(np.float64)
+    def score(self, words: vec.Words, hasher: vec.Hasher) -> np.ndarray:
+        return _sigmoid(self.scale * self.text_logits(words, hasher) + self.shift).astype(np.float64)
 
 
-def calibrate(logit: np.ndarray, y: np.ndarray, rounds: int = 200) -> tuple[float, float]:
-    """Scale and shift of a logistic fit with a small ridge (Newton steps)."""
+def calibrate(logit: np.ndarray, y: np.ndarray, weight: np.ndarray, rounds: int = 200) -> tuple[float, float]:
+    """Scale and shift of a weighted logistic fit with a small ridge (Newton steps)."""
     mean, dev = float(logit.mean()), float(logit.std()) + 1e-6
     x = np.stack([(logit - mean) / dev, np.ones_like(logit)], 1)
     b = np.zeros(2)
     for _ in range(rounds):
         q = _sigmoid(x @ b)
-        step = np.linalg.solve((x.T * (q * (1 - q))) @ x + 0.1 * np.eye(2), x.T @ (q - y) + 0.1 * b)
+        step = np.linalg.solve((x.T * (weight * q * (1 - q))) @ x + 0.1 * np.eye(2), x.T @ (weight * (q - y)) + 0.1 * b)
         b -= step
         if np.abs(step).max() < 1e-6:
             break
     return float(b[0] / dev), float(b[1] - b[0] * mean / dev)
 
 
-def train(texts: list[str], labels: list[int], epochs: int = 12, batch: int = 128, seed: int = 0) -> Model:
+def train(texts: list[str], labels: list[int], class_weight: tuple = (1.0, 1.0), epochs: int = 8, batch: int = 128, seed: int = 0) -> Model:
     """Fit the network on sample documents.
 
+    ``class_weight``: how many documents one of each class stands for, in the calibration.
     With one class only, all scores are the smoothed share of class 1.
     """
     rng = np.random.default_rng(seed)
@@ -243,47 +263,60 @@ def train(texts: list[str], labels: list[int], epochs: int = 12, batch: int = 12
         share = (sum(labels) + 0.5) / (len(labels) + 1) if labels else 1e-3
         model.shift = float(np.log(share / (1 - share)))
         return model
+    # every fourth document of each class is left for the calibration
+    learn = np.ones(len(texts), bool)
+    for y in (0, 1):
+        learn[np.flatnonzero(y_doc == y)[3::4]] = False
+    if min(y_doc[~learn].sum(), (1 - y_doc[~learn]).sum()) < 1:
+        learn[:] = True
     parts = [w for i, j, w in vec.word_chunks(pa.array(texts, pa.string()), hasher)]
-    # words by document, for their log odds
+    # words and beginnings by document, for their log odds
     doc_words, base = [], 0
     for w in parts:
+        starts = prefix_hashes(hasher, w.data, w.starts, w.ends)
         for r in range(len(w)):
-            u = np.unique(w.hashes[w.woff[r]: w.woff[r + 1]])
-            doc_words.append((u, np.full(len(u), base + r)))
+            a, b = w.woff[r], w.woff[r + 1]
+            u = np.unique(np.concatenate([w.hashes[a:b], starts[a:b].ravel()]))
+            if learn[base + r]:
+                doc_words.append((u[u != 0], np.full((u != 0).sum(), base + r)))
         base += len(w)
     every = np.concatenate([u for u, _ in doc_words])
     of = np.concatenate([d for _, d in doc_words])
     uniq, inv, freq = np.unique(every, return_inverse=True, return_counts=True)
     pos = np.bincount(inv, y_doc[of], len(uniq))
     neg = freq - pos
-    odds = np.log((pos + 0.5) / (y_doc.sum() + 1)) - np.log((neg + 0.5) / ((1 - y_doc).sum() + 1))
+    # log odds over those of the sample, as if seen in ODDS_DOCS more documents of the sample's share
+    share = y_doc[learn].mean()
+    odds = np.log((pos + ODDS_DOCS * share) / (neg + ODDS_DOCS * (1 - share))) - np.log(share / (1 - share))
     use = np.flatnonzero(freq >= MIN_DOCS)
     if len(use) > VOCAB:
         use = use[np.argsort(-freq[use], kind="stable")[:VOCAB]]
         use.sort()
-    known, odds = uniq[use], odds[use] * (1 - 1 / np.sqrt(freq[use]))
+    known, odds = uniq[use], odds[use]
     params = init_params(len(known), rng)
-    params["word"][1:, 0] = np.clip(odds, -3, 3)
-    params["word"][0, 0] = 0
+    params["word"] *= 0.1
+    params["word"][1:, 0] = np.clip(odds, -2, 4) / 2
+    params["word"][0] = 0
     model = Model(known, params)
     # training windows: the most indicative ones and evenly spread ones of every document
     rows, chars, sizes, masks, ys = [], [], [], [], []
     base = 0
     for w in parts:
         text, at, mask = windows(w.woff)
-        word = model.word_rows(w.hashes)
-        value = np.concatenate([[0], np.clip(odds, 0, 3)])[word] if len(word) else np.zeros(1)
+        word = model.word_rows(w, np.arange(len(w.hashes)), hasher)
+        value = np.concatenate([[0], np.clip(odds, 0, 3)])[word].max(1) if len(word) else np.zeros(1)
         gain = (value[at] * mask).sum(1) if len(word) else np.zeros(len(text))
         order = np.lexsort((-gain, text))
         cut = np.searchsorted(text[order], np.arange(len(w) + 1))
-        for r in range(len(w)):
+        for r in np.flatnonzero(learn[base: base + len(w)]):
             own = order[cut[r]: cut[r + 1]]
             label = y_doc[base + r]
             pick = own[:1] if label else np.concatenate([own[:2], own[2:][:: max(1, len(own) // 3)][:3]])
             for i in pick:
                 live = at[i][mask[i]]
                 t, s = trigram_rows(w.data, w.starts[live], w.ends[live])
-                rows.append(np.where(mask[i], word[at[i]], 0) if len(word) else np.zeros(WIDTH, np.int64))
+                rows.append(np.where(mask[i][:, None], word[at[i]], 0) if len(word)
+                            else np.zeros((WIDTH, 1 + len(PREFIXES)), np.int64))
                 chars.append(t)
                 sizes.append(s)
                 masks.append(mask[i])
@@ -301,23 +334,27 @@ def train(texts: list[str], labels: list[int], epochs: int = 12, batch: int = 12
             m = masks[idx]
             owner = np.repeat(np.flatnonzero(m.reshape(-1)), size)
             inv_size = np.repeat(1 / np.maximum(size, 1), size).astype(np.float32)[:, None]
-            x = params["word"][rows[idx]].reshape(-1, EMB).copy()
+            own = rows[idx]
+            x = params["word"][own].sum(2).reshape(-1, EMB)
             np.add.at(x, owner, params["char"][flat] * inv_size)
             _, g, dx = gradients(params, x.reshape(len(idx), WIDTH, EMB), m, ys[idx], weight[idx])
             dx = (dx * m[:, :, None]).reshape(-1, EMB)
             g["word"] = np.zeros_like(params["word"])
-            np.add.at(g["word"], rows[idx].reshape(-1), dx)
+            np.add.at(g["word"], own.reshape(len(dx), -1).T, dx)
+            g["word"][0] = 0
             g["char"] = np.zeros_like(params["char"])
             np.add.at(g["char"], flat, dx[owner] * inv_size)
             adam(params, g, state, step)
-    logit = np.concatenate([model.text_logits(w) for w in parts])
-    model.scale, model.shift = calibrate(logit, y_doc.astype(np.float64))
+    logit = np.concatenate([model.text_logits(w, hasher) for w in parts])
+    rest = ~learn if not learn.all() else learn
+    y = y_doc[rest].astype(np.float64)
+    model.scale, model.shift = calibrate(logit[rest], y, np.where(y == 1, class_weight[1], class_weight[0]))
     return model
 
 
 def sample(docs: DataFrame, labels: DataFrame, id_col: str, text_col: str, label_col: str,
-           per_class: int = SAMPLE) -> tuple[list[str], list[int]]:
-    """Texts and labels of at most ``per_class`` rows of each class, smallest hashes of the id first.
+           per_class: int = SAMPLE) -> tuple[list[str], list[int], tuple[float, float]]:
+    """Texts, labels and class weights (labelled rows per sample row) of at most ``per_class`` rows of each class, smallest hashes of the id first.
 
     Labels that are null or neither 0 nor 1, null ids and repeated label rows are left
     out.  The picked ids are at most 2 * per_class rows, so the join broadcasts them.
@@ -325,13 +362,15 @@ def sample(docs: DataFrame, labels: DataFrame, id_col: str, text_col: str, label
     marked = labels.where(F.col(label_col).isin(0, 1) & F.col(id_col).isNotNull()) \
         .groupBy(F.col(id_col).alias("_id")).agg(F.max(label_col).cast("int").alias("_y")) \
         .withColumn("_h", F.xxhash64(F.col("_id")))
+    totals = {r["_y"]: r["count"] for r in marked.groupBy("_y").count().collect()}
     picked = None
     for y in (0, 1):
         part = marked.where(F.col("_y") == y).orderBy("_h", "_id").limit(per_class)
         picked = part if picked is None else picked.unionByName(part)
     rows = docs.select(F.col(id_col).alias("_id"), F.coalesce(text_col, F.lit("")).alias("_t")).join(
         F.broadcast(picked), "_id").orderBy("_h", "_id").select("_t", "_y").collect()
-    return [r["_t"] for r in rows], [r["_y"] for r in rows]
+    ys = [r["_y"] for r in rows]
+    return [r["_t"] for r in rows], ys, tuple(totals.get(y, 0) / max(1, min(per_class, totals.get(y, 0))) for y in (0, 1))
 
 
 def score(docs: DataFrame, model: Model, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -345,7 +384,7 @@ def score(docs: DataFrame, model: Model, id_col: str = "doc_id", text_col: str =
         hasher = vec.Hasher()
         for batch in batches:
             for i, j, words in vec.word_chunks(batch.column(1), hasher):
-                yield pa.RecordBatch.from_arrays([batch.column(0).slice(i, j - i), pa.array(model.score(words))],
+                yield pa.RecordBatch.from_arrays([batch.column(0).slice(i, j - i), pa.array(model.score(words, hasher))],
                                                  names=[id_col, "score"])
 
     return docs.select(F.col(id_col), F.col(text_col).alias("_t")).mapInArrow(run, f"`{id_col}` {kind}, score double")
@@ -358,7 +397,7 @@ def drop_toxic(docs: DataFrame, model: Model, text_col: str = "text", limit: flo
     def run(batches):
         hasher = vec.Hasher()
         for batch in batches:
-            keep = [model.score(words) < limit for _, _, words in vec.word_chunks(batch.column(at), hasher)]
+            keep = [model.score(words, hasher) < limit for _, _, words in vec.word_chunks(batch.column(at), hasher)]
             if keep:
                 yield batch.filter(pa.array(np.concatenate(keep)))
 
