@@ -1,7 +1,7 @@
 """Operator 2: quality rules by weak supervision [native].
 
 Each rule looks at one figure of a text and votes good (1), bad (-1) or abstains (0).
-No rule decides alone: expectation-maximisation over all documents estimates how
+No failed rule rejects by itself: expectation-maximisation over all documents estimates how
 often each rule votes which way on good and on bad documents, and a document's
 quality is the posterior probability of "good" given all its votes.
 
@@ -25,6 +25,7 @@ SPACE = r"\x20\x09-\x0D"
 SYMBOLS = "#*$%&|<>"
 PRIOR_BAD = 0.15
 SMOOTH = 1e-3  # of all documents, added to every count of votes
+LEAST = 20
 STEPS = 60
 TOLERANCE = 1e-5
 
@@ -75,75 +76,89 @@ def text_figures(docs: DataFrame, text_col: str) -> DataFrame:
     return step.select(*figures, covered.alias("n_repeat_words"))
 
 
-def _vote(bad: Column, good: Column) -> Column:
-    return F.when(bad, -1).when(good, 1).otherwise(0)
+def _vote(bad: Column, good: Column | None = None) -> Column:
+    vote = F.when(bad, -1)
+    return (vote if good is None else vote.when(good, 1)).otherwise(0)
 
 
 def rules() -> dict[str, Column]:
-    """Votes over the text figures.  A text without words: only the length rule votes."""
+    """Votes over the text figures: most rules know one kind of junk and abstain elsewhere.
+
+    On a text without words only the length rule votes.
+    """
     n = F.col("n_words")
-    some = n > 0
 
     def ratio(a, b=n):
         return F.try_divide(F.col(a), b)
 
     return {
-        "length": _vote(n < 20, n >= 50),
-        "symbols": _vote(some & (ratio("n_symbols") > 0.1), some & (ratio("n_symbols") <= 0.03)),
-        "word_size": _vote(some & ((ratio("word_chars") < 2.5) | (ratio("word_chars") > 12)),
-                           some & ratio("word_chars").between(3, 10)),
-        "dup_lines": _vote((F.col("_qlines") > 1) & (ratio("n_dup_lines", F.col("_qlines")) > 0.3),
-                           (F.col("_qlines") > 1) & (F.col("n_dup_lines") == 0)),
-        "repeats": _vote(some & (ratio("n_repeat_words") > 0.4), some & (ratio("n_repeat_words") <= 0.2)),
-        "capitals": _vote(some & (ratio("_qupper", F.col("word_chars")) > 0.4),
-                          some & (ratio("_qupper", F.col("word_chars")) <= 0.15)),
-        "shouting": _vote(some & (ratio("_qshouts") > 0.2), some & (ratio("_qshouts") <= 0.02)),
-        "variety": _vote((n >= 20) & (ratio("_qdistinct") < 0.15), (n >= 20) & (ratio("_qdistinct") > 0.2)),
+        "length": _vote(n < 20, n >= 100),
+        "symbols": _vote(ratio("n_symbols") > 0.1),
+        "word_size": _vote((ratio("word_chars") < 2.5) | (ratio("word_chars") > 12)),
+        "dup_lines": _vote((F.col("n_dup_lines") >= 3) & (ratio("n_dup_lines", F.col("_qlines")) > 0.3)),
+        "repeats": _vote(ratio("n_repeat_words") > 0.4),
+        "capitals": _vote(ratio("_qupper", F.col("word_chars")) > 0.4),
+        "shouting": _vote(ratio("_qshouts") > 0.2),
+        "variety": _vote((n >= 20) & (ratio("_qdistinct") < 0.15), (n >= 50) & (ratio("_qdistinct") > 0.5)),
     }
 
 
 def posterior(names: list[str], rates: dict, prior_bad: float) -> Column:
-    """P(good | votes); ``rates[rule][vote]`` = (P(vote | good), P(vote | bad))."""
+    """P(good | votes); ``rates[rule][vote]`` = (P(vote | good), P(vote | bad)).  An abstention says nothing."""
     logit = F.lit(math.log((1 - prior_bad) / prior_bad))
     for name in names:
         odds = {v: math.log(good / bad) for v, (good, bad) in rates[name].items()}
-        logit = logit + F.when(F.col(f"_v_{name}") == 1, odds[1]).when(F.col(f"_v_{name}") == -1, odds[-1]) \
-            .otherwise(odds[0])
+        logit = logit + F.when(F.col(f"_v_{name}") == 1, odds[1]).when(F.col(f"_v_{name}") == -1, odds[-1]).otherwise(0.0)
     return 1 / (1 + F.exp(-logit))
 
 
-def estimate(patterns: DataFrame, names: list[str]) -> tuple[dict, float]:
-    """EM over (votes, n) rows: vote rates per rule and class, and the share of bad documents.
+def _better_than_chance(rate: dict, prior_bad: float) -> dict:
+    """Vote rates of one rule under the premise that it is better than chance.
 
-    Starts from bad votes being rare on good documents.  The smoothing is a share of
-    the number of documents, so the result does not depend on the table's size.  An
-    empty table keeps the start.
+    Its bad votes are LEAST times as likely on bad documents at least, its good votes as likely
+    on good ones at least.  Junk comes in kinds that different rules see; without the premise
+    EM may take one kind for the whole bad class and count the votes against the others as
+    errors.
+    """
+    good, bad = rate[-1]
+    if bad < LEAST * good:
+        bad = min(0.9, LEAST * good)
+    yes, no = rate[1]
+    if yes < no:
+        yes = no = (1 - prior_bad) * yes + prior_bad * no
+    return {1: (yes, no), -1: (min(good, bad / LEAST), bad)}
+
+
+def estimate(patterns: DataFrame, names: list[str], prior_bad: float = PRIOR_BAD) -> dict:
+    """EM over (votes, n) rows: {rule: {vote: (P(vote | good), P(vote | bad))}}.
+
+    The share of bad documents is given, not estimated: documents without any vote say nothing
+    about it.  Starts from bad votes being rare on good documents.  The smoothing is a
+    share of the number of documents, so the result does not depend on the table's size.
+    An empty table keeps the start.
     """
-    rates = {r: {1: (0.8, 0.6), 0: (0.15, 0.15), -1: (0.05, 0.25)} for r in names}
-    prior_bad = PRIOR_BAD
+    rates = {r: {1: (0.5, 0.4), -1: (0.01, 0.25)} for r in names}
     total = patterns.agg(F.sum("n")).first()[0] or 0
     if not total:
-        return rates, prior_bad
+        return rates
+    pad = SMOOTH * total
+    good, bad = total * (1 - prior_bad) + 2 * pad, total * prior_bad + 2 * pad
     for _ in range(STEPS):
         scored = patterns.withColumn("_good", posterior(names, rates, prior_bad)) \
             .select("*", (F.col("n") * F.col("_good")).alias("_g"), (F.col("n") * (1 - F.col("_good"))).alias("_b"))
-        sums = scored.agg(F.sum("_g"), F.sum("_b"), *[
-            F.sum(F.when(F.col(f"_v_{r}") == v, F.col(c)).otherwise(0.0)) for r in names for v in (1, 0, -1)
-            for c in ("_g", "_b")]).first()
-        good, bad, cells = sums[0], sums[1], iter(sums[2:])
-        pad = SMOOTH * total
-        new = {r: {v: ((next(cells) + pad) / (good + 3 * pad), (next(cells) + pad) / (bad + 3 * pad))
-                   for v in (1, 0, -1)} for r in names}
-        new_prior = (bad + pad) / (total + 2 * pad)
-        moved = max(abs(a - b) for r in names for v in (1, 0, -1) for a, b in zip(new[r][v], rates[r][v]))
-        rates, prior_bad = new, new_prior
+        cells = iter(scored.agg(*[F.sum(F.when(F.col(f"_v_{r}") == v, F.col(c)).otherwise(0.0))
+                                  for r in names for v in (1, -1) for c in ("_g", "_b")]).first())
+        new = {r: _better_than_chance({v: ((next(cells) + pad) / good, (next(cells) + pad) / bad) for v in (1, -1)},
+                                      prior_bad) for r in names}
+        moved = max(abs(a - b) for r in names for v in (1, -1) for a, b in zip(new[r][v], rates[r][v]))
+        rates = new
         if moved < TOLERANCE:
             break
-    return rates, prior_bad
+    return rates
 
 
 def quality(docs: DataFrame, text_col: str = "text", min_words: int = 50, max_repeat_percent: int = 50,
-            votes: dict[str, Column] | None = None) -> DataFrame:
+            votes: dict[str, Column] | None = None, prior_bad: float = PRIOR_BAD) -> DataFrame:
     """The rows of ``docs`` without the text, plus n_words, word_chars, n_symbols, n_dup_lines,
     n_repeat_words (long), quality (double, posterior of good), base_failed and kept (boolean).
 
@@ -151,7 +166,8 @@ def quality(docs: DataFrame, text_col: str = "text", min_words: int = 50, max_re
     percent of them in repeated three-word windows.  ``kept``: not base_failed and a
     quality of at least 0.5.  A null text has no words.  Columns that carry one of the
     new names are replaced; null or repeated ids are passed on; an empty table gives
-    no rows.  ``votes`` replaces the rules (columns of -1, 0, 1 over the text figures).
+    no rows.  ``votes`` replaces the rules (columns of -1, 0, 1 over the text figures);
+    ``prior_bad`` is the share of bad documents before any vote.
     """
     votes = votes or rules()
     names = list(votes)
@@ -161,7 +177,7 @@ def quality(docs: DataFrame, text_col: str = "text", min_words: int = 50, max_re
     voted = cut_lineage(text_figures(plain, text_col).select(
         *others, *added[:5], *[v.cast("int").alias(f"_v_{r}") for r, v in votes.items()]))
     patterns = cut_lineage(voted.groupBy(*[f"_v_{r}" for r in names]).agg(F.count("*").alias("n")))
-    rates, prior_bad = estimate(patterns, names)
+    rates = estimate(patterns, names, prior_bad)
     failed = (F.col("n_words") < min_words) | (100 * F.col("n_repeat_words") > max_repeat_percent * F.col("n_words"))
     return voted.withColumn("quality", posterior(names, rates, prior_bad)).select(
         *others, *added[:6], failed.alias("base_failed"), (~failed & (F.col("quality") >= 0.5)).alias("kept"))

@@ -66,7 +66,7 @@ def test_odd_rows(spark, odd_docs, no_docs):
     labels = spark.createDataFrame([(0, 1), (3, 0), (4, 0), (9, 1), (None, 1), (5, None), (0, 1), (8, 2), (77, 1)],
                                    "doc_id long, toxic int")
     texts, ys, weight = tx.sample(odd_docs, labels, "doc_id", "text", "toxic", per_class=2)
-    assert weight == (1.0, 1.0)
+    assert weight == (1.0, 1.5)  # three ids are labelled 1, two are in the sample
     assert len(texts) == len(ys) and set(ys) == {0, 1}
     model = tx.train(texts, ys, epochs=2)
     got = tx.score(odd_docs, model)

@@ -51,15 +51,17 @@ def test_odd_rows(spark, odd_docs, no_docs):
 
 
 def test_em_finds_the_reliable_rules(spark):
-    # two informative rules and one coin; truth has a fifth of bad documents
-    df = spark.range(20_000).select(
-        (F.xxhash64(F.lit(1), "id") % 5 == 0).alias("bad"), *[F.xxhash64(F.lit(k), "id").alias(f"h{k}") for k in (2, 3, 4)])
-    def rule(h, miss):
-        wrong = (F.col(h) % 100).between(-miss, miss)
-        return F.when(F.col("bad") == ~wrong, -1).otherwise(1)
-    voted = df.select(rule("h2", 2).alias("_v_a"), rule("h3", 2).alias("_v_b"), rule("h4", 2).alias("_v_c"))
-    rates, prior = wq.estimate(voted.groupBy("_v_a", "_v_b", "_v_c").agg(F.count("*").alias("n")), ["a", "b", "c"])
-    assert prior == pytest.approx(0.2, abs=0.02)
-    for r in "abc":
-        good, bad = rates[r][-1]
-        assert good < 0.1 and bad > 0.9
+    # a and b see the truth (a fifth is bad), c votes bad by chance
+    bad = F.xxhash64(F.lit(1), "id") % 5 == 0
+    def rule(k, miss):
+        wrong = F.abs(F.xxhash64(F.lit(k), "id")) % 100 < miss
+        return F.when(bad & ~wrong, -1).when(~bad & wrong, -1).otherwise(0)
+    voted = spark.range(20_000).select(rule(2, 2).alias("_v_a"), rule(3, 2).alias("_v_b"),
+                                       F.when(F.abs(F.xxhash64(F.lit(4), "id")) % 100 < 10, -1).otherwise(0).alias("_v_c"))
+    rates = wq.estimate(voted.groupBy("_v_a", "_v_b", "_v_c").agg(F.count("*").alias("n")), ["a", "b", "c"], 0.2)
+    for r in "ab":
+        good, bad_rate = rates[r][-1]
+        assert good < 0.05 and bad_rate > 0.8
+    odds = {r: rates[r][-1][1] / rates[r][-1][0] for r in "abc"}
+    assert min(odds["a"], odds["b"]) > 1.5 * odds["c"] >= 1.5 * (wq.LEAST - 1e-6)
+    assert wq.estimate(voted.limit(0).groupBy("_v_a").agg(F.count("*").alias("n")), ["a"])["a"][-1][1] > 0
