@@ -44,8 +44,7 @@ def build(sf: str):
 
     def packed(spark):
         c = chunks(spark).select("doc_id", "chunk_idx", encode(F.col("text")).alias("input_ids"))
-        c = c.withColumn("attention_mask", F.array_repeat(F.lit(1), F.size("input_ids")))
-        return pack_blocks(c, ["doc_id", "chunk_idx"])
+        return pack_blocks(c, ["doc_id", "chunk_idx"], ["input_ids"], ones=["attention_mask"])
 
     def plan(spark):
         s = pretrain_sequences(chunks(spark).select(F.concat_ws(":", "doc_id", "chunk_idx").alias("key"), "text"))

@@ -10,6 +10,8 @@ list is bounded by the vocabulary size, so shipping it with the task is safe.
 
 from __future__ import annotations
 
+import heapq
+from collections.abc import Iterator
 from dataclasses import dataclass, field
 from functools import cached_property
 
@@ -20,7 +22,7 @@ from pyspark.sql import types as T
 
 from quarry.constants import SPECIAL_TOKENS
 from quarry.functions.bytes import FIRST_MERGE_ID, byte_ids, byte_to_id, id_to_byte
-from quarry.functions.text import has_special, nfkc, nfkc_pieces, pretokenize, split_specials
+from quarry.functions.text import has_special, nfkc_pieces, pretokenize, split_specials
 
 
 @dataclass(frozen=True)
@@ -69,7 +71,8 @@ def encode(col: Column, model: BpeModel | None = None, normalize: bool = True) -
     """K4 for one text column -> array<int> of token ids (no truncation)."""
     pieces = encode_pieces(col, normalize)
     if model is None or not model.merges:
-        whole = byte_ids(nfkc(col) if normalize else col)  # no special inside: one piece
+        # without a special inside the text is one piece (or none)
+        whole = byte_ids(F.coalesce(F.get(pieces, F.lit(0)), col) if normalize else col)
         split = F.flatten(F.transform(pieces, lambda p: F.when(_is_special(p), F.array(_special_id(p)))
                                       .otherwise(byte_ids(p))))
         return F.when(~has_special(col), whole).otherwise(split)
@@ -78,59 +81,71 @@ def encode(col: Column, model: BpeModel | None = None, normalize: bool = True) -
     return bpe_words_udf(model)(words)
 
 
+def token_count(col: Column, model: BpeModel | None = None, normalize: bool = True) -> Column:
+    """Number of ids that ``encode`` gives; without merges no ids are made."""
+    if model is not None and model.merges:
+        return F.size(encode(col, model, normalize))
+    pieces = encode_pieces(col, normalize)
+    sizes = F.transform(pieces, lambda p: F.when(_is_special(p), 1).otherwise(F.octet_length(p)))
+    return F.when(col.isNotNull(), F.aggregate(sizes, F.lit(0), lambda acc, x: acc + x))
+
+
 def make_word_encoder(merges, b2i=None):
-    """Small per-task helper: pre-token -> ids by applying merges in rank order.
+    """Pre-token -> ids by applying merges in rank order; made once per task.
 
-    Repeatedly merges every left-to-right occurrence of the lowest-ranked pair
-    present, which equals applying the merge list in order.  Results are cached
-    per task (bounded), since pre-tokens repeat heavily.
+    A heap holds the mergeable neighbours by (rank, place); a merge links the symbols
+    around it anew, so a word of n symbols takes n log n steps.  This equals merging all
+    occurrences of the lowest-ranked pair, left to right, again and again.  Words
+    met before come from a table that is emptied when it is full.
     """
     ranks = {(a, b): (r, n) for r, (a, b, n) in enumerate(merges)}
     b2i = list(b2i if b2i is not None else byte_to_id())
     special = {s: i for i, s in enumerate(SPECIAL_TOKENS)}
     cache: dict[str, list[int]] = {}
 
+    def merge(syms: list[int]) -> list[int]:
+        n = len(syms)
+        left, right = list(range(-1, n - 1)), list(range(1, n + 1))
+        heap = [(*hit, i, syms[i], syms[i + 1]) for i in range(n - 1) if (hit := ranks.get((syms[i], syms[i + 1])))]
+        heapq.heapify(heap)
+        while heap:
+            _, new, i, a, b = heapq.heappop(heap)
+            j = right[i] if syms[i] == a else n
+            if j >= n or syms[j] != b:
+                continue  # one of the two has been merged meanwhile
+            syms[i], syms[j] = new, -1
+            right[i] = right[j]
+            if right[i] < n:
+                left[right[i]] = i
+            for x, y in ((left[i], i), (i, right[i])):
+                if x >= 0 and y < n and (hit := ranks.get((syms[x], syms[y]))):
+                    heapq.heappush(heap, (*hit, x, syms[x], syms[y]))
+        return [s for s in syms if s >= 0]
+
     def enc(w: str) -> list[int]:
         hit = cache.get(w)
-        if hit is not None:
-            return hit
-        if w in special:
-            syms = [special[w]]
-        else:
-            syms = [b2i[b] for b in w.encode("utf-8")]
-            while len(syms) > 1:
-                best = None
-                for i in range(len(syms) - 1):
-                    rk = ranks.get((syms[i], syms[i + 1]))
-                    if rk is not None and (best is None or rk[0] < best[0]):
-                        best = (rk[0], syms[i], syms[i + 1], rk[1])
-                if best is None:
-                    break
-                _, a, b, n = best
-                out, i = [], 0
-                while i < len(syms):
-                    if i + 1 < len(syms) and syms[i] == a and syms[i + 1] == b:
-                        out.append(n)
-                        i += 2
-                    else:
-                        out.append(syms[i])
-                        i += 1
-                syms = out
-        if len(cache) < 500_000:
-            cache[w] = syms
-        return syms
+        if hit is None:
+            hit = [special[w]] if w in special else merge([b2i[b] for b in w.encode("utf-8")])
+            if len(cache) >= WORD_TABLE:
+                cache.clear()
+            cache[w] = hit
+        return hit
 
     return enc
 
 
+WORD_TABLE = 200_000
+
+
 def bpe_words_udf(model: BpeModel):
     merges = list(model.merges)
     b2i = list(byte_to_id())  # plain list: shipped with the task, no cached function on the worker
 
     @F.pandas_udf(T.ArrayType(T.IntegerType()))
-    def _bpe(words: pd.Series) -> pd.Series:
+    def _bpe(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
         enc = make_word_encoder(merges, b2i)
-        return words.map(lambda ws: None if ws is None else [i for w in ws for i in enc(w)])
+        for words in batches:
+            yield words.map(lambda ws: None if ws is None else [i for w in ws for i in enc(w)])
 
     return _bpe
 
@@ -146,4 +161,4 @@ def decode(ids: Column, model: BpeModel | None = None, skip_special: bool = Fals
     if skip_special:
         ids = F.filter(ids, lambda i: i >= len(SPECIAL_TOKENS))
     hexed = F.array_join(F.transform(ids, lambda i: F.element_at(vocab, i + 1)), "")
-    return F.decode(F.unhex(hexed), "UTF-8")
+    return F.make_valid_utf8(F.unhex(hexed).cast("string"))

@@ -2,20 +2,17 @@
 
 from __future__ import annotations
 
-from quarry.constants import SPECIAL_TOKENS
-from quarry.functions.bytes import byte_to_id
-from quarry.functions.encode import BpeModel, make_word_encoder
+import unicodedata
 
-try:
-    import regex as _re  # \p{L} classes for the pre-token pattern
-except ImportError:  # pragma: no cover
-    _re = None
+import regex  # \p{L} classes for the pre-token pattern
 
-from quarry.constants import PRETOKEN_PATTERN
+from quarry.constants import PRETOKEN_PATTERN, SPECIAL_TOKENS
+from quarry.functions.bytes import byte_to_id
+from quarry.functions.encode import BpeModel, make_word_encoder
 
 
-def encode_literal(text: str, model: BpeModel | None = None) -> list[int]:
-    """Same ids as ``functions.encode.encode`` for a constant ASCII-safe string."""
+def encode_literal(text: str, model: BpeModel | None = None, normalize: bool = True) -> list[int]:
+    """Same ids as ``functions.encode.encode`` for a constant string."""
     pieces, i = [], 0
     specials = sorted(SPECIAL_TOKENS, key=len, reverse=True)
     buf = ""
@@ -38,10 +35,13 @@ def encode_literal(text: str, model: BpeModel | None = None) -> list[int]:
     for p in pieces:
         if p in SPECIAL_TOKENS:
             ids.append(SPECIAL_TOKENS.index(p))
-        elif enc is None:
+            continue
+        if normalize:
+            p = unicodedata.normalize("NFKC", p)
+        if enc is None:
             ids.extend(b2i[b] for b in p.encode("utf-8"))
         else:
             pat = PRETOKEN_PATTERN.replace("(?U)", "")
-            for w in _re.findall(pat, p):
+            for w in regex.findall(pat, p):
                 ids.extend(enc(w))
     return ids

@@ -81,11 +81,15 @@ def is_ascii(col: Column) -> Column:
 
 
 # Characters whose NFKC form is themselves and that never compose with a
-# neighbour from the same set: ASCII, the non-compatibility Latin-1 signs and
-# letters, CJK unified ideographs and the ideographic comma / full stop.
-# (Checked against unicodedata in tests/test_text.py.)
+# neighbour from the same set: ASCII, non-compatibility Latin-1 and Latin Extended-A,
+# Greek and Cyrillic letters, dashes, curly quotes, bullet and euro sign, CJK
+# punctuation, kana, CJK unified ideographs, Hangul syllables.
+# (Checked against unicodedata in tests/test_text_and_bytes.py.)
 NFKC_STABLE_CLASS = ("\\x00-\\x7F\\u00A1-\\u00A7\\u00A9\\u00AB-\\u00AE\\u00B0\\u00B1\\u00B6\\u00B7"
-                     "\\u00BB\\u00BF-\\u00FF\\u3001\\u3002\\u3400-\\u4DBF\\u4E00-\\u9FFF")
+                     "\\u00BB\\u00BF-\\u0131\\u0134-\\u013E\\u0141-\\u0148\\u014A-\\u017E"
+                     "\\u0386\\u0388-\\u038A\\u038C\\u038E-\\u03A1\\u03A3-\\u03CE\\u0400-\\u045F"
+                     "\\u2010\\u2012-\\u2015\\u2018-\\u201F\\u2022\\u20AC\\u3001\\u3002\\u3008-\\u3011"
+                     "\\u3041-\\u3096\\u30A1-\\u30FA\\u30FC\\u3400-\\u4DBF\\u4E00-\\u9FFF\\uAC00-\\uD7A3")
 
 
 def nfkc_stable(col: Column) -> Column:

@@ -54,6 +54,12 @@ def device_shards(df: DataFrame, devices: int, n: int, batch_size: int = BATCH_S
     return df.withColumn("device", F.floor(F.col("slot") / part).cast("long"))
 
 
+def write_shards(rows: DataFrame, path: str, shard_col: str = "device") -> None:
+    """B4 on write: one directory per shard, so that a worker reads only its own."""
+    rows.repartition(shard_col, *[c for c in ("step",) if c in rows.columns]) \
+        .write.mode("overwrite").partitionBy(shard_col).parquet(path)
+
+
 def collate(df: DataFrame, cols: list[str], group_cols: tuple = ("epoch", "step")) -> DataFrame:
     """Stack the rows of each batch in slot order (one group = one batch, bounded)."""
     agg = df.groupBy(*group_cols).agg(F.sort_array(F.collect_list(F.struct("slot", *cols))).alias("_rows"))

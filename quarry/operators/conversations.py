@@ -9,16 +9,20 @@ is bounded.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from quarry.operators.index import with_row_index
 
 
-def turn_ranks(turns: DataFrame, keep: Column | None = None, name: str = "rank") -> DataFrame:
-    """0-based rank of each (kept) turn within its conversation, in turn order."""
-    rows = turns.where(keep) if keep is not None else turns
-    return with_row_index(rows, ["turn"], name, group_cols=["conv_id"])
+def first_ranked(turns: DataFrame, bound: int) -> DataFrame:
+    """The first ``bound`` turns of each conversation, in turn order.
+
+    Only (conv_id, turn) pairs are ranked; the turns themselves are then picked by a semi-join.
+    """
+    near = with_row_index(turns.select("conv_id", "turn"), ["turn"], "rank", group_cols=["conv_id"]) \
+        .where(F.col("rank") < bound)
+    return turns.join(near, ["conv_id", "turn"], "left_semi")
 
 
 def first_turns(turns: DataFrame) -> DataFrame:

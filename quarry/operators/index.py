@@ -1,32 +1,39 @@
 """Stable positions and prefix sums without a single-partition window.
 
-``with_row_index`` range-partitions on the order key, numbers rows inside each
-partition with ``monotonically_increasing_id`` (JVM-side, no Python), counts
-rows per (group, partition) and turns those counts into offsets.  The offset
-table has one row per (group, partition) pair; without groups it is broadcast (one row
-per partition), with groups AQE chooses broadcast or shuffle join at run time
-from its materialised size.  A hot group is spread over many
-range partitions, so no task ever holds a whole group.
+Rows are range-partitioned on the order key and sorted; each row's partition and its
+place in it are then written, with the row, to the checkpoint folder.  Both passes that
+follow (rows per partition, and the rows themselves) read those files, so they agree
+whatever happens to caches or executors in between.  The offset table has one row
+per partition, or per (group, partition) pair; a hot group is spread over many range
+partitions, so no task ever holds a whole group.
+
+Prefix sums carry only the order key and the summed numbers; texts and id arrays are
+joined back by the caller where they are wanted.
 """
 
 from __future__ import annotations
 
-import pyarrow as pa
-import pyarrow.compute as pc
-from pyspark import StorageLevel
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
+
+from quarry.session import cut_lineage
 
 _LOCAL_BITS = 33
 _LOCAL_MASK = (1 << _LOCAL_BITS) - 1
-BROADCAST_ROWS = 1_000_000  # offset tables below this row count are broadcast
 
 
 def _cols(cols):
     return [F.col(c) if isinstance(c, str) else c for c in cols]
 
 
+def _ranged(df: DataFrame, order: list, num_partitions: int | None = None) -> DataFrame:
+    """``df`` in range partitions with each row's partition (_pid) and place in it (_loc), stored."""
+    parts = df.repartitionByRange(num_partitions, *order) if num_partitions else df.repartitionByRange(*order)
+    return cut_lineage(parts.sortWithinPartitions(*order).withColumn("_mid", F.monotonically_increasing_id())
+                       .withColumn("_pid", F.shiftrightunsigned("_mid", _LOCAL_BITS))
+                       .withColumn("_loc", F.col("_mid").bitwiseAND(F.lit(_LOCAL_MASK))).drop("_mid"))
+
+
 def with_row_index(df: DataFrame, order_cols: list, name: str = "idx",
                    group_cols: list[str] | None = None, num_partitions: int | None = None) -> DataFrame:
     """0-based position of each row in ``order_cols`` order (within ``group_cols``).
@@ -34,93 +41,61 @@ def with_row_index(df: DataFrame, order_cols: list, name: str = "idx",
     The order columns must make the order total (unique), as with any stable index.
     """
     group_cols = group_cols or []
-    order = _cols(group_cols) + _cols(order_cols)
-    ranged = (df.repartitionByRange(num_partitions, *order) if num_partitions
-              else df.repartitionByRange(*order)).sortWithinPartitions(*order)
-    tagged = (ranged.withColumn("_mid", F.monotonically_increasing_id())
-              .withColumn("_pid", F.shiftrightunsigned("_mid", _LOCAL_BITS))
-              .withColumn("_loc", F.col("_mid").bitwiseAND(F.lit(_LOCAL_MASK)))
-              .persist(StorageLevel.MEMORY_AND_DISK))
+    tagged = _ranged(df, _cols(group_cols) + _cols(order_cols), num_partitions)
     # rows of one group in one partition are contiguous (sorted by group first)
     counts = tagged.groupBy(*group_cols, "_pid").agg(F.count("*").alias("_n"), F.min("_loc").alias("_first"))
     w = (Window.partitionBy(*group_cols) if group_cols else Window).orderBy("_pid") \
         .rowsBetween(Window.unboundedPreceding, -1)
-    offsets = counts.select(*group_cols, "_pid", "_first",
+    keys = [F.col(g).alias(f"_g_{i}") for i, g in enumerate(group_cols)]
+    offsets = counts.select(*keys, F.col("_pid").alias("_p"), "_first",
                             F.coalesce(F.sum("_n").over(w), F.lit(0)).alias("_off"))
-    if not group_cols:  # one row per partition: a proven bound
-        offsets = F.broadcast(offsets)
-    # with groups the table has one row per (group, partition) pair; AQE broadcasts
-    # it at run time when its materialised size is small, else it is shuffle-joined
-    out = tagged.join(offsets, on=[*group_cols, "_pid"], how="inner")
-    return out.withColumn(name, F.col("_off") + F.col("_loc") - F.col("_first")).drop(
-        "_mid", "_pid", "_loc", "_off", "_first")
+    # null groups count as a group of their own; AQE broadcasts the offsets when they are small
+    on = F.col("_pid") == F.col("_p")
+    for i, g in enumerate(group_cols):
+        on = on & F.col(g).eqNullSafe(F.col(f"_g_{i}"))
+    out = tagged.join(offsets, on)
+    return out.withColumn(name, F.col("_off") + F.col("_loc") - F.col("_first")).select(*df.columns, name)
 
 
-def head_records(df: DataFrame, order_cols: list, n: int, name: str = "idx") -> DataFrame:
-    """The first ``n`` records in order (a bounded top-n, then numbered)."""
-    top = df.orderBy(*_cols(order_cols)).limit(n)
-    return top.withColumn(name, F.row_number().over(Window.orderBy(*_cols(order_cols))) - 1)
+def rows_at(indexed: DataFrame, positions: DataFrame, name: str = "idx") -> DataFrame:
+    """S8 lookup: the rows whose position occurs in the one-column table ``positions`` (a semi-join)."""
+    return indexed.join(positions.toDF(name), name, "left_semi")
 
 
-def prefix_sum(df: DataFrame, order_cols: list, value_col: str | dict, out_col: str | None = None,
-               persist_input: bool = True) -> DataFrame:
-    """Exclusive running sums in order (see ``prefix_sum_totals``)."""
-    return prefix_sum_totals(df, order_cols, value_col, out_col, persist_input)[0]
+def head_records(df: DataFrame, order_cols: list, n: int, name: str = "idx") -> DataFrame:
+    """The first ``n`` records in order, numbered from 0.
+
+    The cut is a distributed top-n; the survivors are numbered by range partitions (S8).
+    """
+    return with_row_index(df.orderBy(*_cols(order_cols)).limit(n), order_cols, name)
 
 
-def prefix_sum_totals(df: DataFrame, order_cols: list, value_col: str | dict, out_col: str | None = None,
-                      persist_input: bool = True) -> tuple[DataFrame, dict[str, int]]:
-    """Exclusive running sums in order, distributed.
+def prefix_sums(df: DataFrame, order_cols: list[str], sums: dict[str, str]) -> DataFrame:
+    """(order columns, summed columns, prefix columns): exclusive running sums in order.
 
-    ``value_col`` is one column (with ``out_col``) or a dict {out_col: value_col}.
-    Pass 1 sums each range partition (one number per partition and column
-    reaches the driver); pass 2 runs a per-partition cumulative sum over Arrow
-    batches starting at that partition's offset.  No row leaves its partition.
-    With ``persist_input`` an expensive input (e.g. freshly encoded ids) is
-    computed once for both the range-bound sampling and the shuffle, and
-    released as soon as the range-partitioned copy is materialised.
+    ``sums`` maps each new column to the column it sums (nulls count as 0).  The order must
+    be total.  Other columns of ``df`` are left out; join on the order columns to
+    get them back.
     """
-    pairs = dict(value_col) if isinstance(value_col, dict) else {out_col: value_col}
-    order = _cols(order_cols)
-    src = df.persist(StorageLevel.MEMORY_AND_DISK) if persist_input else df
-    ranged = (src.repartitionByRange(*order).sortWithinPartitions(*order)
-              .withColumn("_pid", F.spark_partition_id())
-              .persist(StorageLevel.MEMORY_AND_DISK))
-    sums = ranged.groupBy("_pid").agg(*[F.sum(v).alias(o) for o, v in pairs.items()]).collect()
-    if persist_input:
-        src.unpersist()
-    offsets: dict[int, dict[str, int]] = {}
-    run = {o: 0 for o in pairs}
-    for r in sorted(sums, key=lambda r: r["_pid"]):
-        offsets[r["_pid"]] = dict(run)
-        for o in pairs:
-            run[o] += r[o] or 0
-    schema = T.StructType(ranged.schema.fields + [T.StructField(o, T.LongType(), False) for o in pairs])
-
-    def run_sums(batches):
-        acc = None
-        for b in batches:
-            if b.num_rows == 0:
-                continue
-            if acc is None:
-                acc = dict(offsets.get(b.column("_pid")[0].as_py(), {o: 0 for o in pairs}))
-            for o, v in pairs.items():
-                vals = pc.fill_null(b.column(v), 0).cast(pa.int64())
-                incl = pc.add(pc.cumulative_sum(vals), acc[o])
-                acc[o] = incl[-1].as_py()
-                b = b.append_column(o, pc.subtract(incl, vals))
-            yield b
-
-    return ranged.mapInArrow(run_sums, schema).drop("_pid"), run
-
-
-def record_offsets(lines: DataFrame, order_cols: list, line_col: str = "line") -> DataFrame:
-    """Byte offsets of each line in a newline-joined file.
+    slim = df.select(*order_cols, *dict.fromkeys(sums.values()))
+    ranged = _ranged(slim, _cols(order_cols))
+    before = Window.orderBy("_pid").rowsBetween(Window.unboundedPreceding, -1)  # one row per partition
+    totals = ranged.groupBy("_pid").agg(*[F.sum(v).alias(f"_t_{o}") for o, v in sums.items()])
+    offsets = totals.select(F.col("_pid").alias("_p"), *[
+        F.coalesce(F.sum(f"_t_{o}").over(before), F.lit(0)).alias(f"_o_{o}") for o in sums])
+    inside = Window.partitionBy("_pid").orderBy("_loc").rowsBetween(Window.unboundedPreceding, -1)
+    local = ranged.select("*", *[F.coalesce(F.sum(v).over(inside), F.lit(0)).alias(f"_l_{o}") for o, v in sums.items()])
+    out = local.join(offsets, F.col("_pid") == F.col("_p"))
+    return out.select(*slim.columns, *[(F.col(f"_o_{o}") + F.col(f"_l_{o}")).cast("long").alias(o) for o in sums])
+
+
+def record_offsets(lines: DataFrame, order_cols: list[str], line_col: str = "line") -> DataFrame:
+    """(order columns, byte_start, byte_end) of each line in a newline-joined file.
 
     ``byte_start`` = sum of (UTF-8 length + 1) of earlier lines; ``byte_end`` =
     ``byte_start`` + own length + 1; the n+1 offsets are byte_start of every row
-    plus the last byte_end.
+    plus the last byte_end.  Only keys and lengths are moved.
     """
-    sized = lines.withColumn("_len", (F.octet_length(line_col) + 1).cast("long"))
-    out = prefix_sum(sized, order_cols, "_len", "byte_start")
-    return out.withColumn("byte_end", F.col("byte_start") + F.col("_len")).drop("_len")
+    sized = lines.select(*order_cols, (F.octet_length(line_col) + 1).cast("long").alias("_len"))
+    out = prefix_sums(sized, order_cols, {"byte_start": "_len"})
+    return out.withColumn("byte_end", F.col("byte_start") + F.coalesce("_len", F.lit(0))).drop("_len")

@@ -40,8 +40,6 @@ def seeded_draw(df: DataFrame, by: str = "ctx", token: str = "token", p: str = "
     w = Window.partitionBy(by).orderBy(token).rowsBetween(Window.unboundedPreceding, 0)
     u = uniform(F.concat_ws(":", F.col(by).cast("string"), F.lit(str(seed))))
     run = df.withColumn("_c", F.sum(p).over(w)).withColumn("_u", u)
-    hit = run.where(F.col("_c") >= F.col("_u"))
     # numerical slack: if rounding leaves the total below u, the last token is drawn
-    last = run.groupBy(by).agg(F.max(token).alias("_last"))
-    first_hit = hit.groupBy(by).agg(F.min(token).alias("_hit"))
-    return last.join(first_hit, by, "left").select(by, F.coalesce("_hit", "_last").alias(token))
+    first_hit = F.min(F.when(F.col("_c") >= F.col("_u"), F.col(token)))
+    return run.groupBy(by).agg(F.coalesce(first_hit, F.max(token)).alias(token))

@@ -7,7 +7,6 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from quarry.constants import LOSS_IGNORE_ID, MAX_LENGTH
-from quarry.operators.index import BROADCAST_ROWS
 
 
 def array_sum(arr: Column) -> Column:
@@ -69,8 +68,7 @@ def ngram_nll(seqs: DataFrame, group_cols: list[str], vocab_size: int,
     p(y|x) = (c(x,y) + 1) / (c(x) + V) over loss-bearing pairs.  The token-level
     positions are read once and pre-aggregated to (group, x, y, loss weight);
     the bigram model and the scoring are built from that small table, which is
-    bounded by groups x V^2.  The model (at most V^2 rows) is broadcast only
-    when that bound is small; otherwise AQE picks the join at run time.
+    bounded by groups x V^2; adaptive execution picks the joins from its size.
     """
     pos = _positions(seqs, group_cols).groupBy(*group_cols, "x", "y").agg(F.sum("m").alias("m")) \
         .persist(StorageLevel.MEMORY_AND_DISK)
@@ -78,9 +76,6 @@ def ngram_nll(seqs: DataFrame, group_cols: list[str], vocab_size: int,
     ctx = pairs.groupBy("x").agg(F.sum("n").alias("cx"))
     model = pairs.join(ctx, "x").select("x", "y", (-F.ln((F.col("n") + 1) / (F.col("cx") + vocab_size)))
                                         .alias("nll"))
-    small = vocab_size * vocab_size <= BROADCAST_ROWS
-    model = F.broadcast(model) if small else model
-    ctx = F.broadcast(ctx) if small else ctx
     # every group is kept: a group without loss positions gets a NULL mean (A1)
     scored = (pos.join(model, ["x", "y"], "left").join(ctx, "x", "left")
               .select(*group_cols, "y", "m",

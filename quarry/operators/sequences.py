@@ -6,11 +6,10 @@ concatenated and cut into ``block_size`` blocks; the remainder is dropped,
 unless the whole batch is shorter than one block, which then yields one short
 block.  Every column is cut alike; labels are a copy of input ids.
 
-Spark plan: one distributed prefix-sum pass gives each row its global index
-and global id offset (range partitioning, per-partition Arrow cumulative sums,
-no window) -> a partial aggregate per batch gives the batch start and total
-(one row per batch; broadcast when small) -> each row is cut into the
-fragments that fall into kept blocks -> group by (batch, block) and
+Spark plan: a distributed prefix-sum pass over (key, size) gives each row its global
+index and global id offset -> a partial aggregate per batch gives the batch start
+and total -> the kept blocks of each row are worked out on that slim table -> one join
+by key brings in the ids, cut into fragments -> group by (batch, block) and
 concatenate fragments in row order.  A group holds one block's worth of ids,
 never a whole batch, so even a single huge batch (a stream micro-batch) is
 spread over all tasks.
@@ -23,7 +22,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from quarry.constants import BLOCK_SIZE, PACK_BATCH_SIZE
-from quarry.operators.index import BROADCAST_ROWS, prefix_sum_totals
+from quarry.operators.index import prefix_sums
+from quarry.session import cut_lineage
 
 
 def _field(name: str):
@@ -43,38 +43,43 @@ def shard_of(idx: Column, n: int, num_proc: int) -> tuple[Column, Column]:
     return shard, idx - start
 
 
-def pack_blocks(df: DataFrame, order_cols: list, columns: list[str] | tuple = ("input_ids", "attention_mask"),
+def pack_blocks(df: DataFrame, order_cols: list[str], columns: list[str] | tuple = ("input_ids", "attention_mask"),
                 block_size: int = BLOCK_SIZE, batch_size: int = PACK_BATCH_SIZE, num_proc: int = 1,
-                labels_from: str | None = "input_ids") -> DataFrame:
-    """Rows (shard, batch, block, <columns>..., labels)."""
+                labels_from: str | None = "input_ids", ones: list[str] | tuple = (),
+                persist_input: bool = True) -> DataFrame:
+    """Rows (shard, batch, block, <columns>..., <ones>..., labels).
+
+    ``order_cols`` identify a row.  ``ones``: columns that are 1 for every id (an attention
+    mask before padding); they are made from the blocks' lengths instead of being moved.
+    """
     columns = list(columns)
-    main = columns[0]
-    base = df.select(*[c for c in order_cols if isinstance(c, str)], *columns) \
-        .withColumn("_one", F.lit(1).cast("long")).withColumn("_sz", F.size(main).cast("long"))
-    # global row index and global id offset in one distributed pass (no window over a batch)
-    placed, totals = prefix_sum_totals(base, order_cols, {"_idx": "_one", "_gpos": "_sz"})
-    n = totals["_idx"]
+    src = df.select(*order_cols, *columns, F.size(columns[0]).cast("long").alias("_sz"), F.lit(1).cast("long").alias("_one"))
+    if persist_input:  # read for the sizes and for the ids; recomputed if lost
+        src = src.persist(StorageLevel.MEMORY_AND_DISK)
+    places = cut_lineage(prefix_sums(src, order_cols, {"_idx": "_one", "_gpos": "_sz"}))
+    n = places.count()
     shard, local = shard_of(F.col("_idx"), n, num_proc)
-    placed = placed.withColumn("shard", shard).withColumn("batch", F.floor(local / batch_size).cast("long")) \
-        .persist(StorageLevel.MEMORY_AND_DISK)  # read by the batch stats and by the cut
-    stats = placed.groupBy("shard", "batch").agg(F.min("_gpos").alias("_bstart"), F.sum("_sz").alias("_total"))
-    nb = -(-n // batch_size) + num_proc  # batches per shard, rounded up in every shard
-    stats = F.broadcast(stats) if nb <= BROADCAST_ROWS else stats
-    rows = placed.where(F.col("_sz") > 0).join(stats, ["shard", "batch"]) \
+    places = places.withColumn("shard", shard).withColumn("batch", F.floor(local / batch_size).cast("long"))
+    stats = places.groupBy("shard", "batch").agg(F.min("_gpos").alias("_bstart"), F.sum("_sz").alias("_total"))
+    # the cut points of every row, on the slim table; ids are joined once
+    rows = places.where(F.col("_sz") > 0).join(stats, ["shard", "batch"]) \
         .withColumn("_off", F.col("_gpos") - F.col("_bstart"))
     nblocks = F.when(F.col("_total") >= block_size, F.floor(F.col("_total") / block_size)).otherwise(1)
     first = F.floor(F.col("_off") / block_size)
-    last = F.floor((F.col("_off") + F.col("_sz") - 1) / block_size)
-    blocks = F.filter(F.sequence(first, last), lambda b: b < nblocks)
-    exploded = rows.select("shard", "batch", "_idx", "_off", "_sz", *columns, F.explode(blocks).alias("block"))
+    last = F.least(F.floor((F.col("_off") + F.col("_sz") - 1) / block_size), nblocks - 1)
+    cut = rows.where(first <= last).select(*[F.col(c).alias(f"_k_{i}") for i, c in enumerate(order_cols)], "shard", "batch",
+                                           "_idx", "_off", "_total", first.alias("_first"), last.alias("_last"))
+    on = [F.col(c).eqNullSafe(F.col(f"_k_{i}")) for i, c in enumerate(order_cols)]
+    blocks = src.join(cut, on).withColumn("block", F.explode(F.sequence("_first", "_last")))
     lo = F.greatest(F.col("block") * block_size, F.col("_off"))
     hi = F.least((F.col("block") + 1) * block_size, F.col("_off") + F.col("_sz"))
     frags = [F.slice(F.col(c), (lo - F.col("_off") + 1).cast("int"), (hi - lo).cast("int")).alias(c) for c in columns]
-    pieces = exploded.select("shard", "batch", F.col("block").cast("long").alias("block"), "_idx", *frags)
+    pieces = blocks.select("shard", "batch", F.col("block").cast("long").alias("block"), "_idx", *frags)
     agg = pieces.groupBy("shard", "batch", "block").agg(
         F.sort_array(F.collect_list(F.struct("_idx", *columns))).alias("_f"))
     out = agg.select("shard", "batch", "block",
                      *[F.flatten(F.transform("_f", _field(c))).alias(c) for c in columns])
+    out = out.withColumns({c: F.array_repeat(F.lit(1), F.size(columns[0])) for c in ones})
     if labels_from:
         out = out.withColumn("labels", F.col(labels_from))
     return out

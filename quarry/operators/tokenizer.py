@@ -25,9 +25,9 @@ from pyspark import StorageLevel
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from quarry.constants import MIN_FREQUENCY, SPECIAL_TOKENS, VOCAB_SIZE
+from quarry.constants import BOS_ID, EOS_ID, MIN_FREQUENCY, PAD_ID, SPECIAL_TOKENS, UNK_ID, VOCAB_SIZE
 from quarry.functions.bytes import FIRST_MERGE_ID, byte_to_id
-from quarry.functions.encode import BpeModel, decode, encode
+from quarry.functions.encode import BpeModel, decode, encode, token_count
 from quarry.functions.text import nfkc, pretokenize
 from quarry.session import cut_lineage
 
@@ -106,7 +106,7 @@ def _release(frames) -> None:
 
 def train_bpe(docs: DataFrame, vocab_size: int = VOCAB_SIZE, min_frequency: int = MIN_FREQUENCY,
               text_col: str = "text", candidates: int = 256, checkpoint_every: int = 10,
-              normalize: bool = True, max_rounds: int | None = None, log_rounds: bool = False,
+              normalize: bool = True, log_rounds: bool = False,
               incremental_share: float = 0.0) -> BpeModel:
     """K3: byte-level BPE training.  Returns the ordered merges (bounded by vocab_size).
 
@@ -202,20 +202,12 @@ def train_bpe(docs: DataFrame, vocab_size: int = VOCAB_SIZE, min_frequency: int
             waiting_pairs.append(pairs)
             waiting_states.append(state)
         pairs, state = nxt_pairs, nxt_state
-        if max_rounds and rounds >= max_rounds:
-            break
     _release([pairs, state] + waiting_pairs + waiting_states)
     if log_rounds:
         print(f"train_bpe: {len(merges)} merges in {rounds} rounds, {_time.time() - t_start:.1f}s")
     return BpeModel(tuple(merges))
 
 
-def vocab_table(spark, model: BpeModel) -> DataFrame:
-    """(id, token_hex, n_bytes) of the model's vocabulary (bounded by vocab size)."""
-    rows = [(i, b.hex(), len(b)) for i, b in enumerate(model.token_bytes)]
-    return spark.createDataFrame(rows, "id int, token_hex string, n_bytes int")
-
-
 def merges_table(spark, model: BpeModel) -> DataFrame:
     """(rank, left_id, right_id, new_id)."""
     return spark.createDataFrame([(r, a, b, n) for r, (a, b, n) in enumerate(model.merges)],
@@ -258,13 +250,14 @@ def roundtrip_report(df: DataFrame, group_cols: list[str], model: BpeModel | Non
 
 def tokenizer_stats(df: DataFrame, group_cols: list[str], model: BpeModel | None = None,
                     text_col: str = "text") -> DataFrame:
-    """K7: tokens per character by group (vocabulary size and special ids are constants of the model)."""
-    ids = encode(F.col(text_col), model)
-    agg = df.select(*group_cols, F.length(text_col).alias("_c"), F.size(ids).alias("_n")) \
+    """K7: tokens per character by group, with the model's vocabulary size and special ids."""
+    agg = df.select(*group_cols, F.length(text_col).alias("_c"), token_count(F.col(text_col), model).alias("_n")) \
         .groupBy(*group_cols).agg(F.count("*").alias("n_rows"), F.sum("_c").cast("long").alias("n_chars"),
                                   F.sum("_n").cast("long").alias("n_tokens"))
     model = model or BpeModel()
     return agg.select(*group_cols, "n_rows", "n_chars", "n_tokens",
                       F.round(F.try_divide(F.col("n_tokens"), F.col("n_chars").cast("double")), 6)
                       .alias("tokens_per_char"),
-                      F.lit(model.vocab_size).alias("vocab_size"))
+                      F.lit(model.vocab_size).alias("vocab_size"),
+                      *[F.lit(i).alias(n) for n, i in (("unk_id", UNK_ID), ("bos_id", BOS_ID), ("eos_id", EOS_ID),
+                                                       ("pad_id", PAD_ID))])

@@ -191,11 +191,10 @@ def q14_turn_label_sequences(spark, sf):
 # ---------------------------------------------------------------- S5, S8, S9
 @register("s5_head_records", """
 SELECT doc_id, (row_number() OVER (ORDER BY doc_id) - 1)::BIGINT AS idx FROM documents
-QUALIFY idx < 10000""")
+QUALIFY idx < 100""")
 def s5_head_records(spark, sf):
-    from quarry.constants import HEAD_RECORDS
     from quarry.operators.index import head_records
-    return head_records(_docs(spark, sf).select("doc_id"), ["doc_id"], HEAD_RECORDS) \
+    return head_records(_docs(spark, sf).select("doc_id"), ["doc_id"], 100) \
         .withColumn("idx", F.col("idx").cast("long"))
 
 
@@ -237,8 +236,7 @@ def q8_pack_blocks(spark, sf):
     from quarry.functions.encode import encode
     from quarry.operators.sequences import pack_blocks
     c = _chunks(spark, sf).select("doc_id", "chunk_idx", encode(F.col("text")).alias("input_ids"))
-    c = c.withColumn("attention_mask", F.array_repeat(F.lit(1), F.size("input_ids")))
-    p = pack_blocks(c, ["doc_id", "chunk_idx"])
+    p = pack_blocks(c, ["doc_id", "chunk_idx"], ["input_ids"], ones=["attention_mask"])
     return p.select("shard", "batch", "block", ids_text(F.col("input_ids")).alias("input_ids"),
                     ids_text(F.col("labels")).alias("labels"),
                     F.aggregate("attention_mask", F.lit(0).cast("long"), lambda a, x: a + x).alias("attention_sum"))
@@ -298,12 +296,9 @@ SELECT it::BIGINT AS it, round(CASE WHEN it < 10 THEN 2e-4 * it / 10
 FROM g""")
 def b7_lr_schedule(spark, sf):
     from quarry.functions.schedule import lr_at
-    from quarry.operators.batching import batch_lengths
-    n = _chunks(spark, sf).count()
-    total, _ = batch_lengths(n, 64)
-    its = _chunks(spark, sf).select(F.lit(total).alias("total")).limit(1) \
-        .select(F.explode(F.sequence(F.lit(0).cast("long"), F.lit(total + 2).cast("long"))).alias("it"))
-    return its.select("it", F.round(lr_at(F.col("it"), F.lit(total), 2e-4, 10), 12).alias("lr"))
+    total = _chunks(spark, sf).agg(F.ceil(F.count("*") / 64).alias("total"))
+    its = total.select("total", F.explode(F.sequence(F.lit(0).cast("long"), F.col("total") + 2)).alias("it"))
+    return its.select("it", F.round(lr_at(F.col("it"), F.col("total"), 2e-4, 10), 12).alias("lr"))
 
 
 @register("b9_training_plan", SHUFFLED_SQL + """,
@@ -437,33 +432,73 @@ def k5_decode(spark, sf):
 
 
 @register("k6_roundtrip_report", """
-SELECT lang, count(*)::BIGINT AS n_rows, count(*)::BIGINT AS n_equal, 1.0::DOUBLE AS equal_rate
+SELECT lang, count(*)::BIGINT AS n_rows, count_if(octet_length(encode(text)) <= 256)::BIGINT AS n_equal,
+       round(avg((octet_length(encode(text)) <= 256)::INTEGER), 6) AS equal_rate
 FROM documents GROUP BY lang""")
 def k6_roundtrip_report(spark, sf):
+    """With ids cut at 256 (often inside a character), a text comes back whole only if it is short enough."""
     from quarry.operators.tokenizer import roundtrip_report
-    return roundtrip_report(_docs(spark, sf), ["lang"])
+    return roundtrip_report(_docs(spark, sf), ["lang"], max_length=256)
 
 
 @register("k7_tokenizer_stats", """
 SELECT lang, count(*)::BIGINT AS n_rows, sum(length(text))::BIGINT AS n_chars,
        sum(octet_length(encode(text)))::BIGINT AS n_tokens,
-       round(sum(octet_length(encode(text))) / sum(length(text)), 6) AS tokens_per_char, 261 AS vocab_size
+       round(sum(octet_length(encode(text))) / sum(length(text)), 6) AS tokens_per_char, 261 AS vocab_size,
+       0 AS unk_id, 3 AS bos_id, 4 AS eos_id, 4 AS pad_id
 FROM documents GROUP BY lang""")
 def k7_tokenizer_stats(spark, sf):
     from quarry.operators.tokenizer import tokenizer_stats
     return tokenizer_stats(_docs(spark, sf), ["lang"])
 
 
-@register("k1_pretoken_counts")
+# DuckDB has no lookahead: the last blank of a run before a word is marked, so that a run stops short of it
+_PRETOKENS = (r"'s|'t|'re|'ve|'m|'ll|'d|\x01? ?\pL+|\x01? ?\pN+|\x01? ?[^\s\pL\pN\x01]+|\x01?\s+").replace("'", "''")
+PRETOKENS_SQL = rf"""SELECT doc_id, replace(w, chr(1), '') AS word
+FROM (SELECT doc_id, unnest(regexp_extract_all(regexp_replace(text, '(\s)(\S)', chr(1) || '\1\2', 'g'), '{_PRETOKENS}')) AS w
+      FROM documents)"""
+WORDS_SQL = f"SELECT word, count(*)::BIGINT AS freq FROM ({PRETOKENS_SQL}) GROUP BY word"
+
+
+@register("k1_pretoken_counts", WORDS_SQL)
 def k1_pretoken_counts(spark, sf):
     from quarry.operators.tokenizer import pretoken_counts
     return pretoken_counts(_docs(spark, sf))
 
 
-@register("k3_train_bpe")
+MERGES = 39  # merges of the trained queries: a vocabulary of 300
+
+
+def bpe_sql(merges: int) -> str:
+    """Byte-pair training as one materialised step per merge: p<i> is the merge, s<i> the words after it."""
+    steps = [f"""w AS MATERIALIZED ({WORDS_SQL}),
+s0 AS MATERIALIZED (SELECT word, freq, array_to_string(list_transform({sql_bytes('word')}, lambda i: chr(57344 + i)), '') AS s FROM w)"""]
+    for i in range(1, merges + 1):
+        steps.append(f"""p{i} AS MATERIALIZED (SELECT substr(s, k, 2) AS pr FROM (SELECT s, freq, unnest(range(1, length(s))) AS k FROM s{i - 1})
+  GROUP BY pr ORDER BY sum(freq) DESC, pr LIMIT 1),
+s{i} AS MATERIALIZED (SELECT word, freq, replace(s, (SELECT pr FROM p{i}), chr({57344 + 260 + i})) AS s FROM s{i - 1})""")
+    return "WITH " + ",\n".join(steps)
+
+
+@register("k3_train_bpe", bpe_sql(MERGES) + "\n" + "\nUNION ALL ".join(
+    f"SELECT {i - 1}::INTEGER AS rank, (unicode(substr(pr, 1, 1)) - 57344)::INTEGER AS left_id, "
+    f"(unicode(substr(pr, 2, 1)) - 57344)::INTEGER AS right_id, {260 + i}::INTEGER AS new_id FROM p{i}"
+    for i in range(1, MERGES + 1)))
 def k3_train_bpe(spark, sf):
     from quarry.operators.tokenizer import merges_table, train_bpe
-    return merges_table(spark, train_bpe(_docs(spark, sf).select("text"), vocab_size=300))
+    return merges_table(spark, train_bpe(_docs(spark, sf).select("text"), vocab_size=261 + MERGES))
+
+
+@register("k4_k5_trained_words", bpe_sql(MERGES) + f"""
+SELECT word, array_to_string(list_transform(string_split(s, ''), lambda c: unicode(c) - 57344), ',') AS ids,
+       word AS decoded FROM s{MERGES}""")
+def k4_k5_trained_words(spark, sf):
+    """Every distinct pre-token encoded with a trained vocabulary, and decoded again."""
+    from quarry.operators.tokenizer import decode_table, encode_table, pretoken_counts, train_bpe
+    model = train_bpe(_docs(spark, sf).select("text"), vocab_size=261 + MERGES)
+    e = encode_table(pretoken_counts(_docs(spark, sf)).select("word"), model, text_col="word")
+    d = decode_table(e, model, ids_col="input_ids")
+    return d.select("word", ids_text(F.col("input_ids")).alias("ids"), "decoded")
 
 
 # ---------------------------------------------------------------- C1-C6, C8 standalone
@@ -523,9 +558,10 @@ def q10_q11_crop_and_stop(spark, sf):
 @register("s1_read_jsonl", "SELECT doc_id, text FROM documents")
 def s1_read_jsonl(spark, sf):
     from quarry.sources.jsonl import parse_jsonl
-    docs = _docs(spark, sf)
-    lines = docs.select("doc_id", F.to_json(F.struct("text")).alias("value"))  # S6 serialisation
-    return parse_jsonl(lines, keep=["doc_id"])
+    line = F.to_json(F.struct("text"))  # S6 serialisation
+    junk = F.explode(F.array(line, *[F.concat(line, F.lit(tail)) for tail in ("] }", '],[{"x":1}', "] junk}", ',"y":1}')],
+                             F.concat(F.lit("["), line, F.lit("]"))))
+    return parse_jsonl(_docs(spark, sf).select("doc_id", junk.alias("value")), keep=["doc_id"])
 
 
 @register("s2_reject_report", """
@@ -535,13 +571,14 @@ SELECT doc_id, row_number() OVER (ORDER BY doc_id)::BIGINT AS line_num,
 FROM documents""")
 def s2_reject_report(spark, sf):
     """Lines: every document as {"text":...}, every third one without the key, every
-    third one cut short (not valid JSON); line numbers in doc_id order."""
+    third one cut short or with a tail (not valid JSON); line numbers in doc_id order."""
     from quarry.operators.index import with_row_index
     from quarry.sources.jsonl import split_report
     docs = _docs(spark, sf)
     full = F.to_json(F.struct("text"))
     value = (F.when(F.col("doc_id") % 3 == 1, F.to_json(F.struct(F.col("lang").alias("x"))))
-             .when(F.col("doc_id") % 3 == 2, F.expr("substring(to_json(struct(text)), 1, 5)"))
+             .when(F.col("doc_id") % 6 == 2, F.concat(full, F.lit('],[{"x":1}')))
+             .when(F.col("doc_id") % 6 == 5, F.expr("substring(to_json(struct(text)), 1, 5)"))
              .otherwise(full))
     lines = with_row_index(docs.select("doc_id", value.alias("value")), ["doc_id"], "line_num") \
         .withColumn("line_num", F.col("line_num") + 1)
@@ -564,7 +601,8 @@ def s3_json_array_lines(spark, sf):
                                                                             x["value"].alias("value")))
                              .alias("conversations")))
     lines = conv.select(F.concat(F.lit("  "), obj, F.lit(",")).alias("value")) \
-        .unionByName(spark.range(1).select(F.lit("[").alias("value"))) \
+        .unionByName(spark.range(1).select(F.explode(F.array(
+            F.lit("["), F.lit('{"conv_id":-1,"conversations":[]},'), F.lit('{"conv_id":-2},'))).alias("value"))) \
         .unionByName(spark.range(1).select(F.lit("]").alias("value")))
     parsed = parse_json_array_lines(lines, keep_fields={"conv_id": "bigint"})
     return parsed.select("conv_id", F.size("conversations").cast("long").alias("n_turns"),
@@ -586,12 +624,11 @@ def u1_map_batches(spark, sf):
 
     def fn(batch: dict) -> dict:  # a user batch function: per-row and per-batch values
         n = [len(t) for t in batch["text"]]
-        return {"doc_id": batch["doc_id"], "chunk_idx": batch["chunk_idx"], "n_chars": n,
-                "batch_chars": [sum(n)] * len(n), "shard": batch["_shard"], "batch": batch["_batch"]}
+        return {"n_chars": n, "batch_chars": [sum(n)] * len(n), "shard": batch["_shard"], "batch": batch["_batch"]}
 
     c = _chunks(spark, sf).select("doc_id", "chunk_idx", "text")
-    out = map_batches(c, fn, "doc_id long, chunk_idx long, n_chars long, batch_chars long, shard long, batch long",
-                      ["doc_id", "chunk_idx"], batch_size=1000, num_proc=2)
+    out = map_batches(c, fn, "n_chars long, batch_chars long, shard long, batch long",
+                      ["doc_id", "chunk_idx"], batch_size=1000, num_proc=2, remove_columns=["text"])
     return out.select("doc_id", "chunk_idx", "n_chars", "shard", "batch", "batch_chars")
 
 
@@ -628,9 +665,217 @@ def a1_masked_mean_by_doc(spark, sf):
 
 
 # ---------------------------------------------------------------- T3
+_ASCII = "abcdefghijklmnopqrstuvwxyzABCDEFGHIJKLMNOPQRSTUVWXYZ0123456789.,|"
+_WIDE = "".join(chr(ord(c) + 0xFEE0) for c in _ASCII)  # the full-width forms
+
+
 @register("t3_nfkc", "SELECT doc_id, text, length(text)::BIGINT AS n_chars FROM documents")
 def t3_nfkc(spark, sf):
-    """NFKC of whole documents (the tables' texts are NFKC-stable, so the oracle is the text)."""
+    """NFKC of whole documents, those with an odd id written in full-width letters and signs."""
     from quarry.functions.text import nfkc
-    d = _docs(spark, sf).select("doc_id", nfkc(F.col("text")).alias("text"))
+    wide = F.when(F.col("doc_id") % 2 == 1, F.translate("text", _ASCII, _WIDE)).otherwise(F.col("text"))
+    d = _docs(spark, sf).select("doc_id", nfkc(wide).alias("text"))
     return d.select("doc_id", "text", F.length("text").cast("long").alias("n_chars"))
+
+
+# ---------------------------------------------------------------- T4, T6
+@register("t4_pretokenize", f"""
+SELECT doc_id, count(*)::BIGINT AS n_words, max(length(word))::BIGINT AS longest FROM ({PRETOKENS_SQL}) GROUP BY doc_id""")
+def t4_pretokenize(spark, sf):
+    from quarry.functions.text import pretokenize
+    w = _docs(spark, sf).select("doc_id", F.explode(pretokenize(F.col("text"))).alias("w"))
+    return w.groupBy("doc_id").agg(F.count("*").alias("n_words"), F.max(F.length("w")).cast("long").alias("longest"))
+
+
+@register("t6_split_specials", f"""
+WITH d AS (SELECT doc_id, lang, text FROM documents)
+SELECT doc_id, '<s>' || chr(31) || text || chr(31) || '<|im_end|>' || chr(31) || '<unk>' || chr(31) || lang AS pieces,
+       '1,' || {sql_text(sql_bytes('text'))} || ',4,0,' || {sql_text(sql_bytes('lang'))} AS ids
+FROM d WHERE length(text) > 0""")
+def t6_split_specials(spark, sf):
+    """Texts with special strings around and between them, split and encoded."""
+    from quarry.functions.encode import encode
+    from quarry.functions.text import split_specials
+    t = F.concat(F.lit("<s>"), "text", F.lit("<|im_end|><unk>"), "lang")
+    d = _docs(spark, sf).where(F.length("text") > 0).select("doc_id", t.alias("t"))
+    return d.select("doc_id", F.array_join(split_specials(F.col("t")), "\x1f").alias("pieces"),
+                    ids_text(encode(F.col("t"))).alias("ids"))
+
+
+# ---------------------------------------------------------------- A1, A2
+@register("a1_masked_mean", """
+SELECT source, round(sum(n_chars * (doc_id % 3)) / sum(doc_id % 3), 6) AS loss FROM documents GROUP BY source""")
+def a1_masked_mean(spark, sf):
+    from quarry.operators.scoring import masked_mean
+    d = _docs(spark, sf).select("source", F.col("n_chars").cast("double").alias("loss"), (F.col("doc_id") % 3).alias("mask"))
+    return masked_mean(d, ["source"]).select("source", F.round("loss", 6).alias("loss"))
+
+
+A2_SQL = PRETRAIN_SQL.replace("[3] || " + sql_bytes("text"), "[3] || (CASE WHEN doc_id % 2 = 0 THEN [0] ELSE [] END) || " + sql_bytes("text"))
+
+
+@register("a2_ignored_targets", A2_SQL + """,
+z AS (SELECT lang, unnest(p[1:511]) AS x, unnest(p[2:512]) AS y, unnest(m[2:512]) AS m FROM p),
+bg AS (SELECT x, y, count(*) AS n FROM z WHERE m = 1 GROUP BY x, y),
+cx AS (SELECT x, sum(n) AS cx FROM bg GROUP BY x),
+s AS (SELECT z.lang, z.m, CASE WHEN z.y = 0 THEN 0.0
+             ELSE -ln((coalesce(bg.n, 0) + 1) / (coalesce(cx.cx, 0) + 261.0)) END AS nll
+      FROM z LEFT JOIN bg ON z.x = bg.x AND z.y = bg.y LEFT JOIN cx ON z.x = cx.x)
+SELECT lang, sum(m)::BIGINT AS loss_tokens, round(sum(nll * m) / sum(m), 6) AS mean_nll,
+       round(exp(sum(nll * m) / sum(m)), 6) AS perplexity
+FROM s GROUP BY lang""")
+def a2_ignored_targets(spark, sf):
+    """A4 over chunks of which every second document's start with the ignored token."""
+    from quarry.operators.scoring import ngram_nll
+    c = _chunks(spark, sf)
+    text = F.when(F.col("doc_id") % 2 == 0, F.concat(F.lit("<unk>"), "text")).otherwise(F.col("text"))
+    return ngram_nll(pretrain_sequences(c.select("lang", text.alias("text"))), ["lang"], vocab_size=261)
+
+
+# ---------------------------------------------------------------- B8, B4 on write, S8 lookup, SFT plan
+@register("b8_event_flags", f"""
+WITH s AS (SELECT row_number() OVER (ORDER BY doc_id, chunk_idx) - 1 AS step FROM ({CHUNKS_SQL}))
+SELECT step::BIGINT AS step, step % 7 = 0 AS is_log, (step + 1) % 30 = 0 AS is_save, (step + 1) % 200 = 0 AS is_snapshot
+FROM s""")
+def b8_event_flags(spark, sf):
+    from quarry.functions.schedule import event_flags
+    from quarry.operators.index import with_row_index
+    s = with_row_index(_chunks(spark, sf).select("doc_id", "chunk_idx"), ["doc_id", "chunk_idx"], "step")
+    return s.select("step", *event_flags(F.col("step"), 7, 30, 200))
+
+
+@register("s8_lookup", f"""
+SELECT doc_id, chunk_idx, idx FROM (
+  SELECT doc_id, chunk_idx, (row_number() OVER (ORDER BY doc_id, chunk_idx) - 1)::BIGINT AS idx FROM ({CHUNKS_SQL}))
+WHERE idx IN (SELECT event_id * 3 FROM events)""")
+def s8_lookup(spark, sf):
+    """Chunks at the positions that a table names."""
+    from quarry.operators.index import rows_at, with_row_index
+    idx = with_row_index(_chunks(spark, sf).select("doc_id", "chunk_idx"), ["doc_id", "chunk_idx"])
+    return rows_at(idx, table(spark, sf, "events").select(F.col("event_id") * 3)).select("doc_id", "chunk_idx", "idx")
+
+
+@register("b9_sft_plan", SFT_SQL + """,
+kk AS (SELECT conv_id::VARCHAR AS key, length(replace(replace(loss_mask, ',', ''), '0', '')) AS lt FROM m),
+ss AS (SELECT lt, row_number() OVER (ORDER BY md5(key || ':0:42'), key) - 1 AS pos FROM kk)
+SELECT (pos // 16)::BIGINT AS step, count(*)::BIGINT AS n_rows, sum(lt)::BIGINT AS loss_tokens FROM ss GROUP BY pos // 16""")
+def b9_sft_plan(spark, sf):
+    """The training plan over chat sequences."""
+    from quarry.plans.training import training_plan
+    seqs = sft_sequences(table(spark, sf, "conversations")).select(F.col("conv_id").cast("string").alias("key"), "loss_mask")
+    return training_plan(seqs, "key", batch_size=16).select("step", "n_rows", "loss_tokens")
+
+
+@register("q13_long_conversations", SFT_SQL.replace(
+    "FROM conversations", "FROM (SELECT conv_id % 10 AS conv_id, conv_id * 1000 + turn AS turn, role, text FROM conversations)")
+    + f"""
+SELECT p.conv_id, n_tokens::BIGINT AS n_tokens, {sql_text('p[1:511]')} AS x, m.loss_mask
+FROM p JOIN m ON p.conv_id = m.conv_id""")
+def q13_long_conversations(spark, sf):
+    """Chat sequences of conversations with many more turns than fit (n_tokens counts them all)."""
+    c = table(spark, sf, "conversations").select(
+        (F.col("conv_id") % 10).alias("conv_id"), (F.col("conv_id") * 1000 + F.col("turn")).alias("turn"), "role", "text")
+    s = sft_sequences(c)
+    return s.select("conv_id", F.col("n_tokens").cast("long").alias("n_tokens"), ids_text(F.col("x")).alias("x"),
+                    ids_text(F.col("loss_mask")).alias("loss_mask"))
+
+
+# ---------------------------------------------------------------- S4, S7, S10, V1-V4 (files written from the tables)
+def _folder(spark, name: str) -> str:
+    """A new folder next to the checkpoints, which all executors share."""
+    import uuid
+
+    from quarry.session import ensure_checkpoint_dir
+    return f"{ensure_checkpoint_dir(spark)}/{name}-{uuid.uuid4().hex}"
+
+
+def _line_files(spark, sf) -> str:
+    """Documents as JSON lines, in files whose names follow doc_id."""
+    from quarry.sources.jsonl import write_jsonl
+    path = _folder(spark, "lines")
+    write_jsonl(_docs(spark, sf).orderBy("doc_id").select("text"), path)
+    return path
+
+
+@register("s4_read_json_files", "SELECT doc_id, lang, text FROM documents")
+def s4_read_json_files(spark, sf):
+    from quarry.sources.jsonl import read_json_files, write_jsonl
+    paths = [_folder(spark, "json"), _folder(spark, "json")]
+    for k, p in enumerate(paths):
+        write_jsonl(_docs(spark, sf).where(F.col("doc_id") % 2 == k).select("doc_id", "lang", "text"), p)
+    return read_json_files(spark, paths, "doc_id long, lang string, text string")
+
+
+@register("s7_source_if_exists", "SELECT text AS value FROM documents")
+def s7_source_if_exists(spark, sf):
+    """An absent source gives no rows; a present one is read."""
+    from quarry.sources.jsonl import parse_jsonl, source_if_exists
+    absent = source_if_exists(spark, _folder(spark, "absent"), "value string")
+    return parse_jsonl(absent.unionByName(source_if_exists(spark, _line_files(spark, sf), "value string"))) \
+        .withColumnRenamed("text", "value")
+
+
+@register("s10_observe_ingest", """
+SELECT count(*)::BIGINT AS lines, sum(octet_length(encode(text)) + 1)::BIGINT AS bytes FROM documents""")
+def s10_observe_ingest(spark, sf):
+    from quarry.sources.jsonl import observe_ingest
+    lines, seen = observe_ingest(_docs(spark, sf).select(F.col("text").alias("value")))
+    lines.write.format("noop").mode("overwrite").save()
+    return spark.createDataFrame([(seen.get["lines"], seen.get["bytes"])], "lines long, bytes long")
+
+
+def _run_stream(writer, spark) -> None:
+    writer.option("checkpointLocation", _folder(spark, "stream")).trigger(availableNow=True).start().awaitTermination()
+
+
+@register("v1_chunk_stream", f"SELECT text FROM ({CHUNKS_SQL})")
+def v1_chunk_stream(spark, sf):
+    from quarry.streaming.streams import chunk_stream, read_lines
+    out = _folder(spark, "v1")
+    _run_stream(chunk_stream(read_lines(spark, _line_files(spark, sf), 2)).select("text").writeStream.format("parquet")
+                .option("path", out), spark)
+    return spark.read.parquet(out)
+
+
+def _conversation_lines(spark, sf) -> DataFrame:
+    """One JSON object per conversation, and one without turns."""
+    from quarry.sources.tables import raw_turns
+    t = raw_turns(table(spark, sf, "conversations"))
+    conv = t.groupBy("conv_id").agg(F.sort_array(F.collect_list(F.struct("turn", "from", "value"))).alias("c"))
+    turns = F.transform("c", lambda x: F.struct(x["from"].alias("from"), x["value"].alias("value")))
+    return conv.select(F.to_json(F.struct("conv_id", turns.alias("conversations"))).alias("value")) \
+        .unionByName(spark.range(1).select(F.lit('{"conv_id":-1,"conversations":[]}').alias("value")))
+
+
+@register("v2_chat_stream", ORACLE["c6_render_chat"].replace("SELECT conv_id, '<|im_start|>system'", "SELECT '<|im_start|>system'")
+          .replace(" AS text,\n       (count(r) + 1)::BIGINT AS n_messages", " AS text"))
+def v2_chat_stream(spark, sf):
+    from quarry.streaming.streams import chat_stream, read_lines
+    lines, out = _folder(spark, "lines"), _folder(spark, "v2")
+    _conversation_lines(spark, sf).write.text(lines)
+    _run_stream(chat_stream(read_lines(spark, lines), render=True).writeStream.format("parquet").option("path", out), spark)
+    return spark.read.parquet(out)
+
+
+@register("v3_pretoken_count_stream", WORDS_SQL)
+def v3_pretoken_count_stream(spark, sf):
+    """Running counts over several micro-batches; the last complete table is the result."""
+    from quarry.streaming.streams import pretoken_count_stream, read_lines
+    out = _folder(spark, "v3")
+    counts = pretoken_count_stream(read_lines(spark, _line_files(spark, sf), 4))
+    _run_stream(counts.writeStream.outputMode("complete").foreachBatch(
+        lambda batch, _: batch.write.mode("overwrite").parquet(out)), spark)
+    return spark.read.parquet(out)
+
+
+@register("v4_pack_stream", f"""
+WITH u AS (SELECT doc_id, unnest(ids) AS id, unnest(range(len(ids))) AS k FROM (SELECT doc_id, {sql_bytes('text')} AS ids FROM documents)),
+g AS (SELECT id, row_number() OVER (ORDER BY doc_id, k) - 1 AS pos, count(*) OVER () AS total FROM u)
+SELECT (pos // 2048)::BIGINT AS block, string_agg(id::VARCHAR, ',' ORDER BY pos) AS input_ids
+FROM g WHERE total < 2048 OR pos < (total // 2048) * 2048 GROUP BY pos // 2048""")
+def v4_pack_stream(spark, sf):
+    """All files in one micro-batch, packed in the order of the documents."""
+    from quarry.streaming.streams import pack_stream, read_lines
+    out = _folder(spark, "v4")
+    pack_stream(read_lines(spark, _line_files(spark, sf)), out, _folder(spark, "stream")).awaitTermination()
+    return spark.read.parquet(out).select("block", ids_text(F.col("input_ids")).alias("input_ids"))

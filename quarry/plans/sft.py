@@ -18,10 +18,10 @@ from pyspark.sql import functions as F
 from quarry.constants import ASSISTANT_HEADER, CHAT_SYSTEM_PROMPT, EOS_ID, MAX_LENGTH, PAD_ID
 from quarry.functions.arrays import (assistant_span_mask, pad_right, shift_mask, shift_x, shift_y,
                                      truncate)
-from quarry.functions.chat import chat_role, prepend_system, render_chat
-from quarry.functions.encode import BpeModel, encode
+from quarry.functions.chat import chat_role, prepend_system, render_chat, render_message
+from quarry.functions.encode import BpeModel, encode, token_count
 from quarry.functions.literal import encode_literal
-from quarry.operators.conversations import conversation_ids, turn_ranks
+from quarry.operators.conversations import conversation_ids, first_ranked
 from quarry.sources.tables import raw_turns
 
 MIN_TOKENS_PER_MESSAGE = 4
@@ -38,7 +38,7 @@ def assemble_messages(turns: DataFrame, max_messages: int | None = None) -> Data
     role = chat_role(F.col("from"))
     kept = turns.withColumn("role", role).where(F.col("role").isNotNull())
     if max_messages is not None:
-        kept = turn_ranks(kept).where(F.col("rank") < max_messages)
+        kept = first_ranked(kept, max_messages)
     msg = F.struct("turn", "role", F.col("value").alias("content"))
     agg = kept.groupBy("conv_id").agg(F.sort_array(F.collect_list(msg)).alias("_m"))
     every = conversation_ids(turns).select("conv_id")
@@ -52,13 +52,22 @@ def assemble_messages(turns: DataFrame, max_messages: int | None = None) -> Data
 def sft_sequences(conversations: DataFrame, model: BpeModel | None = None, max_length: int = MAX_LENGTH,
                   system_prompt: str = CHAT_SYSTEM_PROMPT, pad: int = PAD_ID, eos: int = EOS_ID,
                   normalize: bool = True) -> DataFrame:
-    """Rows (conv_id, n_tokens, x, y, loss_mask) from long rows (conv_id, turn, role, text)."""
+    """Rows (conv_id, n_tokens, x, y, loss_mask) from long rows (conv_id, turn, role, text).
+
+    ``n_tokens`` is the length before truncation: every message starts with a special
+    token, so it is the sum of the messages' own lengths, taken over all turns by a
+    partial aggregate.
+    """
     bound = max_length // MIN_TOKENS_PER_MESSAGE
     msgs = assemble_messages(raw_turns(conversations), max_messages=bound)
     text = render_chat(prepend_system(F.col("messages"), system_prompt))
-    ids = msgs.select("conv_id", encode(text, model, normalize).alias("_ids"))
+    raw = raw_turns(conversations)
+    length = token_count(render_message(chat_role(F.col("from")), F.col("value")), model, normalize)
+    system = len(encode_literal(f"<|im_start|>system\n{system_prompt}<|im_end|>\n", model, normalize))
+    totals = raw.groupBy("conv_id").agg((F.coalesce(F.sum(length), F.lit(0)) + system).cast("int").alias("n_tokens"))
+    ids = msgs.select("conv_id", encode(text, model, normalize).alias("_ids")).join(totals, "conv_id")
     header = encode_literal(ASSISTANT_HEADER, model)
-    cut = ids.select("conv_id", F.size("_ids").alias("n_tokens"),
+    cut = ids.select("conv_id", "n_tokens",
                      pad_right(truncate(F.col("_ids"), max_length), max_length, pad).alias("_p"))
     masked = cut.select("conv_id", "n_tokens", "_p", assistant_span_mask(F.col("_p"), header, eos).alias("_m"))
     return masked.select("conv_id", "n_tokens", shift_x(F.col("_p")).alias("x"), shift_y(F.col("_p")).alias("y"),

@@ -23,7 +23,7 @@ from quarry.functions.arrays import attention_mask, pad_right, truncate
 from quarry.functions.chat import turn_role
 from quarry.functions.encode import BpeModel, encode
 from quarry.functions.literal import encode_literal
-from quarry.operators.conversations import conversation_ids, turn_ranks
+from quarry.operators.conversations import conversation_ids, first_ranked
 from quarry.sources.tables import raw_turns
 
 MIN_TOKENS_PER_TURN = 5
@@ -48,7 +48,7 @@ def turn_pieces(turns: DataFrame, model: BpeModel | None = None, normalize: bool
     r_ids = F.when(role == TURN_ROLE_ASSISTANT, _lit_ids(role_ids[TURN_ROLE_ASSISTANT])) \
         .otherwise(_lit_ids(role_ids[TURN_ROLE_HUMAN]))
     tail = _lit_ids([EOS_ID] + nl)
-    v = encode(F.col("value"), model, normalize)
+    v = encode(F.coalesce("value", F.lit("")), model, normalize)  # a NULL content is empty text
     with_v = turns.select("conv_id", "turn", "from", role.alias("_role"), r_ids.alias("_r"), v.alias("_v"))
     ids = F.concat("_r", _lit_ids(nl), "_v", tail)
     lab_asst = F.concat(F.array(F.lit(IM_START_ID)), F.array_repeat(F.lit(IGNORE_INDEX), F.size("_r")), "_v", tail)
@@ -67,7 +67,7 @@ def turn_label_sequences(conversations: DataFrame, model: BpeModel | None = None
     # every turn is at least 5 tokens (im_start, role, nl, im_end, nl): turns ranked
     # beyond this bound (one extra for a dropped first turn) start past max_len
     bound = max_len // MIN_TOKENS_PER_TURN + 2
-    near = turn_ranks(raw).where(F.col("rank") < bound).drop("rank")
+    near = first_ranked(raw, bound)
     pieces = turn_pieces(near, model, normalize)
     w = Window.partitionBy("conv_id").orderBy("turn")
     before = w.rowsBetween(Window.unboundedPreceding, -1)

@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import os
 import tempfile
 
 from pyspark.sql import DataFrame, SparkSession
@@ -68,19 +67,3 @@ def cut_lineage(df: DataFrame) -> DataFrame:
     out = cached.checkpoint(eager=True)
     cached.unpersist()
     return out
-
-
-def scratch_path(spark: SparkSession, name: str) -> str:
-    """A fresh path under the checkpoint directory for intermediate tables."""
-    base = ensure_checkpoint_dir(spark)
-    return os.path.join(base, f"quarry-{name}-{os.getpid()}-{next(_counter)}")
-
-
-def _count():
-    i = 0
-    while True:
-        i += 1
-        yield i
-
-
-_counter = _count()

@@ -2,9 +2,10 @@
 
 Parsing works on a DataFrame of lines, so the same functions serve batch
 reads (``spark.read.text``) and streams (``spark.readStream.text``).  A line
-is parsed strictly: ``try_parse_json('[' || line || ']')`` must give exactly
-one element (plain JSON parsing would accept trailing junk), and that element
-must be an object.
+is parsed strictly (plain JSON parsing accepts trailing junk): the line and, as a
+second element, its own md5 are parsed as one JSON array.  A line that closes the
+array itself loses that marker, and no line can contain its own md5.  The first
+element must be an object.
 """
 
 from __future__ import annotations
@@ -20,15 +21,15 @@ _WS_END = r"\}[ \t\r\n]*$"
 
 
 def _variant(line: Column) -> Column:
-    return F.try_parse_json(F.concat(F.lit("["), line, F.lit("]")))
+    return F.try_parse_json(F.concat(F.lit("["), line, F.lit(',"'), F.md5(line), F.lit('"]')))
 
 
 def json_reason(line: Column, key: str | None = None) -> Column:
     """NULL for a good object line, else malformed / not_object / missing_key / not_string."""
     v = _variant(line)
     first = F.schema_of_variant(F.variant_get(v, "$[0]", "variant"))
-    more = F.variant_get(v, "$[1]", "variant").isNotNull()
-    r = (F.when(v.isNull() | first.isNull() | more, F.lit("malformed"))
+    whole = F.try_variant_get(v, "$[1]", "string").eqNullSafe(F.md5(line))
+    r = (F.when(v.isNull() | first.isNull() | ~whole, F.lit("malformed"))
          .when(~first.startswith("OBJECT") | ~line.rlike(_WS_END), F.lit("not_object")))
     if key is not None:
         kt = F.schema_of_variant(F.variant_get(v, f"$[0].{key}", "variant"))

@@ -8,8 +8,6 @@ Checkpoint locations must be in the shared checkpoint folder.
 
 from __future__ import annotations
 
-import os
-
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -19,7 +17,7 @@ from quarry.functions.encode import encode
 from quarry.functions.text import nfkc, pretokenize
 from quarry.operators.chunk import split_text
 from quarry.operators.sequences import pack_blocks
-from quarry.session import ensure_checkpoint_dir
+from quarry.session import cut_lineage
 from quarry.sources.jsonl import parse_json_array_lines, parse_jsonl
 
 
@@ -27,7 +25,8 @@ def read_lines(spark: SparkSession, path: str, max_files: int | None = None) ->
     r = spark.readStream.format("text")
     if max_files:
         r = r.option("maxFilesPerTrigger", max_files)
-    return r.load(path)
+    return r.load(path).select("value", F.col("_metadata.file_path").alias("file"),
+                               F.col("_metadata.file_block_start").alias("start"))
 
 
 def chunk_stream(lines: DataFrame, n: int = CHUNK_SIZE) -> DataFrame:
@@ -51,24 +50,25 @@ def pretoken_count_stream(lines: DataFrame, normalize: bool = True) -> DataFrame
         .agg(F.count("*").alias("freq"))
 
 
-def pack_stream(lines: DataFrame, out_path: str, block_size: int = BLOCK_SIZE, checkpoint: str | None = None,
+def pack_stream(lines: DataFrame, out_path: str, checkpoint: str, block_size: int = BLOCK_SIZE,
                 trigger_once: bool = True):
     """V4: each micro-batch of texts is tokenized and packed as one batch (Q8) into Parquet,
-    one idempotent directory per micro-batch (``micro_batch=<id>``)."""
-    texts = parse_jsonl(lines).select(encode(F.col("text")).alias("input_ids"))
+    one idempotent directory per micro-batch (``micro_batch=<id>``).
+
+    ``checkpoint`` must stay the same over restarts: a restarted stream goes on after the
+    last finished micro-batch, and an unfinished one replaces its own directory.  Rows
+    are packed in the order of file and place if ``lines`` carries them (``read_lines`` does).
+    """
+    place = [c for c in ("file", "start") if c in lines.columns]
+    texts = parse_jsonl(lines, keep=place).select(*place, encode(F.col("text")).alias("input_ids"))
 
     def pack(batch: DataFrame, epoch_id: int):
-        rows = batch.withColumn("_pos", F.monotonically_increasing_id()) \
-            .withColumn("attention_mask", F.array_repeat(F.lit(1), F.size("input_ids")))
-        packed = pack_blocks(rows, ["_pos"], block_size=block_size, batch_size=1 << 40)
-        # one directory per micro-batch, overwritten on retry: a replayed batch is not duplicated
-        packed.write.mode("overwrite").parquet(os.path.join(out_path, f"micro_batch={epoch_id}"))
+        # stored once: places and ids are read in two passes, and nothing stays cached
+        rows = cut_lineage(batch.withColumn("pos", F.monotonically_increasing_id()))
+        packed = pack_blocks(rows, [*place, "pos"], ["input_ids"], block_size, 1 << 40, ones=["attention_mask"],
+                             persist_input=False)
+        packed.write.mode("overwrite").parquet(f"{out_path}/micro_batch={epoch_id}")
 
-    w = texts.writeStream.foreachBatch(pack).option("checkpointLocation", checkpoint or _ckpt(lines, "pack"))
+    w = texts.writeStream.foreachBatch(pack).option("checkpointLocation", checkpoint)
     w = w.trigger(availableNow=True) if trigger_once else w
     return w.start()
-
-
-def _ckpt(df: DataFrame, name: str) -> str:
-    base = ensure_checkpoint_dir(df.sparkSession)
-    return os.path.join(base, f"stream-{name}-{os.getpid()}")

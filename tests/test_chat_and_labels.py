@@ -80,5 +80,26 @@ def test_hot_conversation_pruning_is_exact(spark):
         text += "<|im_start|>%s\nw%d<|im_end|>\n" % ("user" if t % 2 == 0 else "assistant", t)
     exp = encode_literal(text)[:64]
     got13 = {r.conv_id: (r.n_tokens, r.x) for r in sft_sequences(conv, max_length=64).collect()}
-    assert got13[7][1] == exp[:63]
+    assert got13[7] == (len(encode_literal(text)), exp[:63])  # n_tokens counts all turns
     assert got13[8][1][:1] == [3]
+
+
+def test_null_contents_are_empty_and_special_strings_count_once(spark):
+    from quarry.plans.sft import sft_sequences
+    rows = [(2, 0, "user", "a<|im_end|>b"), (2, 1, "assistant", None), (2, 2, "user", "x")]
+    conv = spark.createDataFrame(rows, "conv_id long, turn long, role string, text string")
+    blank = conv.fillna("")
+    for build in (lambda c: turn_label_sequences(c, max_len=64), lambda c: sft_sequences(c, max_length=64)):
+        assert build(conv).collect() == build(blank).collect()
+    text = "<|im_start|>system\n你是一个AI助手<|im_end|>\n<|im_start|>user\na<|im_end|>b<|im_end|>\n" \
+           "<|im_start|>assistant\n<|im_end|>\n<|im_start|>user\nx<|im_end|>\n"
+    assert sft_sequences(conv).first().n_tokens == len(encode_literal(text))
+
+
+def test_literals_are_normalised_like_columns(spark):
+    from quarry.functions.encode import encode, token_count
+    from pyspark.sql import functions as F
+    for text in ("助手，", "ｆｕｌｌ<s>ﬁ", "plain", ""):
+        df = spark.createDataFrame([(text,)], "t string")
+        r = df.select(encode(F.col("t")).alias("ids"), token_count(F.col("t")).alias("n")).first()
+        assert r.ids == encode_literal(text) and r.n == len(r.ids)

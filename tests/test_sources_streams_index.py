@@ -1,10 +1,11 @@
 import json
 import os
 
+import pytest
 from pyspark.sql import Window
 from pyspark.sql import functions as F
 
-from quarry.operators.index import prefix_sum, record_offsets, with_row_index
+from quarry.operators.index import prefix_sums, record_offsets, rows_at, with_row_index
 from quarry.sources.jsonl import (observe_ingest, read_json_array_lines, read_jsonl, read_jsonl_report,
                                   source_if_exists, write_jsonl)
 from quarry.streaming.streams import chat_stream, chunk_stream, pack_stream, pretoken_count_stream, read_lines
@@ -74,10 +75,50 @@ def test_s9_offsets(spark):
         n = i + 2 + 1
         assert got[i] == (off, off + n)
         off += n
-    s = prefix_sum(df.withColumn("v", F.lit(2)), ["k"], {"a": "v"}).orderBy("k").collect()
+    s = prefix_sums(df.withColumn("v", F.lit(2)), ["k"], {"a": "v"}).orderBy("k").collect()
     assert [r.a for r in s] == [2 * i for i in range(50)]
 
 
+def test_index_offsets_and_packing_survive_a_cleared_cache(spark):
+    from quarry.operators.sequences import pack_blocks
+    wide = spark.range(40_000).select((F.col("id") * 7919 % 40_009).alias("k"),
+                                      F.concat(*[F.sha2((F.col("id") + i).cast("string"), 512) for i in range(6)]).alias("line"))
+    w = Window.orderBy("k")
+    index, offsets = with_row_index(wide, ["k"]), record_offsets(wide, ["k"])
+    blocks = pack_blocks(wide.select("k", F.array(F.col("k").cast("int"), F.lit(0), F.lit(1)).alias("input_ids")), ["k"],
+                         ["input_ids"], block_size=7, batch_size=100, ones=["attention_mask"])
+    spark.catalog.clearCache()
+    ref = wide.select("k", (F.row_number().over(w) - 1).alias("r"),
+                      F.coalesce(F.sum(F.length("line") + 1).over(w.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)).alias("s"))
+    joined = index.join(ref, "k").join(offsets.withColumnRenamed("byte_start", "b"), "k")
+    assert joined.count() == 40_000 and joined.where("idx <> r or b <> s").count() == 0
+    spark.catalog.clearCache()
+    got = blocks.select("batch", "block", "input_ids", "labels", "attention_mask").collect()
+    assert len(got) == 400 * (300 // 7)
+    keys = [r.k for r in wide.select("k").orderBy("k").collect()]
+    for r in got:
+        flat = [x for k in keys[r.batch * 100: r.batch * 100 + 100] for x in (k, 0, 1)]
+        assert r.input_ids == flat[r.block * 7: r.block * 7 + 7] == r.labels and r.attention_mask == [1] * 7
+
+
+def test_s8_null_groups_and_lookup(spark):
+    df = spark.createDataFrame([(None, 3), (None, 1), ("a", 2)], "g string, k long")
+    got = {(r.g, r.k): r.idx for r in with_row_index(df, ["k"], group_cols=["g"]).collect()}
+    assert got == {(None, 1): 0, (None, 3): 1, ("a", 2): 0}
+    picked = rows_at(with_row_index(df, ["k"]), spark.createDataFrame([(0,), (2,), (2,), (9,)], "p long"))
+    assert sorted(r.k for r in picked.collect()) == [1, 3]
+
+
+def test_strict_json_rejects_tails(spark):
+    from quarry.sources.jsonl import json_reason, parse_jsonl
+    bad = ['{"text":"a"}] }', '{"text":"b"}],[{"x":1}', '{"text":"d"}] junk}', '{"a":1}],"x":[{"b":2}', '{"text":"a"}{"text":"b"}',
+           '{"text":"a"},{"text":"b"}', "{'text':'a'}", "", " ", "[1]", "1", '"x"', '[{"text":"a"}]', '{"text":"a"} //x']
+    good = ['{"text":"]}"}', ' {"text":"a"} ', '{"text":"\\"],[\\""}', '{"text":"a","y":[{"z":1}]}']
+    df = spark.createDataFrame([(x,) for x in bad + good], "value string")
+    assert [r.r is None for r in df.select(json_reason(F.col("value")).alias("r")).collect()] == [False] * len(bad) + [True] * len(good)
+    assert sorted(r.text for r in parse_jsonl(df).collect()) == sorted(["]}", "a", '"],["', "a"])
+
+
 def _stream_dir(tmp_path, lines):
     d = tmp_path / "stream_in"
     d.mkdir()
@@ -118,6 +159,13 @@ def test_v2_v4(spark, tmp_path):
     q4.awaitTermination()
     blocks = spark.read.parquet(out).collect()
     assert sorted(len(r.input_ids) for r in blocks) == [4, 4, 4]  # 13 ids -> 3 blocks of 4
+    assert not spark.sparkContext._jsc.sc().getPersistentRDDs().size()
+    # a stopped stream goes on with new files only; the first micro-batch's output stays
+    first = sorted(map(tuple, spark.read.parquet(out).select("micro_batch", "block", "input_ids").collect()))
+    _write(str(d4 / "b.jsonl"), [json.dumps({"text": "nopqrstu"})])
+    pack_stream(read_lines(spark, str(d4)), out, block_size=4, checkpoint=str(tmp_path / "ck4")).awaitTermination()
+    again = sorted(map(tuple, spark.read.parquet(out).select("micro_batch", "block", "input_ids").collect()))
+    assert again[:3] == first and [r[0] for r in again] == [0, 0, 0, 1, 1]
 
 
 def test_entry_contract(spark):
@@ -145,7 +193,9 @@ def test_u1_map_batches_paths(spark):
     def grow(batch):  # output rows may differ from input rows
         return {"k": batch["k"] + batch["k"], "v": [x + 1 for x in batch["v"]] * 2}
 
-    free = map_batches(df, grow, "k long, v long", exact=False)
+    with pytest.raises(Exception, match="remove the columns"):
+        map_batches(df.withColumn("w", F.lit(1)), grow, "k long, v long", exact=False).collect()
+    free = map_batches(df.withColumn("w", F.lit(1)), grow, "k long, v long", exact=False, remove_columns=["w"])
     assert free.count() == 20 and sorted(r.v for r in free.collect())[:2] == [1, 1]
 
     def sizes(batch):
@@ -153,4 +203,13 @@ def test_u1_map_batches_paths(spark):
         return {"k": batch["k"], "size": [n] * n}
 
     exact = map_batches(df, sizes, "k long, size long", ["k"], batch_size=4)
-    assert sorted((r.k, r.size) for r in exact.collect()) == [(i, 4 if i < 8 else 2) for i in range(10)]
+    assert exact.columns == ["v", "k", "size"]  # columns that are not removed pass through
+    assert sorted((r.k, r.v, r["size"]) for r in exact.collect()) == [(i, 2 * i, 4 if i < 8 else 2) for i in range(10)]
+
+    def shapes(batch):  # removed columns are inputs all the same
+        return {"s": [{"a": k, "b": [str(v)]} for k, v in zip(batch["k"], batch["v"])], "d": batch["v"]}
+
+    for mode in (True, False):
+        out = map_batches(df, shapes, "s struct<a:int,b:array<string>>, d bigint", ["k"], remove_columns=["v"], exact=mode)
+        assert out.columns == ["k", "s", "d"]
+        assert all((r.s.a, r.s.b, r.d) == (r.k, [str(2 * r.k)], 2 * r.k) for r in out.collect())

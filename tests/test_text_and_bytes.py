@@ -78,11 +78,15 @@ def test_pretokenize_matches_bytelevel(spark):
 def test_nfkc_whitelist_is_stable():
     import re
     rx = re.compile("^[%s]*$" % NFKC_STABLE_CLASS.replace("\\\\", "\\"))
-    for cp in list(range(0x0, 0x250)) + list(range(0x3000, 0x3010)) + list(range(0x3400, 0xA000, 7)):
-        ch = chr(cp)
-        if rx.match(ch):
-            assert unicodedata.normalize("NFKC", ch) == ch, hex(cp)
-            assert unicodedata.combining(ch) == 0, hex(cp)
+    stable = [chr(cp) for cp in range(0x10000) if not 0xD800 <= cp < 0xE000 and rx.match(chr(cp))]
+    assert {"é", "ж", "Ω", "한", "か", "—", "“", "中"} <= set(stable)
+    for ch in stable:
+        assert unicodedata.normalize("NFKC", ch) == ch, hex(ord(ch))
+        assert unicodedata.combining(ch) == 0, hex(ord(ch))
+    # no two of them compose: the second character of every composition is outside the set
+    pairs = [unicodedata.decomposition(chr(cp)).split() for cp in range(0x10000)]
+    seconds = {chr(int(p[1], 16)) for p in pairs if len(p) == 2 and not p[0].startswith("<")}
+    assert not seconds & set(stable)
 
 
 def test_nfkc_udf(spark):

@@ -87,3 +87,50 @@ def test_roundtrip_report_truncated(spark):
     rep = roundtrip_report(df, ["g"], max_length=256).collect()[0]
     # truncated texts no longer decode to the whole text; 'é' * 100 is 200 byte ids and fits
     assert (rep.n_rows, rep.n_equal) == (3, 2)
+
+
+def test_decode_of_cut_characters(spark):
+    """Ids that end inside a character decode to U+FFFD, and the cut round trip reports instead of failing."""
+    text = "a" * 255 + "é"
+    df = spark.createDataFrame([(text, 1), ("short é", 1)], "text string, g int")
+    got = df.select(decode(F.slice(encode(F.col("text")), 1, 256)).alias("d")).collect()
+    assert [r.d for r in got] == ["a" * 255 + "\ufffd", "short é"]
+    rep = roundtrip_report(df, ["g"], max_length=256).first()
+    assert (rep.n_rows, rep.n_equal) == (2, 1)
+
+
+def test_word_encoder_equals_repeated_scans():
+    import random
+
+    from quarry.functions.encode import make_word_encoder
+    rng = random.Random(0)
+    merges, new = [], 261
+    for _ in range(60):
+        merges.append((rng.randrange(66, 70) if rng.random() < 0.5 else rng.randrange(261, new + 1) if new > 261 else 66,
+                       rng.randrange(66, 70) if rng.random() < 0.5 else rng.randrange(261, new) if new > 261 else 67, new))
+        new += 1
+    enc = make_word_encoder(merges)
+    ranks = {}
+    for r, (a, b, n) in enumerate(merges):
+        ranks[(a, b)] = (r, n)
+
+    def scan(syms):
+        while True:
+            best = min((ranks[p] for p in zip(syms, syms[1:]) if p in ranks), default=None)
+            if best is None:
+                return syms
+            out, i = [], 0
+            while i < len(syms):
+                if i + 1 < len(syms) and ranks.get((syms[i], syms[i + 1])) == best:
+                    out.append(best[1])
+                    i += 2
+                else:
+                    out.append(syms[i])
+                    i += 1
+            syms = out
+
+    from quarry.functions.bytes import byte_to_id
+    for _ in range(300):
+        w = "".join(rng.choice("abcde") for _ in range(rng.randrange(1, 40)))
+        assert enc(w) == scan([byte_to_id()[b] for b in w.encode()]), w
+    assert len(enc("ab" * 100_000)) > 0  # no quadratic scan
