@@ -74,4 +74,44 @@ QUERIES = {f.__name__: f for f in (
     op1_mixing, op2_quality, op3_minhash_dedup, op4_toxicity, op5_fingerprint, op6_pitman_yor, op7_packing,
     op8_suffix_dedup, op9_url_filter, op10_line_templates)}
 
-ORACLE: dict[str, str] = {}
+#: Shares by largest remainder, the earliest-deadline-first simulation of one period as a recursion, then arithmetic.
+_MIXING_SQL = """
+WITH RECURSIVE c AS (SELECT source, sqrt(count(*)) AS w FROM documents GROUP BY source),
+x AS (SELECT source, 1 + w / (SELECT sum(w) FROM c) * (1000 - (SELECT count(*) FROM c)) AS exact FROM c),
+f AS (SELECT source, floor(exact)::BIGINT AS low, row_number() OVER (ORDER BY floor(exact) - exact, source) AS r FROM x),
+sh AS (SELECT source, low + (r <= 1000 - (SELECT sum(low) FROM f))::BIGINT AS share,
+              row_number() OVER (ORDER BY source) AS i FROM f),
+l AS (SELECT list(share ORDER BY i) AS shares FROM sh),
+sim AS (
+  SELECT -1::BIGINT AS t, 0::BIGINT AS pick, list_transform(shares, lambda v: 0::BIGINT) AS done FROM l
+  UNION ALL
+  SELECT t + 1, pick, list_transform(done, lambda d, i: d + (i = pick)::BIGINT)
+  FROM (SELECT t, done, list_position(due, list_min(due))::BIGINT AS pick
+        FROM (SELECT t, done, list_transform(done, lambda d, i:
+                CASE WHEN d < shares[i] AND (d * 1000) // shares[i] <= t + 1
+                     THEN ((d + 1) * 1000 + shares[i] - 1) // shares[i] ELSE 1000000 END) AS due
+              FROM sim, l WHERE t < 999))),
+slots AS (SELECT pick AS i, t, row_number() OVER (PARTITION BY pick ORDER BY t) - 1 AS k FROM sim WHERE t >= 0),
+ranked AS (SELECT doc_id, source, row_number() OVER (PARTITION BY source ORDER BY md5('0:' || doc_id)) - 1 AS rank FROM documents),
+b AS (SELECT doc_id, source, rank, rank // 16 AS block, share, i FROM ranked JOIN sh USING (source))
+SELECT doc_id, source, block::BIGINT AS block, ((block * 1000) // share)::BIGINT AS release,
+       (((block + 1) * 1000 + share - 1) // share)::BIGINT AS deadline,
+       ((block // share) * 1000 + t)::BIGINT AS slot, (rank % 16)::BIGINT AS slot_offset
+FROM b JOIN slots ON slots.i = b.i AND slots.k = block % share"""
+
+#: All pairs that share a shingle, counted, and the closure of the links.
+_DEDUP_SQL = r"""
+WITH RECURSIVE w AS (SELECT doc_id, regexp_extract_all(
+    translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x20\x09-\x0D]+') AS w FROM documents),
+s AS (SELECT DISTINCT doc_id, unnest(CASE WHEN len(w) = 1 THEN w ELSE
+          list_transform(range(1, greatest(len(w), 1)), lambda i: w[i] || ' ' || w[i + 1]) END) AS sh FROM w),
+n AS (SELECT doc_id, count(*) AS n FROM s GROUP BY doc_id),
+p AS (SELECT a.doc_id AS x, b.doc_id AS y, count(*) AS c FROM s a JOIN s b ON a.sh = b.sh AND a.doc_id < b.doc_id GROUP BY ALL),
+l AS (SELECT x, y FROM p JOIN n nx ON nx.doc_id = x JOIN n ny ON ny.doc_id = y WHERE 100 * c >= 80 * (nx.n + ny.n - c)),
+e AS (SELECT x, y FROM l UNION ALL SELECT y, x FROM l),
+r AS (SELECT doc_id, doc_id AS reach FROM documents UNION SELECT r.doc_id, e.y FROM r JOIN e ON r.reach = e.x),
+g AS (SELECT doc_id, min(reach) AS component_id FROM r GROUP BY doc_id)
+SELECT g.doc_id, coalesce(n, 0)::BIGINT AS n_shingles, component_id, g.doc_id = component_id AS kept
+FROM g LEFT JOIN n USING (doc_id)"""
+
+ORACLE: dict[str, str] = {"op1_mixing": _MIXING_SQL, "op3_minhash_dedup": _DEDUP_SQL}

@@ -27,7 +27,7 @@ PRIOR_BAD = 0.15
 SMOOTH = 1e-3  # of all documents, added to every count of votes
 LEAST = 20
 STEPS = 60
-TOLERANCE = 1e-5
+TOLERANCE = 1e-4
 
 
 def _size(c) -> Column:
