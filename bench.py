@@ -29,6 +29,7 @@ def build(sf: str):
     from quarry.operators.scoring import mask_accounting, ngram_nll
     from quarry.operators.sequences import pack_blocks
     from quarry.operators.tokenizer import merges_table, pretoken_counts, train_bpe
+    from quarry.plans import catalog
     from quarry.functions.encode import encode
     from quarry.plans.pretrain import pretrain_sequences
     from quarry.plans.sft import sft_sequences
@@ -63,7 +64,8 @@ def build(sf: str):
         "b10_eta": lambda s: eta_minutes(table(s, sf, "events")),
         "a4_ngram_nll": lambda s: ngram_nll(pretrain_sequences(chunks(s).select("lang", "text")), ["lang"], 261),
         "k1_pretoken_counts": lambda s: pretoken_counts(docs(s)),
-        "k3_train_bpe_v300": lambda s: merges_table(s, train_bpe(docs(s).select("text"), vocab_size=300)),
+        f"k3_train_bpe_{catalog.MERGES}_merges": lambda s: merges_table(
+            s, train_bpe(docs(s).select("text"), vocab_size=261 + catalog.MERGES)),
     }
 
 
