@@ -58,10 +58,6 @@ def id_to_byte() -> dict[int, int]:
 FIRST_MERGE_ID = len(SPECIAL_TOKENS) + 256  # 261
 
 
-def _lut() -> Column:
-    return F.array(*[F.lit(i) for i in byte_to_id()])
-
-
 def utf8_bytes(col: Column) -> Column:
     """array<int> of the UTF-8 bytes of a string (0..255), in one linear pass.
 
@@ -73,9 +69,15 @@ def utf8_bytes(col: Column) -> Column:
         F.transform(F.split(latin, ""), lambda c: F.ascii(c)))
 
 
+_BYTE_CHARS = "".join(map(chr, range(256)))
+_ID_CHARS = "".join(map(chr, _BYTE_TO_ID))
+
+
 def byte_ids(col: Column) -> Column:
-    """T5: array<int> of base-vocabulary ids (5..260) of a string's UTF-8 bytes."""
-    lut = _lut()
+    """T5: array<int> of base-vocabulary ids (5..260) of a string's UTF-8 bytes.
+
+    One ``translate`` turns every byte into the character whose code point is its id.
+    """
     latin = F.decode(F.encode(col, "UTF-8"), "ISO-8859-1")
     return F.when(F.length(col) == 0, F.array().cast("array<int>")).otherwise(
-        F.transform(F.split(latin, ""), lambda c: F.element_at(lut, F.ascii(c) + 1)))
+        F.transform(F.split(F.translate(latin, _BYTE_CHARS, _ID_CHARS), ""), lambda c: F.ascii(c)))
