@@ -27,7 +27,7 @@ from quarry.llm import vec
 
 WIDTH, STRIDE = 24, 16
 SAMPLE = 2000
-MIN_DOCS = 4
+MIN_DOCS = 2
 VOCAB = 50_000
 CHARS = 4096
 PREFIXES = (4, 5, 6, 8, 10)
@@ -249,27 +249,43 @@ def calibrate(logit: np.ndarray, y: np.ndarray, weight: np.ndarray, rounds: int
     return float(b[0] / dev), float(b[1] - b[0] * mean / dev)
 
 
-def train(texts: list[str], labels: list[int], class_weight: tuple = (1.0, 1.0), epochs: int = 8, batch: int = 128, seed: int = 0) -> Model:
+def train(texts: list[str], labels: list[int], class_weight: tuple = (1.0, 1.0), epochs: int = 8, batch: int = 128,
+          seed: int = 0) -> Model:
     """Fit the network on sample documents.
 
-    ``class_weight``: how many documents one of each class stands for, in the calibration.
-    With one class only, all scores are the smoothed share of class 1.
+    Every fourth document of each class is first left out, to calibrate the logits; the final
+    network is then fitted to all.  ``class_weight``: how many documents one of each class
+    stands for, in the calibration.  With one class only, all scores are the smoothed
+    share of class 1.
     """
-    rng = np.random.default_rng(seed)
     hasher = vec.Hasher()
     y_doc = np.array(labels, np.float32)
     if len(set(labels)) < 2:
-        model = Model(np.zeros(0, np.uint64), init_params(0, rng), scale=0.0)
+        model = Model(np.zeros(0, np.uint64), init_params(0, np.random.default_rng(seed)), scale=0.0)
         share = (sum(labels) + 0.5) / (len(labels) + 1) if labels else 1e-3
         model.shift = float(np.log(share / (1 - share)))
         return model
-    # every fourth document of each class is left for the calibration
-    learn = np.ones(len(texts), bool)
+    parts = [w for i, j, w in vec.word_chunks(pa.array(texts, pa.string()), hasher)]
+    everything = np.ones(len(texts), bool)
+    learn = everything.copy()
     for y in (0, 1):
         learn[np.flatnonzero(y_doc == y)[3::4]] = False
-    if min(y_doc[~learn].sum(), (1 - y_doc[~learn]).sum()) < 1:
-        learn[:] = True
-    parts = [w for i, j, w in vec.word_chunks(pa.array(texts, pa.string()), hasher)]
+    rest = ~learn
+    if len(set(y_doc[rest].tolist())) < 2:
+        learn = rest = everything
+    model = fit(parts, y_doc, learn, hasher, epochs, batch, seed)
+    logit = np.concatenate([model.text_logits(w, hasher) for w in parts])
+    y = y_doc[rest].astype(np.float64)
+    scale, shift = calibrate(logit[rest], y, np.where(y == 1, class_weight[1], class_weight[0]))
+    model = fit(parts, y_doc, everything, hasher, epochs, batch, seed)
+    model.scale, model.shift = scale, shift
+    return model
+
+
+def fit(parts: list[vec.Words], y_doc: np.ndarray, learn: np.ndarray, hasher: vec.Hasher, epochs: int, batch: int,
+        seed: int) -> Model:
+    """The network after training on the documents marked in ``learn``."""
+    rng = np.random.default_rng(seed)
     # words and beginnings by document, for their log odds
     doc_words, base = [], 0
     for w in parts:
@@ -345,10 +361,6 @@ def train(texts: list[str], labels: list[int], class_weight: tuple = (1.0, 1.0),
             g["char"] = np.zeros_like(params["char"])
             np.add.at(g["char"], flat, dx[owner] * inv_size)
             adam(params, g, state, step)
-    logit = np.concatenate([model.text_logits(w, hasher) for w in parts])
-    rest = ~learn if not learn.all() else learn
-    y = y_doc[rest].astype(np.float64)
-    model.scale, model.shift = calibrate(logit[rest], y, np.where(y == 1, class_weight[1], class_weight[0]))
     return model
 
 
