@@ -24,7 +24,9 @@ def get_session(master: str | None = None, app: str = "quarry",
          .config("spark.sql.adaptive.coalescePartitions.enabled", "true")
          .config("spark.sql.adaptive.skewJoin.enabled", "true")
          .config("spark.sql.execution.arrow.pyspark.enabled", "true")
-         .config("spark.sql.session.timeZone", "UTC"))
+         .config("spark.sql.session.timeZone", "UTC")
+         # checkpoint files go when nothing refers to them any more
+         .config("spark.cleaner.referenceTracking.cleanCheckpoints", "true"))
     if shuffle_partitions:
         b = b.config("spark.sql.shuffle.partitions", str(shuffle_partitions))
     spark = b.getOrCreate()
