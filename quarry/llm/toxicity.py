@@ -286,21 +286,27 @@ def fit(parts: list[vec.Words], y_doc: np.ndarray, learn: np.ndarray, hasher: ve
         seed: int) -> Model:
     """The network after training on the documents marked in ``learn``."""
     rng = np.random.default_rng(seed)
-    # words and beginnings by document, for their log odds
-    doc_words, base = [], 0
+    # documents of each class by word and beginning, for the log odds
+    seen: list[list[np.ndarray]] = [[], []]
+    base = 0
     for w in parts:
         starts = prefix_hashes(hasher, w.data, w.starts, w.ends)
-        for r in range(len(w)):
+        for r in np.flatnonzero(learn[base: base + len(w)]):
             a, b = w.woff[r], w.woff[r + 1]
-            u = np.unique(np.concatenate([w.hashes[a:b], starts[a:b].ravel()]))
-            if learn[base + r]:
-                doc_words.append((u[u != 0], np.full((u != 0).sum(), base + r)))
+            seen[int(y_doc[base + r])].append(np.unique(np.concatenate([w.hashes[a:b], starts[a:b].ravel()])))
         base += len(w)
-    every = np.concatenate([u for u, _ in doc_words])
-    of = np.concatenate([d for _, d in doc_words])
-    uniq, inv, freq = np.unique(every, return_inverse=True, return_counts=True)
-    pos = np.bincount(inv, y_doc[of], len(uniq))
-    neg = freq - pos
+    del starts
+    counts = []
+    for y in (0, 1):
+        counts.append(np.unique(np.concatenate(seen[y] or [np.zeros(0, np.uint64)]), return_counts=True))
+        seen[y].clear()
+    uniq = np.union1d(counts[0][0], counts[1][0])
+    uniq = uniq[uniq != 0]
+    neg, pos = np.zeros(len(uniq), np.int32), np.zeros(len(uniq), np.int32)
+    for into, (keys, n) in zip((neg, pos), counts):
+        into[np.searchsorted(uniq, keys[keys != 0])] = n[keys != 0]
+    del counts
+    freq = neg + pos
     # log odds over those of the sample, as if seen in ODDS_DOCS more documents of the sample's share
     share = y_doc[learn].mean()
     odds = np.log((pos + ODDS_DOCS * share) / (neg + ODDS_DOCS * (1 - share))) - np.log(share / (1 - share))
@@ -377,7 +383,10 @@ def sample(docs: DataFrame, labels: DataFrame, id_col: str, text_col: str, label
     totals = {r["_y"]: r["count"] for r in marked.groupBy("_y").count().collect()}
     picked = None
     for y in (0, 1):
-        part = marked.where(F.col("_y") == y).orderBy("_h", "_id").limit(per_class)
+        # hashes up to a bound that leaves a few more rows than wanted, so that the sort is small
+        share = min(1.0, (per_class + 10 * per_class**0.5 + 10) / max(1, totals.get(y, 0)))
+        low = marked.where((F.col("_y") == y) & (F.col("_h") <= int(min(2**63 - 1, -(2**63) + share * 2**64))))
+        part = low.orderBy("_h", "_id").limit(per_class)
         picked = part if picked is None else picked.unionByName(part)
     rows = docs.select(F.col(id_col).alias("_id"), F.coalesce(text_col, F.lit("")).alias("_t")).join(
         F.broadcast(picked), "_id").orderBy("_h", "_id").select("_t", "_y").collect()
