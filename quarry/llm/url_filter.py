@@ -7,8 +7,8 @@ its tokens are the words of the host labels (the top-level domain left out), spl
 a Viterbi search over unigram word costs, and the words of the path, numbers
 as one token.
 
-The unigram dictionary holds the ``DICTIONARY`` most frequent words of the pages'
-text (ties by word), a bounded table that travels with the tasks.  Distinct (host,
+The unigram dictionary holds the most frequent words of the pages' text, ``DICTIONARY`` at
+most, a bounded table that travels with the tasks.  Distinct (host,
 path) pairs are scored, so frequent ones are worked on once; token counts
 are partial aggregates, and the scores of undecided pairs are an equi-join of
 their tokens with the token weights.
@@ -20,9 +20,11 @@ import math
 import re
 
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from quarry.session import cut_lineage
+
 DICTIONARY = 50_000
 LONGEST = 20
 #: (verdict, host, path)
@@ -50,11 +52,19 @@ def matching_rule(host: Column, path: Column, rules: list[tuple[str, str, str]])
 
 
 def dictionary(pages: DataFrame, text_col: str, size: int = DICTIONARY) -> dict[str, int]:
-    """Counts of the most frequent words (two letters or more, at most LONGEST) in the text, mark-up cut off."""
+    """Counts of the most frequent words (two letters or more, at most LONGEST) in the text, mark-up cut off.
+
+    At most ``size`` words; where the cut falls among equally frequent words, none of these is
+    in.  The cut is found on the table of counts' counts, so only the words that are in
+    reach the driver.
+    """
     text = F.lower(F.regexp_replace(F.coalesce(text_col, F.lit("")), r"(?s)<(script|style)\b.*?</\1>|<[^>]*>|&\w+;", " "))
     words = pages.select(F.explode(F.regexp_extract_all(text, F.lit(rf"(\p{{L}}{{2,}})"), 1)).alias("word"))
-    top = words.where(F.length("word") <= LONGEST).groupBy("word").count().orderBy(F.desc("count"), "word").limit(size)
-    return {r[0]: r[1] for r in top.collect()}
+    counts = cut_lineage(words.where(F.length("word") <= LONGEST).groupBy("word").agg(F.count("*").alias("n")))
+    ranked = counts.groupBy("n").agg(F.count("*").alias("words")) \
+        .withColumn("upto", F.sum("words").over(Window.orderBy(F.desc("n"))))
+    least = ranked.where(F.col("upto") <= size).agg(F.min("n")).first()[0]
+    return {} if least is None else {r[0]: r[1] for r in counts.where(F.col("n") >= least).collect()}
 
 
 class Segmenter:

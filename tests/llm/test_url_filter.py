@@ -82,3 +82,10 @@ def test_naive_bayes_scores(spark):
                 odds += math.log((count["block"].get(t, 0) + 1) / (sum(count["block"].values()) + kinds)) \
                     - math.log((count["allow"].get(t, 0) + 1) / (sum(count["allow"].values()) + kinds))
         assert got[i].block_odds == pytest.approx(odds)
+
+
+def test_dictionary_is_cut_between_counts(spark):
+    df = spark.createDataFrame([("<p>aa aa aa bb bb cc cc dd ee</p><script>zz zz zz zz</script> &amp; x",)], "html string")
+    assert uf.dictionary(df, "html", 10) == {"aa": 3, "bb": 2, "cc": 2, "dd": 1, "ee": 1}
+    assert uf.dictionary(df, "html", 4) == uf.dictionary(df, "html", 3) == {"aa": 3, "bb": 2, "cc": 2}
+    assert uf.dictionary(df, "html", 2) == {"aa": 3} and uf.dictionary(df.limit(0), "html") == {}
