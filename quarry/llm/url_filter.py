@@ -7,10 +7,11 @@ its tokens are the words of the host labels (the top-level domain left out), spl
 a Viterbi search over unigram word costs, and the words of the path, numbers
 as one token.
 
-The unigram dictionary holds the most frequent words of the pages' text, ``DICTIONARY`` at
-most, a bounded table that travels with the tasks.  Distinct (host,
+The unigram counts of all words of the pages' text stay a Spark table.  The substrings of the
+distinct parts of host labels are joined with it, and each part is split with the words that
+were found in it, so that no word is left out and no dictionary travels.  Distinct (host,
 path) pairs are scored, so frequent ones are worked on once; token counts
-are partial aggregates, and the scores of undecided pairs are an equi-join of
+are partial aggregates, and the scores of undecided hosts and paths are equi-joins of
 their tokens with the token weights.
 """
 
@@ -51,16 +52,21 @@ def matching_rule(host: Column, path: Column, rules: list[tuple[str, str, str]])
     return rule, verdict
 
 
+def word_counts(pages: DataFrame, text_col: str) -> DataFrame:
+    """(word, n) of all words (two letters or more, at most LONGEST) in the text, mark-up cut off."""
+    text = F.lower(F.regexp_replace(F.coalesce(text_col, F.lit("")), r"(?s)<(script|style)\b.*?</\1>|<[^>]*>|&\w+;", " "))
+    words = pages.select(F.explode(F.regexp_extract_all(text, F.lit(rf"(\p{{L}}{{2,}})"), 1)).alias("word"))
+    return cut_lineage(words.where(F.length("word") <= LONGEST).groupBy("word").agg(F.count("*").alias("n")))
+
+
 def dictionary(pages: DataFrame, text_col: str, size: int = DICTIONARY) -> dict[str, int]:
-    """Counts of the most frequent words (two letters or more, at most LONGEST) in the text, mark-up cut off.
+    """Counts of the most frequent words in the text, for a look at them; ``judge`` uses all words.
 
     At most ``size`` words; where the cut falls among equally frequent words, none of these is
     in.  The cut is found on the table of counts' counts, so only the words that are in
     reach the driver.
     """
-    text = F.lower(F.regexp_replace(F.coalesce(text_col, F.lit("")), r"(?s)<(script|style)\b.*?</\1>|<[^>]*>|&\w+;", " "))
-    words = pages.select(F.explode(F.regexp_extract_all(text, F.lit(rf"(\p{{L}}{{2,}})"), 1)).alias("word"))
-    counts = cut_lineage(words.where(F.length("word") <= LONGEST).groupBy("word").agg(F.count("*").alias("n")))
+    counts = word_counts(pages, text_col)
     ranked = counts.groupBy("n").agg(F.count("*").alias("words")) \
         .withColumn("upto", F.sum("words").over(Window.orderBy(F.desc("n"))))
     least = ranked.where(F.col("upto") <= size).agg(F.min("n")).first()[0]
@@ -68,10 +74,10 @@ def dictionary(pages: DataFrame, text_col: str, size: int = DICTIONARY) -> dict[
 
 
 class Segmenter:
-    """Least-cost splits of letter strings into words."""
+    """Least-cost splits of letter strings into words; ``total``: of the counts of all words, if more than these."""
 
-    def __init__(self, counts: dict[str, int]):
-        self.total = sum(counts.values()) + 1
+    def __init__(self, counts: dict[str, int], total: int | None = None):
+        self.total = (sum(counts.values()) if total is None else total) + 1
         self.cost = {w: -math.log(n / self.total) for w, n in counts.items()}
 
     def unknown(self, length: int) -> float:
@@ -99,34 +105,66 @@ class Segmenter:
 _WORDS = re.compile(r"[^\W\d_]+|\d+")
 
 
+def host_parts(host: str) -> list[str]:
+    """Runs of letters and of digits in the host labels but the last."""
+    return [part for label in host.split(".")[:-1] for part in _WORDS.findall(label)]
+
+
+def path_tokens(path: str) -> list[str]:
+    return ["p:#" if part[0].isdigit() else f"p:{part}" for part in _WORDS.findall(path.lower())]
+
+
+def part_tokens(part: str, split) -> list[str]:
+    return ["h:#"] if part[0].isdigit() else [f"h:{w}" for w in split(part)]
+
+
 def tokens(host: str, path: str, split) -> list[str]:
     """Tokens of a URL: ``h:`` words of the host labels but the last, ``p:`` words of the path; # for numbers."""
-    out = []
-    for label in host.split(".")[:-1]:
-        for part in _WORDS.findall(label):
-            out += ["h:#"] if part[0].isdigit() else [f"h:{w}" for w in split(part)]
-    for part in _WORDS.findall(path.lower()):
-        out.append("p:#" if part[0].isdigit() else f"p:{part}")
-    return out
+    return [t for part in host_parts(host) for t in part_tokens(part, split)] + path_tokens(path)
 
 
-def url_tokens(pairs: DataFrame, counts: dict[str, int]) -> DataFrame:
-    """(all columns of ``pairs``, tokens array) for rows with host and path first."""
-    kinds = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in pairs.schema.fields)
+def host_tokens(hosts: DataFrame, counts: DataFrame) -> DataFrame:
+    """(host, token), a row per occurrence, for distinct hosts; ``counts`` has (word, n)."""
 
-    def run(batches):
-        segmenter = Segmenter(counts)
-        seen: dict[str, list[str]] = {}
+    def rows(cells, names, width):
+        got = [pa.array(c, pa.string()) for c in zip(*cells)] or [pa.nulls(0, pa.string())] * width
+        return pa.RecordBatch.from_arrays(got, names=names)
+
+    def parts_of(batches):
+        for batch in batches:
+            yield rows([(h, part) for h in batch.column(0).to_pylist() for part in host_parts(h)], ["host", "part"], 2)
 
-        def split(part):
-            if part not in seen:
-                if len(seen) > 100_000:
-                    seen.clear()
-                seen[part] = segmenter.split(part)
-            return seen[part]
+    def substrings(batches):
+        for batch in batches:
+            for part in batch.column(0).to_pylist():
+                n = len(part)
+                yield rows([(part, w) for w in {part[a:b] for a in range(n) for b in range(a + 2, min(a + LONGEST, n) + 1)}],
+                           ["part", "word"], 2)
+
+    placed = cut_lineage(hosts.select("host").mapInArrow(parts_of, "host string, part string"))
+    parts = placed.select("part").distinct()
+    found = parts.mapInArrow(substrings, "part string, word string").join(counts, "word") \
+        .groupBy("part").agg(F.collect_list("word").alias("words"), F.collect_list("n").alias("ns"))
+    total = counts.agg(F.sum("n")).first()[0] or 0
+
+    def split(batches):
+        for batch in batches:
+            part, words, ns = (batch.column(c).to_pylist() for c in range(3))
+            got = [part_tokens(p, Segmenter(dict(zip(w or (), n or ())), total).split) for p, w, n in zip(part, words, ns)]
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(got, pa.list_(pa.string()))], names=["part", "tokens"])
 
+    splits = parts.join(found, "part", "left").select("part", "words", "ns") \
+        .mapInArrow(split, "part string, tokens array<string>")
+    return placed.join(splits, "part").select("host", F.explode("tokens").alias("token"))
+
+
+def with_path_tokens(pairs: DataFrame) -> DataFrame:
+    """(all columns of ``pairs``, tokens array) for rows with the path second."""
+    kinds = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in pairs.schema.fields)
+
+    def run(batches):
         for batch in batches:
-            got = [tokens(h, p, split) for h, p in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist())]
+            got = [path_tokens(p) for p in batch.column(1).to_pylist()]
             yield pa.RecordBatch.from_arrays(batch.columns + [pa.array(got, pa.list_(pa.string()))],
                                              names=batch.schema.names + ["tokens"])
 
@@ -134,7 +172,7 @@ def url_tokens(pairs: DataFrame, counts: dict[str, int]) -> DataFrame:
 
 
 def judge(pages: DataFrame, id_col: str = "page_id", url_col: str = "url", text_col: str = "html",
-          rules: list[tuple[str, str, str]] = RULES, size: int = DICTIONARY) -> DataFrame:
+          rules: list[tuple[str, str, str]] = RULES) -> DataFrame:
     """One row per page: id_col, host, path, rule, verdict, block_odds (log odds, null where a rule decided).
 
     ``verdict`` is the fitting rule's, else "block" for block_odds > 0 and "allow"
@@ -148,11 +186,15 @@ def judge(pages: DataFrame, id_col: str = "page_id", url_col: str = "url", text_
     rule, verdict = matching_rule(F.col("host"), F.col("path"), rules)
     ruled = parsed.select("_id", "host", "path", rule.alias("rule"), verdict.alias("ruled"))
     pairs = ruled.groupBy("host", "path", "ruled").agg(F.count("*").alias("n"))
-    words = url_tokens(pairs, dictionary(pages, text_col, size))
+    words = with_path_tokens(pairs)
+    in_hosts = cut_lineage(host_tokens(pairs.select("host").distinct(), word_counts(pages, text_col)))
     block = F.when(F.col("ruled") == "block", F.col("n")).otherwise(0)
     allow = F.when(F.col("ruled") == "allow", F.col("n")).otherwise(0)
+    by_host = pairs.where("ruled is not null").groupBy("host").agg(F.sum(block).alias("b"), F.sum(allow).alias("a"))
     by_token = words.where("ruled is not null").select(F.explode("tokens").alias("token"), block.alias("b"), allow.alias("a")) \
+        .unionByName(in_hosts.join(by_host, "host").select("token", "b", "a")) \
         .groupBy("token").agg(F.sum("b").alias("b"), F.sum("a").alias("a"))
+    by_token = cut_lineage(by_token)
     urls = pairs.agg(F.sum(block), F.sum(allow)).first()
     kinds, all_b, all_a = by_token.agg(F.count("*"), F.sum("b"), F.sum("a")).first()
     if urls[0] and urls[1]:
@@ -160,9 +202,12 @@ def judge(pages: DataFrame, id_col: str = "page_id", url_col: str = "url", text_
         weight = F.log((F.col("b") + 1) / (all_b + kinds)) - F.log((F.col("a") + 1) / (all_a + kinds))
     else:
         prior, weight = 0.0, F.lit(0.0)
-    undecided = words.where("ruled is null").select("host", "path", F.explode("tokens").alias("token"))
-    scored = undecided.join(by_token.select("token", weight.alias("w")), "token", "left") \
-        .groupBy("host", "path").agg(F.sum(F.coalesce("w", F.lit(0.0))).alias("odds"))
+    weights = by_token.select("token", weight.alias("w"))
+    undecided = words.where("ruled is null").select("host", "path", F.explode_outer("tokens").alias("token"))
+    of_host = in_hosts.join(weights, "token").groupBy("host").agg(F.sum("w").alias("host_odds"))
+    scored = undecided.join(weights, "token", "left") \
+        .groupBy("host", "path").agg(F.sum(F.coalesce("w", F.lit(0.0))).alias("odds")).join(of_host, "host", "left") \
+        .select("host", "path", (F.col("odds") + F.coalesce("host_odds", F.lit(0.0))).alias("odds"))
     out = ruled.join(scored.withColumnRenamed("host", "_h").withColumnRenamed("path", "_p"),
                      (F.col("host") == F.col("_h")) & (F.col("path") == F.col("_p")) & F.col("ruled").isNull(), "left")
     odds = F.when(F.col("ruled").isNull(), prior + F.coalesce("odds", F.lit(0.0)))

@@ -89,3 +89,13 @@ def test_dictionary_is_cut_between_counts(spark):
     assert uf.dictionary(df, "html", 10) == {"aa": 3, "bb": 2, "cc": 2, "dd": 1, "ee": 1}
     assert uf.dictionary(df, "html", 4) == uf.dictionary(df, "html", 3) == {"aa": 3, "bb": 2, "cc": 2}
     assert uf.dictionary(df, "html", 2) == {"aa": 3} and uf.dictionary(df.limit(0), "html") == {}
+
+
+def test_words_beyond_any_cut_split_hosts(spark):
+    # more words than DICTIONARY tie at the highest count
+    letters = "abcdefghijklmnopqrstuvwxyz"
+    many = ["z" + "".join(w) for w in itertools.islice(itertools.product(letters, repeat=4), uf.DICTIONARY + 100)]
+    rows = [(1, "http://goodnews.net/es/a", " ".join(many)), (2, "http://badcasino.com/x", "good news bad casino"),
+            (3, "http://goodnews.org/q", None), (4, "http://newsgood.org/q", ""), (5, "http://xyxyxy.org/q", None)]
+    got = {r.page_id: r.block_odds for r in uf.judge(spark.createDataFrame(rows, "page_id long, url string, html string")).collect()}
+    assert got[3] == pytest.approx(got[4]) and got[3] > got[5]
