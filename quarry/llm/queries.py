@@ -5,8 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from quarry.llm import (line_templates, lz_fingerprint, minhash_dedup, mixing, packing, pitman_yor, suffix_dedup,
-                        toxicity, url_filter, weak_quality)
+from quarry.llm import (hard_negatives, line_templates, lz_fingerprint, minhash_dedup, mixing, packing, pitman_yor,
+                        suffix_dedup, toxicity, url_filter, weak_quality, whitening)
 from quarry.llm.keys import fold
 from quarry.sources.tables import table
 
@@ -70,9 +70,26 @@ def op10_line_templates(spark: SparkSession, sf_dir: str) -> DataFrame:
     return line_templates.drop_recurring_lines(docs, counts=True)
 
 
+def op11_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A row for each vector that takes part and component; rows without a usable vector give none."""
+    rows = table(spark, sf_dir, "embeddings").select("vec_id", "embedding")
+    model = whitening.fit(rows)
+    of = F.array(*[F.lit(e) for e in model.explained]) if model and len(model.values) else F.array().cast("array<double>")
+    return whitening.whiten(rows, model).select("vec_id", "deviation", F.posexplode("whitened").alias("_i", "whitened")) \
+        .select("vec_id", (F.col("_i") + 1).alias("component"), F.lit(model.n if model else 0).cast("long").alias("n"),
+                "deviation", "whitened", F.get(of, F.col("_i")).alias("explained"),
+                F.lit(model.identity_error if model else None).cast("double").alias("identity_error"))
+
+
+def op13_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Anchors: ids divisible by 100; ids divisible by 7 take the next label of ten first."""
+    label = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
+    return hard_negatives.mine(table(spark, sf_dir, "embeddings"), F.col("id") % 100 == 0, label=label)
+
+
 QUERIES = {f.__name__: f for f in (
     op1_mixing, op2_quality, op3_minhash_dedup, op4_toxicity, op5_fingerprint, op6_pitman_yor, op7_packing,
-    op8_suffix_dedup, op9_url_filter, op10_line_templates)}
+    op8_suffix_dedup, op9_url_filter, op10_line_templates, op11_whitening, op13_hard_negatives)}
 
 #: Shares by largest remainder, the earliest-deadline-first simulation of one period as a recursion, then arithmetic.
 _MIXING_SQL = """
@@ -114,4 +131,20 @@ g AS (SELECT doc_id, min(reach) AS component_id FROM r GROUP BY doc_id)
 SELECT g.doc_id, coalesce(n, 0)::BIGINT AS n_shingles, component_id, g.doc_id = component_id AS kept
 FROM g LEFT JOIN n USING (doc_id)"""
 
-ORACLE: dict[str, str] = {"op1_mixing": _MIXING_SQL, "op3_minhash_dedup": _DEDUP_SQL}
+#: Every anchor against all rows, ranked; windows by their limits.
+_NEGATIVES_SQL = """
+WITH v AS (SELECT vec_id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label,
+                  list_transform(embedding, lambda x: floor(256 * x::DOUBLE)) AS x FROM embeddings
+           WHERE label IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+s AS (SELECT a.vec_id AS anchor_id, b.vec_id AS id, a.label = b.label AS same, list_inner_product(a.x, b.x)::BIGINT AS score
+      FROM v a JOIN v b ON a.vec_id % 100 = 0 AND a.vec_id <> b.vec_id),
+p AS (SELECT anchor_id, id AS positive_id, score AS positive_score FROM s WHERE same
+      QUALIFY row_number() OVER (PARTITION BY anchor_id ORDER BY score DESC, id) <= 5)
+SELECT anchor_id, positive_id,
+       row_number() OVER (PARTITION BY anchor_id, positive_id ORDER BY score DESC, id)::INTEGER AS rank,
+       id AS negative_id, positive_score, score AS negative_score
+FROM p JOIN s USING (anchor_id)
+WHERE NOT same AND 80 * positive_score <= 100 * score AND score <= positive_score
+QUALIFY rank <= 5"""
+
+ORACLE: dict[str, str] = {"op1_mixing": _MIXING_SQL, "op3_minhash_dedup": _DEDUP_SQL, "op13_hard_negatives": _NEGATIVES_SQL}
