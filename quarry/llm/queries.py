@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from quarry.llm import (hard_negatives, line_templates, lz_fingerprint, minhash_dedup, mixing, packing, pitman_yor,
-                        suffix_dedup, toxicity, url_filter, weak_quality, whitening)
+                        secret_scan, suffix_dedup, toxicity, url_filter, weak_quality, whitening)
 from quarry.llm.keys import fold
 from quarry.sources.tables import table
 
@@ -81,6 +81,19 @@ def op11_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
                 F.lit(model.identity_error if model else None).cast("double").alias("identity_error"))
 
 
+def op12_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """One row a document: base counts and digest, all spans, and what the cost model added."""
+    found = secret_scan.find_secrets(table(spark, sf_dir, "documents").select("doc_id", "text"), ["doc_id"])
+    base = F.filter("spans", lambda s: s["kind"] != "guess")
+
+    def n(kind):
+        return F.size(F.filter("spans", lambda s: s["kind"] == kind)).cast("long").alias(f"n_{kind}")
+
+    return found.select("doc_id", n("assign"), n("access"), n("hex"), F.sha2(secret_scan.listed(base), 256).alias("base_sha256"),
+                        secret_scan.listed(F.col("spans")).alias("spans"), n("guess"),
+                        F.array_max(F.transform("costed", lambda v: v["bits"])).alias("guess_bits"))
+
+
 def op13_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Anchors: ids divisible by 100; ids divisible by 7 take the next label of ten first."""
     label = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
@@ -89,7 +102,7 @@ def op13_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {f.__name__: f for f in (
     op1_mixing, op2_quality, op3_minhash_dedup, op4_toxicity, op5_fingerprint, op6_pitman_yor, op7_packing,
-    op8_suffix_dedup, op9_url_filter, op10_line_templates, op11_whitening, op13_hard_negatives)}
+    op8_suffix_dedup, op9_url_filter, op10_line_templates, op11_whitening, op12_secrets, op13_hard_negatives)}
 
 #: Shares by largest remainder, the earliest-deadline-first simulation of one period as a recursion, then arithmetic.
 _MIXING_SQL = """

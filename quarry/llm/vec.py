@@ -80,6 +80,13 @@ class Hasher:
             i = j
         return out
 
+    def slices(self, data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
+        """Hashes of any byte ranges of short ``data`` (at most SEG bytes), as ``spans`` gives them."""
+        self._powers(len(data) + 1)
+        acc = np.zeros(len(data) + 1, np.uint64)
+        np.cumsum(self.table[data] * self.pw[: len(data)], out=acc[1:])
+        return mix64((acc[ends] - acc[starts]) * self.ipw[starts] + (ends - starts).astype(np.uint64) * _MULT)
+
     def words(self, data: np.ndarray, offsets: np.ndarray, hashed: bool = True) -> Words:
         """``data``: UTF-8 bytes of consecutive texts, ``offsets``: their n+1 bounds from 0."""
         inside = ~self.space[data]
