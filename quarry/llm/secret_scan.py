@@ -195,7 +195,8 @@ def _words_in(pieces: DataFrame, counts: DataFrame) -> DataFrame:
 
     slices = pieces.mapInArrow(run, "piece string, a int, b int, h long")
     ranks = F.broadcast(word_ranks(counts))  # a row per eighth of an octave
-    hits = slices.join(counts, "h").withColumn("bucket", _bucket(F.col("n"))).join(ranks, "bucket")
+    # the planner sizes the substrings by their pieces and would broadcast them
+    hits = slices.hint("merge").join(counts, "h").withColumn("bucket", _bucket(F.col("n"))).join(ranks, "bucket")
     return hits.groupBy("piece").agg(F.collect_list(F.struct("a", "b", F.log2("rank").alias("bits"))).alias("words"))
 
 
