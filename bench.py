@@ -66,6 +66,7 @@ def build(sf: str):
         "k1_pretoken_counts": lambda s: pretoken_counts(docs(s)),
         f"k3_train_bpe_{catalog.MERGES}_merges": lambda s: merges_table(
             s, train_bpe(docs(s).select("text"), vocab_size=261 + catalog.MERGES)),
+        "k3_train_bpe_vocabulary_2000": lambda s: merges_table(s, train_bpe(docs(s).select("text"), vocab_size=2000)),
     }
 
 

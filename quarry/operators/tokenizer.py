@@ -1,48 +1,27 @@
 """Byte-level BPE tokenizer jobs (K1-K7).
 
-Training (K3) runs on the table of distinct pre-tokens with their corpus
-frequency.  Each symbol id is one private-use character, so a word is a
-string, a pair is a 2-character substring, and a merge is the native
-``replace`` (left-to-right, non-overlapping, as BPE merging requires); binary
-string order is id order, so ties break by (left id, right id).
-
-Pair counts are a table updated incrementally (only words holding a merged
-pair are re-counted); each round brings only the top ``candidates`` pairs to
-the driver, and applies several merges at once
-when one-at-a-time merging provably picks the same ones: candidates are taken
-from the top while they share no symbol with a taken pair (a self-pair stops
-the scan); every taken pair after the first must count strictly more than the
-first pair that stopped the scan (or than the last candidate, if the list was
-full), because a merge can only lower the counts of pairs sharing its symbols
-and create pairs no more frequent than those.  A merge whose string already
-exists reuses that id and closes the round.  Words reduced to one symbol
-leave the table.  Lineage is cut with reliable checkpoints.
+Training (K3) runs on the table of distinct pre-tokens with their corpus frequency and an
+inverted index from pairs to words (``bpe_index``).  Each symbol id is one private-use character,
+so a word is a string and a pair is a 2-character substring; ties break by (left id, right id).
+A round makes several merges at once when one-at-a-time merging provably picks the same ones.
+A merge whose string already exists reuses that id, closes the round and has the counts taken anew.
 """
 
 from __future__ import annotations
 
-from pyspark import StorageLevel
+import time
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from quarry.constants import BOS_ID, EOS_ID, MIN_FREQUENCY, PAD_ID, SPECIAL_TOKENS, UNK_ID, VOCAB_SIZE
-from quarry.functions.bytes import FIRST_MERGE_ID, byte_to_id
+from quarry.functions.bytes import FIRST_MERGE_ID, byte_to_id, id_to_byte
 from quarry.functions.encode import BpeModel, decode, encode, token_count
 from quarry.functions.text import nfkc, pretokenize
+from quarry.operators import bpe_index
+from quarry.operators.bpe_index import sym_char
 from quarry.session import cut_lineage
 
-_BMP_SLOTS = 6400  # U+E000..U+F8FF
-
-
-def sym_char(i: int) -> str:
-    """Private-use character standing for symbol id ``i``."""
-    return chr(0xE000 + i) if i < _BMP_SLOTS else chr(0xF0000 + i - _BMP_SLOTS)
-
-
-def sym_id(c: str) -> int:
-    o = ord(c)
-    return o - 0xE000 if o < 0xF0000 else o - 0xF0000 + _BMP_SLOTS
-
 
 def pretoken_counts(docs: DataFrame, text_col: str = "text", normalize: bool = True) -> DataFrame:
     """K1: corpus frequency of each pre-token (word, freq)."""
@@ -78,133 +57,58 @@ def _pair_windows(sym):
     return F.regexp_extract_all(sym, F.lit("(?s)(?=(..))"), 1)
 
 
-def _choose(top, min_frequency: int, full: bool):
-    """Pick this round's merges from the sorted candidate list (see module doc)."""
-    first = top[0]
-    if first["cnt"] < min_frequency:
-        return []
-    a0, b0 = first["pair"][0], first["pair"][1]
-    prefix, used, stop = [first], {a0, b0}, None
-    if a0 != b0:
-        for row in top[1:]:
-            a, b = row["pair"][0], row["pair"][1]
-            if a == b or a in used or b in used:
-                stop = row["cnt"]
-                break
-            prefix.append(row)
-            used |= {a, b}
-        else:
-            stop = top[-1]["cnt"] if full else None
-    taken = [first] + [r for r in prefix[1:] if (stop is None or r["cnt"] > stop) and r["cnt"] >= min_frequency]
-    return [(sym_id(r["pair"][0]), sym_id(r["pair"][1]), r["cnt"]) for r in taken]
-
-
-def _release(frames) -> None:
-    for f in frames:
-        f.unpersist()
-
-
 def train_bpe(docs: DataFrame, vocab_size: int = VOCAB_SIZE, min_frequency: int = MIN_FREQUENCY,
-              text_col: str = "text", candidates: int = 256, checkpoint_every: int = 10,
-              normalize: bool = True, log_rounds: bool = False,
-              incremental_share: float = 0.0) -> BpeModel:
+              text_col: str = "text", normalize: bool = True, tracked: int = bpe_index.TRACKED,
+              log_rounds: bool = False) -> BpeModel:
     """K3: byte-level BPE training.  Returns the ordered merges (bounded by vocab_size).
 
-    Pair counts are kept as a table, recounted each round from the merged
-    words.  With ``incremental_share`` > 0, a round whose merged pairs carry
-    less than that share of the initial pair mass instead re-counts only the
-    words containing a merged pair (old pairs subtracted, new pairs added), so
-    it shuffles the change, not the whole word table.  Either way the counts
-    are exact.  On the test tables the full recount is faster (the pair table
-    is re-shuffled on every incremental round), so the default is 0; the
-    incremental form is meant for very large word tables and late, rare merges.
+    See ``bpe_index`` for the index, the rounds and what the driver holds (``tracked`` pair counts and
+    the merges).  A new version of the index is written when the merges since the last one are 64
+    and half as many as those before it.
     """
-    token = [s.encode("utf-8") for s in SPECIAL_TOKENS] + [None] * 256
-    from quarry.functions.bytes import id_to_byte
     inv = id_to_byte()
-    for i in range(len(SPECIAL_TOKENS), FIRST_MERGE_ID):
-        token[i] = bytes([inv[i]])
+    token = [s.encode("utf-8") for s in SPECIAL_TOKENS]
+    token += [bytes([inv[i]]) for i in range(len(SPECIAL_TOKENS), FIRST_MERGE_ID)]
     known = {t: i for i, t in enumerate(token)}
     merges: list[tuple[int, int, int]] = []
-
-    # the first word table has a short lineage (one aggregate over the corpus): cached, not
-    # checkpointed; the growing chain of replace rounds is cut every ``checkpoint_every`` rounds
-    state = word_symbols(pretoken_counts(docs, text_col, normalize)).where(F.length("sym") > 1) \
-        .persist(StorageLevel.MEMORY_AND_DISK)
-    incremental_mode = incremental_share > 0
-    # the full recount reads the pair table once per round; only the incremental form keeps it
-    pairs = cut_lineage(pair_counts(state)) if incremental_mode else pair_counts(state)
-    mass = (pairs.agg(F.sum("cnt")).collect()[0][0] or 0) if incremental_share > 0 else 0
-    rounds = 0
-    import time as _time
-    t_start = _time.time()
-    # a state stays cached until its successor is materialised (by the next round's job)
-    waiting_pairs, waiting_states = [], []
+    words = word_symbols(pretoken_counts(docs, text_col, normalize)).where(F.length("sym") > 1)
+    version = bpe_index.Version(cut_lineage(words), 0)
+    counts = bpe_index.Counts(version.top_pairs(tracked), tracked)
+    rounds, began = 0, time.time()
     while len(token) < vocab_size:
-        top = pairs.orderBy(F.desc("cnt"), F.asc("pair")).limit(candidates).collect()
-        _release(waiting_pairs)
-        waiting_pairs = []
-        if len(waiting_states) > 1:
-            _release(waiting_states[:-1])
-            waiting_states = waiting_states[-1:]
-        if not top:
+        top = counts.best()
+        if (not top or top[0][2] <= counts.floor) and counts.floor >= min_frequency:
+            version = version.after(merges[version.made:], len(merges))
+            counts = bpe_index.Counts(version.top_pairs(tracked), tracked)
+            top = counts.best()  # only its first pair is taken while all tracked ones are equally frequent
+        if not top or top[0][2] < min_frequency:
             break
-        chosen = _choose(top, min_frequency, full=len(top) == candidates)
-        if not chosen:
-            break
-        applied = []
-        for a, b, _ in chosen:
-            if len(token) >= vocab_size:
+        chosen, reused = [], False
+        oldest_new = len(token)
+        for a, b, n in bpe_index.choose(top, counts.floor):
+            if n < min_frequency or reused or len(token) >= vocab_size:
                 break
             s = token[a] + token[b]
-            new = known.get(s)
-            reused = new is not None
+            reused = s in known
             if not reused:
-                new = len(token)
+                known[s] = len(token)
                 token.append(s)
-                known[s] = new
-            merges.append((a, b, new))
-            applied.append((a, b, new))
-            if reused:
-                break
-        moved = sum(c for (_, _, c), _m in zip(chosen, applied))
-        incremental = incremental_mode and moved < incremental_share * mass
-        expr = F.col("sym")
-        hit = None
-        for a, b, n in applied:
-            pat = sym_char(a) + sym_char(b)
-            expr = F.replace(expr, F.lit(pat), F.lit(sym_char(n)))
-            hit = (F.instr("sym", pat) > 0) if hit is None else (hit | (F.instr("sym", pat) > 0))
-        nxt_state = state.select(expr.alias("sym"), "freq").where(F.length("sym") > 1)
-        if incremental:
-            # one exploded delta per changed word: old pairs with -freq, new pairs with +freq
-            changed = state.where(hit).select("sym", expr.alias("_new"), "freq")
-            signed = F.concat(
-                F.transform(_pair_windows(F.col("sym")),
-                            lambda p: F.struct(p.alias("pair"), (-F.col("freq")).alias("cnt"))),
-                F.transform(_pair_windows(F.col("_new")),
-                            lambda p: F.struct(p.alias("pair"), F.col("freq").alias("cnt"))))
-            delta = changed.select(F.inline(signed))
-            nxt_pairs = (pairs.unionByName(delta).groupBy("pair")
-                         .agg(F.sum("cnt").alias("cnt")).where(F.col("cnt") > 0))
-        else:
-            nxt_pairs = pair_counts(nxt_state)
+            chosen.append((a, b, known[s]))
+        made = len(merges)
+        merges += chosen
         rounds += 1
-        if rounds % checkpoint_every == 0:
-            nxt_state = cut_lineage(nxt_state)
-            nxt_pairs = cut_lineage(nxt_pairs) if incremental_mode else pair_counts(nxt_state)
-            _release([pairs, state] + waiting_states)
-            waiting_states = []
+        if len(token) >= vocab_size:
+            break
+        if reused or len(merges) - version.made >= max(64, version.made // 2):
+            if not reused:
+                counts.add(version.changes(merges[version.made:made], chosen), oldest_new)
+            version = version.after(merges[version.made:], len(merges))
+            if reused:
+                counts = bpe_index.Counts(version.top_pairs(tracked), tracked)
         else:
-            nxt_state = nxt_state.persist(StorageLevel.MEMORY_AND_DISK)
-            if incremental_mode:
-                nxt_pairs = nxt_pairs.persist(StorageLevel.MEMORY_AND_DISK)
-            waiting_pairs.append(pairs)
-            waiting_states.append(state)
-        pairs, state = nxt_pairs, nxt_state
-    _release([pairs, state] + waiting_pairs + waiting_states)
+            counts.add(version.changes(merges[version.made:made], chosen), oldest_new)
     if log_rounds:
-        print(f"train_bpe: {len(merges)} merges in {rounds} rounds, {_time.time() - t_start:.1f}s")
+        print(f"train_bpe: {len(merges)} merges in {rounds} rounds, {time.time() - began:.1f}s")
     return BpeModel(tuple(merges))
 
 

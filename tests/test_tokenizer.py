@@ -76,10 +76,65 @@ def test_pretoken_counts(spark):
     assert got == {"the": 2, " cat": 1, " the": 1}
 
 
-def test_incremental_pair_counts_same_merges(spark, trained):
+def test_few_tracked_pairs_same_merges(spark, trained):
+    """With a small bound the counts are taken anew whenever the best pair comes down to the floor."""
     docs, _, model, _ = trained
-    inc = train_bpe(docs, vocab_size=330, incremental_share=1.0)
-    assert inc.merges == model.merges
+    assert train_bpe(docs, vocab_size=330, tracked=3).merges == model.merges
+
+
+@pytest.mark.parametrize("texts", [["aaaa aaa aa aaaaaaa " * 3, "aaaaa"], ["abab ababab abcabc abc bca"] * 2, ["x"], [""],
+                                   ["the thin thick this that then " * 4 + "ヴァ が ﬁﬁ été été"] * 3])
+def test_train_bpe_small_texts(spark, texts):
+    """Runs of one letter, repeated strings, words of one symbol; until no pair is left."""
+    df = spark.createDataFrame([(t,) for t in texts], "text string")
+    voc = json.loads(_reference(texts, 400).to_str())["model"]
+    merges = [m.split(" ", 1) if isinstance(m, str) else m for m in voc["merges"]]
+    assert list(train_bpe(df, vocab_size=400).merges) == [(voc["vocab"][a], voc["vocab"][b], voc["vocab"][a + b]) for a, b in merges]
+
+
+def test_choose_equals_one_at_a_time(spark):
+    """Merges taken together are those that a plain loop takes one after another."""
+    import random
+
+    from quarry.operators.bpe_index import choose, merge_all, pair_keys, symbols, sym_char
+
+    for seed in range(30):
+        rng = random.Random(seed)
+        words = [[rng.randrange(5) for _ in range(rng.randrange(1, 9))] for _ in range(60)]
+        freq = [rng.randrange(1, 9) for _ in words]
+
+        def counted(state):
+            ids, word = state
+            out = {}
+            for k, w in zip(*(x.tolist() for x in pair_keys(ids, word))):
+                out[k >> 32, k & 0xFFFFFFFF] = out.get((k >> 32, k & 0xFFFFFFFF), 0) + freq[w]
+            return sorted(((a, b, n) for (a, b), n in out.items()), key=lambda t: (-t[2], t[0], t[1]))
+
+        state, new = symbols(["".join(map(sym_char, w)) for w in words]), 100
+        for _ in range(12):
+            taken = choose(counted(state), 0)
+            for a, b, n in taken:
+                assert counted(state)[0] == (a, b, n)
+                state = merge_all(*state, [(a, b, new)])
+                new += 1
+            if not counted(state):
+                break
+
+
+def test_index_reads_only_the_words_of_a_border(spark):
+    """A round's scan leaves out the files that hold other pairs."""
+    from quarry.operators.bpe_index import Version, sym_char
+
+    words = [("".join(sym_char(i + k) for k in range(3)), 1) for i in range(3000)]
+    version = Version(spark.createDataFrame(words, "sym string, freq long").repartition(4), 0)
+    assert sorted(version.changes([], [(7, 8, 5000)])) == sorted(
+        [(7, 8, -2), (6, 7, -1), (8, 9, -1), (6, 5000, 1), (5000, 9, 1)])
+    # 7 8 was merged: its border with 9 is 8 9
+    assert sorted(version.changes([(7, 8, 5000)], [(5000, 9, 5001)])) == [(5000, 9, -1)]
+    files = {r.f: r.n for r in version.index.groupBy(F.input_file_name().alias("f")).agg(F.count("*").alias("n")).collect()}
+    hit = version.index.where(F.col("pair") == sym_char(7) + sym_char(8))
+    assert len(files) > 1 and {r.f for r in hit.select(F.input_file_name().alias("f")).distinct().collect()} < set(files)
+    assert "PushedFilters: [IsNotNull(pair), EqualTo(pair" in hit._jdf.queryExecution().toString()
 
 
 def test_roundtrip_report_truncated(spark):
