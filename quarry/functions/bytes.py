@@ -8,8 +8,12 @@ tokens, so a byte's id follows from the rule below instead of a typed table.
 
 from __future__ import annotations
 
+import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from quarry.constants import SPECIAL_TOKENS
 
@@ -58,26 +62,35 @@ def id_to_byte() -> dict[int, int]:
 FIRST_MERGE_ID = len(SPECIAL_TOKENS) + 256  # 261
 
 
-def utf8_bytes(col: Column) -> Column:
-    """array<int> of the UTF-8 bytes of a string (0..255), in one linear pass.
+_ID_OF_BYTE = np.array(_BYTE_TO_ID, np.int32)
 
-    The UTF-8 bytes are re-read as Latin-1 (one character per byte), split into
-    characters, and each character's code point is its byte value.
-    """
-    latin = F.decode(F.encode(col, "UTF-8"), "ISO-8859-1")
-    return F.when(F.length(col) == 0, F.array().cast("array<int>")).otherwise(
-        F.transform(F.split(latin, ""), lambda c: F.ascii(c)))
+
+def string_bytes(col: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+    """UTF-8 bytes and n+1 offsets (from 0) of a string column; null counts as empty."""
+    col = pc.fill_null(col, "").cast(pa.large_string())
+    _, offsets, data = col.buffers()
+    if offsets is None:
+        return np.zeros(0, np.uint8), np.zeros(1, np.int64)
+    offsets = np.frombuffer(offsets, np.int64)[col.offset: col.offset + len(col) + 1]
+    data = np.frombuffer(data, np.uint8) if data is not None else np.zeros(0, np.uint8)
+    return data[offsets[0]: offsets[-1]], offsets - offsets[0]
+
+
+def id_lists(ids: np.ndarray, offsets: np.ndarray, like: pa.Array) -> pa.Array:
+    """Lists of ids, null where ``like`` is."""
+    gone = np.r_[like.is_null().to_numpy(zero_copy_only=False), False]
+    return pa.ListArray.from_arrays(pa.array(offsets, pa.int32(), mask=gone if gone.any() else None), pa.array(ids, pa.int32()))
 
 
-_BYTE_CHARS = "".join(map(chr, range(256)))
-_ID_CHARS = "".join(map(chr, _BYTE_TO_ID))
+@F.arrow_udf(T.ArrayType(T.IntegerType()))
+def _byte_ids_udf(col: pa.Array) -> pa.Array:
+    data, offsets = string_bytes(col)
+    return id_lists(_ID_OF_BYTE[data], offsets, col)
 
 
 def byte_ids(col: Column) -> Column:
     """T5: array<int> of base-vocabulary ids (5..260) of a string's UTF-8 bytes.
 
-    One ``translate`` turns every byte into the character whose code point is its id.
+    One table look-up over the bytes of a whole Arrow batch.
     """
-    latin = F.decode(F.encode(col, "UTF-8"), "ISO-8859-1")
-    return F.when(F.length(col) == 0, F.array().cast("array<int>")).otherwise(
-        F.transform(F.split(F.translate(latin, _BYTE_CHARS, _ID_CHARS), ""), lambda c: F.ascii(c)))
+    return _byte_ids_udf(col)

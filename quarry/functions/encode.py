@@ -2,27 +2,31 @@
 
 A model is the ordered merge list (left id, right id, new id); the base
 vocabulary (specials + 256 byte symbols) is fixed by rule.  With zero merges
-encoding is pure JVM expressions (specials split, bytes mapped to ids).  With
-merges, Spark does the splitting and pre-tokenizing and a small cached helper
-applies the merge ranks to each pre-token inside an Arrow pandas UDF; the merge
+encoding is one Arrow UDF over the bytes of a batch: specials found, NFKC of the rest, bytes
+looked up.  With merges, Spark does the splitting and pre-tokenizing and a small cached helper
+applies the merge ranks to each pre-token inside an Arrow UDF; the merge
 list is bounded by the vocabulary size, so shipping it with the task is safe.
 """
 
 from __future__ import annotations
 
 import heapq
+import re
 from collections.abc import Iterator
 from dataclasses import dataclass, field
 from functools import cached_property
 
+import numpy as np
 import pandas as pd
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from quarry.constants import SPECIAL_TOKENS
-from quarry.functions.bytes import FIRST_MERGE_ID, byte_ids, byte_to_id, id_to_byte
-from quarry.functions.text import has_special, nfkc_pieces, pretokenize, split_specials
+from quarry.functions.bytes import _ID_OF_BYTE, FIRST_MERGE_ID, byte_to_id, id_lists, id_to_byte, string_bytes
+from quarry.functions.text import nfkc_column, nfkc_pieces, pretokenize, split_specials
 
 
 @dataclass(frozen=True)
@@ -50,13 +54,6 @@ class BpeModel:
 BYTE_LEVEL = BpeModel()
 
 
-def _special_id(p: Column) -> Column:
-    expr = None
-    for i, s in enumerate(SPECIAL_TOKENS):
-        expr = (F.when(p == s, F.lit(i)) if expr is None else expr.when(p == s, F.lit(i)))
-    return expr
-
-
 def _is_special(p: Column) -> Column:
     return p.isin(*SPECIAL_TOKENS)
 
@@ -67,27 +64,73 @@ def encode_pieces(col: Column, normalize: bool = True) -> Column:
     return nfkc_pieces(pieces, col) if normalize else pieces
 
 
+_ANY_SPECIAL = re.compile(b"|".join(re.escape(s.encode()) for s in sorted(SPECIAL_TOKENS, key=len, reverse=True)))
+_SPECIAL_IDS = {s.encode(): i for i, s in enumerate(SPECIAL_TOKENS)}
+
+
+def byte_level_ids(col: pa.Array, normalize: bool) -> pa.Array:
+    """Ids of each text without merges: special strings as their id, every other byte as its id.
+
+    Works on the bytes of the whole column.  With specials inside, the column is cut
+    into pieces at them, without a copy, so that NFKC sees one piece at a time.
+    """
+    data, rows = string_bytes(col)
+    found = [(m.start(), m.end(), _SPECIAL_IDS[m[0]]) for m in _ANY_SPECIAL.finditer(memoryview(data))] if len(data) else []
+    start, end, special = np.array(found, np.int64).reshape(-1, 3).T
+    inside = np.searchsorted(rows, start, "right") == np.searchsorted(rows, end, "left")  # not across two texts
+    start, end, special = start[inside], end[inside], special[inside]
+    cuts = np.unique(np.concatenate([rows, start, end]))
+    at_special, first = np.searchsorted(cuts, start), np.searchsorted(cuts, rows)
+    if normalize:
+        whole = pa.Array.from_buffers(pa.large_string(), len(cuts) - 1, [None, pa.py_buffer(cuts.tobytes()), pa.py_buffer(data)])
+        data, cuts = string_bytes(nfkc_column(whole))
+    ids = _ID_OF_BYTE[data]
+    keep = np.ones(len(ids), bool)
+    for p, i in zip(at_special.tolist(), special.tolist()):
+        ids[cuts[p]] = i
+        keep[cuts[p] + 1: cuts[p + 1]] = False
+    before = np.concatenate([[0], np.cumsum(keep)]) if len(found) else np.arange(len(ids) + 1)
+    return id_lists(ids[keep] if len(found) else ids, before[cuts[first]], col)
+
+
+@F.arrow_udf(T.ArrayType(T.IntegerType()))
+def _encode_udf(col: pa.Array) -> pa.Array:
+    return byte_level_ids(col, False)
+
+
+@F.arrow_udf(T.ArrayType(T.IntegerType()))
+def _encode_nfkc_udf(col: pa.Array) -> pa.Array:
+    return byte_level_ids(col, True)
+
+
 def encode(col: Column, model: BpeModel | None = None, normalize: bool = True) -> Column:
     """K4 for one text column -> array<int> of token ids (no truncation)."""
-    pieces = encode_pieces(col, normalize)
     if model is None or not model.merges:
-        # without a special inside the text is one piece (or none)
-        whole = byte_ids(F.coalesce(F.get(pieces, F.lit(0)), col) if normalize else col)
-        split = F.flatten(F.transform(pieces, lambda p: F.when(_is_special(p), F.array(_special_id(p)))
-                                      .otherwise(byte_ids(p))))
-        return F.when(~has_special(col), whole).otherwise(split)
-    words = F.flatten(F.transform(pieces, lambda p: F.when(_is_special(p), F.array(p))
-                                  .otherwise(pretokenize(p))))
-    return bpe_words_udf(model)(words)
+        return (_encode_nfkc_udf if normalize else _encode_udf)(col)
+    return bpe_words_udf(model)(words(col, normalize))
+
+
+def words(col: Column, normalize: bool = True) -> Column:
+    """The pre-tokens of a text, special strings as words of their own."""
+    pieces = encode_pieces(col, normalize)
+    return F.flatten(F.transform(pieces, lambda p: F.when(_is_special(p), F.array(p)).otherwise(pretokenize(p))))
+
+
+@F.arrow_udf(T.IntegerType())
+def _count_udf(col: pa.Array) -> pa.Array:
+    return pc.list_value_length(byte_level_ids(col, False))
+
+
+@F.arrow_udf(T.IntegerType())
+def _count_nfkc_udf(col: pa.Array) -> pa.Array:
+    return pc.list_value_length(byte_level_ids(col, True))
 
 
 def token_count(col: Column, model: BpeModel | None = None, normalize: bool = True) -> Column:
-    """Number of ids that ``encode`` gives; without merges no ids are made."""
+    """Number of ids that ``encode`` gives; without merges only the numbers leave the UDF."""
     if model is not None and model.merges:
         return F.size(encode(col, model, normalize))
-    pieces = encode_pieces(col, normalize)
-    sizes = F.transform(pieces, lambda p: F.when(_is_special(p), 1).otherwise(F.octet_length(p)))
-    return F.when(col.isNotNull(), F.aggregate(sizes, F.lit(0), lambda acc, x: acc + x))
+    return (_count_nfkc_udf if normalize else _count_udf)(col)
 
 
 def make_word_encoder(merges, b2i=None):

@@ -6,8 +6,9 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from quarry.constants import BOS_ID, MAX_LENGTH, PAD_ID
-from quarry.functions.arrays import length_mask, pad_right, shift_mask, shift_x, shift_y, truncate
-from quarry.functions.encode import BpeModel, encode, token_count
+from quarry.functions.arrays import length_mask
+from quarry.functions.encode import BpeModel
+from quarry.functions.idbytes import encode_packed, n_ids, pad_right, prepend, shift_x, shift_y, unpack_ids
 
 
 def pretrain_sequences(df: DataFrame, model: BpeModel | None = None, max_length: int = MAX_LENGTH,
@@ -15,14 +16,14 @@ def pretrain_sequences(df: DataFrame, model: BpeModel | None = None, max_length:
                        pad: int = PAD_ID, normalize: bool = True) -> DataFrame:
     """Rows (keep..., n_tokens, x, y, loss_mask); x/y/mask have width max_length-1.
 
-    One narrow stage: no shuffle.  ``n_tokens`` is the length before truncation.  Lengths
-    and masks do not depend on the ids, so a consumer of these alone encodes nothing.
+    One narrow stage: no shuffle.  ``n_tokens`` is the length before truncation.  Ids are a binary
+    column up to the end (``idbytes``).
     """
     keep = keep if keep is not None else [c for c in df.columns if c != text_col]
     # encode(BOS + text) == [bos] + encode(text): the special is always split off first
-    ids = df.select(*keep, F.concat(F.array(F.lit(BOS_ID)), encode(F.col(text_col), model, normalize)).alias("_ids"),
-                    (1 + token_count(F.col(text_col), model, normalize)).alias("n_tokens"))
-    padded = ids.select(*keep, "n_tokens", pad_right(truncate(F.col("_ids"), max_length), max_length, pad).alias("_p"),
-                        length_mask(F.least("n_tokens", F.lit(max_length)), max_length).alias("_m"))
-    return padded.select(*keep, "n_tokens", shift_x(F.col("_p")).alias("x"), shift_y(F.col("_p")).alias("y"),
-                         shift_mask(F.col("_m")).alias("loss_mask"))
+    ids = df.select(*keep, prepend(BOS_ID, encode_packed(F.col(text_col), model, normalize)).alias("_ids"))
+    padded = ids.select(*keep, n_ids(F.col("_ids")).alias("n_tokens"), pad_right(F.col("_ids"), max_length, pad).alias("_p"))
+    # a shifted length mask is the mask of one position less
+    return padded.select(*keep, "n_tokens", unpack_ids(shift_x(F.col("_p"), max_length)).alias("x"),
+                         unpack_ids(shift_y(F.col("_p"), max_length)).alias("y"),
+                         length_mask(F.col("n_tokens") - 1, max_length - 1).alias("loss_mask"))

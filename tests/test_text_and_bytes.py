@@ -4,7 +4,7 @@ import unicodedata
 import pytest
 from pyspark.sql import functions as F
 
-from quarry.functions.bytes import byte_ids, byte_to_id, utf8_bytes
+from quarry.functions.bytes import byte_ids, byte_to_id
 from quarry.functions.encode import decode, encode
 from quarry.functions.text import NFKC_STABLE_CLASS, nfkc, pretokenize, split_specials
 from quarry.operators.chunk import split_text
@@ -38,11 +38,10 @@ def test_byte_alphabet_matches_bytelevel_ids():
 def test_byte_ids_and_decode_roundtrip(spark):
     texts = ["", "abc", "é😀\n", "<|im_start|>user\nhi<|im_end|>\n", "x<s>y</s><unk>"]
     df = spark.createDataFrame([(t,) for t in texts], "t string")
-    out = df.select(utf8_bytes(F.col("t")).alias("b"), byte_ids(F.col("t")).alias("i"),
+    out = df.select(byte_ids(F.col("t")).alias("i"),
                     encode(F.col("t"), normalize=False).alias("e")).collect()
     b2i = byte_to_id()
     for t, r in zip(texts, out):
-        assert r.b == list(t.encode("utf-8"))
         assert r.i == [b2i[b] for b in t.encode("utf-8")]
     assert out[3].e[0] == 3 and 4 in out[3].e
     assert out[4].e[1:5] == [1] + [b2i[ord(c)] for c in "y"] + [2, 0]
@@ -114,3 +113,83 @@ def test_long_html_with_specials_roundtrip(spark):
     out = pages.select((decode(encode(F.col("t"))) == F.col("t")).alias("ok"),
                        F.length("t").alias("n")).collect()
     assert out and all(r.ok for r in out)
+
+
+def test_nfkc_of_columns_equals_unicodedata():
+    """All code points, alone and with their neighbours, nulls, empty texts, and batches that use every control byte."""
+    import random
+    import unicodedata
+
+    import pyarrow as pa
+
+    from quarry.functions.text import nfkc_column
+
+    def check(texts, kind=pa.string()):
+        want = [None if t is None else unicodedata.normalize("NFKC", t) for t in texts]
+        got = nfkc_column(pa.array(texts, kind))
+        assert got.type == kind and got.to_pylist() == want
+
+    points = [chr(c) for c in range(0x110000) if not 0xD800 <= c < 0xE000]
+    check(points)
+    check([p for p in points if p not in map(chr, range(32))])
+    marks = [c for c in points if unicodedata.combining(c)]
+    rng = random.Random(4)
+    mixed = ["".join(rng.choice(points[:0x3100] if rng.random() < 0.6 else marks) for _ in range(rng.randrange(6))) for _ in range(20_000)]
+    check([m.translate({c: None for c in range(32)}) for m in mixed] + ["", None, "e", "\u0301", None])
+    check(["\u0301", "e", None, "", "\u0301x"], pa.large_string())
+    check([None, None])
+    check([])
+    check(["plain", "ascii", None])
+    sliced = pa.array(["xx", "e\u0301", None, "ﬁ", "yy"])[1:4]
+    assert nfkc_column(sliced).to_pylist() == ["é", None, "fi"]
+
+
+def test_column_encoding_equals_piecewise():
+    """Specials across row and batch borders, combining marks after a special, nulls, slices."""
+    import random
+    import re
+    import unicodedata
+
+    import pyarrow as pa
+
+    from quarry.constants import SPECIAL_TOKENS
+    from quarry.functions.encode import byte_level_ids
+
+    b2i = byte_to_id()
+    special = re.compile("(" + "|".join(re.escape(s) for s in sorted(SPECIAL_TOKENS, key=len, reverse=True)) + ")")
+
+    def slow(t, normalize):
+        if t is None:
+            return None
+        out = []
+        for piece in special.split(t):
+            if piece in SPECIAL_TOKENS:
+                out.append(SPECIAL_TOKENS.index(piece))
+            else:
+                out += [b2i[b] for b in (unicodedata.normalize("NFKC", piece) if normalize else piece).encode()]
+        return out
+
+    rng = random.Random(7)
+    bits = SPECIAL_TOKENS + ["<|im_st", "art|>", "<s", ">", "</s", "\u0338", "e", "\u0301", "ﬁ", "漢", " ", "", "<<s>>", "\x00"]
+    for _ in range(40):
+        texts = [None if rng.random() < 0.1 else "".join(rng.choice(bits) for _ in range(rng.randrange(7))) for _ in range(30)]
+        for normalize in (True, False):
+            want = [slow(t, normalize) for t in texts]
+            assert byte_level_ids(pa.array(texts, pa.string()), normalize).to_pylist() == want
+            assert byte_level_ids(pa.array(texts, pa.string())[5:20], normalize).to_pylist() == want[5:20]
+    assert byte_level_ids(pa.array([], pa.string()), True).to_pylist() == []
+
+
+def test_packed_ids_equal_arrays(spark):
+    from quarry.functions import arrays, idbytes
+
+    df = spark.createDataFrame([(i, list(range(i, 3 * i))) for i in range(8)] + [(9, None)], "k int, ids array<int>")
+    b = idbytes.pack_ids("ids")
+    p, a = idbytes.pad_right(b, 6, 4), arrays.pad_right(arrays.truncate(F.col("ids"), 6), 6, 4)
+    pairs = [(idbytes.unpack_ids(b), F.col("ids")), (idbytes.unpack_ids(idbytes.truncate(b, 3)), arrays.truncate(F.col("ids"), 3)),
+             (idbytes.unpack_ids(p), a), (idbytes.unpack_ids(idbytes.shift_x(p, 6)), arrays.shift_x(a)),
+             (idbytes.unpack_ids(idbytes.shift_y(p, 6)), arrays.shift_y(a)), (idbytes.n_ids(b), F.size("ids")),
+             (idbytes.unpack_ids(idbytes.prepend(3, b)), F.concat(F.array(F.lit(3)), "ids"))]
+    for r in df.select("k", *[F.struct(x.alias("x"), y.alias("y")).alias(f"p{i}") for i, (x, y) in enumerate(pairs)]).collect():
+        for c in r[1:]:
+            assert c.x == c.y or r.k == 9
