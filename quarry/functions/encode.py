@@ -17,7 +17,6 @@ from dataclasses import dataclass, field
 from functools import cached_property
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import Column
@@ -180,15 +179,37 @@ def make_word_encoder(merges, b2i=None):
 WORD_TABLE = 200_000
 
 
+def word_ids(model: BpeModel):
+    """A function from a string column of words to (ids, n+1 offsets), for one task; equal words are merged once."""
+    enc = make_word_encoder(list(model.merges), list(byte_to_id()))
+
+    def run(words: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+        coded = words.dictionary_encode()
+        lists = [enc(w) for w in coded.dictionary.to_pylist()]
+        which = coded.indices.to_numpy(zero_copy_only=False).astype(np.int64)
+        return joined_lists(np.fromiter((i for x in lists for i in x), np.int32), np.array([len(x) for x in lists], np.int64), which)
+
+    return run
+
+
+def joined_lists(flat: np.ndarray, sizes: np.ndarray, which: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The lists ``which`` (numbers into lists of ``sizes`` laid end to end in ``flat``), end to end, and their offsets."""
+    starts, n = np.concatenate([[0], np.cumsum(sizes)])[:-1][which], sizes[which]
+    offsets = np.concatenate([[0], np.cumsum(n)])
+    at = np.arange(offsets[-1]) + np.repeat(starts - offsets[:-1], n)
+    return flat[at], offsets
+
+
 def bpe_words_udf(model: BpeModel):
-    merges = list(model.merges)
-    b2i = list(byte_to_id())  # plain list: shipped with the task, no cached function on the worker
+    """array<string> of words -> array<int> of their ids, one after another."""
 
-    @F.pandas_udf(T.ArrayType(T.IntegerType()))
-    def _bpe(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
-        enc = make_word_encoder(merges, b2i)
+    @F.arrow_udf(T.ArrayType(T.IntegerType()))
+    def _bpe(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
+        run = word_ids(model)
         for words in batches:
-            yield words.map(lambda ws: None if ws is None else [i for w in ws for i in enc(w)])
+            ids, offsets = run(words.flatten())
+            sizes = pc.fill_null(pc.list_value_length(words), 0).to_numpy(zero_copy_only=False)
+            yield id_lists(ids, offsets[np.concatenate([[0], np.cumsum(sizes)])], words)
 
     return _bpe
 

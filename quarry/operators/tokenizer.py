@@ -11,12 +11,16 @@ from __future__ import annotations
 
 import time
 
+import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
+from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from quarry.constants import BOS_ID, EOS_ID, MIN_FREQUENCY, PAD_ID, SPECIAL_TOKENS, UNK_ID, VOCAB_SIZE
-from quarry.functions.bytes import FIRST_MERGE_ID, byte_to_id, id_to_byte
-from quarry.functions.encode import BpeModel, decode, encode, token_count
+from quarry.functions.bytes import FIRST_MERGE_ID, byte_to_id, id_lists, id_to_byte
+from quarry.functions.encode import BpeModel, decode, encode, joined_lists, token_count, word_ids, words
 from quarry.functions.text import nfkc, pretokenize
 from quarry.operators import bpe_index
 from quarry.operators.bpe_index import sym_char
@@ -33,7 +37,7 @@ _BYTE_CHARS = "".join(chr(b) for b in range(256))
 _BYTE_SYMBOLS = "".join(sym_char(i) for i in byte_to_id())
 
 
-def word_symbols(words: DataFrame) -> DataFrame:
+def word_symbols(counts: DataFrame) -> DataFrame:
     """(sym, freq): each word as a string of one character per byte symbol.
 
     The UTF-8 bytes are read as Latin-1 (one character per byte) and mapped to
@@ -41,7 +45,7 @@ def word_symbols(words: DataFrame) -> DataFrame:
     """
     latin = F.decode(F.encode(F.col("word"), "UTF-8"), "ISO-8859-1")
     sym = F.translate(latin, _BYTE_CHARS, _BYTE_SYMBOLS)
-    return words.select(sym.alias("sym"), F.col("freq").cast("long").alias("freq"))
+    return counts.select(sym.alias("sym"), F.col("freq").cast("long").alias("freq"))
 
 
 def pair_counts(state: DataFrame) -> DataFrame:
@@ -71,8 +75,8 @@ def train_bpe(docs: DataFrame, vocab_size: int = VOCAB_SIZE, min_frequency: int
     token += [bytes([inv[i]]) for i in range(len(SPECIAL_TOKENS), FIRST_MERGE_ID)]
     known = {t: i for i, t in enumerate(token)}
     merges: list[tuple[int, int, int]] = []
-    words = word_symbols(pretoken_counts(docs, text_col, normalize)).where(F.length("sym") > 1)
-    version = bpe_index.Version(cut_lineage(words), 0)
+    state = word_symbols(pretoken_counts(docs, text_col, normalize)).where(F.length("sym") > 1)
+    version = bpe_index.Version(cut_lineage(state), 0)
     counts = bpe_index.Counts(version.top_pairs(tracked), tracked)
     rounds, began = 0, time.time()
     while len(token) < vocab_size:
@@ -127,6 +131,64 @@ def encode_table(df: DataFrame, model: BpeModel | None = None, text_col: str = "
     return out
 
 
+CHUNK_WORDS = 200_000
+
+
+def encode_with_dictionary(df: DataFrame, model: BpeModel, text_col: str = "text", out_col: str = "input_ids",
+                           normalize: bool = True) -> DataFrame:
+    """K4 with a dictionary of the whole job: every distinct pre-token is merged once, and joined back in order.
+
+    The rows are stored with their words in chunks of CHUNK_WORDS words or one row.  Each chunk names its
+    distinct words once, so a frequent word meets the join once per chunk, not once per
+    occurrence, and adaptive execution splits what is still skewed.  The chunk's words with their ids
+    meet the chunk's rows in a cogroup.  The result has ``df``'s columns and ``out_col``; null texts have null ids.
+    """
+    fields = [f for f in df.schema.fields if f.name != out_col]
+    kept = [f.name for f in fields]
+    ddl = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in fields)
+
+    def number(batches):
+        last, size, part = -1, CHUNK_WORDS, TaskContext.get().partitionId()
+        for batch in batches:
+            chunk = []
+            for n in pc.fill_null(pc.list_value_length(batch.column(batch.num_columns - 1)), 0).to_pylist():
+                if size + n > CHUNK_WORDS:
+                    last, size = last + 1, 0
+                size += n
+                chunk.append((part << 40) + last)
+            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(chunk, pa.int64())], names=[*kept, "_words", "_chunk"])
+
+    rows = cut_lineage(df.select(*kept, words(F.col(text_col), normalize).alias("_words"))
+                       .mapInArrow(number, f"{ddl}, _words array<string>, _chunk long"))
+
+    def distinct(batches):
+        for batch in batches:
+            of = np.repeat(batch.column(1).to_numpy(), pc.fill_null(pc.list_value_length(batch.column(0)), 0).to_numpy())
+            named = pa.table({"_chunk": of, "word": batch.column(0).flatten()}).group_by(["_chunk", "word"]).aggregate([])
+            yield from named.to_batches()
+
+    needs = rows.select("_words", "_chunk").mapInArrow(distinct, "_chunk long, word string").distinct()
+
+    def merge(batches):
+        run = word_ids(model)
+        for batch in batches:
+            ids, offsets = run(batch.column(0))
+            yield pa.RecordBatch.from_arrays([batch.column(0), id_lists(ids, offsets, batch.column(0))], names=["word", "ids"])
+
+    dictionary = needs.select("word").distinct().mapInArrow(merge, "word string, ids array<int>")
+
+    def assemble(left: pa.Table, right: pa.Table) -> pa.Table:
+        texts, ids = left.column("_words").combine_chunks(), right.column("ids").combine_chunks()
+        which = pc.index_in(texts.flatten(), value_set=right.column("word").combine_chunks()).to_numpy()
+        flat, offsets = joined_lists(ids.flatten().to_numpy(), pc.list_value_length(ids).to_numpy().astype(np.int64), which)
+        sizes = pc.fill_null(pc.list_value_length(texts), 0).to_numpy()
+        out = id_lists(flat, offsets[np.concatenate([[0], np.cumsum(sizes)])], texts)
+        return left.select(kept).append_column(out_col, out)
+
+    found = needs.join(dictionary.hint("merge"), "word").select("_chunk", "word", "ids")
+    return rows.groupBy("_chunk").cogroup(found.groupBy("_chunk")).applyInArrow(assemble, f"{ddl}, `{out_col}` array<int>")
+
+
 def decode_table(df: DataFrame, model: BpeModel | None = None, ids_col: str = "input_ids",
                  out_col: str = "decoded", skip_special: bool = False) -> DataFrame:
     """K5: text of each id array."""

@@ -501,6 +501,21 @@ def k4_k5_trained_words(spark, sf):
     return d.select("word", ids_text(F.col("input_ids")).alias("ids"), "decoded")
 
 
+@register("k4_dictionary_encode", bpe_sql(MERGES) + f""",
+d AS (SELECT doc_id, list_transform(regexp_extract_all(regexp_replace(text, '(\\s)(\\S)', chr(1) || '\\1\\2', 'g'),
+                                    '{_PRETOKENS}'), lambda x: replace(x, chr(1), '')) AS words FROM documents),
+o AS (SELECT doc_id, unnest(words) AS word, unnest(range(len(words))) AS k FROM d)
+SELECT doc_id, string_agg(array_to_string(list_transform(string_split(s, ''), lambda c: unicode(c) - 57344), ','), ',' ORDER BY k)
+       AS input_ids FROM o JOIN s{MERGES} USING (word) GROUP BY doc_id""")
+def k4_dictionary_encode(spark, sf):
+    """Every whole text encoded with a trained vocabulary through one dictionary of all pre-tokens."""
+    from quarry.operators.tokenizer import encode_with_dictionary, train_bpe
+    docs = _docs(spark, sf).select("doc_id", "text")
+    model = train_bpe(docs.select("text"), vocab_size=261 + MERGES)
+    out = encode_with_dictionary(docs.where(F.length("text") > 0), model)
+    return out.select("doc_id", ids_text(F.col("input_ids")).alias("input_ids"))
+
+
 # ---------------------------------------------------------------- C1-C6, C8 standalone
 @register("c6_render_chat", """
 WITH t AS (SELECT conv_id, turn, text,

@@ -189,3 +189,20 @@ def test_word_encoder_equals_repeated_scans():
         w = "".join(rng.choice("abcde") for _ in range(rng.randrange(1, 40)))
         assert enc(w) == scan([byte_to_id()[b] for b in w.encode()]), w
     assert len(enc("ab" * 100_000)) > 0  # no quadratic scan
+
+
+def test_dictionary_encoding_equals_encoding_in_place(spark, trained, monkeypatch):
+    """Nulls, empty texts, specials, repeated rows, words in several chunks; columns that clash."""
+    from quarry.operators import tokenizer as tk
+
+    _, texts, model, _ = trained
+    rows = [(i, t) for i, t in enumerate(texts[:12] + ["", None, "<|im_start|>user\nHello<|im_end|>\n", "ｆｕｌｌ width ﬁ", " the the the"])]
+    df = spark.createDataFrame(rows + rows[:2] + [(None, None)], "id int, text string") \
+        .selectExpr("*", "1 as word", "2 as ids", "array(9) as input_ids").repartition(3)
+    want = sorted(((r.id, r.e) for r in df.select("id", encode(F.col("text"), model).alias("e")).collect()), key=str)
+    for size in (200_000, 50):
+        monkeypatch.setattr(tk, "CHUNK_WORDS", size)
+        out = tk.encode_with_dictionary(df, model)
+        assert out.columns == ["id", "text", "word", "ids", "input_ids"]
+        assert sorted(((r.id, r.input_ids) for r in out.collect()), key=str) == want
+    assert tk.encode_with_dictionary(df.limit(0), model).count() == 0
