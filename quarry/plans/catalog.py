@@ -770,6 +770,33 @@ def s8_lookup(spark, sf):
     return rows_at(idx, table(spark, sf, "events").select(F.col("event_id") * 3)).select("doc_id", "chunk_idx", "idx")
 
 
+@register("s8_stored_lookup", f"""
+SELECT doc_id, chunk_idx, idx FROM (
+  SELECT doc_id, chunk_idx, (row_number() OVER (ORDER BY doc_id, chunk_idx) - 1)::BIGINT AS idx FROM ({CHUNKS_SQL}))
+WHERE idx IN (SELECT event_id * 3 FROM events WHERE event_id < 100)""")
+def s8_stored_lookup(spark, sf):
+    """Chunks at the positions that a table names, from a stored index: only their folders are read."""
+    from quarry.operators.file_index import StoredIndex
+    index = StoredIndex(_folder(spark, "s8"), rows_per_part=500).write(_chunks(spark, sf).select("doc_id", "chunk_idx"), ["doc_id", "chunk_idx"])
+    return index.at(table(spark, sf, "events").where("event_id < 100").select(F.col("event_id") * 3)).select("doc_id", "chunk_idx", "idx")
+
+
+@register("s9_file_offsets", """
+WITH l AS (SELECT source, doc_id, doc_id || ' ' || replace(coalesce(text, ''), chr(10), ' ') AS line FROM documents),
+o AS (SELECT source, row_number() OVER w - 1 AS line, sum(octet_length(encode(line)) + 1) OVER w AS byte_end,
+             octet_length(encode(line)) + 1 AS n FROM l WINDOW w AS (PARTITION BY source ORDER BY doc_id))
+SELECT source, line::BIGINT AS line, (byte_end - n)::BIGINT AS byte_start, byte_end::BIGINT AS byte_end FROM o""")
+def s9_file_offsets(spark, sf):
+    """Offsets of the lines of text files, one file a source."""
+    from quarry.operators.file_index import file_line_offsets
+    path = _folder(spark, "s9")
+    line = F.concat_ws(" ", "doc_id", F.replace(F.coalesce("text", F.lit("")), F.lit("\n"), F.lit(" ")))
+    _docs(spark, sf).select("source", "doc_id", line.alias("value")).repartition("source").sortWithinPartitions("source", "doc_id") \
+        .select("source", "value").write.partitionBy("source").text(path)
+    got = file_line_offsets(spark, path)
+    return got.select(F.regexp_extract("file", "source=([^/]*)/", 1).alias("source"), "line", "byte_start", "byte_end")
+
+
 @register("b9_sft_plan", SFT_SQL + """,
 kk AS (SELECT conv_id::VARCHAR AS key, length(replace(replace(loss_mask, ',', ''), '0', '')) AS lt FROM m),
 ss AS (SELECT lt, row_number() OVER (ORDER BY md5(key || ':0:42'), key) - 1 AS pos FROM kk)
