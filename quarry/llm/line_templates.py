@@ -1,20 +1,18 @@
 """Operator 10: line dedup by a log-template tree.
 
-Every line (split at ``\\n``) with a word is parsed by a tree of fixed depth: its
-word count, then its ``DEPTH`` leading words, a word with a digit counting as a
-variable.  Within a leaf, a line joins the first template with which it agrees in at
-least ``SIMILAR`` of its positions; positions that differ become variables.  A template
-recurs when it stands in ``min_docs`` unrelated documents or more.  Documents are related if
-the near-duplicate operator puts them into one component (two-word shingles, Jaccard >= 0.8),
-so that lines which recur only because whole documents were copied, edited or not, are left
-to that operator, and copies of a document that holds boiler-plate change nothing.  What
-stands beside a line does not matter: a block of any number of lines goes whole.  Lines of
-recurring templates are dropped everywhere.
-
-Equal lines are counted before they are clustered, so a leaf holds distinct lines
-only; a leaf with more than ``LEAF`` of them is split by further words and, where that
-is not enough, its lines stay templates of their own.  All else is aggregates and
-equi-joins on hashes.
+Every line (split at ``\\n``) with a word is parsed by a tree of fixed depth: its word count, then its
+``DEPTH`` leading words, a word with a digit counting as a variable.  Within a leaf, a word that stands at its
+place in ``min_docs`` lines or more is fixed, any other is a variable field.  Lines of a leaf
+with the same fixed words form a template, if at least ``SIMILAR`` of their places are fixed (the leading words
+are).  All of this is counted by Spark over distinct lines with their numbers, whatever the size of a leaf.
+
+A template recurs when it stands in ``min_docs`` unrelated documents or more.  Documents are related if sketches of
+their whole texts (the least hash of five-word shingles in each of ``BINS`` bins) agree in half of the
+bins or more, so that lines which recur only because whole documents were copied, edited or not, are left to the
+near-duplicate operator, and copies of a document that holds boiler-plate change nothing.  Each task
+keeps up to ``min_docs`` mutually unrelated sketches a template, and what the tasks kept is merged in the same
+way: no group of documents is ever gathered.  What stands beside a line does not
+matter: a block of any number of lines goes whole.  Lines of recurring templates are dropped everywhere.
 """
 
 from __future__ import annotations
@@ -26,15 +24,19 @@ from pyspark.sql import functions as F
 
 from quarry.llm import vec
 from quarry.llm.keys import row_key
-from quarry.llm.minhash_dedup import near_duplicates
 from quarry.session import cut_lineage
 
 DEPTH = 6
 SIMILAR = 0.8
-LEAF = 2000
 MIN_DOCS = 5
 MIN_WORDS = 3
+SHINGLE = 5
+BINS = 32
+RELATED = 0.5
+_EMPTY = np.uint32(0xFFFFFFFF)
 _VARIABLE = np.uint64(0x5A5A5A5A5A5A5A5A)
+#: bits of the filter that keeps the second pass to leaves of several lines; it only saves work
+FILTER_BITS = 1 << 23
 
 
 def line_bounds(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -71,110 +73,130 @@ class _Lines:
         lead = np.add.reduceat(np.where(place < DEPTH, part, np.uint64(0)), self.first)
         self.leaf = vec.mix64(lead ^ vec.mix64(n)).view(np.int64)
 
-    def tokens(self) -> list[bytes]:
-        """16 bits of every word of a line."""
-        short = (self.hashes & np.uint64(0xFFFF)).astype("<u2").tobytes()
-        return [short[2 * a: 2 * (a + b)] for a, b in zip(self.first.tolist(), self.size.tolist())]
+    def tokens(self, which: np.ndarray) -> pa.Array:
+        """32 bits of every word of the lines ``which``."""
+        size = self.size[which]
+        offsets = np.concatenate([[0], np.cumsum(size)])
+        at = np.arange(offsets[-1]) + np.repeat(self.first[which] - offsets[:-1], size)
+        short = (self.hashes[at] >> np.uint64(32)).astype(np.uint32).view(np.int32)
+        return pa.ListArray.from_arrays(pa.array(offsets, pa.int32()), pa.array(short))
+
+
+def sketches(words: vec.Words) -> np.ndarray:
+    """texts x BINS: the least hash of the five-word shingles in each bin; shorter texts are one shingle."""
+    out = np.full((len(words), BINS), _EMPTY)
+    grams, n = vec.ngrams(words.hashes, SHINGLE), np.diff(words.woff)
+    text = np.repeat(np.arange(len(words)), n)[: len(grams)]
+    inside = np.arange(len(grams)) + SHINGLE <= words.woff[text + 1]
+    grams, text = grams[inside], text[inside]
+    few = np.flatnonzero((n > 0) & (n < SHINGLE))
+    grams = np.concatenate([grams, np.array([vec.sequence_hash(words.hashes[words.woff[i]: words.woff[i + 1]]) for i in few], np.uint64)])
+    text = np.concatenate([text, few])
+    bins = (grams >> np.uint64(59)).astype(np.int64)  # BINS is 2 ** 5
+    np.minimum.at(out.reshape(-1), text * BINS + bins, ((grams >> np.uint64(20)) & np.uint64(0xFFFFFFFE)).astype(np.uint32))
+    return out
+
+
+def related(one: np.ndarray, many: np.ndarray) -> np.ndarray:
+    """Whether a sketch agrees with each of ``many`` in at least RELATED of the bins that either fills."""
+    filled = (one != _EMPTY) | (many != _EMPTY)
+    return ((one == many) & filled).sum(1) >= RELATED * filled.sum(1)
 
 
 def _parsed(batches, col: int):
-    """(batch, first row of the chunk, its lines) for every chunk that has words."""
+    """(batch, first row of the chunk, its words, its lines) for every chunk that has words."""
     hasher = vec.Hasher()
     for batch in batches:
         for i, _, words in vec.word_chunks(batch.column(col), hasher):
             if len(words.hashes):
-                yield batch, i, _Lines(words)
+                yield batch, i, words, _Lines(words)
 
 
 def parse_lines(docs: DataFrame, text_col: str) -> DataFrame:
-    """One row per line with words: (_k1, _k2, line, n_words, leaf, line_hash, body); body is a hash of the whole text."""
+    """One row per line with words: (_k1, _k2, line, n_words, leaf, line_hash, sketch).
+
+    sketch: of the whole text, in the row of its first line with words; null in the others.
+    """
 
     def run(batches):
-        for batch, i, lines in _parsed(batches, 2):
+        for batch, i, words, lines in _parsed(batches, 2):
             at = pa.array(lines.doc + i)
+            first = np.r_[True, lines.doc[1:] != lines.doc[:-1]]
+            found = sketches(words)
+            sketch = [found[d].tobytes() if f else None for d, f in zip(lines.doc.tolist(), first.tolist())]
             yield pa.RecordBatch.from_arrays(
                 [batch.column(0).take(at), batch.column(1).take(at), pa.array(lines.number, pa.int32()),
-                 pa.array(lines.size, pa.int32()), pa.array(lines.leaf), pa.array(lines.line_hash),
-                 batch.column(3).take(at)],
-                names=["_k1", "_k2", "line", "n_words", "leaf", "line_hash", "body"])
-
-    return docs.select("_k1", "_k2", F.col(text_col).alias("text"), F.xxhash64(text_col).alias("body")).mapInArrow(
-        run, "_k1 long, _k2 long, line int, n_words int, leaf long, line_hash long, body long")
+                 pa.array(lines.size, pa.int32()), pa.array(lines.leaf), pa.array(lines.line_hash), pa.array(sketch, pa.binary())],
+                names=["_k1", "_k2", "line", "n_words", "leaf", "line_hash", "sketch"])
+
+    return docs.select("_k1", "_k2", F.col(text_col).alias("text")).mapInArrow(
+        run, "_k1 long, _k2 long, line int, n_words int, leaf long, line_hash long, sketch binary")
+
+
+def leaf_filter(leaves: DataFrame) -> np.ndarray:
+    """FILTER_BITS bits, those of the leaves set: at most 256 rows of 4 KB reach the driver."""
+    place = F.pmod("leaf", F.lit(FILTER_BITS)) + 1  # buckets count from 1
+    rows = leaves.groupBy(F.bitmap_bucket_number(place).alias("bucket")).agg(
+        F.bitmap_construct_agg(F.bitmap_bit_position(place)).alias("bits")).collect()
+    out = np.zeros(FILTER_BITS, bool)
+    for r in rows:
+        bits = np.unpackbits(np.frombuffer(bytes(r["bits"]), np.uint8), bitorder="little").astype(bool)
+        base = (r["bucket"] - 1) * len(bits)
+        out[base: base + len(bits)] = bits
+    return out
 
 
-def line_tokens(docs: DataFrame, text_col: str) -> DataFrame:
-    """(leaf, line_hash, tokens) of every line with words, each once per chunk of texts."""
+def line_tokens(docs: DataFrame, text_col: str, wanted: np.ndarray) -> DataFrame:
+    """(leaf, line_hash, tokens) of the lines in leaves that pass the filter, each once per chunk of texts."""
+    packed = np.packbits(wanted)
 
     def run(batches):
-        for _, _, lines in _parsed(batches, 0):
+        keep = np.unpackbits(packed).astype(bool)
+        for _, _, _, lines in _parsed(batches, 0):
             _, at = np.unique(lines.line_hash, return_index=True)
-            tokens = lines.tokens()
-            yield pa.RecordBatch.from_arrays([pa.array(lines.leaf[at]), pa.array(lines.line_hash[at]),
-                                              pa.array([tokens[k] for k in at], pa.binary())],
+            at = at[keep[np.mod(lines.leaf[at], FILTER_BITS)]]
+            yield pa.RecordBatch.from_arrays([pa.array(lines.leaf[at]), pa.array(lines.line_hash[at]), lines.tokens(at)],
                                              names=["leaf", "line_hash", "tokens"])
 
-    return docs.select(F.col(text_col).alias("text")).mapInArrow(run, "leaf long, line_hash long, tokens binary")
+    return docs.select(F.col(text_col).alias("text")).mapInArrow(run, "leaf long, line_hash long, tokens array<int>")
 
 
-def cluster(hashes: list[int], counts: list[int], tokens: list[bytes]) -> list[int]:
-    """For each distinct line of one leaf (all of one length) the hash of its template's first line.
+def templates(lines: DataFrame, tokens: DataFrame, min_docs: int) -> DataFrame:
+    """(line_hash, template) of the distinct lines of leaves that hold several.
 
-    Lines come in order of falling count, then hash.  Each joins the first template
-    that agrees in at least SIMILAR of all positions, variables not counted as agreeing.
+    ``lines``: (leaf, line_hash, n), n its number of rows; ``tokens`` has at least these lines.
     """
-    words = np.array([np.frombuffer(t, "<u2") for t in tokens])
-    order = sorted(range(len(hashes)), key=lambda i: (-counts[i], hashes[i]))
-    out = [0] * len(hashes)
-    shape = np.empty_like(words)
-    fixed = np.empty(words.shape, bool)
-    names: list[int] = []
-    for i in order:
-        k = len(names)
-        agree = ((shape[:k] == words[i]) & fixed[:k]).mean(1) if k else np.zeros(0)
-        hit = np.flatnonzero(agree >= SIMILAR)
-        if len(hit):
-            k = int(hit[0])
-            fixed[k] &= shape[k] == words[i]
-        else:
-            shape[k], fixed[k] = words[i], True
-            names.append(hashes[i])
-        out[i] = names[k]
-    return out
-
-
-def _cluster_groups(groups: DataFrame) -> DataFrame:
-    """(line_hash, template) of (grp, line_hash, n, tokens) rows, group by group."""
-
-    def run(table: pa.Table) -> pa.Table:
-        got = table.to_pydict()
-        return pa.table({"line_hash": pa.array(got["line_hash"], pa.int64()),
-                         "template": pa.array(cluster(got["line_hash"], got["n"], got["tokens"]), pa.int64())})
+    words = tokens.join(lines, ["leaf", "line_hash"]).dropDuplicates(["line_hash"]) \
+        .select("leaf", "line_hash", "n", F.posexplode("tokens").alias("place", "word"))
+    words = cut_lineage(words.where(F.col("place") >= DEPTH))
+    fixed = words.groupBy("leaf", "place", "word").agg(F.sum("n").alias("lines")).where(F.col("lines") >= min_docs).drop("lines")
+    shape = words.join(fixed, ["leaf", "place", "word"]).groupBy("line_hash").agg(
+        F.count("*").alias("fixed"), F.bit_xor(F.xxhash64("place", "word")).alias("shape"))
+    return lines.join(shape, "line_hash", "left") \
+        .where(F.least(F.lit(DEPTH), "n_words") + F.coalesce("fixed", F.lit(0)) >= SIMILAR * F.col("n_words")) \
+        .select("line_hash", F.xxhash64("leaf", F.coalesce("shape", F.lit(0)), F.coalesce("fixed", F.lit(0))).alias("template"), "n")
 
-    return groups.select("grp", "line_hash", "n", "tokens").groupBy("grp").applyInArrow(
-        run, "line_hash long, template long")
 
+def unrelated(rows: DataFrame, most: int) -> DataFrame:
+    """(template, sketch): up to ``most`` mutually unrelated sketches of each template, of those that each task reads."""
 
-def templates(lines: DataFrame, tokens: DataFrame) -> DataFrame:
-    """(line_hash, template, n) for every distinct line; n is its number of rows in ``lines``.
+    def run(batches):
+        kept: dict[int, list[np.ndarray]] = {}
+        seen: dict[int, set[bytes]] = {}
+        for batch in batches:
+            for template, sketch in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
+                have = kept.setdefault(template, [])
+                if len(have) >= most or sketch in seen.setdefault(template, set()):
+                    continue
+                new = np.frombuffer(sketch, np.uint32)
+                if not have or not related(new, np.array(have)).any():
+                    have.append(new)
+                    seen[template].add(sketch)
+        pairs = [(t, x.tobytes()) for t, have in kept.items() for x in have]
+        yield pa.RecordBatch.from_arrays([pa.array([t for t, _ in pairs], pa.int64()), pa.array([x for _, x in pairs], pa.binary())],
+                                         names=["template", "sketch"])
 
-    ``tokens`` has (leaf, line_hash, tokens) at least for the lines of leaves that hold several.
-    """
-    distinct = cut_lineage(lines.groupBy("leaf", "line_hash").agg(F.count("*").alias("n")))
-    sizes = distinct.groupBy("leaf").agg(F.count("*").alias("size")).where("size > 1")
-    shared = tokens.join(sizes, "leaf").dropDuplicates(["line_hash"]) \
-        .join(distinct.select("line_hash", "n"), "line_hash").withColumn("grp", F.col("leaf"))
-    shared = cut_lineage(shared.select("grp", "leaf", "line_hash", "n", "tokens", "size"))
-    small, large = shared.where(F.col("size") <= LEAF), shared.where(F.col("size") > LEAF)
-    # a large leaf is split by twice, then four times as many leading words (two bytes each)
-    for more in (2, 4):
-        if large.isEmpty():
-            break
-        deeper = large.withColumn("grp", F.xxhash64("leaf", F.substring("tokens", 1, 2 * DEPTH * more))).drop("size")
-        deeper = cut_lineage(deeper.join(deeper.groupBy("grp").agg(F.count("*").alias("size")).where("size > 1"), "grp")
-                             .select(*shared.columns))
-        small, large = small.unionByName(deeper.where(F.col("size") <= LEAF)), deeper.where(F.col("size") > LEAF)
-    return distinct.select("line_hash", "n").join(_cluster_groups(small), "line_hash", "left") \
-        .withColumn("template", F.coalesce("template", "line_hash"))
+    return rows.select("template", "sketch").mapInArrow(run, "template long, sketch binary")
 
 
 def recurring_lines(docs: DataFrame, text_col: str = "text", min_docs: int = MIN_DOCS, min_words: int = MIN_WORDS) -> DataFrame:
@@ -183,22 +205,21 @@ def recurring_lines(docs: DataFrame, text_col: str = "text", min_docs: int = MIN
     # a template has no more rows than its leaf: only leaves with min_docs rows are looked into
     busy = lines.where(F.col("n_words") >= min_words).groupBy("leaf").agg(
         F.count("*").alias("rows"), F.min("line_hash").alias("lo"), F.max("line_hash").alias("hi")) \
-        .where(F.col("rows") >= min_docs)
-    held = cut_lineage(lines.drop("n_words").join(busy.select("leaf", (F.col("lo") != F.col("hi")).alias("several")), "leaf"))
-    several = held.where("several").select("leaf").distinct()
-    named = templates(held, line_tokens(docs, text_col).join(several, "leaf"))
-    frequent = named.groupBy("template").agg(F.sum("n").alias("n")).where(F.col("n") >= min_docs)
-    cand = cut_lineage(held.select("_k1", "_k2", "line", "line_hash", "body").join(
-        named.join(frequent.select("template"), "template").select("line_hash", "template"), "line_hash"))
-    # equal texts are related, so a template needs min_docs different ones before these are compared
-    bodies = cut_lineage(cand.select("template", "body").distinct())
-    several = bodies.groupBy("template").agg(F.count("*").alias("n")).where(F.col("n") >= min_docs).select("template")
-    bodies = bodies.join(several, "template")
-    texts = docs.select(F.xxhash64(text_col).alias("body"), F.col(text_col).alias("text")) \
-        .join(bodies.select("body").distinct(), "body", "left_semi").dropDuplicates(["body"])
-    group = near_duplicates(texts, "body", "text", shingle=2).select("body", "component_id")
-    recurring = bodies.join(group, "body").select("template", "component_id").distinct() \
-        .groupBy("template").agg(F.count("*").alias("unrelated")).where(F.col("unrelated") >= min_docs)
+        .where(F.col("rows") >= min_docs).select("leaf", (F.col("lo") != F.col("hi")).alias("several"))
+    held = cut_lineage(lines.drop("sketch").join(busy, "leaf"))
+    distinct = held.where("several").groupBy("leaf", "line_hash", "n_words").agg(F.count("*").alias("n"))
+    tokens = line_tokens(docs, text_col, leaf_filter(held.where("several").select("leaf").distinct()))
+    named = templates(cut_lineage(distinct), tokens, min_docs)
+    frequent = named.groupBy("template").agg(F.sum("n").alias("rows")).where(F.col("rows") >= min_docs)
+    named = named.join(frequent, "template").select("line_hash", "template")
+    cand = held.where("several").select("_k1", "_k2", "line", "line_hash").join(named, "line_hash") \
+        .select("_k1", "_k2", "line", "template") \
+        .unionByName(held.where("not several").select("_k1", "_k2", "line", F.col("line_hash").alias("template")))
+    cand = cut_lineage(cand)
+    sketch = lines.where("sketch is not null").select("_k1", "_k2", "sketch")
+    some = unrelated(cand.join(sketch, ["_k1", "_k2"]), min_docs)
+    every = unrelated(some.repartition("template"), min_docs)
+    recurring = every.groupBy("template").agg(F.count("*").alias("docs")).where(F.col("docs") >= min_docs)
     return cand.join(recurring.select("template"), "template").select("_k1", "_k2", "line").distinct()
 
 

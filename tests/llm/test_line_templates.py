@@ -1,6 +1,12 @@
 import random
+from collections import Counter
+
+import numpy as np
+import pyarrow as pa
+import pytest
 
 from quarry.llm import line_templates as lt
+from quarry.llm import vec
 from quarry.sources.tables import table
 
 
@@ -42,22 +48,63 @@ def test_recurring_templates_are_cut_and_the_rest_stays(spark):
         assert r.n_lines == len(text[r.doc_id].split("\n")) and r.n_dropped == r.n_lines - len(r.text.split("\n"))
 
 
-def test_clusters_generalise_variable_words():
-    import numpy as np
-    def line(*w):
-        return np.array(w, "<u2").tobytes()
-    got = lt.cluster([10, 11, 12, 13], [5, 1, 1, 9], [line(1, 2, 3, 4, 5), line(1, 2, 3, 4, 6), line(1, 2, 3, 4, 7), line(9, 8, 7, 6, 5)])
-    assert got == [10, 10, 10, 13]
+@pytest.mark.parametrize("names", [6, 300, 1500, 2600, 20_000])
+def test_variable_fields_are_generalised_at_any_number(spark, names):
+    """Every name once; the same result however many lines the leaf has."""
+    rng = random.Random(names)
+    rows = [(i, f"{words(rng, 30)}\nRead the next long story about the {words(rng, 1)}{i} here in our paper now.".replace(str(i), ""))
+            for i in range(names)]
+    got = lt.drop_recurring_lines(spark.createDataFrame(rows, "doc_id long, text string")).collect()
+    assert {r.doc_id: r.text for r in got} == {i: t.split("\n")[0] for i, t in rows}
 
 
-def test_large_leaves_are_split(spark, monkeypatch):
-    rows = corpus()
-    df = spark.createDataFrame(rows, "doc_id long, text string")
-    monkeypatch.setattr(lt, "LEAF", 3)
-    got = lt.drop_recurring_lines(df).collect()
-    plain = {i: "\n".join(x for x in t.split("\n") if not x.startswith(("All rights are", "Posted on"))) for i, t in rows}
-    assert {r.doc_id: r.text.replace("\n\n", "\n") for r in got}.keys() == plain.keys()
-    assert all("All rights are" not in r.text for r in got)
+def test_leaf_filter_keeps_all_leaves(spark):
+    rng = random.Random(8)
+    leaves = [rng.randrange(-2**63, 2**63) for _ in range(3000)] + [0, 1, 32767, 32768, 32769, lt.FILTER_BITS - 1, lt.FILTER_BITS, -1]
+    got = lt.leaf_filter(spark.createDataFrame([(x,) for x in leaves], "leaf long"))
+    assert set(np.flatnonzero(got).tolist()) == {x % lt.FILTER_BITS for x in leaves}
+
+
+def brute(rows, min_docs=5):
+    """The definition, line by line; every document is unrelated to all others but its equals."""
+    lines = [(i, k, x.split()) for i, t in rows for k, x in enumerate(t.split("\n")) if x.split()]
+    masked = [tuple("#" if any(c.isdigit() for c in w) else w for w in ws) for _, _, ws in lines]
+    leaf = [(len(m), m[: lt.DEPTH]) for m in masked]
+    at = Counter((f, p, w) for f, m in zip(leaf, masked) for p, w in enumerate(m) if p >= lt.DEPTH)
+    shape = [(f, tuple(w if p < lt.DEPTH or at[f, p, w] >= min_docs else None for p, w in enumerate(m))) for f, m in zip(leaf, masked)]
+    docs = {}
+    text = dict(rows)
+    for (i, _, ws), (f, t) in zip(lines, shape):
+        if len(ws) >= lt.MIN_WORDS and sum(w is not None for w in t) >= lt.SIMILAR * len(t):
+            docs.setdefault((f, t), set()).add(text[i])
+    gone = {(i, k) for (i, k, _), s in zip(lines, shape) if len(docs.get(s, ())) >= min_docs}
+    return {i: "\n".join(x for k, x in enumerate(t.split("\n")) if (i, k) not in gone) for i, t in rows}
+
+
+@pytest.mark.parametrize("seed", range(3))
+def test_templates_against_brute_force(spark, seed):
+    rng = random.Random(seed)
+    rows = []
+    for i in range(60):
+        lines = [words(rng, 45)]
+        for _ in range(rng.randrange(6)):
+            n = rng.randrange(2, 13)
+            line = [f"lead{rng.randrange(2)}"] * min(n, lt.DEPTH) + [f"t{p}{rng.choice('ab') if rng.random() < 0.9 else words(rng, 1)}" for p in range(n - lt.DEPTH)]
+            line[rng.randrange(n)] += rng.choice(["", "", "7", str(i)])
+            lines.insert(rng.randrange(len(lines) + 1), "  ".join(line))
+        rows.append((i, "\n".join(lines)))
+    rows += [(100 + i, rows[0][1]) for i in range(7)]
+    got = lt.drop_recurring_lines(spark.createDataFrame(rows, "doc_id long, text string").repartition(4)).collect()
+    assert {r.doc_id: r.text for r in got} == brute(rows)
+
+
+def test_sketches_tell_copies_from_strangers():
+    rng = random.Random(9)
+    base = words(rng, 400).split()
+    near = [" ".join(base[:k] + ["x"] + base[k + 1:]) for k in (3, 99, 200)]
+    far = [words(rng, 400), words(rng, 3), "", "a b c d", " ".join(base[:60]) + " " + words(rng, 340)]
+    found = lt.sketches(vec.Hasher().words(*vec.column_bytes(pa.array([" ".join(base)] + near + far))))
+    assert lt.related(found[0], found).tolist() == [True] * 4 + [False] * 5
 
 
 def test_blocks_of_several_lines_go_whole(spark):
