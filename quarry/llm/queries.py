@@ -19,7 +19,7 @@ def tokenizer_path() -> str:
 
 def toxicity_model(docs: DataFrame, labels: DataFrame) -> toxicity.Model:
     """The network fitted to labelled rows outside the held-out fold."""
-    return toxicity.train(*toxicity.sample(docs, labels.where(fold("doc_id") != 0), "doc_id", "text", "toxic"))
+    return toxicity.train_on(*toxicity.sample_rows(docs, labels.where(fold("doc_id") != 0), "doc_id", "text", "toxic"))
 
 
 def op1_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -7,8 +7,8 @@ characters.  Windows of ``WIDTH`` words, every ``STRIDE`` words, run through
 a forward and a backward GRU; attention pools their states into one logit.  A
 document's score is the largest window logit, calibrated to a probability.
 
-The network is trained with numpy on the driver from a bounded sample of labelled
-rows (``SAMPLE`` per class, smallest hashes first).  From each sample document it
+The network is trained with numpy in one task from a bounded sample of labelled
+rows (``SAMPLE`` per class and ``SAMPLE_BYTES`` in all, smallest hashes first).  From each sample document it
 takes the windows whose words are most indicative of class 1 and, of class 0, evenly
 spread ones too.  Embeddings of words and beginnings start from their smoothed log odds
 in the sample.
@@ -18,6 +18,8 @@ Scoring is one pass over the documents without a shuffle; only the weights
 
 from __future__ import annotations
 
+import pickle
+
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
@@ -26,6 +28,7 @@ from pyspark.sql import functions as F
 from quarry.llm import vec
 
 WIDTH, STRIDE = 24, 16
+SAMPLE_BYTES = 64 << 20  # of the label sample's texts
 SAMPLE = 2000
 MIN_DOCS = 2
 VOCAB = 50_000
@@ -370,9 +373,9 @@ def fit(parts: list[vec.Words], y_doc: np.ndarray, learn: np.ndarray, hasher: ve
     return model
 
 
-def sample(docs: DataFrame, labels: DataFrame, id_col: str, text_col: str, label_col: str,
-           per_class: int = SAMPLE) -> tuple[list[str], list[int], tuple[float, float]]:
-    """Texts, labels and class weights (labelled rows per sample row) of at most ``per_class`` rows of each class, smallest hashes of the id first.
+def sample_rows(docs: DataFrame, labels: DataFrame, id_col: str, text_col: str, label_col: str,
+                per_class: int = SAMPLE) -> tuple[DataFrame, tuple[float, float]]:
+    """(_t, _y, _h, _id) and class weights (labelled rows per sample row) of at most ``per_class`` rows of each class, smallest hashes of the id first.
 
     Labels that are null or neither 0 nor 1, null ids and repeated label rows are left
     out.  The picked ids are at most 2 * per_class rows, so the join broadcasts them.
@@ -389,9 +392,38 @@ def sample(docs: DataFrame, labels: DataFrame, id_col: str, text_col: str, label
         part = low.orderBy("_h", "_id").limit(per_class)
         picked = part if picked is None else picked.unionByName(part)
     rows = docs.select(F.col(id_col).alias("_id"), F.coalesce(text_col, F.lit("")).alias("_t")).join(
-        F.broadcast(picked), "_id").orderBy("_h", "_id").select("_t", "_y").collect()
-    ys = [r["_y"] for r in rows]
-    return [r["_t"] for r in rows], ys, tuple(totals.get(y, 0) / max(1, min(per_class, totals.get(y, 0))) for y in (0, 1))
+        F.broadcast(picked), "_id").select("_t", "_y", "_h", "_id")
+    return rows, tuple(totals.get(y, 0) / max(1, min(per_class, totals.get(y, 0))) for y in (0, 1))
+
+
+def sample(docs: DataFrame, labels: DataFrame, id_col: str, text_col: str, label_col: str,
+           per_class: int = SAMPLE) -> tuple[list[str], list[int], tuple[float, float]]:
+    """The rows of ``sample_rows`` as lists of texts and labels, and the class weights."""
+    rows, weight = sample_rows(docs, labels, id_col, text_col, label_col, per_class)
+    got = rows.orderBy("_h", "_id", "_t").collect()
+    return [r["_t"] for r in got], [r["_y"] for r in got], weight
+
+
+def train_on(rows: DataFrame, weight: tuple[float, float], most_bytes: int = SAMPLE_BYTES) -> Model:
+    """``train`` on the rows of ``sample_rows`` inside one task: the texts never reach the driver, the weights do.
+
+    Texts are taken in the sample's order while they have ``most_bytes`` bytes in all; others are left out of the sample.
+    """
+
+    def run(batches):
+        texts, labels, size = [], [], 0
+        for batch in batches:
+            for t, y in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
+                if size + len(t) * 4 <= most_bytes or size + len(t.encode()) <= most_bytes:
+                    size += len(t.encode())
+                    texts.append(t)
+                    labels.append(y)
+        m = train(texts, labels, weight)
+        yield pa.RecordBatch.from_arrays([pa.array([pickle.dumps((m.known, m.params, m.scale, m.shift))], pa.binary())], names=["model"])
+
+    one = rows.repartition(1).sortWithinPartitions("_h", "_id", "_t").select("_t", "_y")
+    got = one.mapInArrow(run, "model binary").first()
+    return Model(*pickle.loads(got["model"])) if got else train([], [], weight)
 
 
 def score(docs: DataFrame, model: Model, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:

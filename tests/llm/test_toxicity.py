@@ -68,6 +68,13 @@ def test_odd_rows(spark, odd_docs, no_docs):
     texts, ys, weight = tx.sample(odd_docs, labels, "doc_id", "text", "toxic", per_class=2)
     assert weight == (1.0, 1.5)  # three ids are labelled 1, two are in the sample
     assert len(texts) == len(ys) and set(ys) == {0, 1}
+    rows, weight = tx.sample_rows(odd_docs, labels, "doc_id", "text", "toxic", per_class=2)
+    here, there = tx.train(texts, ys, weight), tx.train_on(rows, weight)  # in a task as on the driver
+    assert (here.known == there.known).all() and all((here.params[k] == there.params[k]).all() for k in here.params)
+    assert (here.scale, here.shift) == (there.scale, there.shift)
+    few = tx.train_on(rows, weight, most_bytes=10)  # only texts that fit the bound
+    assert few.scale == 0 or len(few.known) < len(here.known)
+    assert tx.train_on(rows.limit(0), weight).scale == 0
     model = tx.train(texts, ys, epochs=2)
     got = tx.score(odd_docs, model)
     assert got.columns == ["doc_id", "score"]
