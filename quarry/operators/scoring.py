@@ -2,15 +2,14 @@
 
 from __future__ import annotations
 
-from pyspark import StorageLevel
+import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from quarry.constants import LOSS_IGNORE_ID, MAX_LENGTH
-
-
-def array_sum(arr: Column) -> Column:
-    return F.aggregate(arr, F.lit(0).cast("long"), lambda acc, x: acc + x)
+from quarry.session import cut_lineage
 
 
 def mask_ones(mask: Column) -> Column:
@@ -61,29 +60,98 @@ def next_token_table(seqs: DataFrame) -> DataFrame:
                                       F.ln(F.col("n")).alias("logit"))
 
 
+DENSE_CELLS = 1 << 22
+
+
+def dense_bigram_model(seqs: DataFrame, vocab_size: int) -> np.ndarray | None:
+    """V x V array of -ln p(y|x), p = (c(x,y) + 1) / (c(x) + V) over loss-bearing pairs.
+
+    A task counts its pairs in one array and emits the cells it saw.  At most V^2 cells reach the driver, so
+    V^2 must be at most DENSE_CELLS; None beyond, and for ids outside the vocabulary.
+    """
+    if vocab_size * vocab_size > DENSE_CELLS:
+        return None
+
+    def count(batches):
+        cells, strange = np.zeros(vocab_size * vocab_size, np.int64), 0
+        for batch in batches:
+            x, y, m = _flat(batch, 0)
+            known = (x >= 0) & (x < vocab_size) & (y >= 0) & (y < vocab_size)
+            strange += int(((m == 1) & ~known).sum())
+            at = (m == 1) & known
+            cells += np.bincount(x[at] * vocab_size + y[at], minlength=len(cells))
+        at = np.flatnonzero(cells)
+        yield pa.RecordBatch.from_arrays([pa.array(np.r_[at, -1]), pa.array(np.r_[cells[at], strange])], names=["cell", "n"])
+
+    rows = seqs.select("x", "y", "loss_mask").mapInArrow(count, "cell long, n long").groupBy("cell").agg(F.sum("n").alias("n")).collect()
+    n = np.zeros(vocab_size * vocab_size)
+    for r in rows:
+        if r["cell"] >= 0:
+            n[r["cell"]] = r["n"]
+        elif r["n"]:
+            return None
+    n = n.reshape(vocab_size, vocab_size)
+    return -np.log((n + 1) / (n.sum(1, keepdims=True) + vocab_size))
+
+
+def _flat(batch: pa.RecordBatch, first: int) -> list[np.ndarray]:
+    """x, y and mask of all positions of a batch, from column ``first`` on."""
+    return [batch.column(first + i).flatten().to_numpy(zero_copy_only=False).astype(np.int64) for i in range(3)]
+
+
+def row_losses(seqs: DataFrame, keep: list[str], model: np.ndarray, ignore_id: int = LOSS_IGNORE_ID) -> DataFrame:
+    """(keep..., _num, _den): each row's masked loss under a dense model, and its loss positions (A1, A2).
+
+    Positions are looked up inside their row; only two numbers a row leave the task.
+    """
+    fields = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in seqs.select(*keep).schema.fields)
+    table = model.copy()
+    if 0 <= ignore_id < len(table):
+        table[:, ignore_id] = 0.0
+
+    def run(batches):
+        for batch in batches:
+            x, y, m = _flat(batch, len(keep))
+            on = m == 1
+            loss = np.zeros(len(x))
+            loss[on] = table[x[on], y[on]]
+            ends = np.cumsum(pc.fill_null(pc.list_value_length(batch.column(len(keep))), 0).to_numpy(zero_copy_only=False))
+            starts = np.concatenate([[0], ends[:-1]]).astype(np.int64)
+            num, den = (np.concatenate([[0], np.cumsum(v)]) for v in (loss, on.astype(np.int64)))
+            yield pa.RecordBatch.from_arrays([*batch.columns[:len(keep)], pa.array(num[ends] - num[starts]), pa.array(den[ends] - den[starts])],
+                                             names=[*keep, "_num", "_den"])
+
+    return seqs.select(*keep, "x", "y", "loss_mask").mapInArrow(run, f"{fields}{', ' if fields else ''}_num double, _den long")
+
+
 def ngram_nll(seqs: DataFrame, group_cols: list[str], vocab_size: int,
               ignore_id: int = LOSS_IGNORE_ID) -> DataFrame:
     """A4 (+A1, A2): add-one bigram NLL of each group's training positions.
 
-    p(y|x) = (c(x,y) + 1) / (c(x) + V) over loss-bearing pairs.  The token-level
-    positions are read once and pre-aggregated to (group, x, y, loss weight);
-    the bigram model and the scoring are built from that small table, which is
-    bounded by groups x V^2; adaptive execution picks the joins from its size.
+    p(y|x) = (c(x,y) + 1) / (c(x) + V) over loss-bearing pairs.  A model of up to DENSE_CELLS cells is a dense
+    array, and rows are scored in place: the shuffle carries two numbers a row, pre-summed.  Beyond, the
+    positions are pre-aggregated to (group, x, y, loss weight) and joined with the model's table.
+    Every group is kept: one without loss positions gets a NULL mean (A1).
     """
-    pos = _positions(seqs, group_cols).groupBy(*group_cols, "x", "y").agg(F.sum("m").alias("m")) \
-        .persist(StorageLevel.MEMORY_AND_DISK)
-    pairs = pos.groupBy("x", "y").agg(F.sum("m").alias("n")).where(F.col("n") > 0)
-    ctx = pairs.groupBy("x").agg(F.sum("n").alias("cx"))
-    model = pairs.join(ctx, "x").select("x", "y", (-F.ln((F.col("n") + 1) / (F.col("cx") + vocab_size)))
-                                        .alias("nll"))
-    # every group is kept: a group without loss positions gets a NULL mean (A1)
-    scored = (pos.join(model, ["x", "y"], "left").join(ctx, "x", "left")
-              .select(*group_cols, "y", "m",
-                      F.coalesce(F.col("nll"), -F.ln(1.0 / (F.coalesce(F.col("cx"), F.lit(0)) + vocab_size)))
-                      .alias("nll")))
-    scored = scored.withColumn("nll", ignore_index(F.col("nll"), F.col("y"), ignore_id))
-    agg = scored.groupBy(*group_cols).agg(F.sum(F.col("nll") * F.col("m")).alias("_num"),
-                                          F.sum("m").alias("_den"))
+    model = dense_bigram_model(seqs, vocab_size)
+    if model is not None:
+        scored = row_losses(seqs, group_cols, model, ignore_id)
+    else:
+        scored = _joined_losses(seqs, group_cols, vocab_size, ignore_id)
+    agg = scored.groupBy(*group_cols).agg(F.sum("_num").alias("_num"), F.sum("_den").alias("_den"))
     mean = F.try_divide(F.col("_num"), F.col("_den").cast("double"))
     return agg.select(*group_cols, F.col("_den").cast("long").alias("loss_tokens"),
                       F.round(mean, 6).alias("mean_nll"), F.round(F.exp(mean), 6).alias("perplexity"))
+
+
+def _joined_losses(seqs: DataFrame, group_cols: list[str], vocab_size: int, ignore_id: int) -> DataFrame:
+    """(group..., _num, _den) by joins, for vocabularies of any size."""
+    pos = cut_lineage(_positions(seqs, group_cols).groupBy(*group_cols, "x", "y").agg(F.sum("m").alias("m")))
+    pairs = pos.groupBy("x", "y").agg(F.sum("m").alias("n")).where(F.col("n") > 0)
+    ctx = pairs.groupBy("x").agg(F.sum("n").alias("cx"))
+    model = pairs.join(ctx, "x").select("x", "y", (-F.ln((F.col("n") + 1) / (F.col("cx") + vocab_size))).alias("nll"))
+    unseen = -F.ln(1.0 / (F.coalesce(F.col("cx"), F.lit(0)) + vocab_size))
+    scored = pos.join(model, ["x", "y"], "left").join(ctx, "x", "left") \
+        .select(*group_cols, "y", "m", F.coalesce(F.col("nll"), unseen).alias("nll"))
+    loss = ignore_index(F.col("nll"), F.col("y"), ignore_id)
+    return scored.select(*group_cols, (loss * F.col("m")).alias("_num"), F.col("m").alias("_den"))

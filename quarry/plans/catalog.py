@@ -901,13 +901,33 @@ def v2_chat_stream(spark, sf):
 
 @register("v3_pretoken_count_stream", WORDS_SQL)
 def v3_pretoken_count_stream(spark, sf):
-    """Running counts over several micro-batches; the last complete table is the result."""
-    from quarry.streaming.streams import pretoken_count_stream, read_lines
+    """Running counts over several micro-batches, each of which writes the changed words only."""
+    from quarry.streaming.streams import latest_counts, pretoken_count_stream, read_lines, write_changed_counts
     out = _folder(spark, "v3")
     counts = pretoken_count_stream(read_lines(spark, _line_files(spark, sf), 4))
-    _run_stream(counts.writeStream.outputMode("complete").foreachBatch(
-        lambda batch, _: batch.write.mode("overwrite").parquet(out)), spark)
-    return spark.read.parquet(out)
+    write_changed_counts(counts, out, _folder(spark, "stream")).awaitTermination()
+    return latest_counts(spark, out)
+
+
+@register("s10_ingest_stream", """
+SELECT count(*)::BIGINT AS lines, sum(octet_length(encode(coalesce(text, ''))) + 1)::BIGINT AS bytes, true AS several
+FROM documents""")
+def s10_ingest_stream(spark, sf):
+    """Lines and bytes of a stream, added up over the rows that the listener stored for its micro-batches."""
+    from quarry.sources.jsonl import observe_ingest
+    from quarry.streaming.streams import IngestLog, read_lines
+    path = _folder(spark, "lines")
+    _docs(spark, sf).select(F.translate(F.coalesce("text", F.lit("")), "\n\r", "  ").alias("value")).repartition(6) \
+        .write.text(path)
+    log = IngestLog(spark, _folder(spark, "s10"))
+    spark.streams.addListener(log)
+    lines, _ = observe_ingest(read_lines(spark, path, 2))
+    query = lines.select("value").writeStream.format("parquet").option("path", _folder(spark, "s10-lines")) \
+        .option("checkpointLocation", _folder(spark, "stream")).trigger(availableNow=True).start()
+    query.awaitTermination()
+    rows = log.table(query)
+    spark.streams.removeListener(log)
+    return rows.agg(F.sum("lines").alias("lines"), F.sum("bytes").alias("bytes"), (F.count("*") > 2).alias("several"))
 
 
 @register("v4_pack_stream", f"""

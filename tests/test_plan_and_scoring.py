@@ -77,3 +77,35 @@ def test_a4_group_without_loss_positions_is_null(spark):
     assert got["b"].mean_nll is None and got["b"].loss_tokens == 0
     # a: each pair seen once, context count 1: p = 2 / 11
     assert abs(got["a"].mean_nll - (-math.log(2 / 11))) < 1e-6
+
+
+def test_a4_dense_equals_joined(spark, monkeypatch):
+    """Random ids and masks, empty and short rows, ignored targets; ids outside the vocabulary take the joins."""
+    import random
+
+    from quarry.operators import scoring
+
+    rng = random.Random(3)
+    rows = []
+    for i in range(60):
+        n = rng.randrange(8)
+        rows.append((rng.choice(["a", "b", None]), i, *[[rng.randrange(6) for _ in range(n)] for _ in range(2)],
+                     [rng.randrange(2) for _ in range(n)]))
+    rows.append(("c", 60, [1, 2], [2, 3], [0, 0]))
+    df = spark.createDataFrame(rows, "g string, k int, x array<int>, y array<int>, loss_mask array<int>").repartition(3)
+
+    def got(cells, frame, cols):
+        monkeypatch.setattr(scoring, "DENSE_CELLS", cells)
+        return sorted(map(str, scoring.ngram_nll(frame, cols, vocab_size=6).collect()))
+
+    def per_row(r):  # a row without positions has no row in the joined form
+        return "loss_tokens=None" not in r and "loss_tokens=0" not in r
+
+    assert got(36, df, ["g"]) == got(0, df, ["g"])
+    assert list(filter(per_row, got(36, df, ["k"]))) == list(filter(per_row, got(0, df, ["k"])))
+    assert scoring.dense_bigram_model(df, 6) is None  # 36 cells are over the bound of 0
+    monkeypatch.setattr(scoring, "DENSE_CELLS", 36)
+    wide = df.unionByName(spark.createDataFrame([("a", 99, [7], [1], [1])], df.schema))
+    assert scoring.dense_bigram_model(wide, 6) is None and scoring.dense_bigram_model(df.limit(0), 6).shape == (6, 6)
+    plan = scoring.ngram_nll(df, ["k"], 6)._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("hashpartitioning") == 1 and "Generate" not in plan  # two numbers a row are shuffled, no positions

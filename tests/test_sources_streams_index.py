@@ -168,6 +168,47 @@ def test_v2_v4(spark, tmp_path):
     assert again[:3] == first and [r[0] for r in again] == [0, 0, 0, 1, 1]
 
 
+def test_v3_writes_changed_words_only_and_restarts(spark, tmp_path):
+    from quarry.streaming.streams import latest_counts, write_changed_counts
+    d, out, ck = tmp_path / "in", str(tmp_path / "out"), str(tmp_path / "ck")
+    d.mkdir()
+
+    def run():
+        write_changed_counts(pretoken_count_stream(read_lines(spark, str(d), 1)), out, ck).awaitTermination()
+        return {(r.micro_batch, r.word): r.freq for r in spark.read.parquet(out).collect()}
+
+    _write(str(d / "a.jsonl"), [json.dumps({"text": "one two three four five six seven"})])
+    first = run()
+    assert len(first) == 7
+    _write(str(d / "b.jsonl"), [json.dumps({"text": "one two"})])
+    second = run()  # a restart: the first micro-batch's rows stay, the second has the two changed words
+    assert {k: v for k, v in second.items() if k[0] == 0} == first
+    assert {k: v for k, v in second.items() if k[0] != 0} == {(1, "one"): 2, (1, " two"): 2}
+    assert {r.word: r.freq for r in latest_counts(spark, out).collect()} == {w: 1 + (w in ("one", " two")) for _, w in first}
+    assert run() == second  # nothing new, nothing written
+
+
+def test_s10_listener_stores_a_row_per_micro_batch(spark, tmp_path):
+    from quarry.sources.jsonl import observe_ingest
+    from quarry.streaming.streams import IngestLog
+    d = tmp_path / "in"
+    d.mkdir()
+    texts = [["é", ""], ["abc"], ["x" * 100, "y", "z"]]
+    for i, lines in enumerate(texts):
+        _write(str(d / f"{i}.txt"), lines)
+    log = IngestLog(spark, str(tmp_path / "log"))
+    spark.streams.addListener(log)
+    for _ in range(2):  # the second run finds nothing new and adds no rows
+        lines, _ = observe_ingest(read_lines(spark, str(d), 1))
+        q = lines.select("value").writeStream.format("noop").option("checkpointLocation", str(tmp_path / "ck")) \
+            .trigger(availableNow=True).start()
+        q.awaitTermination()
+        rows = log.table(q).collect()
+        assert sorted(r.batch for r in rows) == [0, 1, 2]
+        assert sorted((r.lines, r.bytes) for r in rows) == sorted((len(x), sum(len(t.encode()) + 1 for t in x)) for x in texts)
+    spark.streams.removeListener(log)
+
+
 def test_entry_contract(spark):
     import __spark_entry__ as E
     df = E.entry(spark)
