@@ -17,7 +17,6 @@ spread over all tasks.
 
 from __future__ import annotations
 
-from pyspark import StorageLevel
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -45,17 +44,15 @@ def shard_of(idx: Column, n: int, num_proc: int) -> tuple[Column, Column]:
 
 def pack_blocks(df: DataFrame, order_cols: list[str], columns: list[str] | tuple = ("input_ids", "attention_mask"),
                 block_size: int = BLOCK_SIZE, batch_size: int = PACK_BATCH_SIZE, num_proc: int = 1,
-                labels_from: str | None = "input_ids", ones: list[str] | tuple = (),
-                persist_input: bool = True) -> DataFrame:
+                labels_from: str | None = "input_ids", ones: list[str] | tuple = ()) -> DataFrame:
     """Rows (shard, batch, block, <columns>..., <ones>..., labels).
 
     ``order_cols`` identify a row.  ``ones``: columns that are 1 for every id (an attention
     mask before padding); they are made from the blocks' lengths instead of being moved.
+    ``df`` is read twice, for the sizes and for the ids, and nothing is cached.
     """
     columns = list(columns)
     src = df.select(*order_cols, *columns, F.size(columns[0]).cast("long").alias("_sz"), F.lit(1).cast("long").alias("_one"))
-    if persist_input:  # read for the sizes and for the ids; recomputed if lost
-        src = src.persist(StorageLevel.MEMORY_AND_DISK)
     places = cut_lineage(prefix_sums(src, order_cols, {"_idx": "_one", "_gpos": "_sz"}))
     n = places.count()
     shard, local = shard_of(F.col("_idx"), n, num_proc)

@@ -3,7 +3,6 @@ learning rate and event flags, with token counts per step."""
 
 from __future__ import annotations
 
-from pyspark import StorageLevel
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -12,6 +11,7 @@ from quarry.functions.schedule import event_flags, lr_at
 from quarry.operators.batching import (assign_batches, batch_lengths, device_shards, replicate_epochs,
                                        seeded_shuffle, update_groups)
 from quarry.operators.scoring import mask_ones
+from quarry.session import cut_lineage
 
 
 def plan_rows(seqs: DataFrame, key_col: str, epochs: int = 1, batch_size: int = BATCH_SIZE,
@@ -28,7 +28,7 @@ def training_plan(seqs: DataFrame, key_col: str, epochs: int = 1, batch_size: in
                   warmup: int = 0, seed: int = SEED, mask_col: str = "loss_mask") -> DataFrame:
     """Rows per (epoch, step): n_rows, loss_tokens, global_step, lr, update and event flags."""
     # only the row's loss-token count travels through the shuffles, not its arrays
-    slim = seqs.select(key_col, mask_ones(F.col(mask_col)).alias("_lt")).persist(StorageLevel.MEMORY_AND_DISK)
+    slim = cut_lineage(seqs.select(key_col, mask_ones(F.col(mask_col)).alias("_lt")))
     rows, n = plan_rows(slim, key_col, epochs, batch_size, devices, seed)
     steps, _ = batch_lengths(n, batch_size)
     per_step = rows.groupBy("epoch", "step").agg(F.count("*").alias("n_rows"),

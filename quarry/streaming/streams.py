@@ -135,8 +135,7 @@ def pack_stream(lines: DataFrame, out_path: str, checkpoint: str, block_size: in
     def pack(batch: DataFrame, epoch_id: int):
         # stored once: places and ids are read in two passes, and nothing stays cached
         rows = cut_lineage(batch.withColumn("pos", F.monotonically_increasing_id()))
-        packed = pack_blocks(rows, [*place, "pos"], ["input_ids"], block_size, 1 << 40, ones=["attention_mask"],
-                             persist_input=False)
+        packed = pack_blocks(rows, [*place, "pos"], ["input_ids"], block_size, 1 << 40, ones=["attention_mask"])
         packed.write.mode("overwrite").parquet(f"{out_path}/micro_batch={epoch_id}")
 
     w = texts.writeStream.foreachBatch(pack).option("checkpointLocation", checkpoint)
