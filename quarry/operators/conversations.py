@@ -1,28 +1,21 @@
 """Long-form conversation operators that never hold a whole conversation in one task.
 
-Turn ranks come from the distributed per-group index (S8 with groups), which
-spreads a hot conversation over many range partitions; the first turn of each
-conversation comes from a partial aggregate.  Windows and collects then run
-only on turns that survive an exact truncation bound, so every group they see
-is bounded.
+A conversation's first turns are picked by a ranked window with a limit: every task cuts
+its part of a conversation to the limit before rows move, so one exchange carries at most the limit a task
+for a hot conversation, and the groups that follow stand in that exchange's partitions.
+The first turn, counts and lengths of each conversation come from partial aggregates.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from quarry.operators.index import with_row_index
-
 
 def first_ranked(turns: DataFrame, bound: int) -> DataFrame:
-    """The first ``bound`` turns of each conversation, in turn order.
-
-    Only (conv_id, turn) pairs are ranked; the turns themselves are then picked by a semi-join.
-    """
-    near = with_row_index(turns.select("conv_id", "turn"), ["turn"], "rank", group_cols=["conv_id"]) \
-        .where(F.col("rank") < bound)
-    return turns.join(near, ["conv_id", "turn"], "left_semi")
+    """The first ``bound`` turns of each conversation, in turn order; rows stay together by conversation."""
+    place = F.row_number().over(Window.partitionBy("conv_id").orderBy("turn"))
+    return turns.withColumn("_place", place).where(F.col("_place") <= bound).drop("_place")
 
 
 def first_turns(turns: DataFrame) -> DataFrame:

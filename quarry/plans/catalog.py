@@ -276,6 +276,18 @@ def b4_device_shards(spark, sf):
     return rows.select("doc_id", "chunk_idx", "step", "slot", "device")
 
 
+@register("b4_device_files", ORACLE["b4_device_shards"])
+def b4_device_files(spark, sf):
+    """The shards as written, one directory a device, each read on its own."""
+    from quarry.operators.batching import write_shards
+    from quarry.plans.training import plan_rows
+    rows, _ = plan_rows(_keyed(spark, sf).drop("text"), "key", epochs=1, batch_size=64, devices=3)
+    path = _folder(spark, "b4")
+    write_shards(rows.select("doc_id", "chunk_idx", "step", "slot", "device"), path)
+    parts = [spark.read.parquet(f"{path}/device={d}").withColumn("device", F.lit(d).cast("long")) for d in range(3)]
+    return parts[0].unionByName(parts[1]).unionByName(parts[2])
+
+
 @register("b3_collate", SHUFFLED_SQL + """
 SELECT (pos // 64)::BIGINT AS step, count(*)::BIGINT AS n_rows, string_agg(key, ' ' ORDER BY pos % 64) AS keys
 FROM s WHERE epoch = 0 GROUP BY pos // 64""")
@@ -848,6 +860,19 @@ def s4_read_json_files(spark, sf):
     return read_json_files(spark, paths, "doc_id long, lang string, text string")
 
 
+@register("s4_inferred_columns", """
+SELECT doc_id, lang, n_chars, CASE WHEN doc_id % 2 = 1 THEN source END AS source, 'bigint,string,bigint,string' AS kinds
+FROM documents""")
+def s4_inferred_columns(spark, sf):
+    """Columns and types from the files; a column that only some files have is null in the others."""
+    from quarry.sources.jsonl import read_json_files, write_jsonl
+    paths = [_folder(spark, "json"), _folder(spark, "json")]
+    for k, (p, cols) in enumerate(zip(paths, (["doc_id", "lang", "n_chars"], ["doc_id", "lang", "n_chars", "source"]))):
+        write_jsonl(_docs(spark, sf).where(F.col("doc_id") % 2 == k).select(*cols), p)
+    got = read_json_files(spark, paths).select("doc_id", "lang", "n_chars", "source")
+    return got.withColumn("kinds", F.lit(",".join(t for _, t in got.dtypes)))
+
+
 @register("s7_source_if_exists", "SELECT text AS value FROM documents")
 def s7_source_if_exists(spark, sf):
     """An absent source gives no rows; a present one is read."""

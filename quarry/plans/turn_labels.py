@@ -1,8 +1,8 @@
 """Q14 (C4, C5, C7, Q6, Q7): turn-labelled SFT samples.
 
-Turns are first ranked with the distributed per-group index and those that
-cannot start inside ``max_len`` are pruned, so windows and collects only see
-bounded groups (a hot conversation is split, not sorted in one task).
+Turns are first ranked by a window that every task limits before rows move
+(``first_ranked``), since those beyond the limit cannot start inside ``max_len``; windows and
+collects then see bounded groups, in the partitions of that one exchange.
 Each turn is encoded on its own row (narrow); labels follow the role rule:
 human -> [im_start] + [-100] * (L - 3) + [im_end, nl]; assistant ->
 [im_start] + [-100] * R + value ids + [im_end, nl].  Before collecting a

@@ -103,3 +103,16 @@ def test_literals_are_normalised_like_columns(spark):
         df = spark.createDataFrame([(text,)], "t string")
         r = df.select(encode(F.col("t")).alias("ids"), token_count(F.col("t")).alias("n")).first()
         assert r.ids == encode_literal(text) and r.n == len(r.ids)
+
+
+def test_plans_of_conversations_have_few_exchanges(spark):
+    """One exchange of limited turns, one of partial sums, and for the turn labels one of encoded
+    turns; the limit stands before the exchange."""
+    from quarry.plans.sft import sft_sequences
+    from quarry.plans.turn_labels import turn_label_sequences
+
+    conv = spark.read.parquet("/root/testdata/sf0.001/conversations.parquet")
+    for make, most in ((sft_sequences, 2), (turn_label_sequences, 3)):
+        plan = make(conv)._jdf.queryExecution().executedPlan().toString()
+        assert plan.count("Exchange hashpartitioning") <= most and "rangepartitioning" not in plan
+        assert plan.count("WindowGroupLimit") == 2 and "Partial" in plan[plan.index("WindowGroupLimit"):]
