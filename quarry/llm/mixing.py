@@ -6,9 +6,10 @@ slots; each slot takes the released block with the earliest deadline.  Every blo
 then lies inside its own window, so in any prefix of the mix a source is less than
 one block away from its target.
 
-The weights are rounded to shares of a period of ``period`` slots.  The schedule
-repeats with that period, so only one period is simulated (on the driver, from the
-weights alone); the slot of any block follows from its rank by arithmetic.  A row's
+The weights are rounded to shares of a period of 64 slots a source (1000 at least), each to less than
+a slot.  The schedule repeats with that period, so only one period is simulated (on the driver, from the
+weights alone); the slot of any block follows from its rank by arithmetic.  The bound of one block
+holds exactly against the rounded shares, and against the weights within a period.  A row's
 rank within its source is its place in a seeded order of the ids: the rank within a
 hash bucket plus the sizes of the buckets before it, so that a source with a third of
 all rows is spread over all buckets and never meets in one task.
@@ -16,36 +17,57 @@ all rows is spread over all buckets and never meets in one task.
 
 from __future__ import annotations
 
+import heapq
+import json
+
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 BLOCK_ROWS = 16
-PERIOD = 1000
+PERIOD, SLOTS = 1000, 64
 BUCKETS = 4096  # three hex digits of the order key
 
 
-def shares(weights: dict, period: int = PERIOD) -> dict:
-    """Whole slots per period for each source of positive weight, by largest remainder, one at least."""
+def period_of(weights: dict) -> int:
+    """Slots in a period: SLOTS for each source of positive weight, PERIOD at least."""
+    return max(PERIOD, SLOTS * sum(w > 0 for w in weights.values()))
+
+
+def shares(weights: dict, period: int) -> dict:
+    """Whole slots per period for each source of positive weight: its part of the period, by largest remainder.
+
+    A source whose part is below one slot gets one; sources with the most over their part give it up.
+    """
     use = {s: w for s, w in weights.items() if w > 0}
-    if len(use) > period:
-        raise ValueError("the period must have a slot for every source")
     total = sum(use.values())
-    exact = {s: 1 + w / total * (period - len(use)) for s, w in use.items()}
-    out = {s: int(x) for s, x in exact.items()}
+    exact = {s: w / total * period for s, w in use.items()}
+    out = {s: max(1, int(x)) for s, x in exact.items()}
     by_rest = sorted(use, key=lambda s: (out[s] - exact[s], s is not None, s))
-    for s in by_rest[: period - sum(out.values()) if use else 0]:
+    missing = period - sum(out.values()) if use else 0
+    for s in by_rest[: max(missing, 0)]:
         out[s] += 1
+    while missing < 0:
+        for s in [s for s in reversed(by_rest) if out[s] > 1][: -missing]:
+            out[s] -= 1
+            missing += 1
     return out
 
 
-def period_slots(share: dict, period: int = PERIOD) -> dict:
+def period_slots(share: dict, period: int) -> dict:
     """For each source the slots of its blocks in one period: earliest deadline first among released blocks."""
     slots: dict = {s: [] for s in share}
     order = sorted(share, key=lambda s: (s is not None, s))
+    waiting = [(0, i) for i in range(len(order))]  # (release, source) of the next blocks
+    ready: list = []  # (deadline, source)
     for t in range(period if share else 0):
-        ready = [s for s in order if len(slots[s]) < share[s] and len(slots[s]) * period // share[s] <= t]
-        s = min(ready, key=lambda s: -(-(len(slots[s]) + 1) * period // share[s]))
-        slots[s].append(t)
+        while waiting and waiting[0][0] <= t:
+            i = heapq.heappop(waiting)[1]
+            heapq.heappush(ready, (-(-(len(slots[order[i]]) + 1) * period // share[order[i]]), i))
+        i = heapq.heappop(ready)[1]
+        own = slots[order[i]]
+        own.append(t)
+        if len(own) < share[order[i]]:
+            heapq.heappush(waiting, (len(own) * period // share[order[i]], i))
     return slots
 
 
@@ -57,18 +79,16 @@ def temperature_weights(docs: DataFrame, source_col: str = "source", power: floa
 _ADDED = ["block", "release", "deadline", "slot", "slot_offset"]
 
 
-def _placed(docs: DataFrame, weights: dict, id_col: str, source_col: str, block_rows: int, period: int,
+def _placed(docs: DataFrame, weights: dict, id_col: str, source_col: str, block_rows: int, period: int | None,
             seed: int) -> DataFrame:
     """``docs`` plus the five figures as columns _m_block, ... (see ``mix``)."""
+    period = period or period_of(weights)
     slots = period_slots(shares(weights, period), period)
     kind = docs.schema[source_col].dataType
-    if slots:
-        table = docs.sparkSession.range(1).select(F.inline(F.array(*[
-            F.struct(F.lit(s).cast(kind).alias("_m_source"), F.array(*map(F.lit, v)).alias("_m_slots"))
-            for s, v in slots.items()])))
-    else:
-        table = docs.sparkSession.range(0).select(F.lit(None).cast(kind).alias("_m_source"),
-                                                  F.array(F.lit(0)).alias("_m_slots"))
+    # one literal, however many sources
+    text = json.dumps([{"s": None if s is None else str(s), "v": v} for s, v in slots.items()])
+    table = docs.sparkSession.range(1).select(F.inline(F.from_json(F.lit(text), "array<struct<s: string, v: array<int>>>"))) \
+        .select(F.col("s").cast(kind).alias("_m_source"), F.col("v").alias("_m_slots"))
     columns = docs.columns
     text_id = F.coalesce(F.col(id_col).cast("string"), F.lit(""))
     keyed = docs.withColumn("_m_order", F.md5(F.concat(F.lit(f"{seed}:"), text_id))) \
@@ -96,7 +116,7 @@ def _placed(docs: DataFrame, weights: dict, id_col: str, source_col: str, block_
 
 
 def mix(docs: DataFrame, weights: dict, id_col: str = "doc_id", source_col: str = "source",
-        block_rows: int = BLOCK_ROWS, period: int = PERIOD, seed: int = 0) -> DataFrame:
+        block_rows: int = BLOCK_ROWS, period: int | None = None, seed: int = 0) -> DataFrame:
     """All rows and columns of ``docs`` plus block, release, deadline, slot and slot_offset (long).
 
     Ordering by (slot, slot_offset) gives the mix.  No row is dropped or repeated: a
@@ -112,7 +132,7 @@ def mix(docs: DataFrame, weights: dict, id_col: str = "doc_id", source_col: str
 
 
 def in_mix_order(docs: DataFrame, weights: dict, id_col: str = "doc_id", source_col: str = "source",
-                 block_rows: int = BLOCK_ROWS, period: int = PERIOD, seed: int = 0) -> DataFrame:
+                 block_rows: int = BLOCK_ROWS, period: int | None = None, seed: int = 0) -> DataFrame:
     """The rows and columns of ``docs``, globally sorted into the mix (see ``mix``).
 
     Written out, the files in order of their names hold the mix.

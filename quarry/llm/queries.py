@@ -107,9 +107,10 @@ QUERIES = {f.__name__: f for f in (
 #: Shares by largest remainder, the earliest-deadline-first simulation of one period as a recursion, then arithmetic.
 _MIXING_SQL = """
 WITH RECURSIVE c AS (SELECT source, sqrt(count(*)) AS w FROM documents GROUP BY source),
-x AS (SELECT source, 1 + w / (SELECT sum(w) FROM c) * (1000 - (SELECT count(*) FROM c)) AS exact FROM c),
-f AS (SELECT source, floor(exact)::BIGINT AS low, row_number() OVER (ORDER BY floor(exact) - exact, source) AS r FROM x),
-sh AS (SELECT source, low + (r <= 1000 - (SELECT sum(low) FROM f))::BIGINT AS share,
+n AS (SELECT greatest(1000, 64 * count(*))::BIGINT AS p FROM c),
+x AS (SELECT source, w / (SELECT sum(w) FROM c) * p AS exact FROM c, n),
+f AS (SELECT source, greatest(1, floor(exact))::BIGINT AS low, row_number() OVER (ORDER BY greatest(1, floor(exact)) - exact, source) AS r FROM x),
+sh AS (SELECT source, low + (r <= (SELECT p FROM n) - (SELECT sum(low) FROM f))::BIGINT AS share,
               row_number() OVER (ORDER BY source) AS i FROM f),
 l AS (SELECT list(share ORDER BY i) AS shares FROM sh),
 sim AS (
@@ -118,16 +119,16 @@ sim AS (
   SELECT t + 1, pick, list_transform(done, lambda d, i: d + (i = pick)::BIGINT)
   FROM (SELECT t, done, list_position(due, list_min(due))::BIGINT AS pick
         FROM (SELECT t, done, list_transform(done, lambda d, i:
-                CASE WHEN d < shares[i] AND (d * 1000) // shares[i] <= t + 1
-                     THEN ((d + 1) * 1000 + shares[i] - 1) // shares[i] ELSE 1000000 END) AS due
-              FROM sim, l WHERE t < 999))),
+                CASE WHEN d < shares[i] AND (d * p) // shares[i] <= t + 1
+                     THEN ((d + 1) * p + shares[i] - 1) // shares[i] ELSE 1000000000 END) AS due
+              FROM sim, l, n WHERE t < p - 1))),
 slots AS (SELECT pick AS i, t, row_number() OVER (PARTITION BY pick ORDER BY t) - 1 AS k FROM sim WHERE t >= 0),
 ranked AS (SELECT doc_id, source, row_number() OVER (PARTITION BY source ORDER BY md5('0:' || doc_id)) - 1 AS rank FROM documents),
 b AS (SELECT doc_id, source, rank, rank // 16 AS block, share, i FROM ranked JOIN sh USING (source))
-SELECT doc_id, source, block::BIGINT AS block, ((block * 1000) // share)::BIGINT AS release,
-       (((block + 1) * 1000 + share - 1) // share)::BIGINT AS deadline,
-       ((block // share) * 1000 + t)::BIGINT AS slot, (rank % 16)::BIGINT AS slot_offset
-FROM b JOIN slots ON slots.i = b.i AND slots.k = block % share"""
+SELECT doc_id, source, block::BIGINT AS block, ((block * p) // share)::BIGINT AS release,
+       (((block + 1) * p + share - 1) // share)::BIGINT AS deadline,
+       ((block // share) * p + t)::BIGINT AS slot, (rank % 16)::BIGINT AS slot_offset
+FROM n, b JOIN slots ON slots.i = b.i AND slots.k = block % share"""
 
 #: All pairs that share a shingle, counted, and the closure of the links.
 _DEDUP_SQL = r"""
