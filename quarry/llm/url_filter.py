@@ -21,13 +21,13 @@ import math
 import re
 
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from quarry.session import cut_lineage
 
-DICTIONARY = 50_000
-LONGEST = 20
+#: letters in a host label at most (DNS); longer runs, which no host has, are split in pieces of so many
+LABEL = 63
 #: (verdict, host, path)
 RULES = [("allow", "com", "/"), ("block", "example.com", "/en/"), ("allow", "www.example.com", "/en/"),
          ("block", "net", "/es/"), ("block", "net", "/fr/")]
@@ -53,24 +53,10 @@ def matching_rule(host: Column, path: Column, rules: list[tuple[str, str, str]])
 
 
 def word_counts(pages: DataFrame, text_col: str) -> DataFrame:
-    """(word, n) of all words (two letters or more, at most LONGEST) in the text, mark-up cut off."""
+    """(word, n) of all words (two letters or more) in the text, mark-up cut off."""
     text = F.lower(F.regexp_replace(F.coalesce(text_col, F.lit("")), r"(?s)<(script|style)\b.*?</\1>|<[^>]*>|&\w+;", " "))
     words = pages.select(F.explode(F.regexp_extract_all(text, F.lit(rf"(\p{{L}}{{2,}})"), 1)).alias("word"))
-    return cut_lineage(words.where(F.length("word") <= LONGEST).groupBy("word").agg(F.count("*").alias("n")))
-
-
-def dictionary(pages: DataFrame, text_col: str, size: int = DICTIONARY) -> dict[str, int]:
-    """Counts of the most frequent words in the text, for a look at them; ``judge`` uses all words.
-
-    At most ``size`` words; where the cut falls among equally frequent words, none of these is
-    in.  The cut is found on the table of counts' counts, so only the words that are in
-    reach the driver.
-    """
-    counts = word_counts(pages, text_col)
-    ranked = counts.groupBy("n").agg(F.count("*").alias("words")) \
-        .withColumn("upto", F.sum("words").over(Window.orderBy(F.desc("n"))))
-    least = ranked.where(F.col("upto") <= size).agg(F.min("n")).first()[0]
-    return {} if least is None else {r[0]: r[1] for r in counts.where(F.col("n") >= least).collect()}
+    return cut_lineage(words.groupBy("word").agg(F.count("*").alias("n")))
 
 
 class Segmenter:
@@ -89,7 +75,7 @@ class Segmenter:
         best, start = [0.0], [0]
         for end in range(1, len(text) + 1):
             options = []
-            for a in range(max(0, end - LONGEST), end):
+            for a in range(max(0, end - LABEL), end):
                 word = text[a:end]
                 options.append((best[a] + self.cost.get(word, self.unknown(end - a)), a))
             cost, a = min(options)
@@ -106,8 +92,8 @@ _WORDS = re.compile(r"[^\W\d_]+|\d+")
 
 
 def host_parts(host: str) -> list[str]:
-    """Runs of letters and of digits in the host labels but the last."""
-    return [part for label in host.split(".")[:-1] for part in _WORDS.findall(label)]
+    """Runs of letters and of digits in the host labels but the last, in pieces of LABEL characters at most."""
+    return [part[i: i + LABEL] for label in host.split(".")[:-1] for part in _WORDS.findall(label) for i in range(0, len(part), LABEL)]
 
 
 def path_tokens(path: str) -> list[str]:
@@ -138,7 +124,7 @@ def host_tokens(hosts: DataFrame, counts: DataFrame) -> DataFrame:
         for batch in batches:
             for part in batch.column(0).to_pylist():
                 n = len(part)
-                yield rows([(part, w) for w in {part[a:b] for a in range(n) for b in range(a + 2, min(a + LONGEST, n) + 1)}],
+                yield rows([(part, w) for w in {part[a:b] for a in range(n) for b in range(a + 2, n + 1)}],
                            ["part", "word"], 2)
 
     placed = cut_lineage(hosts.select("host").mapInArrow(parts_of, "host string, part string"))
@@ -178,7 +164,7 @@ def judge(pages: DataFrame, id_col: str = "page_id", url_col: str = "url", text_
     ``verdict`` is the fitting rule's, else "block" for block_odds > 0 and "allow"
     otherwise; a class without any decided URL, or an empty table of decided URLs, gives
     odds of 0.  A null URL and one without ``://`` have empty host and path, no tokens,
-    and are judged by the prior odds.  Rows with null or repeated ids are each judged;
+    and are judged by the prior odds.  A letter run beyond LABEL, in no valid host, is split piece by piece.  Rows with null or repeated ids are each judged;
     other columns are ignored.
     """
     host, path = host_and_path(F.col(url_col))

@@ -2,6 +2,7 @@ import itertools
 import re
 
 import pytest
+from pyspark.sql import functions as F
 
 from quarry.llm import url_filter as uf
 from quarry.llm.queries import op9_url_filter
@@ -84,17 +85,29 @@ def test_naive_bayes_scores(spark):
         assert got[i].block_odds == pytest.approx(odds)
 
 
-def test_dictionary_is_cut_between_counts(spark):
-    df = spark.createDataFrame([("<p>aa aa aa bb bb cc cc dd ee</p><script>zz zz zz zz</script> &amp; x",)], "html string")
-    assert uf.dictionary(df, "html", 10) == {"aa": 3, "bb": 2, "cc": 2, "dd": 1, "ee": 1}
-    assert uf.dictionary(df, "html", 4) == uf.dictionary(df, "html", 3) == {"aa": 3, "bb": 2, "cc": 2}
-    assert uf.dictionary(df, "html", 2) == {"aa": 3} and uf.dictionary(df.limit(0), "html") == {}
+def test_long_words_split_hosts(spark):
+    long = "pneumonoultramicroscopicsilicosis" + "x"  # 34 letters
+    text = f"{long} " * 12 + "good news good news casino"
+    rows = [(1, f"http://{long}goodnews.net/es/a", text), (2, "http://casino.com/x", text), (3, f"http://good{long}.org/q", "")]
+    df = spark.createDataFrame(rows, "page_id long, url string, html string")
+    hosts = df.select(uf.host_and_path(F.col("url"))[0].alias("host"))
+    got = {(r.host, r.token) for r in uf.host_tokens(hosts, uf.word_counts(df, "html")).collect()}
+    assert got == {(f"{long}goodnews.net", t) for t in (f"h:{long}", "h:good", "h:news")} | {("casino.com", "h:casino")} | {
+        (f"good{long}.org", t) for t in (f"h:{long}", "h:good")}
+
+
+def test_very_long_hosts(spark):
+    """A host of 100,000 letters is worked off in pieces of a label's length."""
+    rows = [(1, "http://" + "goodnews" * 12_500 + ".net/es/a", "good news"), (2, "http://casino.com/x", "casino"),
+            (3, "http://" + "goodnews" * 12_500 + ".org/" + "q" * 100_000, None)]
+    got = {r.page_id: r for r in uf.judge(spark.createDataFrame(rows, "page_id long, url string, html string")).collect()}
+    assert got[1].rule == "net/es/" and got[3].verdict == "block" and len(got[3].host) == 100_004
 
 
 def test_words_beyond_any_cut_split_hosts(spark):
-    # more words than DICTIONARY tie at the highest count
+    # very many words tie at the highest count
     letters = "abcdefghijklmnopqrstuvwxyz"
-    many = ["z" + "".join(w) for w in itertools.islice(itertools.product(letters, repeat=4), uf.DICTIONARY + 100)]
+    many = ["z" + "".join(w) for w in itertools.islice(itertools.product(letters, repeat=4), 50_100)]
     rows = [(1, "http://goodnews.net/es/a", " ".join(many)), (2, "http://badcasino.com/x", "good news bad casino"),
             (3, "http://goodnews.org/q", None), (4, "http://newsgood.org/q", ""), (5, "http://xyxyxy.org/q", None)]
     got = {r.page_id: r.block_odds for r in uf.judge(spark.createDataFrame(rows, "page_id long, url string, html string")).collect()}
