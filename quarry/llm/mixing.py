@@ -33,11 +33,12 @@ def period_of(weights: dict) -> int:
     return max(PERIOD, SLOTS * sum(w > 0 for w in weights.values()))
 
 
-def shares(weights: dict, period: int) -> dict:
+def shares(weights: dict, period: int | None = None) -> dict:
     """Whole slots per period for each source of positive weight: its part of the period, by largest remainder.
 
     A source whose part is below one slot gets one; sources with the most over their part give it up.
     """
+    period = period or period_of(weights)
     use = {s: w for s, w in weights.items() if w > 0}
     total = sum(use.values())
     exact = {s: w / total * period for s, w in use.items()}

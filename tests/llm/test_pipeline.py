@@ -2,7 +2,7 @@ import corpus_pipeline as cp
 import pytest
 from pyspark.sql import functions as F
 
-from quarry.llm.mixing import BLOCK_ROWS, PERIOD, shares, temperature_weights
+from quarry.llm.mixing import BLOCK_ROWS, temperature_weights
 from quarry.sources.tables import table
 
 SF = "/root/testdata/sf0.01"
@@ -60,9 +60,10 @@ def test_mixing_reorders_only(spark, stages):
     _, before, after = stages[3]
     assert sorted(map(repr, before.collect())) == sorted(map(repr, after.collect()))
     order = [r.source for r in after.orderBy(F.col("_metadata.file_name"), F.col("_metadata.row_index")).collect()]
-    size = shares(temperature_weights(before))
+    weight = temperature_weights(before)
+    whole = sum(weight.values())
     for n in (100, 200, len(order) // 3):  # while every source has rows left, it is within a block of its share
-        assert all(abs(order[:n].count(s) - n * size[s] / PERIOD) < 2 * BLOCK_ROWS for s in size)
+        assert all(abs(order[:n].count(s) - n * weight[s] / whole) < 2 * BLOCK_ROWS for s in weight)
 
 
 def test_packing_holds_every_document(stages):
