@@ -31,25 +31,38 @@ def toxicity(spark, docs, sf_dir):
 
 
 def line_dedup(spark, docs, sf_dir):
-    """Lines of recurring templates go; all documents stay, n_chars counts the text that is left."""
+    """Lines of recurring templates go; all documents stay, n_chars counts the text that is left.
+
+    Null and empty texts pass unchanged (a null text keeps its n_chars); equal rows are cut alike; no rows give none.
+    """
     cut = drop_recurring_lines(docs.select(*COLUMNS))
     return cut.withColumn("n_chars", F.when(F.col("text").isNotNull(), F.char_length("text").cast("long"))
                           .otherwise(F.col("n_chars")))
 
 
 def near_dedup(spark, docs, sf_dir):
-    """One document of each near-duplicate group stays (five-word shingles, Jaccard >= 0.8)."""
+    """One document of each near-duplicate group stays (five-word shingles, Jaccard >= 0.8).
+
+    Texts without words are in no group and stay; no rows give none.
+    """
     return drop_near_duplicates(docs.select(*COLUMNS))
 
 
 def mixing(spark, docs, sf_dir):
-    """All documents, in files sorted into a mix with sources weighted by the square root of their rows."""
+    """All documents, in files sorted into a mix with sources weighted by the square root of their rows.
+
+    A null source is a source of its own; repeated and null ids keep their rows; no rows give none.
+    """
     docs = docs.select(*COLUMNS)
     return in_mix_order(docs, temperature_weights(docs))
 
 
 def packing(spark, docs, sf_dir):
-    """Pieces of the documents in sequences of at most 2048 tokens; a task packs its rows in the mix's order."""
+    """Pieces of the documents in sequences of at most 2048 tokens.
+
+    A task packs the runs of the mix that it reads; which runs those are, Spark's reader decides by file
+    size.  Null and empty texts are their end token alone; no rows give none.
+    """
     return pack(docs.select(*COLUMNS), tokenizer_path())
 
 
