@@ -6,22 +6,25 @@ next token; a context is the class of the token before (its hash modulo
 share one parent, the unigram restaurant, whose base is uniform over the known
 tokens and one unknown token.  Customers are seated by Gibbs sweeps over the Chinese
 restaurant process: a sweep re-seats all customers given the tables of the sweep
-before, and the predictive probabilities of the last sweeps are averaged.  Customers of
-a dish beyond the first ``SINGLY`` are seated in groups that grow with their number,
-each at the odds of its first customer.
+before, and the predictive probabilities of the last sweeps are averaged.  Every customer
+is seated at its own odds: the first ``NEAR`` of a dish one by one, later ones by drawing the
+next customer that opens a table from its exact law (a ratio of gamma functions).
 
 Spark plan.  Tokens are dealt by a hash of the *word*, as one binary row per (block of
 texts, shard): distinct words, and per occurrence its context class and text.  A shard
 then knows every customer of its dishes, in all contexts and in the parent.  What
 shards must share is only one table total per context (``CONTEXTS`` numbers), summed by
 Spark after each sweep.  The dealt rows are written to the checkpoint folder once;
-every sweep is one pass over them, and seats are drawn from seeded generators, so a
-lost task repeats exactly and no seating is stored.  The last pass turns the
-occurrences into sums per text, which meet again by block.
+every sweep is one pass over them.  A seat's draw is a hash of the seed, the sweep, the
+word, the context and the customer's number, so that scores are the same for any
+partitioning, a lost task repeats exactly and no seating is stored.  The last pass turns
+the occurrences into sums per text, which meet again by block.
 """
 
 from __future__ import annotations
 
+import itertools
+
 import numpy as np
 import pyarrow as pa
 from pyspark import TaskContext
@@ -35,12 +38,13 @@ from quarry.session import cut_lineage
 CONTEXTS = 4096
 SWEEPS = 3
 SAMPLES = 2
-SINGLY = 32
+NEAR = 32
 STRENGTH = 1.0
 BLOCK = 4 << 20  # bytes of text, and at most BLOCK_TEXTS texts (their numbers have 16 bits)
 BLOCK_TEXTS = 50_000
 _TRAIN = 1 << 15
 _END = np.uint64(0x0E0D0E0D0E0D0E0D)
+_STEP = np.uint64(0x9E3779B97F4A7C15)
 
 
 # ---- dealing the tokens ------------------------------------------------------------------
@@ -140,7 +144,7 @@ class Shard:
         def joined(parts, kind):
             return np.concatenate(parts) if parts else np.zeros(0, kind)
 
-        _, dish = np.unique(joined(words, np.uint64), return_inverse=True)
+        self.words, dish = np.unique(joined(words, np.uint64), return_inverse=True)
         pairs, at = np.unique(dish[joined(of_word, np.int32)] * CONTEXTS + joined(context, np.uint16), return_inverse=True)
         self.pair = at.astype(np.int32)  # of each distinct pair of each block
         self.lens = joined(lens, np.int32)  # and how often it occurs there
@@ -170,17 +174,19 @@ class Shard:
         seats = self.parent_counts(tables) - total["parent_discount"] * parent_tables
         return (seats + floor) / (STRENGTH + total["tables"].sum())
 
-    def sweep(self, state, total: dict, rng: np.random.Generator):
+    def sweep(self, state, total: dict, seed: int, number: int):
         """Re-seat all customers, given the seating and the shared totals of the sweep before."""
         p = self.base(*state, total)
         open_rate = (STRENGTH + total["discount"] * total["tables"][self.context]) * p[self.dish]
         tables = np.empty_like(self.count)
-        tables[self.order] = seat(self.count[self.order], open_rate[self.order], total["discount"], rng)
+        keys = draw_keys(self.words[self.dish], self.context, seed, number)
+        tables[self.order] = seat(self.count[self.order], open_rate[self.order], total["discount"], keys[self.order])
         customers = self.parent_counts(tables).astype(np.int64)
         order = np.argsort(-customers, kind="stable")
         rate = (STRENGTH + total["parent_discount"] * total["parent_tables"]) / (total["kinds"] + 1)
         parent = np.empty_like(customers)
-        parent[order] = seat(customers[order], np.full(len(order), rate), total["parent_discount"], rng)
+        keys = draw_keys(self.words, np.full(self.dishes, CONTEXTS), seed, number)
+        parent[order] = seat(customers[order], np.full(len(order), rate), total["parent_discount"], keys[order])
         return tables, parent
 
     def predictive(self, state, total: dict) -> np.ndarray:
@@ -192,25 +198,74 @@ class Shard:
                 + (STRENGTH + total["discount"] * shared) * p[self.dish]) / (STRENGTH + total["customers"][self.context])
 
 
-def seat(count: np.ndarray, open_rate: np.ndarray, discount: float, rng: np.random.Generator) -> np.ndarray:
+def draw_keys(words: np.ndarray, contexts: np.ndarray, seed: int, number: int) -> np.ndarray:
+    """One 64-bit key for each (word, context), seed and sweep."""
+    salt = vec.mix64(np.array([seed], np.uint64) * _STEP + np.uint64(number))
+    return vec.mix64(vec.mix64(words ^ salt) + contexts.astype(np.uint64) * _STEP)
+
+
+def uniform(keys: np.ndarray, customer) -> np.ndarray:
+    """The draw of a dish's customer (numbered from 0), in (0, 1)."""
+    bits = vec.mix64(keys + np.asarray(customer).astype(np.uint64) * _STEP) >> np.uint64(12)
+    return (bits.astype(np.float64) + 0.5) / (1 << 52)
+
+
+def seat(count: np.ndarray, open_rate: np.ndarray, discount: float, keys: np.ndarray) -> np.ndarray:
     """Tables after seating ``count`` customers (descending) of each dish one after another.
 
     With i customers at t tables, the next one opens a table with odds
     open_rate : i - discount * t.
     """
     tables = (count > 0).astype(np.int64)
-    i = 1
-    while True:
+    for i in range(1, NEAR):
         m = int(np.searchsorted(-count, -i, "left"))  # dishes with more than i customers
         if m == 0:
             return tables
         odds = open_rate[:m] / (open_rate[:m] + i - discount * tables[:m])
-        step = max(1, i // SINGLY)
-        if step == 1:
-            tables[:m] += rng.random(m) < odds
-        else:
-            tables[:m] += rng.binomial(np.minimum(step, count[:m] - i), odds)
-        i += step
+        tables[:m] += uniform(keys[:m], i) < odds
+    at = np.arange(int(np.searchsorted(-count, -NEAR, "left")))
+    seated = np.full(len(at), NEAR, np.int64)
+    while len(at):
+        limit = np.log(uniform(keys[at], seated))
+        low = seated - discount * tables[at]
+        passed = _log_rise(low, open_rate[at])
+
+        def opened_before(number, rows):
+            """Whether a customer before ``number`` opens a table."""
+            shift = low[rows] + (number - seated[rows])
+            return passed[rows] - _log_rise(shift, open_rate[at[rows]]) < limit[rows]
+
+        rows = np.flatnonzero(opened_before(count[at], slice(None)))
+        a, b = seated[rows], count[at[rows]]  # opened before b, not before a
+        rate = open_rate[at[rows]]
+        with np.errstate(over="ignore"):
+            probe = a + (low[rows] + (rate - 1) / 2) * np.expm1(-limit[rows] / rate)  # the law for many customers
+        for tried in itertools.count():
+            if not (b - a > 1).any():
+                break
+            probe = np.clip(probe if tried < 4 else (a + b) // 2, a + 1, b - 1).astype(np.int64)
+            found = opened_before(probe, rows)
+            a, b = np.where(found, a, np.maximum(a, probe)), np.where(found, probe, b)
+            probe = np.where(found, b - 1, a + 1)
+        at = at[rows]
+        tables[at] += 1
+        more = b < count[at]
+        at, seated = at[more], b[more]
+    return tables
+
+
+def _log_rise(x: np.ndarray, a: np.ndarray) -> np.ndarray:
+    """log(gamma(x + a) / gamma(x)) for positive x and a."""
+    return _log_gamma(x + a) - _log_gamma(x)
+
+
+def _log_gamma(x: np.ndarray) -> np.ndarray:
+    """Stirling's series, from eight places higher where it is exact to rounding."""
+    product = x * (x + 1) * (x + 2) * (x + 3) * (x + 4) * (x + 5) * (x + 6) * (x + 7)
+    y = x + 8
+    square = 1 / (y * y)
+    series = (1 / 12 - square * (1 / 360 - square * (1 / 1260 - square * (1 / 1680 - square / 1188)))) / y
+    return (y - 0.5) * np.log(y) - y + 0.9189385332046727 + series - np.log(product)
 
 
 def _shard_rows(batches):
@@ -230,9 +285,8 @@ def _shard_rows(batches):
 def _state_after(shard: Shard, totals: list[dict], seed: int):
     """The seatings after each of the sweeps whose totals are known."""
     state, out = shard.first_seating(), []
-    part = TaskContext.get().partitionId()
     for k, total in enumerate(totals):
-        state = shard.sweep(state, total, np.random.default_rng([seed, k, part]))
+        state = shard.sweep(state, total, seed, k)
         out.append(state)
     return out
 
@@ -323,7 +377,7 @@ def score(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", sweep
             dish = shard.dish[pair]
             found = np.bincount(at, known[dish])
             cols = [own.astype("<u2"), found.astype("<u2" if found.max() < 1 << 16 else "<u4"),
-                    np.bincount(at, base[dish]).astype("<f8"), np.bincount(at, logp[pair]).astype("<f4")]
+                    np.bincount(at, base[dish]).astype("<f8"), np.bincount(at, logp[pair]).astype("<f8")]
             yield pa.RecordBatch.from_arrays(
                 [pa.array([block], pa.int64()), pa.nulls(1, ids_type), pa.nulls(1, pa.list_(pa.bool_())),
                  pa.nulls(1, pa.list_(pa.int64())), *[pa.array([c.tobytes()], pa.binary()) for c in cols]], names=names)
@@ -343,7 +397,7 @@ def score(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", sweep
                 at = np.frombuffer(r["texts"], "<u2")
                 known[at] += np.frombuffer(r["known"], f"<u{len(r['known']) // len(at)}")
                 base[at] += np.frombuffer(r["base"], "<f8")
-                logp[at] += np.frombuffer(r["logp"], "<f4")
+                logp[at] += np.frombuffer(r["logp"], "<f8")
         sizes = np.array(head["sizes"], np.int64)
         return pa.table({id_col: pa.array(head["ids"], ids_type.value_type), "held_out": pa.array(head["held"], pa.bool_()),
                          "n_tokens": sizes, "n_known": known, "train_tokens": np.full(m, n, np.int64),

@@ -42,11 +42,86 @@ def test_base_is_exact_and_held_out_texts_gain(spark):
     assert sum(r.score for r in held) > sum(r.base_score for r in held) * 0.95
 
 
-def test_same_scores_again(spark):
+def test_same_scores_for_any_partitioning(spark):
     docs = table(spark, "/root/testdata/sf0.001", "documents")
-    a = {r.doc_id: r.score for r in py.score(docs).collect()}
-    b = {r.doc_id: r.score for r in py.score(docs.repartition(5)).collect()}
-    assert set(a) == set(b) and all(a[i] == pytest.approx(b[i], rel=0.02) for i in a)
+    before = spark.conf.get("spark.sql.shuffle.partitions")
+    got = []
+    try:
+        for shuffle, parts in ((4, 1), (12, 5)):
+            spark.conf.set("spark.sql.shuffle.partitions", str(shuffle))
+            got.append({r.doc_id: r.score for r in py.score(docs.repartition(parts)).collect()})
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", before)
+    assert set(got[0]) == set(got[1]) and all(got[0][i] == pytest.approx(got[1][i], rel=1e-9) for i in got[0])
+
+
+def plain_scores(rows, sweeps, samples, seed):
+    """The model customer by customer, in dictionaries (dishes of at most NEAR customers)."""
+    hasher = vec.Hasher()
+
+    def hashed(word):
+        if word is None:
+            return py._END
+        data = np.frombuffer(word.encode(), np.uint8)
+        return hasher.spans(data, np.array([0]), np.array([len(data)]))[0]
+
+    def pairs(text):
+        context = 0
+        for w in map(hashed, tokens(text)):
+            yield w, context
+            context = 1 + int(vec.mix64(np.array([w]))[0] % np.uint64(py.CONTEXTS - 1))
+
+    customers = Counter(p for i, t in rows if crc32(str(i).encode()) % 5 != 1 for p in pairs(t))
+    kinds = len({w for w, _ in customers})
+
+    def sums(of):
+        by_word, by_context = Counter(), Counter()
+        for (w, c), k in of.items():
+            by_word[w] += k
+            by_context[c] += k
+        return by_word, by_context
+
+    def discount(counts):
+        ones, twos = sum(k == 1 for k in counts), sum(k == 2 for k in counts)
+        return min(0.95, max(0.05, ones / (ones + 2 * twos)))
+
+    tables = {p: 1 for p in customers}
+    at_word, at_context = sums(tables)
+    parent = {w: 1 for w in at_word}
+    d, d0 = discount(customers.values()), discount(at_word.values())
+    n_context = sums(customers)[1]
+
+    def base(w):
+        floor = (py.STRENGTH + d0 * sum(parent.values())) / (kinds + 1)
+        return (at_word[w] - d0 * parent.get(w, 0) + floor) / (py.STRENGTH + sum(at_word.values()))
+
+    def seated(n, rate, off, w, c, sweep):
+        key = py.draw_keys(np.array([w]), np.array([c]), seed, sweep)
+        t = 1
+        for i in range(1, n):
+            t += py.uniform(key, i)[0] < rate / (rate + i - off * t)
+        return t
+
+    predicted = []
+    for sweep in range(sweeps):
+        rate0 = (py.STRENGTH + d0 * sum(parent.values())) / (kinds + 1)
+        tables = {(w, c): seated(n, (py.STRENGTH + d * at_context[c]) * base(w), d, w, c, sweep)
+                  for (w, c), n in customers.items()}
+        at_word, at_context = sums(tables)
+        parent = {w: seated(n, rate0, d0, w, py.CONTEXTS, sweep) for w, n in at_word.items()}
+        predicted.append(lambda w, c, tables=tables, at_context=at_context, p={w: base(w) for w in at_word}, rest=base(None):
+                         (customers[w, c] - d * tables.get((w, c), 0) + (py.STRENGTH + d * at_context[c]) * p.get(w, rest))
+                         / (py.STRENGTH + n_context[c]))
+    use = predicted[-samples:]
+    return {i: sum(math.log10(sum(f(w, c) for f in use) / len(use)) for w, c in pairs(t)) for i, t in rows}
+
+
+def test_scores_equal_the_model_customer_by_customer(spark):
+    rng = np.random.default_rng(4)
+    rows = [(i, " ".join(f"w{int(x) % 50}" for x in rng.zipf(1.4, rng.integers(0, 9)))) for i in range(30)]
+    want = plain_scores(rows, py.SWEEPS, py.SAMPLES, 9)
+    got = py.score(spark.createDataFrame(rows, "doc_id long, text string").repartition(3), seed=9).collect()
+    assert len(got) == len(rows) and all(r.score == pytest.approx(want[r.doc_id], rel=1e-9) for r in got)
 
 
 def test_odd_rows(odd_docs, no_docs):
@@ -84,7 +159,7 @@ def test_predictive_probabilities_sum_to_one():
              "tables": np.bincount(shard.context, tables, py.CONTEXTS).astype(float), "discount": 0.7,
              "parent_discount": 0.5, "parent_tables": parent.sum(), "kinds": shard.dishes}
     state = (tables, parent)
-    for _ in range(3):
+    for number in range(3):
         p = shard.predictive(state, total)
         base = shard.base(*state, total)
         floor = (py.STRENGTH + 0.5 * total["parent_tables"]) / (total["kinds"] + 1) / (py.STRENGTH + total["tables"].sum())
@@ -93,22 +168,24 @@ def test_predictive_probabilities_sum_to_one():
             own = shard.context == c
             rest = (py.STRENGTH + 0.7 * total["tables"][c]) * floor / (py.STRENGTH + total["customers"][c])
             assert p[own].sum() + rest == pytest.approx(1)
-        state = shard.sweep(state, total, rng)
+        state = shard.sweep(state, total, 0, number)
         assert (state[0] <= shard.count).all() and ((state[0] > 0) == (shard.count > 0)).all()
         total = total | {"tables": np.bincount(shard.context, state[0], py.CONTEXTS).astype(float),
                          "parent_tables": state[1].sum()}
 
 
-def test_seating_follows_the_restaurant_process():
+@pytest.mark.parametrize("count, rate, d", [(20, 0.8, 0.4), (200, 0.8, 0.4), (300, 8.0, 0.7), (3000, 3.0, 0.5)])
+def test_seating_follows_the_restaurant_process(count, rate, d):
     rng = np.random.default_rng(1)
-    count, rate, d = 20, 0.8, 0.4
-    got = py.seat(np.full(4000, count), np.full(4000, rate), d, rng)
-    mean = 0.0
-    for _ in range(4000):
-        t = 1
-        for i in range(1, count):
-            t += rng.random() < rate / (rate + i - d * t)
-        mean += t / 4000
-    assert got.mean() == pytest.approx(mean, rel=0.05)
-    many = py.seat(np.array([100_000]), np.array([5.0]), 0.0, rng)[0]
-    assert 30 < many < 80  # about 5 * log(100000 / 5)
+    keys = rng.integers(0, 2**63, 4000).astype(np.uint64)
+    got = py.seat(np.full(4000, count), np.full(4000, rate), d, keys)
+    plain = np.ones(4000)
+    for i in range(1, count):
+        plain += rng.random(4000) < rate / (rate + i - d * plain)
+    assert got.mean() == pytest.approx(plain.mean(), rel=0.03)
+    assert got.std() == pytest.approx(plain.std(), rel=0.1)
+
+
+def test_one_dish_with_very_many_customers():
+    tables = [py.seat(np.array([10**8]), np.array([5.0]), 0.0, np.array([k], np.uint64))[0] for k in range(200)]
+    assert np.mean(tables) == pytest.approx(5 * (math.log(10**8 / 5)), rel=0.1)
