@@ -3,8 +3,8 @@
 A word's input is its own embedding, those of its beginnings of ``PREFIXES`` bytes, and the
 mean embedding of its byte trigrams.  Words and beginnings have rows of their own if they
 were seen in at least ``MIN_DOCS`` sample documents; other words are read by their
-characters.  Windows of ``WIDTH`` words, every ``STRIDE`` words, run through
-a forward and a backward GRU; attention pools their states into one logit.  A
+characters.  Windows of ``WIDTH`` words, every ``STRIDE`` words (so that any run of
+WIDTH - STRIDE + 1 words lies whole in one), run through a forward and a backward GRU; attention pools their states into one logit.  A
 document's score is the largest window logit, calibrated to a probability.
 
 The network is trained with numpy in one task from a bounded sample of labelled
@@ -27,7 +27,7 @@ from pyspark.sql import functions as F
 
 from quarry.llm import vec
 
-WIDTH, STRIDE = 24, 16
+WIDTH, STRIDE = 24, 8
 SAMPLE_BYTES = 64 << 20  # of the label sample's texts
 SAMPLE = 2000
 MIN_DOCS = 2
@@ -155,6 +155,54 @@ def forward(p, x_proj, mask, keep=False):
     return logit, (sf, sb, h, a, att, pooled)
 
 
+def gru_states(proj: np.ndarray, at: np.ndarray, mask: np.ndarray, u: np.ndarray, backward: bool) -> np.ndarray:
+    """States [steps, HID, n] of one direction, without what training keeps.
+
+    ``proj``: projections [words, 3 * HID]; ``at``, ``mask``: words and mask [steps, n].  Windows lie along the last,
+    contiguous axis of all states.  Update and reset gates come with halved weights: sigmoid(x) = (1 + tanh(x / 2)) / 2.
+    """
+    steps, n = at.shape
+    out = np.empty((steps, HID, n), np.float32)
+    h = np.zeros((HID, n), np.float32)
+    for t in reversed(range(steps)) if backward else range(steps):
+        x = np.ascontiguousarray(proj.take(at[t], axis=0).T)
+        g = u @ h
+        gates = x[: 2 * HID]
+        gates += g[: 2 * HID]
+        np.tanh(gates, out=gates)
+        gates += 1
+        gates *= 0.5
+        c = g[2 * HID:]
+        c *= gates[HID:]
+        c += x[2 * HID:]
+        np.tanh(c, out=c)
+        new = out[t]
+        np.subtract(h, c, out=new)
+        new *= gates[:HID]
+        new += c
+        if not mask[t].all():
+            np.copyto(new, h, where=~mask[t])
+        h = new
+    return out
+
+
+def window_logits(p, proj: list[np.ndarray], at: np.ndarray, mask: np.ndarray) -> np.ndarray:
+    """Logits of windows for scoring, equal to those of ``forward``; ``proj``: both directions [words, 3 * HID], gates halved."""
+    at, mask = np.ascontiguousarray(at.T), np.ascontiguousarray(mask.T)
+    half = np.repeat(np.array([0.5, 0.5, 1], np.float32), HID)[:, None]
+    hf, hb = (gru_states(proj[k], at, mask, half * p[u].T, k == 1) for k, u in enumerate(("uf", "ub")))
+    steps, n = at.shape
+    e, value = np.empty((steps, n), np.float32), np.empty((steps, n), np.float32)
+    for t in range(steps):
+        a = p["aw"][:HID].T @ hf[t]
+        a += p["aw"][HID:].T @ hb[t]
+        e[t] = p["av"] @ np.tanh(a, out=a)
+        value[t] = p["ow"][:HID] @ hf[t] + p["ow"][HID:] @ hb[t]
+    e = np.where(mask, e, np.float32(-1e9))
+    e = np.exp(e - e.max(0)) * mask
+    return (e * value).sum(0) / np.maximum(e.sum(0), 1e-9) + p["ob"][0]
+
+
 def gradients(p, x, mask, y, weight):
     """Mean weighted log loss of windows and its gradients; ``x``: inputs [n, steps, EMB]."""
     proj = [x @ p["wf"] + p["cf"], x @ p["wb"] + p["cb"]]
@@ -226,11 +274,13 @@ class Model:
         order = np.argsort(first)
         x[order] = self.inputs(words, first[order], hasher)
         inverse = inverse if len(first) else np.zeros(1, np.int64)
-        proj = [x @ p["wf"] + p["cf"], x @ p["wb"] + p["cb"]]
+        half = np.repeat(np.array([0.5, 0.5, 1], np.float32), HID)
+        proj = [(x @ p["w" + d] + p["c" + d]) * half for d in "fb"]
         best = np.full(len(words), -np.inf)
+        whole = np.argsort(~mask[:, -1], kind="stable")  # padded windows last
+        text, pos, mask = text[whole], pos[whole], mask[whole]
         for i in range(0, len(text), batch):
-            at = inverse[pos[i: i + batch]]
-            logit, _ = forward(p, [proj[0][at], proj[1][at]], mask[i: i + batch])
+            logit = window_logits(p, proj, inverse[pos[i: i + batch]], mask[i: i + batch])
             np.maximum.at(best, text[i: i + batch], logit)
         return best
 

@@ -1,3 +1,5 @@
+import math
+
 import numpy as np
 import pyarrow as pa
 import pytest
@@ -44,6 +46,62 @@ def test_windows_cover_every_word():
         assert own.any() and set(pos[own][mask[own]]) == set(range(woff[d], woff[d + 1]))
 
 
+def test_a_passage_lies_whole_in_a_window_wherever_it_stands():
+    for n in range(1, 3 * tx.WIDTH):
+        _, pos, mask = tx.windows(np.array([0, n]))
+        runs = [set(p[m].tolist()) for p, m in zip(pos, mask)]
+        size = min(n, tx.WIDTH - tx.STRIDE + 1)
+        assert size == min(n, 17)
+        for start in range(n - size + 1):
+            assert any(set(range(start, start + size)) <= r for r in runs)
+
+
+def plain_logit(p, inputs):
+    """One window's logit, word by word and in plain floats."""
+    def sigmoid(x):
+        return 1 / (1 + math.exp(-x))
+
+    def direction(xs, w, u, c):
+        h, out = [0.0] * tx.HID, []
+        for x in xs:
+            own = [sum(x[i] * w[i][j] for i in range(tx.EMB)) + c[j] for j in range(3 * tx.HID)]
+            rec = [sum(h[i] * u[i][j] for i in range(tx.HID)) for j in range(3 * tx.HID)]
+            z = [sigmoid(own[j] + rec[j]) for j in range(tx.HID)]
+            r = [sigmoid(own[tx.HID + j] + rec[tx.HID + j]) for j in range(tx.HID)]
+            new = [math.tanh(own[2 * tx.HID + j] + r[j] * rec[2 * tx.HID + j]) for j in range(tx.HID)]
+            h = [z[j] * h[j] + (1 - z[j]) * new[j] for j in range(tx.HID)]
+            out.append(h)
+        return out
+
+    states = [f + b for f, b in zip(direction(inputs, p["wf"], p["uf"], p["cf"]),
+                                    reversed(direction(inputs[::-1], p["wb"], p["ub"], p["cb"])))]
+    notice = [math.exp(sum(p["av"][k] * math.tanh(sum(s[j] * p["aw"][j][k] for j in range(2 * tx.HID)))
+                           for k in range(tx.HID))) for s in states]
+    pooled = [sum(a * s[j] for a, s in zip(notice, states)) / sum(notice) for j in range(2 * tx.HID)] if states \
+        else [0.0] * (2 * tx.HID)
+    return sum(x * w for x, w in zip(pooled, p["ow"])) + p["ob"][0]
+
+
+@pytest.mark.parametrize("batch", [1, 7, 2048])
+def test_scores_equal_a_plain_loop_over_all_windows(batch):
+    rng = np.random.default_rng(2)
+    vocabulary = [f"w{i}" for i in range(60)]
+    texts = [" ".join(rng.choice(vocabulary, n)) for n in (0, 1, 5, 23, 24, 25, 32, 33, 70, 24, 3)]
+    hasher = vec.Hasher()
+    words = next(w for _, _, w in vec.word_chunks(pa.array(texts), hasher))
+    known = np.unique(words.hashes)[::2]
+    params = {k: rng.normal(0, 0.6, v.shape).astype(np.float32) for k, v in tx.init_params(len(known), rng).items()}
+    model = tx.Model(known, params)
+    p = {k: v.tolist() for k, v in params.items()}
+    got = model.text_logits(words, hasher, batch)
+    for k in range(len(texts)):
+        a, b = words.woff[k], words.woff[k + 1]
+        x = model.inputs(words, np.arange(a, b), hasher).tolist()
+        starts = [*range(0, max(len(x) - tx.WIDTH, 0), tx.STRIDE), max(len(x) - tx.WIDTH, 0)]
+        want = max(plain_logit(p, x[s: s + tx.WIDTH]) for s in starts)
+        assert got[k] == pytest.approx(want, abs=2e-4)
+
+
 def test_held_out_accuracy(spark):
     sf = "/root/testdata/sf0.1"  # some of its labels are flipped: documents without any insult
     got = op4_toxicity(spark, sf).join(table(spark, sf, "labels"), "doc_id").collect()
