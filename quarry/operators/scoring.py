@@ -74,7 +74,7 @@ def dense_bigram_model(seqs: DataFrame, vocab_size: int) -> np.ndarray | None:
 
     def count(batches):
         cells, strange = np.zeros(vocab_size * vocab_size, np.int64), 0
-        for batch in batches:
+        for batch in _parts(batches):
             x, y, m = _flat(batch, 0)
             known = (x >= 0) & (x < vocab_size) & (y >= 0) & (y < vocab_size)
             strange += int(((m == 1) & ~known).sum())
@@ -94,6 +94,16 @@ def dense_bigram_model(seqs: DataFrame, vocab_size: int) -> np.ndarray | None:
     return -np.log((n + 1) / (n.sum(1, keepdims=True) + vocab_size))
 
 
+PART_ROWS = 256
+
+
+def _parts(batches):
+    """The batches a few rows at a time: what is worked out of their positions is several times their size."""
+    for batch in batches:
+        for at in range(0, batch.num_rows, PART_ROWS):
+            yield batch.slice(at, PART_ROWS)
+
+
 def _flat(batch: pa.RecordBatch, first: int) -> list[np.ndarray]:
     """x, y and mask of all positions of a batch, from column ``first`` on."""
     return [batch.column(first + i).flatten().to_numpy(zero_copy_only=False).astype(np.int64) for i in range(3)]
@@ -110,7 +120,7 @@ def row_losses(seqs: DataFrame, keep: list[str], model: np.ndarray, ignore_id: i
         table[:, ignore_id] = 0.0
 
     def run(batches):
-        for batch in batches:
+        for batch in _parts(batches):
             x, y, m = _flat(batch, len(keep))
             on = m == 1
             loss = np.zeros(len(x))

@@ -109,3 +109,14 @@ def test_a4_dense_equals_joined(spark, monkeypatch):
     assert scoring.dense_bigram_model(wide, 6) is None and scoring.dense_bigram_model(df.limit(0), 6).shape == (6, 6)
     plan = scoring.ngram_nll(df, ["k"], 6)._jdf.queryExecution().executedPlan().toString()
     assert plan.count("hashpartitioning") == 1 and "Generate" not in plan  # two numbers a row are shuffled, no positions
+
+
+def test_positions_are_scored_a_few_rows_at_a_time():
+    import pyarrow as pa
+
+    from quarry.operators.scoring import PART_ROWS, _parts
+
+    batch = pa.RecordBatch.from_arrays([pa.array([[i, i] for i in range(3 * PART_ROWS + 1)])], names=["x"])
+    parts = list(_parts([batch, batch.slice(0, 0)]))
+    assert [p.num_rows for p in parts] == [PART_ROWS] * 3 + [1]
+    assert [v for p in parts for v in p.column(0).flatten().to_pylist()] == batch.column(0).flatten().to_pylist()

@@ -1,6 +1,7 @@
 import json
 import unicodedata
 
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -193,3 +194,28 @@ def test_packed_ids_equal_arrays(spark):
     for r in df.select("k", *[F.struct(x.alias("x"), y.alias("y")).alias(f"p{i}") for i, (x, y) in enumerate(pairs)]).collect():
         for c in r[1:]:
             assert c.x == c.y or r.k == 9
+
+
+def test_ids_are_made_a_slice_at_a_time():
+    """What a batch of long texts takes besides its ids (32 MB here) is bounded by a slice, and counts keep no ids."""
+    import tracemalloc
+
+    from quarry.functions.bytes import SLICE_BYTES, text_slices
+    from quarry.functions.encode import byte_level_counts, byte_level_ids
+
+    texts = [None, "", "<s>é", *["ab<unk>" + "x" * 99_993] * 80, "", None, "y" * (2 * SLICE_BYTES), ""]
+    col = pa.array(texts)
+    slices = text_slices(col)
+    assert [x for s in slices for x in s.to_pylist()] == texts and len(slices) > 8
+    assert [s.to_pylist() for s in text_slices(col.slice(0, 0))] == [[]]
+    tracemalloc.start()
+    ids = byte_level_ids(col, False)
+    most = tracemalloc.get_traced_memory()[1]
+    tracemalloc.reset_peak()
+    counts = byte_level_counts(col, True)
+    least = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert counts.to_pylist() == [None, 0, 3, *[99_996] * 80, 0, None, 2 * SLICE_BYTES, 0]
+    assert [None if x is None else len(x) for x in ids.to_pylist()] == counts.to_pylist()
+    assert ids[3].as_py()[:4] == [*byte_level_ids(pa.array(["ab"]), False)[0].as_py(), 0, byte_level_ids(pa.array(["x"]), False)[0].as_py()[0]]
+    assert most < 80e6 and least < 60e6
