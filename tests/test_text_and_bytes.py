@@ -219,3 +219,13 @@ def test_ids_are_made_a_slice_at_a_time():
     assert [None if x is None else len(x) for x in ids.to_pylist()] == counts.to_pylist()
     assert ids[3].as_py()[:4] == [*byte_level_ids(pa.array(["ab"]), False)[0].as_py(), 0, byte_level_ids(pa.array(["x"]), False)[0].as_py()[0]]
     assert most < 80e6 and least < 60e6
+
+
+def test_split_specials_in_one_pass(spark):
+    """Specials are found from '<' to '<', with no look back at every place; long texts need no stack."""
+    n = 300_000
+    texts = ["<s>" + "x" * n + "<|im_end|><unk>" + "<" * n, "a<<s>>b<|im_start|", "</s></s>", "<s\n>\n<unk>\n", "", None]
+    df = spark.createDataFrame([(t,) for t in texts], "t string").select(split_specials(F.col("t")).alias("p"))
+    assert [r.p for r in df.collect()] == [["<s>", "x" * n, "<|im_end|>", "<unk>", "<" * n], ["a<", "<s>", ">b<|im_start|"],
+                                           ["</s>", "</s>"], ["<s\n>\n", "<unk>", "\n"], [], None]
+    assert "(?<=" not in df._jdf.queryExecution().toString()
