@@ -206,3 +206,48 @@ def test_dictionary_encoding_equals_encoding_in_place(spark, trained, monkeypatc
         assert out.columns == ["id", "text", "word", "ids", "input_ids"]
         assert sorted(((r.id, r.input_ids) for r in out.collect()), key=str) == want
     assert tk.encode_with_dictionary(df.limit(0), model).count() == 0
+
+
+def _odd_texts():
+    import random
+    r = random.Random(7)
+    parts = ["'", "'s", "'re", "'ll", " ", "  ", "\t", "\n", "　", "\x85", "\x1c", "a", "st", "é", "ﬁ", "中", "😀", "٣", "½", "Ⅷ",
+             ".", "<", "<s>", "<|im_end|>", "​", "́"]
+    return ["".join(r.choice(parts) for _ in range(r.randrange(25))) for _ in range(400)] + [None, "", "'s's", "a 's", "\n's", "x  ", " "]
+
+
+def test_pretoken_counts_cut_as_the_pattern_does(spark):
+    """Words are cut from character classes as Spark's regex cuts them, and added up in the task: no row for each word."""
+    from quarry.functions.text import nfkc, pretokenize
+    df = spark.createDataFrame([(t,) for t in _odd_texts()], "t string").repartition(3)
+    for normalize in (True, False):
+        got = pretoken_counts(df, "t", normalize)
+        text = nfkc(F.col("t")) if normalize else F.col("t")
+        want = df.select(F.explode(pretokenize(text)).alias("word")).groupBy("word").agg(F.count("*").alias("freq"))
+        assert sorted(got.collect()) == sorted(want.collect()) and got.dtypes == want.dtypes
+    assert "Generate" not in got._jdf.queryExecution().toString()
+    assert pretoken_counts(df.where("false"), "t").collect() == []
+
+
+def test_words_are_added_up_within_bounds():
+    from collections import Counter
+
+    import pyarrow as pa
+
+    from quarry.functions.pretokens import counted
+    lists = [[f"w{i * j % 37}" for j in range(20)] for i in range(30)]
+    for held in (1, 10, 1000):
+        total = Counter()
+        for t in counted((pa.array(x, pa.large_string()) for x in lists), held):
+            assert t.num_rows <= max(37, held)
+            total.update(dict(zip(t.column("word").to_pylist(), t.column("freq").to_pylist())))
+        assert total == Counter(w for x in lists for w in x)
+
+
+def test_index_reads_symbols_from_a_column():
+    import pyarrow as pa
+
+    from quarry.operators.bpe_index import column_symbols, sym_char, symbols
+    words = ["".join(sym_char(i) for i in x) for x in ([5, 260, 7000], [6399, 6400], [9])]
+    for got, want in zip(column_symbols(pa.array(["x", *words]).slice(1)), symbols(words)):
+        assert got.tolist() == want.tolist()
