@@ -251,3 +251,22 @@ def test_index_reads_symbols_from_a_column():
     words = ["".join(sym_char(i) for i in x) for x in ([5, 260, 7000], [6399, 6400], [9])]
     for got, want in zip(column_symbols(pa.array(["x", *words]).slice(1)), symbols(words)):
         assert got.tolist() == want.tolist()
+
+
+def test_dictionary_stores_texts_not_words(spark, monkeypatch):
+    """Chunks that end within batches and rows over a chunk; the ids are those of each text alone."""
+    from quarry.operators import tokenizer
+    texts = _odd_texts() * 2
+    df = spark.createDataFrame([(i, t) for i, t in enumerate(texts)], "id int, t string").repartition(2)
+    model = train_bpe(df.select("t"), vocab_size=275, text_col="t")
+    want = {r.id: r.x for r in df.select("id", encode(F.col("t"), model).alias("x")).collect()}
+    stored, cut = [], tokenizer.cut_lineage
+    monkeypatch.setattr(tokenizer, "cut_lineage", lambda rows: stored.append(rows.dtypes) or cut(rows))
+    for n in (7, 200_000):
+        monkeypatch.setattr(tokenizer, "CHUNK_WORDS", n)
+        got = tokenizer.encode_with_dictionary(df, model, "t", "ids")
+        assert got.columns == ["id", "t", "ids"]
+        assert {r.id: r.ids for r in got.collect()} == want
+        assert {r.id: r.t for r in got.collect()} == dict(enumerate(texts))
+    assert {r.id: r.t for r in tokenizer.encode_with_dictionary(df, model, "t", "t").collect()} == want
+    assert all("array" not in kind for dtypes in stored for _, kind in dtypes)
