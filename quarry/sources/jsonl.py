@@ -26,7 +26,10 @@ def _variant(line: Column) -> Column:
 
 def json_reason(line: Column, key: str | None = None) -> Column:
     """NULL for a good object line, else malformed / not_object / missing_key / not_string."""
-    v = _variant(line)
+    return _reason(_variant(line), line, key)
+
+
+def _reason(v: Column, line: Column, key: str | None = None) -> Column:
     first = F.schema_of_variant(F.variant_get(v, "$[0]", "variant"))
     whole = F.try_variant_get(v, "$[1]", "string").eqNullSafe(F.md5(line))
     r = (F.when(v.isNull() | first.isNull() | ~whole, F.lit("malformed"))
@@ -44,11 +47,16 @@ def parse_jsonl(lines: DataFrame, key: str = "text", missing: str = "", line_col
     A present key whose value is not a string is dropped as well.
     """
     keep = keep or []
-    v = _variant(F.col(line_col))
-    kt = F.schema_of_variant(F.variant_get(v, f"$[0].{key}", "variant"))
-    bad = json_reason(F.col(line_col))
-    val = F.when(kt.isNull(), F.lit(missing)).otherwise(F.try_variant_get(v, f"$[0].{key}", "string"))
-    return lines.where(bad.isNull() & (kt.isNull() | (kt == "STRING"))).select(*keep, val.alias(key))
+    line = F.col(line_col)
+
+    def read(v: Column) -> Column:
+        kt = F.schema_of_variant(F.variant_get(v, f"$[0].{key}", "variant"))
+        val = F.when(kt.isNull(), F.lit(missing)).otherwise(F.try_variant_get(v, f"$[0].{key}", "string"))
+        return F.struct(val.alias(key), (_reason(v, line).isNull() & (kt.isNull() | (kt == "STRING"))).alias("_good"))
+
+    # a line is parsed once: a filter would be pushed down to the lines with the parsing in it
+    found = F.filter(F.transform(F.array(_variant(line)), read), lambda r: r["_good"])
+    return lines.select(*keep, F.inline(found)).drop("_good")
 
 
 def read_jsonl(spark: SparkSession, paths, key: str = "text", missing: str = "") -> DataFrame:

@@ -254,3 +254,13 @@ def test_u1_map_batches_paths(spark):
         out = map_batches(df, shapes, "s struct<a:int,b:array<string>>, d bigint", ["k"], remove_columns=["v"], exact=mode)
         assert out.columns == ["k", "s", "d"]
         assert all((r.s.a, r.s.b, r.d) == (r.k, [str(2 * r.k)], 2 * r.k) for r in out.collect())
+
+
+def test_a_line_is_parsed_once(spark):
+    from quarry.sources.jsonl import parse_jsonl
+    lines = ['{"text":"a"}', '{"text":1}', '{"x":2}', '{"text":null}', "[1]", "{", "", '{"text":"a"} x', '{"text":"b"} ', None]
+    df = spark.createDataFrame([(i, t) for i, t in enumerate(lines)], "i int, value string")
+    out = parse_jsonl(df, missing="none", keep=["i"])
+    assert out.columns == ["i", "text"]
+    assert {r.i: r.text for r in out.collect()} == {0: "a", 2: "none", 8: "b"}
+    assert out._jdf.queryExecution().optimizedPlan().toString().lower().count("parse") == 1
