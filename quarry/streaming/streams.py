@@ -17,11 +17,9 @@ from pyspark.sql.streaming import StreamingQueryListener
 
 from quarry.constants import BLOCK_SIZE, CHAT_SYSTEM_PROMPT, CHUNK_SIZE
 from quarry.functions.chat import non_empty, prepend_system, render_chat, to_messages
-from quarry.functions.encode import encode
 from quarry.functions.text import nfkc, pretokenize
 from quarry.operators.chunk import split_text
-from quarry.operators.sequences import pack_blocks
-from quarry.session import cut_lineage
+from quarry.operators.sequences import ONE_BATCH, pack_blocks
 from quarry.sources.jsonl import parse_json_array_lines, parse_jsonl
 
 
@@ -130,12 +128,11 @@ def pack_stream(lines: DataFrame, out_path: str, checkpoint: str, block_size: in
     are packed in the order of file and place if ``lines`` carries them (``read_lines`` does).
     """
     place = [c for c in ("file", "start") if c in lines.columns]
-    texts = parse_jsonl(lines, keep=place).select(*place, encode(F.col("text")).alias("input_ids"))
+    texts = parse_jsonl(lines, keep=place)
 
     def pack(batch: DataFrame, epoch_id: int):
-        # stored once: places and ids are read in two passes, and nothing stays cached
-        rows = cut_lineage(batch.withColumn("pos", F.monotonically_increasing_id()))
-        packed = pack_blocks(rows, [*place, "pos"], ["input_ids"], block_size, 1 << 40, ones=["attention_mask"])
+        rows = batch.withColumn("pos", F.monotonically_increasing_id())
+        packed = pack_blocks(rows, [*place, "pos"], ["input_ids"], block_size, ONE_BATCH, ones=["attention_mask"], text="text")
         packed.write.mode("overwrite").parquet(f"{out_path}/micro_batch={epoch_id}")
 
     w = texts.writeStream.foreachBatch(pack).option("checkpointLocation", checkpoint)

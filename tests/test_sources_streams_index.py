@@ -264,3 +264,63 @@ def test_a_line_is_parsed_once(spark):
     assert out.columns == ["i", "text"]
     assert {r.i: r.text for r in out.collect()} == {0: "a", 2: "none", 8: "b"}
     assert out._jdf.queryExecution().optimizedPlan().toString().lower().count("parse") == 1
+
+
+def _line_dirs(tmp_path, files):
+    d = tmp_path / "v4_lines"
+    d.mkdir()
+    for i, texts in enumerate(files):
+        _write(str(d / f"{i:02d}.jsonl"), [json.dumps({"text": t}, ensure_ascii=False) for t in texts])
+    return str(d)
+
+
+def test_pack_stream_neither_caches_nor_stores_ids(spark, tmp_path, monkeypatch):
+    frames = type(spark.range(0))
+    seen = []
+    for name in ("persist", "checkpoint"):
+        def spied(self, *a, _name=name, _f=getattr(frames, name), **k):
+            seen.append((_name, dict(self.dtypes)))
+            return _f(self, *a, **k)
+        monkeypatch.setattr(frames, name, spied)
+    path = _line_dirs(tmp_path, [["abcdefghij", "klm"], ["nop"]])
+    out = str(tmp_path / "v4_out")
+    pack_stream(read_lines(spark, path), out, block_size=4, checkpoint=str(tmp_path / "ck")).awaitTermination()
+    assert spark.read.parquet(out).count() == 4
+    assert [k for k, _ in seen].count("checkpoint") > 0
+    assert not [t for _, t in seen if "array<int>" in t.values()]
+    assert not [t for k, t in seen if k == "persist" and {"text", "value"} & t.keys()]
+
+
+def test_pack_stream_over_many_runs_equals_loop(spark, tmp_path):
+    import random
+
+    from quarry.functions.encode import encode
+    rnd = random.Random(5)
+    words = ["a", "bcd", "\u00e9\ufb01", "<|im_end|>", "x" * 50, "x" * 700, "", "\u65e5\u672c"]
+    files = [[" ".join(rnd.choices(words, k=rnd.choice([0, 1, 4, 9]))) for _ in range(n)] for n in (12, 0, 1, 30, 3, 1)]
+    files.append([""])
+    path = _line_dirs(tmp_path, files)
+    texts = [(i, t) for i, t in enumerate(t for f in files for t in f)]
+    ids = spark.createDataFrame(texts, "k int, t string").select("k", encode(F.col("t")).alias("ids")).orderBy("k").collect()
+    flat = [x for r in ids for x in r.ids]
+    sized = {"spark.sql.files.maxPartitionBytes": "3k", "spark.sql.files.openCostInBytes": "500"}
+    old = {k: spark.conf.get(k) for k in sized}
+    try:
+        for k, v in sized.items():
+            spark.conf.set(k, v)
+        for block, whole in ((7, True), (64, True), (len(flat) + 1, True), (64, False)):
+            lines = read_lines(spark, path)
+            lines = lines if whole else lines.repartition(3)  # file parts lie anywhere: their order is free within a part
+            out = str(tmp_path / f"out-{block}-{whole}")
+            pack_stream(lines, out, block_size=block, checkpoint=f"{out}-ck").awaitTermination()
+            got = spark.read.parquet(out).orderBy("block").collect()
+            want = [flat[k: k + block] for k in range(0, len(flat) // block * block, block)] or [flat]
+            assert [(r.shard, r.batch, r.block) for r in got] == [(0, 0, k) for k in range(len(want))]
+            assert all(r.labels == r.input_ids and r.attention_mask == [1] * len(r.input_ids) for r in got)
+            if whole:
+                assert [r.input_ids for r in got] == want
+            else:
+                assert [len(r.input_ids) for r in got] == [len(w) for w in want]
+    finally:
+        for k, v in old.items():
+            spark.conf.set(k, v)
